@@ -7,21 +7,56 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quireflow.llm.common import Scratch, n_words
 from quireflow.llm.mixing import mix_plan
 from quireflow.llm.packing import pack_documents
+from quireflow.llm.quality import judge_documents
+from quireflow.llm.token_counts import RollupStore
 from quireflow.llm.token_orc import token_ids_digest
 from quireflow.llm.tokens import vocabulary
 from quireflow.llm.topk import top_k
+from quireflow.llm.url_filter import judge_urls
+
+#: The rules of op1: rule, verdict.
+URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads all documents' counts, loads them again (which changes nothing), revises them to the texts with white space collapsed, and deletes documents of fewer than 10 words."""
+    scratch = Scratch(spark, "token-counts")
+    store = RollupStore(spark, scratch.path("store"))
+    text = F.coalesce("text", F.lit(""))
+    packed = F.octet_length(F.translate(text, " \t\n\x0b\x0c\r", "")) + F.greatest(F.col("_words") - 1, F.lit(0))
+    docs = table(spark, sf_dir, "documents").select("source", "lang", "text").withColumn("_words", n_words(F.col("text")))
+    counts = F.array(F.struct(F.lit("words").alias("tokenizer"), F.col("_words").alias("old"), F.col("_words").alias("new")), F.struct(F.lit("bytes").alias("tokenizer"), F.octet_length(text).cast("long").alias("old"), packed.cast("long").alias("new")))
+    docs = scratch.cut(docs.select("source", "lang", "_words", F.explode(counts).alias("c")).select("source", "lang", "_words", "c.*"), "counts")
+    group = [F.col("source"), F.col("lang"), F.col("tokenizer")]
+    load = docs.select(F.lit("insert").alias("op"), *group, F.col("old").alias("n_tokens"), F.lit(None).cast("long").alias("old_n_tokens"))
+    store.commit("load", load)
+    store.commit("load", load)
+    store.commit("collapse", docs.select(F.lit("revise").alias("op"), *group, F.col("new").alias("n_tokens"), F.col("old").alias("old_n_tokens")))
+    store.commit("short", docs.where("_words < 10").select(F.lit("delete").alias("op"), *group, F.col("new").alias("n_tokens"), F.lit(None).cast("long").alias("old_n_tokens")))
+    out = store.totals().select("source", "lang", "tokenizer", F.col("docs").alias("n_docs"), F.col("tokens").alias("n_tokens"))
+    return scratch.finish(out)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), kind="byte", capacity=2048, end_id=0)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids_digest(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), kind="word", end_id=2)
 
@@ -34,6 +69,60 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
+OP1_SQL = r"""
+WITH rules(rule, verdict) AS (VALUES ('com/', 'allow'), ('example.com/en/', 'block'), ('www.example.com/en/', 'allow'), ('net/es/', 'block'), ('net/fr/', 'block')),
+r AS (SELECT rule, verdict, regexp_extract(rule, '^[^/]*') AS h, substr(rule, length(regexp_extract(rule, '^[^/]*')) + 1) AS p FROM rules),
+u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+q AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, row_number() OVER () AS n FROM u),
+m AS (
+  SELECT q.n, arg_max(r.rule, length(r.rule)) AS rule, arg_max(r.verdict, length(r.rule)) AS verdict
+  FROM q JOIN r ON (q.host = r.h OR ends_with(q.host, '.' || r.h)) AND starts_with(q.path, r.p) GROUP BY q.n
+)
+SELECT q.page_id, q.host, q.path, m.rule, coalesce(m.verdict, 'allow') AS verdict FROM q LEFT JOIN m USING (n)
+"""
+
+OP2_SQL = r"""
+WITH d AS (
+  SELECT source, lang, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS words,
+    CAST(strlen(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS solid
+  FROM documents
+), k AS (SELECT * FROM d WHERE words >= 10)
+SELECT source, lang, 'words' AS tokenizer, count(*) AS n_docs, CAST(sum(words) AS BIGINT) AS n_tokens FROM k GROUP BY source, lang
+UNION ALL
+SELECT source, lang, 'bytes' AS tokenizer, count(*) AS n_docs, CAST(sum(solid + words - 1) AS BIGINT) AS n_tokens FROM k GROUP BY source, lang
+"""
+
+OP5_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS n, doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT n, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS word, unnest(range(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')))) AS i FROM d),
+g AS (
+  SELECT n, i, word, CASE WHEN lead(i, 4) OVER o IS NOT NULL THEN
+    word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o || ' ' || lead(word, 3) OVER o || ' ' || lead(word, 4) OVER o END AS gram
+  FROM w WINDOW o AS (PARTITION BY n ORDER BY i)
+), t AS (SELECT n, i, word, gram IS NOT NULL AND count(*) OVER (PARTITION BY n, gram) > 1 AS twice FROM g),
+c AS (SELECT n, word, bool_or(twice) OVER (PARTITION BY n ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS hit FROM t),
+m AS (SELECT n, count(*) AS n_words, CAST(sum(length(word)) AS BIGINT) AS word_chars, count(*) FILTER (hit) AS n_repeat_words FROM c GROUP BY n),
+l AS (SELECT n, source, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM d),
+x AS (
+  SELECT n, source, text, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words, row_number() OVER (PARTITION BY n, line ORDER BY i) AS copy,
+    trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789', 'abcdefghijklmnopqrstuvwxyz0000000000'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS plain
+  FROM l
+), f AS (SELECT source, plain, count(DISTINCT text) AS docs FROM x WHERE words > 0 GROUP BY source, plain HAVING count(DISTINCT text) > 10),
+h AS (SELECT source, count(DISTINCT text) AS all_docs FROM d GROUP BY source),
+b AS (SELECT f.source, f.plain FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.source WHERE docs > all_docs * 0.02::DOUBLE),
+y AS (
+  SELECT x.n, count(*) FILTER (copy > 1 AND words > 0) AS n_dup_lines, coalesce(CAST(sum(words) FILTER (b.plain IS NULL) AS BIGINT), 0) AS words_left
+  FROM x LEFT JOIN b ON x.source IS NOT DISTINCT FROM b.source AND x.plain = b.plain AND x.words > 0 GROUP BY x.n
+), z AS (
+  SELECT d.doc_id, coalesce(m.n_words, 0) AS n_words, coalesce(m.word_chars, 0) AS word_chars, CAST(length(d.text) - length(regexp_replace(d.text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    y.n_dup_lines, coalesce(m.n_repeat_words, 0) AS n_repeat_words, y.words_left
+  FROM d LEFT JOIN m USING (n) JOIN y USING (n)
+)
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND words_left >= 0.2::DOUBLE * n_words AS kept
+FROM z
+"""
+
 OP9_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
@@ -69,9 +158,12 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
+    "op2_token_counts": op2_token_counts,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_quality": op5_quality,
     "op6_token_orc": op6_token_orc,
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
 }
-SQL: dict[str, str] = {"op9_mixing": OP9_SQL, "op10_topk": OP10_SQL}
+SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op2_token_counts": OP2_SQL, "op5_quality": OP5_SQL, "op9_mixing": OP9_SQL, "op10_topk": OP10_SQL}
