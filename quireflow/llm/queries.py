@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quireflow.llm.common import Scratch, n_words
 from quireflow.llm.mixing import mix_plan
+from quireflow.llm.ngram_join import jaccard_join
 from quireflow.llm.packing import pack_documents
 from quireflow.llm.quality import judge_documents
 from quireflow.llm.token_counts import RollupStore
@@ -61,6 +62,10 @@ def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids_digest(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), kind="word", end_id=2)
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"), n=4, percent=85).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken")
 
@@ -123,6 +128,21 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
 FROM z
 """
 
+OP8_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' ')) END) AS g FROM d
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r AS (SELECT a AS v, a AS u FROM e UNION SELECT r.v, e.b FROM r JOIN e ON r.u = e.a),
+m AS (SELECT v, min(u) AS root FROM r GROUP BY v)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.root, d.doc_id) AS component_id, (SELECT count(*) FROM e WHERE e.a = d.doc_id) AS n_links
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.v = d.doc_id
+"""
+
 OP9_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
@@ -163,7 +183,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_quality": op5_quality,
     "op6_token_orc": op6_token_orc,
+    "op8_ngram_join": op8_ngram_join,
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
 }
-SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op2_token_counts": OP2_SQL, "op5_quality": OP5_SQL, "op9_mixing": OP9_SQL, "op10_topk": OP10_SQL}
+SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op2_token_counts": OP2_SQL, "op5_quality": OP5_SQL, "op8_ngram_join": OP8_SQL, "op9_mixing": OP9_SQL, "op10_topk": OP10_SQL}
