@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quireflow.llm.common import Scratch, n_words
+from quireflow.llm.html_main import extract_pages
 from quireflow.llm.mixing import mix_plan
 from quireflow.llm.ngram_join import jaccard_join
 from quireflow.llm.packing import pack_documents
@@ -16,6 +17,7 @@ from quireflow.llm.token_counts import RollupStore
 from quireflow.llm.token_orc import token_ids_digest
 from quireflow.llm.tokens import vocabulary
 from quireflow.llm.topk import top_k
+from quireflow.llm.toxicity import score_documents
 from quireflow.llm.url_filter import judge_urls
 
 #: The rules of op1: rule, verdict.
@@ -54,6 +56,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), kind="byte", capacity=2048, end_id=0)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(table(spark, sf_dir, "documents"))
 
@@ -62,6 +68,10 @@ def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids_digest(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), kind="word", end_id=2)
 
 
+def op7_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"), n=4, percent=85).select("doc_id", "n_shingles", "component_id", "n_links")
 
@@ -181,8 +191,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_token_counts": op2_token_counts,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
     "op6_token_orc": op6_token_orc,
+    "op7_html_main": op7_html_main,
     "op8_ngram_join": op8_ngram_join,
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
