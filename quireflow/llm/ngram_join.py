@@ -34,11 +34,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quireflow.llm.common import Scratch
+from quireflow.llm.common import Scratch, small_batches, worker_forget
 from quireflow.llm.components import connected_components
 
-#: Documents of a block, bits of the array of repeated tokens (as a power of two), tokens held before they are sent on.
-BLOCK, FILTER_BITS, HELD = 1500, 28, 1 << 23
+#: Documents of a block and bytes of its sets (8 for a token), bits of the array of repeated tokens (as a power of two), tokens held before they are sent on.
+BLOCK, BLOCK_BYTES, FILTER_BITS, HELD = 1000, 4 << 20, 27, 1 << 21
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -73,6 +73,7 @@ def token_classes(docs: DataFrame, n: int, frequent: int, scratch: Scratch, filt
     shift = 32 - (parts.bit_length() - 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_forget()
         held, size = [], 0
 
         def flush() -> pa.RecordBatch:
@@ -85,7 +86,7 @@ def token_classes(docs: DataFrame, n: int, frequent: int, scratch: Scratch, filt
                     rows.append((k, x[m].tobytes(), x[~m].tobytes(), y[~m].astype(np.uint32).tobytes()))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 4, (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["part", "once", "more", "counts"])
 
-        for b in batches:
+        for b in small_batches(batches):
             for text in _texts(b, 0):
                 held.append((shingles(text, n) >> np.uint64(32)).astype(np.uint32))
                 size += len(held[-1])
@@ -142,8 +143,9 @@ def document_signatures(docs: DataFrame, n: int, percent: int, bits: np.ndarray,
     shift = 32 - int(math.log2(len(bits) * 8))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_forget()
         bits, often = held.value
-        for b in batches:
+        for b in small_batches(batches):
             size, one, two, sigs, sets = [], [], [], [], []
             for text in _texts(b, 2):
                 t = shingles(text, n)
@@ -181,16 +183,15 @@ def block_links(n: np.ndarray, mult: np.ndarray, sets: list[np.ndarray], side: n
             k = root[k]
         return k
 
-    token, owner = np.concatenate([np.zeros(0, np.uint64), *sets]), np.repeat(np.arange(m), [len(s) for s in sets])
-    order = np.argsort(token, kind="stable")
-    token, owner, back = token[order], owner[order], np.empty(len(order), np.int64)
+    token, owner = np.concatenate([np.zeros(0, np.uint64), *sets]), np.repeat(np.arange(m, dtype=np.int32), [len(s) for s in sets])
+    order = np.argsort(token, kind="stable").astype(np.int32)
+    token, owner, back = token[order], owner[order], np.empty(len(order), np.int32)
     if not len(token):
         return root, links
     new = np.concatenate([[True], token[1:] != token[:-1]])
-    start = np.flatnonzero(new)
-    end = np.append(start[1:], len(token))
-    back[order] = np.arange(len(order))  # where in the index each of a set's tokens is
-    group = (np.cumsum(new) - 1)[back]
+    end = np.append(np.flatnonzero(new)[1:], len(token)).astype(np.int32)
+    back[order] = np.arange(len(order), dtype=np.int32)  # where in the index each of a set's tokens is
+    group = (np.cumsum(new, dtype=np.int32) - 1)[back]
     first = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
     for i in range(m):
         mine = slice(first[i], first[i + 1])
@@ -233,14 +234,16 @@ def jaccard_join(docs: DataFrame, *, n: int = 5, percent: int = 80, frequent: in
     stars = lean.groupBy("sig").agg(F.min("row").alias("a"), F.count(F.lit(1)).alias("docs")).where("docs > 1").select(F.col("sig").alias("star"), "a")
     near = lean.join(stars, F.col("sig") == F.col("star")).select("a", F.col("row").alias("b"))
     clusters = connected_components(near, scratch)
-    sizes = clusters.groupBy(F.col("root").alias("cluster")).agg(F.count(F.lit(1)).alias("docs"))
-    blocks = F.ceil(F.col("docs") / block).cast("int")
+    weights = rows.where("size(sigs) > 0").select("row", F.octet_length("tokens").cast("long").alias("bytes"))
+    clusters = scratch.cut(clusters.join(weights, F.col("v") == F.col("row")).drop("row"), "clusters")
+    sizes = clusters.groupBy(F.col("root").alias("cluster")).agg((F.count(F.lit(1)) / block).alias("by_docs"), (F.sum("bytes") / BLOCK_BYTES).alias("by_bytes"))
+    blocks = F.ceil(F.greatest("by_docs", "by_bytes")).cast("int")
     placed = clusters.join(sizes, F.col("root") == F.col("cluster")).withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
     # small clusters share a block with others; in a large one each block meets every other
-    total = max(1, clusters.count())
-    together = F.struct(F.lit(-1).cast("long").alias("c"), F.pmod(F.xxhash64("root"), F.lit(-(-total // (block // 2)))).cast("int").alias("i"), F.lit(0).alias("j"))
+    share = clusters.agg(F.coalesce(F.greatest(F.count(F.lit(1)) / block, F.sum("bytes") / BLOCK_BYTES), F.lit(0.0))).collect()[0][0]
+    together = F.struct(F.lit(-1).cast("long").alias("c"), F.pmod(F.xxhash64("root"), F.lit(max(1, math.ceil(share)))).cast("int").alias("i"), F.lit(0).alias("j"))
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.col("root").alias("c"), F.least("mine", k).alias("i"), F.greatest("mine", k).alias("j")))
-    placed = placed.select("v", F.explode(F.when(F.col("docs") * 4 <= block, F.array(together)).otherwise(meets)).alias("at"), "mine").select("v", "at.*", "mine")
+    placed = placed.select("v", F.explode(F.when(F.greatest("by_docs", "by_bytes") <= 0.25, F.array(together)).otherwise(meets)).alias("at"), "mine").select("v", "at.*", "mine")
     sets = rows.where("size(sigs) > 0").select("row", "n", "tokens").join(groups.select("v", "mult"), F.col("row") == F.col("v")).drop("v")
     placed = placed.join(sets, F.col("v") == F.col("row"))
 
