@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -72,11 +74,18 @@ class Scratch:
         return out
 
 
+_BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 500
 _SHIPPED = "quireflow-package.zip"
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends the package to the executors, once a session, so that Python workers can import it wherever they run."""
+    """Sends the package to the executors, once a session, so that Python workers can import it wherever they run.
+
+    Rows here are whole documents, so Spark's default of 10,000 rows for an Arrow batch is lowered; a setting of the
+    user's own stays.
+    """
+    if spark.conf.get(_BATCH_CONF) == "10000":
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
     sc = spark.sparkContext
     if any(str(f).endswith(_SHIPPED) for f in sc._python_includes):
         return
@@ -88,6 +97,34 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(str(where))
 
 
+_KEPT: dict[str, object] = {}
+
+
+def worker_kept(key: str, build):
+    """A Python worker's cache of one thing at a time: workers are reused by later operators, and must not hold what earlier ones kept."""
+    if key not in _KEPT:
+        worker_forget()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
+def worker_forget() -> None:
+    """Drops what this worker keeps and hands the memory back to the system."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
+def small_batches(batches, rows: int = 512):
+    """Arrow batches in slices of so many rows: what Python holds at once follows the slice, not Spark's batch size."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def n_words(text: Column) -> Column:
     """Number of words; null text has none. A space is put in front, so that a split at word starts gives one part more than words."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

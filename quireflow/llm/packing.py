@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quireflow.llm.common import Scratch, bucket_totals, buckets_for, row_count
+from quireflow.llm.common import Scratch, bucket_totals, buckets_for, row_count, small_batches
 from quireflow.llm.tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -90,7 +90,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, kind: str, capacity: int, end
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary, kind).encode
-        for b in batches:
+        for b in small_batches(batches, 2048):
             doc, piece, start, length, crc = [], [], [], [], []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids = encode(text) + end

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quireflow.llm.common import Scratch
+from quireflow.llm.common import Scratch, small_batches, worker_forget
 
 MAX_DOCS, MAX_SHARE, LEAST_LEFT = 10, 0.02, 0.2
 #: So many boilerplate lines are broadcast (8 bytes each); more are joined by a shuffle.
@@ -81,7 +81,8 @@ def measured(docs: DataFrame) -> DataFrame:
     """doc_id, source and a row id with the measures of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        worker_forget()
+        for b in small_batches(batches):
             got = list(zip(*[measure(t or "") for t in b.column(3).to_pylist()], strict=True))
             if got:
                 arrays = [pa.array(c, pa.int64()) for c in got[:6]] + [pa.array(c, pa.list_(pa.int64())) for c in got[6:]]
@@ -159,6 +160,7 @@ def clean_documents(docs: DataFrame, *, max_docs: int = MAX_DOCS, max_share: flo
         """The text that stays, or null for a rejected document."""
         import pandas as pd
 
+        worker_forget()
         out = []
         for t, s in zip(text, source, strict=True):
             n, _, _, _, repeated, _, lines, words = measure(t or "")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quireflow.llm.common import Scratch
+from quireflow.llm.common import Scratch, small_batches
 from quireflow.llm.tokens import encoder
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("at", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -44,7 +44,7 @@ def write_token_orc(docs: DataFrame, path: str, vocabulary: str, *, kind: str =
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(held), "<u4").astype(np.int32)))
             return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array([part] * len(doc), pa.int32()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), ids], SCHEMA.names)
 
-        for b in batches:
+        for b in small_batches(batches):
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids = one(text) + end
                 doc.append(i), starts.append(at), sizes.append(len(ids) // 4), held.append(ids)

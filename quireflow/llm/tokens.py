@@ -12,6 +12,8 @@ import re
 
 import numpy as np
 
+from quireflow.llm.common import worker_kept
+
 #: Letters that both the library and this module treat as letters, and characters that both treat as neither letter, digit nor space.
 LETTERS = "A-Za-zÀ-ÖØ-öø-įıĲ-ſ"
 SAFE = re.compile(r"[\t\n\r -~¡-©«¬®-±´¶-¸»¿-įı-ſ‐-‧€]*")
@@ -62,11 +64,6 @@ class CachedEncoder:
         return b"".join(map(self.pieces.__getitem__, self.findall(text.lower() if self.lower else text)))
 
 
-_ENCODERS: dict[tuple[str, str], CachedEncoder] = {}
-
-
 def encoder(path: str, kind: str) -> CachedEncoder:
-    """One encoder for each vocabulary in a Python worker."""
-    if (path, kind) not in _ENCODERS:
-        _ENCODERS[path, kind] = CachedEncoder(path, kind)
-    return _ENCODERS[path, kind]
+    """One encoder for a vocabulary in a Python worker."""
+    return worker_kept(f"{kind}:{path}", lambda: CachedEncoder(path, kind))

@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quireflow.llm.common import Scratch, ship
+from quireflow.llm.common import Scratch, ship, small_batches, worker_forget, worker_kept
 
 WINDOW, STEP = 24, 12
 WORD_DIM, CHAR_DIM, HIDDEN, ATTEND, TRIGRAMS = 6, 6, 8, 8, 4096
 MAX_TOXIC, MAX_OTHER, MAX_WINDOWS, MAX_VOCABULARY = 1000, 2500, 32, 20_000
 #: Words kept by a worker at most, and windows scored at once.
-KEPT, BATCH = 200_000, 512
+KEPT, BATCH = 100_000, 512
 THRESHOLD = 0.7
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -306,9 +306,6 @@ class Scorer:
         return (1 / (1 + np.exp(-np.clip(worst, -30, 30)))).tolist()
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def held_out_fold(doc_id) -> int:
     return zlib.crc32(str(doc_id).encode()) % 3
 
@@ -327,7 +324,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", sk
     ids = F.broadcast(spark.createDataFrame(sorted(chosen.items()), "id long, y int"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        worker_forget()
+        for b in small_batches(batches):
             doc, out = [], []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 words = words_of(text)
@@ -340,8 +338,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", sk
 
     lean = docs.join(ids, F.col("doc_id") == F.col("id")).select("id", F.col("text").cast("string"))
     by_doc: dict[int, list[list[bytes]]] = {}
+    same: dict[bytes, bytes] = {}  # one object for each distinct word
     for i, words in sorted((r.id, bytes(r.words)) for r in lean.mapInArrow(cut, "id long, words binary").collect()):
-        by_doc.setdefault(i, []).append(words.split())
+        by_doc.setdefault(i, []).append([same.setdefault(w, w) for w in words.split()])
     return [(i, chosen[i], xs) for i, xs in sorted(by_doc.items())]
 
 
@@ -355,18 +354,15 @@ def scored(docs: DataFrame, model: Model | None, column: str = "score") -> DataF
     if model is None:
         return docs.withColumn(column, F.lit(0.0))
     held = docs.sparkSession.sparkContext.broadcast(model)
-    key = f"{id(model)}-{np.float64(model.shift).tobytes().hex()}"
+    key = f"toxicity:{id(model)}:{np.float64(model.shift).tobytes().hex()}"
 
     @F.pandas_udf("double")
     def score(texts):
         import pandas as pd
 
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(held.value)
-        out = []
+        scorer, out = worker_kept(key, lambda: Scorer(held.value)), []
         for at in range(0, len(texts), 256):
-            out += _SCORERS[key].scores(texts.iloc[at : at + 256].tolist())
+            out += scorer.scores(texts.iloc[at : at + 256].tolist())
         return pd.Series(out)
 
     return docs.withColumn(column, score(F.col("text").cast("string")))
