@@ -113,9 +113,14 @@ def worker_forget() -> None:
     if _KEPT:
         _KEPT.clear()
         gc.collect()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+    worker_trim()
+
+
+def worker_trim() -> None:
+    """Hands freed memory back to the system, where the C library can."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def small_batches(batches, rows: int = 512):
@@ -123,6 +128,7 @@ def small_batches(batches, rows: int = 512):
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+    worker_trim()
 
 
 def n_words(text: Column) -> Column:

@@ -38,7 +38,7 @@ from quireflow.llm.common import Scratch, small_batches, worker_forget
 from quireflow.llm.components import connected_components
 
 #: Documents of a block and bytes of its sets (8 for a token), bits of the array of repeated tokens (as a power of two), tokens held before they are sent on.
-BLOCK, BLOCK_BYTES, FILTER_BITS, HELD = 1000, 4 << 20, 27, 1 << 21
+BLOCK, BLOCK_BYTES, FILTER_BITS, HELD = 1000, 4 << 20, 27, 1 << 20
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -99,6 +99,7 @@ def token_classes(docs: DataFrame, n: int, frequent: int, scratch: Scratch, filt
     own = (1 << bits) // parts
 
     def merge(key, group):
+        worker_forget()
         once, more = (np.frombuffer(b"".join(group[c]), np.uint32) for c in ("once", "more"))
         weight = np.concatenate([np.ones(len(once), np.int64), np.frombuffer(b"".join(group["counts"]), np.uint32).astype(np.int64)])
         token = np.concatenate([once, more])
@@ -248,6 +249,7 @@ def jaccard_join(docs: DataFrame, *, n: int = 5, percent: int = 80, frequent: in
     placed = placed.join(sets, F.col("v") == F.col("row"))
 
     def compare(key, g):
+        worker_forget()
         g = g.sort_values("v", ignore_index=True)
         side = (g["mine"] == key[1]).to_numpy().astype(np.int64) + 1 if key[1] != key[2] else np.zeros(len(g), np.int64)
         if key[0] == -1:

@@ -30,7 +30,7 @@ WINDOW, STEP = 24, 12
 WORD_DIM, CHAR_DIM, HIDDEN, ATTEND, TRIGRAMS = 6, 6, 8, 8, 4096
 MAX_TOXIC, MAX_OTHER, MAX_WINDOWS, MAX_VOCABULARY = 1000, 2500, 32, 20_000
 #: Words kept by a worker at most, and windows scored at once.
-KEPT, BATCH = 100_000, 512
+KEPT, BATCH = 60_000, 512
 THRESHOLD = 0.7
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
