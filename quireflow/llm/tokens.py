@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
 import numpy as np
 
@@ -17,9 +18,10 @@ from quireflow.llm.common import worker_kept
 #: Letters that both the library and this module treat as letters, and characters that both treat as neither letter, digit nor space.
 LETTERS = "A-Za-zÀ-ÖØ-öø-įıĲ-ſ"
 SAFE = re.compile(r"[\t\n\r -~¡-©«¬®-±´¶-¸»¿-įı-ſ‐-‧€]*")
+#: The libraries' split rules, with the commonest case first: the cases begin with different characters, so their order is free but for the last ones.
 SPLITS = {
-    "byte": r"'s|'t|'re|'ve|'m|'ll|'d| ?[L]+| ?[0-9]+| ?[^\sL0-9]+|\s+(?!\S)|\s+".replace("L", LETTERS),
-    "word": r"'s|'t|'re|'ve|'m|'ll|'d|[L]+|[0-9]|[^\sL0-9]+".replace("L", LETTERS),
+    "byte": r" ?[L]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\sL0-9]+|\s+(?!\S)|\s+".replace("L", LETTERS),
+    "word": r"[L]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sL0-9]+".replace("L", LETTERS),
 }
 #: Pieces kept by a worker at most, and the longest piece kept.
 KEPT, LONGEST = 500_000, 48
@@ -32,12 +34,16 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Pieces(dict):
     def __init__(self, encode) -> None:
         self.encode = encode
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = _packed(self.encode(piece, add_special_tokens=False).ids)
         if len(piece) <= LONGEST:
             if len(self) >= KEPT:
                 self.clear()
@@ -52,9 +58,14 @@ class CachedEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
+        from tokenizers.pre_tokenizers import ByteLevel
+
         self.library = Tokenizer.from_file(path)
+        # for single pieces the library need neither normalise nor split again
+        single = Tokenizer.from_file(path)
+        single.normalizer, single.pre_tokenizer = None, ByteLevel(add_prefix_space=False, use_regex=False)
         self.findall, self.lower = re.compile(SPLITS[kind]).findall, kind == "word"
-        self.pieces = _Pieces(self.library.encode)
+        self.pieces = _Pieces(single.encode)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
