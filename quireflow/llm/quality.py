@@ -138,10 +138,11 @@ def judge_documents(docs: DataFrame, *, max_docs: int = MAX_DOCS, max_share: flo
     return scratch.finish(out)
 
 
-def clean_documents(docs: DataFrame, *, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, least_left: float = LEAST_LEFT) -> DataFrame:
+def clean_documents(docs: DataFrame, *, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, least_left: float = LEAST_LEFT, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
     """docs without rejected documents and without boilerplate lines; n_chars, if there, follows the text.
 
-    Each text is judged where it is read: the boilerplate lines are known by then, so no row has to be found again.
+    Up to ``broadcast_lines`` boilerplate lines reach every worker, so each text is judged where it is read. Above that,
+    each document's own boilerplate lines are found by a join on (source, line) and handed to the same judgement.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "clean")
@@ -149,32 +150,50 @@ def clean_documents(docs: DataFrame, *, max_docs: int = MAX_DOCS, max_share: flo
     found = scratch.cut(boilerplate_lines(rows, max_docs, max_share), "boilerplate")
     scratch.drop("measures")
     names = docs.columns
-    if found.count() > BROADCAST_LINES:
-        raise ValueError(f"more than {BROADCAST_LINES} boilerplate lines: raise max_share or max_docs, or clean host by host")
-    listed = found.toPandas()
-    by_host = {None if s != s or s is None else s: set(g["line"].tolist()) for s, g in listed.groupby("source", dropna=False)}
-    held = spark.sparkContext.broadcast(by_host)
 
-    @F.pandas_udf("string")
-    def cleaned(text, source):
-        """The text that stays, or null for a rejected document."""
-        import pandas as pd
+    def judged(text: str | None, drop: set[int]) -> str | None:
+        """The text that stays, or None for a rejected document. drop: line hashes of the text's host or of the text."""
+        n, _, _, _, repeated, _, lines, words = measure(text or "")
+        drop = drop.intersection(lines)
+        left = n - sum(w for h, w in zip(lines, words, strict=True) if h in drop)
+        if n < 10 or 100 * repeated > 20 * n or left < least_left * n:
+            return None
+        if not drop:
+            return text
+        return "\n".join(x for x in text.split("\n") if not (own := x.encode("utf-8", "surrogatepass").split()) or line_hash(own) not in drop)
+
+    if found.count() <= broadcast_lines:
+        listed = found.toPandas()
+        by_host = {None if s != s or s is None else s: set(g["line"].tolist()) for s, g in listed.groupby("source", dropna=False)}
+        held = spark.sparkContext.broadcast(by_host)
 
-        worker_forget()
-        out = []
-        for t, s in zip(text, source, strict=True):
-            n, _, _, _, repeated, _, lines, words = measure(t or "")
-            drop = held.value.get(s, set()).intersection(lines)
-            left = n - sum(w for h, w in zip(lines, words, strict=True) if h in drop)
-            if n < 10 or 100 * repeated > 20 * n or left < least_left * n:
-                out.append(None)
-            elif drop:
-                out.append("\n".join(x for x in t.split("\n") if not (own := x.encode("utf-8", "surrogatepass").split()) or line_hash(own) not in drop))
-            else:
-                out.append(t)
-        return pd.Series(out, dtype=object)
-
-    out = docs.withColumn("_text", cleaned(F.col("text"), F.col("source"))).where("_text IS NOT NULL").withColumn("text", F.col("_text"))
+        @F.pandas_udf("string")
+        def cleaned(text, source):
+            import pandas as pd
+
+            worker_forget()
+            return pd.Series([judged(t, held.value.get(s, set())) for t, s in zip(text, source, strict=True)], dtype=object)
+
+        out = docs.withColumn("_text", cleaned(F.col("text"), F.col("source")))
+    else:
+        # row ids must be the same when the texts are read again, so they are written
+        kept = scratch.cut(docs.select(F.monotonically_increasing_id().alias("_id"), F.struct(*names).alias("_doc")), "numbered")
+        own = measured(kept.select(F.col("_id").alias("doc_id"), F.col("_doc.source").alias("source"), F.col("_doc.text").alias("text")))
+        each = own.select(F.col("doc_id").alias("_at"), "source", F.explode("_lines").alias("line")).alias("e")
+        f = found.alias("f")
+        gone = each.join(f, F.col("e.source").eqNullSafe(F.col("f.source")) & (F.col("e.line") == F.col("f.line")), "left_semi")
+        gone = gone.groupBy("_at").agg(F.collect_list("line").alias("_gone"))
+
+        @F.pandas_udf("string")
+        def cleaned_by_row(text, gone):
+            import pandas as pd
+
+            worker_forget()
+            return pd.Series([judged(t, set() if g is None else set(g)) for t, g in zip(text, gone, strict=True)], dtype=object)
+
+        joined = kept.join(gone, F.col("_id") == F.col("_at"), "left")
+        out = joined.select("_doc.*", cleaned_by_row(F.col("_doc.text"), F.col("_gone")).alias("_text"))
+    out = out.where("_text IS NOT NULL").withColumn("text", F.col("_text"))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
     return out.select(*names)

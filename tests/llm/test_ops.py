@@ -274,3 +274,16 @@ def test_pipeline(spark):
             kept = {r.doc_id for r in docs.collect()}
             assert kept == {c for i, (_, c, _) in brute_components({r.doc_id: r.text for r in before.collect()}, 5, 80).items() if c == i}
     assert seen[0] > seen[1] > 0 and seen[2] > 0 and seen[4] >= seen[3] > 0
+
+
+def test_clean_documents_by_join_equals_broadcast(spark):
+    from quireflow.llm.quality import clean_documents
+
+    shared, digits = "read our terms of use before you go on", str.maketrans("0123456789", "abcdefghij")
+    own = lambda i, k: f"one line of text{i} that nobody else has, the one named x{k}y{i}z".translate(digits)
+    rows = [(i, "\n".join([shared, *(own(i, k) for k in range(3))]), None if i % 5 == 0 else "web") for i in range(80)]
+    rows += [(90, shared, "web"), (91, None, None), (92, "", "web"), (93, shared + "\n" + own(93, 0), "news"), (7, rows[7][1], "web")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("_x", F.lit(1))
+    by = [sorted(map(tuple, clean_documents(docs, broadcast_lines=n).collect()), key=str) for n in (1000, 0)]
+    assert by[0] == by[1]
+    assert len(by[0]) == 82 and all(shared not in r[1] for r in by[0] if r[2] == "web")
