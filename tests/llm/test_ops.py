@@ -280,7 +280,7 @@ def test_clean_documents_by_join_equals_broadcast(spark):
     from quireflow.llm.quality import clean_documents
 
     shared, digits = "read our terms of use before you go on", str.maketrans("0123456789", "abcdefghij")
-    own = lambda i, k: f"one line of text{i} that nobody else has, the one named x{k}y{i}z".translate(digits)
+    own = lambda i, k: " ".join(f"w{i}x{k}y{j}".translate(digits) for j in range(8))
     rows = [(i, "\n".join([shared, *(own(i, k) for k in range(3))]), None if i % 5 == 0 else "web") for i in range(80)]
     rows += [(90, shared, "web"), (91, None, None), (92, "", "web"), (93, shared + "\n" + own(93, 0), "news"), (7, rows[7][1], "web")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("_x", F.lit(1))
