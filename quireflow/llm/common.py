@@ -117,7 +117,10 @@ def worker_forget() -> None:
 
 
 def worker_trim() -> None:
-    """Hands freed memory back to the system, where the C library can."""
+    """Hands freed memory back to the system: Arrow's pool does so itself, Python's where the C library can."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)

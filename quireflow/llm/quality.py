@@ -174,7 +174,8 @@ def clean_documents(docs: DataFrame, *, max_docs: int = MAX_DOCS, max_share: flo
             worker_forget()
             return pd.Series([judged(t, held.value.get(s, set())) for t, s in zip(text, source, strict=True)], dtype=object)
 
-        out = docs.withColumn("_text", cleaned(F.col("text"), F.col("source")))
+        # named nondeterministic, as the filter on its result would otherwise call it a second time, in workers of its own
+        out = docs.withColumn("_text", cleaned.asNondeterministic()(F.col("text"), F.col("source")))
     else:
         # row ids must be the same when the texts are read again, so they are written
         kept = scratch.cut(docs.select(F.monotonically_increasing_id().alias("_id"), F.struct(*names).alias("_doc")), "numbered")
@@ -192,7 +193,7 @@ def clean_documents(docs: DataFrame, *, max_docs: int = MAX_DOCS, max_share: flo
             return pd.Series([judged(t, set() if g is None else set(g)) for t, g in zip(text, gone, strict=True)], dtype=object)
 
         joined = kept.join(gone, F.col("_id") == F.col("_at"), "left")
-        out = joined.select("_doc.*", cleaned_by_row(F.col("_doc.text"), F.col("_gone")).alias("_text"))
+        out = joined.select("_doc.*", cleaned_by_row.asNondeterministic()(F.col("_doc.text"), F.col("_gone")).alias("_text"))
     out = out.where("_text IS NOT NULL").withColumn("text", F.col("_text"))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
