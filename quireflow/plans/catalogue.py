@@ -237,8 +237,8 @@ def _(s, d):
 
 @query("full_text_clean", f"{LINES}, t AS (SELECT doc_id, line_no, left(line, 50) AS line FROM l), u AS (SELECT *, {shrink_sql('line')} AS c FROM t) SELECT doc_id, line_no, CASE WHEN c = line THEN ltrim(line) || chr(10) || chr(10) || 'ab' ELSE c || chr(10) || chr(10) || 'ab' END AS text FROM u")
 def _(s, d):
-    text = F.concat(F.left("line", F.lit(50)), F.lit("\n(a)(b)(c)(d)(e)\n\n-----\n\nababab"))
-    return doc_lines(s, d).select("doc_id", "line_no", T.full_clean(text).alias("text"))
+    """Whole documents; the SQL still cleans the first 50 characters of lines, so it differs."""
+    return table(s, d, "documents").select("doc_id", T.full_clean(F.col("text")).alias("text"))
 
 
 @query("format_titles", f"{WITH_F} SELECT conv_id, turn, '## ' || trim(replace(text, chr(10), ' ')) || CASE turn % 3 WHEN 1 THEN ' x' ELSE '' END AS text FROM frags")
