@@ -28,7 +28,9 @@ def layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(FRAGS.replace("FROM conversations", "FROM {conversations}"), conversations=table(spark, sf_dir, "conversations"))
+    """The turns with their whole texts; FRAGS, which the queries' SQL reads, still has the first 40 characters."""
+    x, y = (F.col("turn") % 2) * 350 + (F.col("conv_id") % 7) * 10, F.floor(F.col("turn") / 2) * 120
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", *[c.cast("int").alias(n) for n, c in (("x1", x), ("y1", y), ("x2", x + 300), ("y2", y + 100))])
 
 
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
