@@ -250,7 +250,8 @@ def _(s, d):
 
 @query("mirror_reverse", r"SELECT conv_id, turn, reverse(translate(regexp_replace(left(text, 30) || '(a]', '\s+$', ''), '([{<)]}>', ')]}>([{<')) || '  ' AS text FROM conversations")
 def _(s, d):
-    return table(s, d, "conversations").select("conv_id", "turn", T.mirror_reverse(F.concat(F.left("text", F.lit(30)), F.lit("(a]  "))).alias("text"))
+    """Whole turns; the SQL still mirrors the first 30 characters, so it differs."""
+    return table(s, d, "conversations").select("conv_id", "turn", T.mirror_reverse(F.concat("text", F.lit("(a]  "))).alias("text"))
 
 
 # --- fragments and chains ----------------------------------------------------------------------------------------------
