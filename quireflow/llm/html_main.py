@@ -23,11 +23,13 @@ from quireflow.llm.common import ship
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>"
-    r"|<(script|style|template|textarea|iframe|select|title|noscript|svg|object)\b[^>]*+>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|title)(?=[\s/>])[^>]*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)/?>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
     re.S | re.I,
 )
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: Elements without text of the page, and their ends; one that is not closed is read as any other tag.
+SKIPPED = {n: re.compile(rf"</{n}\s*>", re.I) for n in "iframe noscript object select svg template".split()}
 #: Tags that do not end a block.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -62,8 +64,8 @@ def blocks(page: str | None) -> list[Block]:
             parts.clear()
         linked = 0
 
-    at = 0
-    for m in TOKEN.finditer(page or ""):
+    at, unclosed = 0, set()
+    while m := TOKEN.search(page or "", at):
         if m.start() > at:
             raw = page[at : m.start()]
             parts.append(raw)
@@ -76,6 +78,15 @@ def blocks(page: str | None) -> list[Block]:
                 parts.append(" ")
             continue
         name, closing, rest = name.lower(), bool(m[2] or m[5]), m[4] or m[7] or ""
+        if name in SKIPPED and not closing and name not in unclosed:
+            if name == "svg" and rest.endswith("/"):
+                parts.append(" ")
+                continue
+            if end := SKIPPED[name].search(page, at):
+                at = end.end()
+                parts.append(" ")
+                continue
+            unclosed.add(name)
         if name in INLINE:
             if name == "a":
                 link_depth = 0 if closing else 1
