@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import gc
 import os
@@ -19,12 +20,14 @@ SPACES = " \t\n\x0b\x0c\r"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; only where that is unset (tests on one machine), a new temporary folder, which is then set."""
+    """The folder named by spark.checkpoint.dir, or set by setCheckpointDir. Only on one machine, where neither is there, a new temporary folder, which is then set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         if held.isDefined():
             return held.get()
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="quireflow-")
         spark.sparkContext.setCheckpointDir(root)
         return spark.sparkContext._jsc.sc().getCheckpointDir().get()
@@ -33,7 +36,8 @@ def shared_root(spark: SparkSession) -> str:
 
 def delete_path(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    conf = spark._jsc.hadoopConfiguration() if spark.sparkContext._jsc is not None else spark._jvm.org.apache.hadoop.conf.Configuration()
+    p.getFileSystem(conf).delete(p, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -41,16 +45,34 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+_ROOTS: list[tuple[SparkSession, str]] = []
+
+
+def delete_roots() -> None:
+    """Deletes what this process's calls have left in the shared folder, results included. Called when the process ends."""
+    while _ROOTS:
+        spark, root = _ROOTS.pop()
+        try:
+            delete_path(spark, root)
+        except Exception:  # noqa: BLE001, S110 - the JVM may be gone already
+            pass
+
+
+atexit.register(delete_roots)
+
+
 class Scratch:
     """Intermediate tables of one call, as Parquet in the shared folder, so that a lost executor costs no recomputation beyond them.
 
     ``cut`` writes and rereads a frame (it cuts the lineage), ``drop`` deletes one that nothing reads any more, and
-    ``finish`` cuts the result and deletes everything else.
+    ``finish`` cuts the result and deletes everything else. Results, and tables that a lazy result still reads, stay until
+    the process ends.
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark, self.root, self.n = spark, f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}", 0
         self.held: dict[str, str] = {}
+        _ROOTS.append((spark, self.root))
         ship(spark)
 
     def path(self, name: str) -> str:
@@ -145,6 +167,18 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, upper, upper.lower())
 
 
+def numbered(df: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """df with a long ``name`` that tells each row's place, the same whenever it is read again.
+
+    Of a table as it lies in its files a row's partition and place in it are always the same. The rows of a shuffle may come
+    in another order after an executor is lost, so such a frame is written first.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan or "Python" in plan or "Arrow" in plan or "ExistingRDD" in plan:
+        df = scratch.cut(df, f"{name}-numbered")
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
 def row_count(df: DataFrame) -> int:
     return df.agg(F.count(F.lit(1))).collect()[0][0]
 

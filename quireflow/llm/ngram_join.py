@@ -9,12 +9,21 @@ by hash. Two sets that are similar enough share a token in their prefixes, so
 * where the prefix reaches the frequent class it is extended so far that similar sets without a shared rare token have two
   shared frequent tokens next to each other: each such 2-token combination is a signature.
 
-Signatures also carry a band of the set's size, as similar sets have similar sizes. Documents that share signatures form
+The last rule needs one more shared token than there are differing ones, and one beyond that. Similar sets of which this
+can't be said are small (``short_sets``); they give their frequent prefix tokens one by one too. Below 51 percent there is
+no such bound, and a ValueError is raised.
+
+Counting is a shuffle of sorted, truncated hashes, coded as gaps, by parts of the hash range; each chunk of documents gets
+back its tokens' classes as bits. Nothing of that is broadcast, and the hash's width and the number of parts follow the
+corpus, so the unique class does not fill up with it.
+
+Signatures carry a band of the set's size, as similar sets have similar sizes. Documents that share signatures form
 candidate clusters (components over one star per signature, so a signature that a third of all documents share costs one
-row for each). Inside a cluster sets are compared exactly by counting over an inverted index; large clusters are compared
-in pairs of blocks of bounded size. A block gives back a spanning forest, never all its pairs. Documents of equal sets are
-one vertex throughout. The class test uses a bit array and a list of frequent tokens, both of bounded size: a saturated
-bit array makes more tokens rare, which costs time and changes no result.
+row for each). Inside a cluster, sets are first compared by parity bitmaps: a bit for each bucket of tokens, flipped by
+each token. Bits that differ are at most the tokens that differ, so a pair with too many is no link. The pairs that are
+left form much smaller clusters, whose sets are compared exactly by counting over an inverted index. Large clusters are
+compared in pairs of blocks of bounded size; a block gives back a spanning forest, never all its pairs. Documents of equal
+sets are one vertex throughout.
 
 Defined cases: a null or empty text, or one without words, has an empty set and links with nothing; fewer words than n give
 one token. Null or repeated doc_ids are documents of their own; a component's id is its smallest doc_id, or null if it has
@@ -26,19 +35,22 @@ from __future__ import annotations
 import math
 import os
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quireflow.llm.common import Scratch, small_batches, worker_forget
+from quireflow.llm.common import Scratch, numbered, small_batches, worker_forget
 from quireflow.llm.components import connected_components
 
-#: Documents of a block and bytes of its sets (8 for a token), bits of the array of repeated tokens (as a power of two), tokens held before they are sent on.
-BLOCK, BLOCK_BYTES, FILTER_BITS, HELD = 1000, 4 << 20, 27, 1 << 20
+#: Documents of a block and bytes that it holds of their sets (8 for a token) or bitmaps.
+BLOCK, BLOCK_BYTES = 1000, 4 << 20
+#: Bytes of text of a chunk of documents, bytes of text taken for one token, tokens of a part of the hash range.
+CHUNK_BYTES, TOKEN_BYTES, PART_TOKENS = 3 << 20, 6, 1 << 21
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -63,62 +75,115 @@ def shingles(text: str | None, n: int) -> np.ndarray:
     return np.unique(_mix(out + np.uint64(width)))
 
 
-def _texts(b: pa.RecordBatch, column: int) -> list:
-    return b.column(column).to_pylist()
+@dataclass(frozen=True)
+class Layout:
+    """How tokens are counted: bits kept of a hash, how many of them tell the part, documents of a chunk (as a power of two), bytes of a coded gap."""
+
+    bits: int
+    part_bits: int
+    chunk_shift: int
+    width: int
+
+    @classmethod
+    def of(cls, documents: int, text_bytes: int) -> Layout:
+        """For a corpus of that size. Of hashes that are five bits wider than the number of tokens, one in 32 unique tokens is taken for a rare one, which costs a signature and changes no result."""
+        tokens = max(1, text_bytes // TOKEN_BYTES)
+        bits = min(64, max(24, tokens.bit_length() + 5))
+        part_bits = min(bits - 1, max(6, (tokens // PART_TOKENS).bit_length()))
+        chunk_shift = max(0, (CHUNK_BYTES * documents // max(1, text_bytes)).bit_length() - 1) if documents else 0
+        in_chunk = min(tokens, CHUNK_BYTES // TOKEN_BYTES).bit_length()
+        return cls(bits, part_bits, min(chunk_shift, 20), min(4, max(1, -(-(bits - in_chunk + 2) // 8))))
+
+    def short(self, tokens: np.ndarray) -> np.ndarray:
+        return tokens >> np.uint64(64 - self.bits)
+
+    def ends(self, sorted_short: np.ndarray) -> np.ndarray:
+        """Where each part of sorted short hashes begins, and their end."""
+        starts = np.arange(1 << self.part_bits, dtype=np.uint64) << np.uint64(self.bits - self.part_bits)
+        return np.append(np.searchsorted(sorted_short, starts), len(sorted_short))
+
+
+def pack_gaps(values: np.ndarray, base: int, width: int) -> bytes:
+    """Sorted values as gaps of ``width`` bytes, from ``base``; the largest number adds itself and stands for no value."""
+    most = np.uint64((1 << 8 * width) - 1)
+    gap = np.diff(values, prepend=np.uint64(base))
+    times = (gap // most).astype(np.int64)
+    out = np.full(len(values) + int(times.sum()), most, "<u4")
+    out[np.cumsum(times) + np.arange(len(values))] = gap % most
+    return out.view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+
 
+def unpack_gaps(data: bytes, base: int, width: int) -> np.ndarray:
+    wide = np.zeros((len(data) // width, 4), np.uint8)
+    wide[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    gap = wide.view("<u4").ravel().astype(np.uint64)
+    return (np.cumsum(gap, dtype=np.uint64) + np.uint64(base))[gap != (1 << 8 * width) - 1]
 
-def token_classes(docs: DataFrame, n: int, frequent: int, scratch: Scratch, filter_bits: int = FILTER_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Bit array over token hashes of two documents or more, and the sorted upper halves of hashes of more than ``frequent``."""
-    parts = max(64, min(4096, 1 << (docs.rdd.getNumPartitions() - 1).bit_length()))
-    shift = 32 - (parts.bit_length() - 1)
+
+def _sets(texts: list[str | None], n: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Each text's tokens, and all of them one after the other."""
+    sets = [shingles(t, n) for t in texts]
+    return sets, np.concatenate([np.zeros(0, np.uint64), *sets])
+
+
+def token_classes(docs: DataFrame, n: int, frequent: int, layout: Layout) -> DataFrame:
+    """chunk, part, n, shared, often: for the sorted distinct short hashes of a chunk in a part, a bit each for two documents or more, and for more than ``frequent`` (null: none). docs: row, text."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_forget()
-        held, size = [], 0
+        held: list = []
+        now = None
 
         def flush() -> pa.RecordBatch:
-            t, c = np.unique(np.concatenate([np.zeros(0, np.uint32), *held]), return_counts=True)
-            ends = np.searchsorted(t >> np.uint32(shift), np.arange(parts + 1))
-            once, rows = c == 1, []
-            for k in range(parts):
-                x, y, m = t[ends[k] : ends[k + 1]], c[ends[k] : ends[k + 1]], once[ends[k] : ends[k + 1]]
-                if len(x):
-                    rows.append((k, x[m].tobytes(), x[~m].tobytes(), y[~m].astype(np.uint32).tobytes()))
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 4, (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["part", "once", "more", "counts"])
+            t, c = np.unique(layout.short(_sets(held, n)[1]), return_counts=True)
+            ends, rows, again = layout.ends(t), [], c > 1
+            for k in np.flatnonzero(np.diff(ends)).tolist():
+                own = slice(ends[k], ends[k + 1])
+                m = again[own]
+                rows.append((now, k, int(len(m)), pack_gaps(t[own], k << (layout.bits - layout.part_bits), layout.width), np.packbits(m).tobytes(), c[own][m].astype("<u4").tobytes()))
+            columns = zip(zip(*rows, strict=True) if rows else [[]] * 6, (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in columns], ["chunk", "part", "n", "gaps", "again", "counts"])
 
         for b in small_batches(batches):
-            for text in _texts(b, 0):
-                held.append((shingles(text, n) >> np.uint64(32)).astype(np.uint32))
-                size += len(held[-1])
-                if size >= HELD:
-                    yield flush()
-                    held, size = [], 0
-        yield flush()
-
-    bits = max(filter_bits, parts.bit_length() + 2)
-    own = (1 << bits) // parts
-
-    def merge(key, group):
+            for row, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if row >> layout.chunk_shift != now:
+                    if held:
+                        yield flush()
+                    held, now = [], row >> layout.chunk_shift
+                held.append(text)
+        if held:
+            yield flush()
+
+    def merge(key, table):
         worker_forget()
-        once, more = (np.frombuffer(b"".join(group[c]), np.uint32) for c in ("once", "more"))
-        weight = np.concatenate([np.ones(len(once), np.int64), np.frombuffer(b"".join(group["counts"]), np.uint32).astype(np.int64)])
-        token = np.concatenate([once, more])
+        base = key[0].as_py() << (layout.bits - layout.part_bits)
+        sizes = table["n"].to_numpy()
+        token = np.concatenate([unpack_gaps(x, base, layout.width) for x in table["gaps"].to_pylist()])
+        weight = np.ones(len(token), np.int64)
+        again = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=m) for x, m in zip(table["again"].to_pylist(), sizes.tolist(), strict=True)]).astype(bool)
+        weight[again] = np.frombuffer(b"".join(table["counts"].to_pylist()), "<u4")
         order = np.argsort(token, kind="stable")
-        token, weight = token[order], weight[order]
-        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, np.int64)
-        total, token = np.add.reduceat(weight, first) if len(first) else weight, token[first]
-        at = (token[total > 1] >> np.uint32(32 - bits)).astype(np.int64) - key[0] * own
-        flags = np.zeros(own, bool)
-        flags[at] = True
-        return pd.DataFrame({"part": [key[0]], "bits": [np.packbits(flags).tobytes()], "frequent": [token[total > frequent].tobytes()]})
-
-    counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "part int, once binary, more binary, counts binary")
-    rows = counted.groupBy("part").applyInPandas(merge, "part int, bits binary, frequent binary").toPandas()
-    out, often = np.zeros((1 << bits) // 8, np.uint8), []
-    for r in rows.sort_values("part").itertuples(index=False):
-        out[r.part * own // 8 : (r.part + 1) * own // 8] = np.frombuffer(r.bits, np.uint8)
-        often.append(np.frombuffer(r.frequent, np.uint32))
-    return out, np.concatenate([np.zeros(0, np.uint32), *often])
+        token = token[order]
+        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        total = np.add.reduceat(weight[order], first)
+        total = np.repeat(total, np.diff(np.append(first, len(token))))
+        shared, often = np.empty(len(token), bool), np.empty(len(token), bool)
+        shared[order], often[order] = total > 1, total > frequent
+        at = np.append(0, np.cumsum(sizes))
+        bits = [[np.packbits(x[a:z]).tobytes() if x[a:z].any() else None for a, z in zip(at[:-1], at[1:], strict=True)] for x in (shared, often)]
+        return pa.table({"chunk": table["chunk"], "part": table["part"], "n": table["n"], "shared": pa.array(bits[0], pa.binary()), "often": pa.array(bits[1], pa.binary())})
+
+    counted = docs.select("row", "text").mapInArrow(count, "chunk long, part int, n int, gaps binary, again binary, counts binary")
+    return counted.groupBy("part").applyInArrow(merge, "chunk long, part int, n int, shared binary, often binary")
+
+
+def short_sets(percent: int) -> int:
+    """Sets of fewer tokens than this may be similar without two shared tokens next to each other."""
+    if not 50 < percent <= 100:
+        raise ValueError("percent must be above 50")
+    # x tokens differ and x * ratio are shared at least: a pair next to each other needs x + 2 shared
+    ratio = percent / (100 - percent) if percent < 100 else math.inf
+    return 0 if ratio > 2 else math.ceil(4 / (ratio - 1)) + 2
 
 
 def signatures(tokens: np.ndarray, shared: np.ndarray, often: np.ndarray, percent: int) -> np.ndarray:
@@ -132,41 +197,90 @@ def signatures(tokens: np.ndarray, shared: np.ndarray, often: np.ndarray, percen
     out = rare[:need]
     if len(rare) < need:
         more = many[: need - len(rare) + 2 * (n * (100 - percent) // percent) + 1]
-        out = np.concatenate([out, _mix(more[:-1] * _ODD[0] + more[1:])])
+        single = many[: need - len(rare)] if n < short_sets(percent) else many[:0]
+        out = np.concatenate([out, single, _mix(more[:-1] * _ODD[0] + more[1:])])
     # sizes of similar sets are in the same band or in the next
-    band = int(math.log(n) / (1.001 * math.log(100 / percent)))
+    band = int(math.log(n) / (1.001 * math.log(100 / percent))) if percent < 100 else n
     return np.concatenate([_mix(out + np.uint64(b * 0xC2B2AE3D27D4EB4F % 2**64)) for b in (band, band + 1)])
 
 
-def document_signatures(docs: DataFrame, n: int, percent: int, bits: np.ndarray, often: np.ndarray) -> DataFrame:
-    """A row per document: its id, set size, 128-bit set hash, signatures, and the tokens that others may hold (if it has signatures)."""
-    held = docs.sparkSession.sparkContext.broadcast((bits, often))
-    shift = 32 - int(math.log2(len(bits) * 8))
+def parity_bits(tokens: np.ndarray) -> np.ndarray:
+    """64-bit words, a power of two of them and as many bits as tokens at least: each token flips the bit that its hash names."""
+    bits = 64 << max(0, (len(tokens) - 1).bit_length() - 6)
+    flips = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.uint64)
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def document_signatures(docs: DataFrame, n: int, percent: int, classes: DataFrame, layout: Layout) -> DataFrame:
+    """A row per document: its id, set size, 128-bit set hash, signatures and, if it has any, its parity bits and the tokens that others may hold. docs: row, doc_id, text."""
+    schema = "row long, doc_id long, n long, f1 long, f2 long, sigs array<long>, parity binary, tokens binary"
+
+    def run(key, texts, bits):
         worker_forget()
-        bits, often = held.value
-        for b in small_batches(batches):
-            size, one, two, sigs, sets = [], [], [], [], []
-            for text in _texts(b, 2):
-                t = shingles(text, n)
-                digest = xxhash.xxh3_128_digest(t.tobytes())
-                size.append(len(t)), one.append(int.from_bytes(digest[:8], "little", signed=True)), two.append(int.from_bytes(digest[8:], "little", signed=True))
-                top = (t >> np.uint64(32)).astype(np.uint32)
-                at = (top >> np.uint32(shift)).astype(np.int64)
-                shared = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-                own = np.zeros(0, np.uint64)
-                if shared.any():
-                    k = np.minimum(np.searchsorted(often, top), max(len(often) - 1, 0))
-                    own = signatures(t, shared, (often[k] == top) if len(often) else np.zeros(len(t), bool), percent)
-                sigs.append(own.view(np.int64))
-                sets.append(t[shared].tobytes() if len(own) else None)
-            offsets = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sigs])]).astype(np.int32))
-            flat = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.int64), *sigs])))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), flat, pa.array(sets, pa.binary())], ["row", "doc_id", "n", "f1", "f2", "sigs", "tokens"])
-
-    lean = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return lean.mapInArrow(run, "row long, doc_id long, n long, f1 long, f2 long, sigs array<long>, tokens binary")
+        sets, every = _sets(texts["text"].to_pylist(), n)
+        short, where = np.unique(layout.short(every), return_inverse=True)
+        ends, flags = layout.ends(short), np.zeros((2, len(short)), bool)
+        for part, size, *packed in zip(*(bits[c].to_pylist() for c in ("part", "n", "shared", "often")), strict=True):
+            if size != ends[part + 1] - ends[part]:
+                raise RuntimeError("the documents were not the same when they were read again")
+            for k, x in enumerate(packed):
+                if x is not None:
+                    flags[k, ends[part] : ends[part + 1]] = np.unpackbits(np.frombuffer(x, np.uint8), count=size)
+        flags = flags[:, where]
+        out, at = [], 0
+        for t in sets:
+            shared, often = flags[:, at : at + len(t)]
+            at += len(t)
+            own = signatures(t, shared, often, percent) if shared.any() else np.zeros(0, np.uint64)
+            digest = xxhash.xxh3_128_digest(t.tobytes())
+            halves = (int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True))
+            out.append((len(t), *halves, own.view(np.int64), *((parity_bits(t).tobytes(), t[shared].tobytes()) if len(own) else (None, None))))
+        size, one, two, sigs, parity, tokens = zip(*out, strict=True) if out else [[]] * 6
+        offsets = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sigs])]).astype(np.int32))
+        flat = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.int64), *sigs])))
+        arrays = [texts["row"], texts["doc_id"], *(pa.array(x, pa.int64()) for x in (size, one, two)), flat, pa.array(parity, pa.binary()), pa.array(tokens, pa.binary())]
+        return pa.table(dict(zip(("row", "doc_id", "n", "f1", "f2", "sigs", "parity", "tokens"), arrays, strict=True)))
+
+    lean = docs.select(F.shiftright("row", layout.chunk_shift).alias("at"), "row", "doc_id", "text")
+    return lean.groupBy("at").cogroup(classes.groupBy("chunk")).applyInArrow(run, schema)
+
+
+def least_common(a, b, percent: int):
+    """Tokens that sets of sizes a and b must share to be linked."""
+    return -(-percent * (a + b) // (100 + percent))
+
+
+def parity_links(n: np.ndarray, words: list[np.ndarray], side: np.ndarray, percent: int) -> np.ndarray:
+    """The label of each set of a block: sets that may be linked, by their parity bits, get one label, the first index that has it.
+
+    Pairs of the same nonzero side are left out, as another block has them.
+    """
+    m, label = len(n), np.arange(len(n))
+    order = np.argsort(n, kind="stable")
+    n, side, words = n[order], side[order], [words[k] for k in order]
+    size = np.array([len(w) for w in words])
+    # similar sizes are at most a factor of two apart, so bitmaps of one size or the next meet
+    exact = {b: np.stack([words[k] for k in np.flatnonzero(size == b)]) for b in np.unique(size).tolist()}
+    first = {b: int(np.searchsorted(size, b)) for b in exact}
+    folded = {b // 2: np.bitwise_xor(x[:, : b // 2], x[:, b // 2 :]) for b, x in exact.items() if b > 1}
+    last = np.searchsorted(n, n * 100 // percent, side="right")
+    for i in range(m):
+        b, near = int(size[i]), []
+        split = min(int(last[i]), first[b] + len(exact[b]))
+        for lo, hi, rows, start in ((i + 1, split, exact[b], first[b]), (split, int(last[i]), folded.get(b), split)):
+            if hi > lo and rows is not None:
+                j = np.arange(lo, hi)
+                apart = np.bitwise_count(rows[lo - start : hi - start] ^ words[i]).sum(1)
+                near.append(j[(apart <= n[i] + n[j] - 2 * least_common(n[i], n[j], percent)) & ((side[j] != side[i]) | (side[i] == 0))])
+        if near and len(near := np.concatenate(near)):
+            labels = np.unique(label[np.append(near, i)])
+            if len(labels) > 1:
+                label[np.isin(label, labels)] = labels[0]
+    out = np.empty(m, np.int64)
+    out[order] = order[label]
+    # the first index of each label
+    _, at, back = np.unique(out, return_index=True, return_inverse=True)
+    return at[back]
 
 
 def block_links(n: np.ndarray, mult: np.ndarray, sets: list[np.ndarray], side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -219,68 +333,102 @@ def block_links(n: np.ndarray, mult: np.ndarray, sets: list[np.ndarray], side: n
     return np.array([find(k) for k in range(m)]), links
 
 
-def jaccard_join(docs: DataFrame, *, n: int = 5, percent: int = 80, frequent: int | None = None, block: int = BLOCK, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links: a row per document. Sets are linked if 100 * common >= percent * union."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "jaccard")
-    docs = docs.select("doc_id", "text")
-    if frequent is None:
-        frequent = max(64, docs.count() // 1024)
-    bits, often = token_classes(docs, n, frequent, scratch, filter_bits)
-    rows = scratch.cut(document_signatures(docs, n, percent, bits, often), "documents")
+def in_blocks(clusters: DataFrame, held: DataFrame, column: str, block: int) -> DataFrame:
+    """Rows of ``held`` (row, n, mult and the binary ``column``) of clusters (v, root), dealt to blocks (c, i, j): v, mine, n, mult, column.
+
+    Small clusters share a block with others (c is -1); in a large one each block meets every other, and ``mine`` tells the
+    block of a row.
+    """
+    rows = clusters.join(held.select("row", F.octet_length(column).cast("long").alias("bytes")), F.col("v") == F.col("row")).drop("row")
+    sizes = rows.groupBy(F.col("root").alias("cluster")).agg((F.count(F.lit(1)) / block).alias("by_docs"), (F.sum("bytes") / BLOCK_BYTES).alias("by_bytes"))
+    placed = rows.join(sizes, F.col("root") == F.col("cluster")).withColumn("blocks", F.ceil(F.greatest("by_docs", "by_bytes")).cast("int"))
+    placed = placed.withColumn("mine", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+    share = rows.agg(F.coalesce(F.greatest(F.count(F.lit(1)) / block, F.sum("bytes") / BLOCK_BYTES), F.lit(0.0))).collect()[0][0]
+    together = F.struct(F.lit(-1).cast("long").alias("c"), F.pmod(F.xxhash64("root"), F.lit(max(1, math.ceil(share)))).cast("int").alias("i"), F.lit(0).alias("j"))
+    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.col("root").alias("c"), F.least("mine", k).alias("i"), F.greatest("mine", k).alias("j")))
+    at = F.explode(F.when(F.greatest("by_docs", "by_bytes") <= 0.25, F.array(together)).otherwise(meets)).alias("at")
+    return placed.select("v", at, "mine").select("v", "at.*", "mine").join(held, F.col("v") == F.col("row")).drop("row")
+
+
+def _block(key, g) -> tuple[pd.DataFrame, np.ndarray]:
+    """A block's rows by vertex, and their sides: in a block of two parts, pairs within a part are another block's."""
+    worker_forget()
+    g = g.sort_values("v", ignore_index=True)
+    two = key[0] != -1 and key[1] != key[2]
+    return g, (g["mine"] == key[1]).to_numpy().astype(np.int64) + 1 if two else np.zeros(len(g), np.int64)
+
+
+def linked_rows(docs: DataFrame, scratch: Scratch, *, n: int, percent: int, frequent: int | None, block: int) -> DataFrame:
+    """row, doc_id, n, component_id, first, n_links: a row per document. docs: row, doc_id, text. ``first`` is the same vertex for all rows of a component, null for a row without links."""
+    short_sets(percent)
+    count, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).collect()[0]
+    layout = Layout.of(count, size)
+    classes = token_classes(docs, n, max(64, count // 1024) if frequent is None else frequent, layout)
+    rows = scratch.cut(document_signatures(docs, n, percent, classes, layout), "documents")
     # documents of equal sets are one vertex: the first of them
     groups = scratch.cut(rows.where("n > 0").groupBy("f1", "f2").agg(F.min("row").alias("v"), F.count(F.lit(1)).alias("mult"), F.min("doc_id").alias("least")), "groups")
-    lean = rows.where("size(sigs) > 0").select("row", F.explode("sigs").alias("sig"))
-    lean = scratch.cut(lean.join(groups.select("v"), F.col("row") == F.col("v"), "left_semi"), "signatures")
+    signed = rows.where("size(sigs) > 0").join(groups.select("v", "mult"), F.col("row") == F.col("v")).drop("v")
+    signed = scratch.cut(signed.select("row", "n", "mult", "sigs", "parity"), "signed")
+    lean = signed.select("row", F.explode("sigs").alias("sig"))
     stars = lean.groupBy("sig").agg(F.min("row").alias("a"), F.count(F.lit(1)).alias("docs")).where("docs > 1").select(F.col("sig").alias("star"), "a")
     near = lean.join(stars, F.col("sig") == F.col("star")).select("a", F.col("row").alias("b"))
     clusters = connected_components(near, scratch)
-    weights = rows.where("size(sigs) > 0").select("row", F.octet_length("tokens").cast("long").alias("bytes"))
-    clusters = scratch.cut(clusters.join(weights, F.col("v") == F.col("row")).drop("row"), "clusters")
-    sizes = clusters.groupBy(F.col("root").alias("cluster")).agg((F.count(F.lit(1)) / block).alias("by_docs"), (F.sum("bytes") / BLOCK_BYTES).alias("by_bytes"))
-    blocks = F.ceil(F.greatest("by_docs", "by_bytes")).cast("int")
-    placed = clusters.join(sizes, F.col("root") == F.col("cluster")).withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
-    # small clusters share a block with others; in a large one each block meets every other
-    share = clusters.agg(F.coalesce(F.greatest(F.count(F.lit(1)) / block, F.sum("bytes") / BLOCK_BYTES), F.lit(0.0))).collect()[0][0]
-    together = F.struct(F.lit(-1).cast("long").alias("c"), F.pmod(F.xxhash64("root"), F.lit(max(1, math.ceil(share)))).cast("int").alias("i"), F.lit(0).alias("j"))
-    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.col("root").alias("c"), F.least("mine", k).alias("i"), F.greatest("mine", k).alias("j")))
-    placed = placed.select("v", F.explode(F.when(F.greatest("by_docs", "by_bytes") <= 0.25, F.array(together)).otherwise(meets)).alias("at"), "mine").select("v", "at.*", "mine")
-    sets = rows.where("size(sigs) > 0").select("row", "n", "tokens").join(groups.select("v", "mult"), F.col("row") == F.col("v")).drop("v")
-    placed = placed.join(sets, F.col("v") == F.col("row"))
+
+    def may_link(key, g):
+        g, side = _block(key, g)
+        v = g["v"].to_numpy()
+        label = parity_links(g["n"].to_numpy(), [np.frombuffer(x, np.uint64) for x in g["parity"]], side, percent)
+        moved = label != np.arange(len(v))
+        return pd.DataFrame({"a": v[label][moved], "b": v[moved]})
 
     def compare(key, g):
-        worker_forget()
-        g = g.sort_values("v", ignore_index=True)
-        side = (g["mine"] == key[1]).to_numpy().astype(np.int64) + 1 if key[1] != key[2] else np.zeros(len(g), np.int64)
-        if key[0] == -1:
-            side[:] = 0
+        g, side = _block(key, g)
         root, links = block_links(g["n"].to_numpy(), g["mult"].to_numpy(), [np.frombuffer(t, np.uint64) for t in g["tokens"]], side, percent)
-        v = g["v"].to_numpy()
-        linked = links > 0
+        v, linked = g["v"].to_numpy(), links > 0
         return pd.DataFrame({"a": v[root][linked], "b": v[linked], "links": links[linked]})
 
-    links = scratch.cut(placed.groupBy("c", "i", "j").applyInPandas(compare, "a long, b long, links long"), "links")
+    near = in_blocks(clusters, signed.drop("sigs"), "parity", block).groupBy("c", "i", "j").applyInPandas(may_link, "a long, b long")
+    clusters = connected_components(near, scratch)
+    sets = rows.select("row", "tokens").where("tokens IS NOT NULL").join(clusters.select(F.col("v").alias("row")), "row", "left_semi")
+    sets = scratch.cut(sets.join(signed.select("row", "n", "mult"), "row"), "sets")
+    links = in_blocks(clusters, sets, "tokens", block).groupBy("c", "i", "j").applyInPandas(compare, "a long, b long, links long")
+    links = scratch.cut(links, "links")
     final = connected_components(links.select("a", "b"), scratch)
     counts = links.groupBy(F.col("b").alias("linked")).agg(F.sum("links").alias("links"))
     joined = final.join(groups.select(F.col("v").alias("gv"), "f1", "f2", "mult", "least"), F.col("v") == F.col("gv")).join(counts, F.col("v") == F.col("linked"), "left")
     least = joined.groupBy("root").agg(F.min("least").alias("component")).withColumnRenamed("root", "r")
-    linked = joined.join(least, F.col("root") == F.col("r")).select("f1", "f2", "component", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"))
-    alone = groups.where("mult > 1").join(final.select(F.col("v").alias("fv")), F.col("v") == F.col("fv"), "left_anti").select("f1", "f2", F.col("least").alias("component"), (F.col("mult") - 1).alias("n_links"))
-    classes = scratch.cut(linked.unionByName(alone).join(groups.select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), "mult"), (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2"))).drop("g1", "g2"), "classes")
+    linked = joined.join(least, F.col("root") == F.col("r")).select("f1", "f2", "component", F.col("root").alias("first"), (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), "mult")
+    alone = groups.where("mult > 1").join(final.select(F.col("v").alias("fv")), F.col("v") == F.col("fv"), "left_anti").select("f1", "f2", F.col("least").alias("component"), F.col("v").alias("first"), (F.col("mult") - 1).alias("n_links"), "mult")
+    classes = scratch.cut(linked.unionByName(alone), "classes")
     # sets that more than a 200th of all documents have are fewer than 200: they are broadcast, so no join key is that frequent
-    hot = classes.where(F.col("mult") > F.lit(rows.count() / 200)).drop("mult")
-    hot = hot.select(F.col("f1").alias("h1"), F.col("f2").alias("h2"), F.col("component").alias("hc"), F.col("n_links").alias("hn"))
-    slim = rows.select("doc_id", "n", "f1", "f2").join(F.broadcast(hot), (F.col("f1") == F.col("h1")) & (F.col("f2") == F.col("h2")), "left")
-    done = slim.where("hn IS NOT NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("hc").alias("component_id"), F.col("hn").alias("n_links"))
-    cold = slim.where("hn IS NULL").select("doc_id", "n", "f1", "f2").join(classes.withColumnsRenamed({"f1": "c1", "f2": "c2"}), (F.col("f1") == F.col("c1")) & (F.col("f2") == F.col("c2")) & (F.col("n") > 0), "left")
-    cold = cold.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    return scratch.finish(done.unionByName(cold))
-
-
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """docs without near copies: of each component the row of the smallest doc_id stays. A null doc_id is never dropped."""
-    joined = jaccard_join(docs, **options)
-    gone = joined.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    again = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
-    return kept.withColumn("_n", F.row_number().over(again)).where("_n = 1 OR doc_id IS NULL").drop("_n")
+    hot = classes.where(F.col("mult") > F.lit(count / 200)).drop("mult")
+    hot = hot.select(F.col("f1").alias("h1"), F.col("f2").alias("h2"), F.col("component").alias("hc"), F.col("first").alias("hf"), F.col("n_links").alias("hn"))
+    slim = rows.select("row", "doc_id", "n", "f1", "f2").join(F.broadcast(hot), (F.col("f1") == F.col("h1")) & (F.col("f2") == F.col("h2")), "left")
+    done = slim.where("hn IS NOT NULL").select("row", "doc_id", "n", F.col("hc").alias("component_id"), F.col("hf").alias("first"), F.col("hn").alias("n_links"))
+    cold = slim.where("hn IS NULL").select("row", "doc_id", "n", "f1", "f2").join(classes.drop("mult").withColumnsRenamed({"f1": "c1", "f2": "c2"}), (F.col("f1") == F.col("c1")) & (F.col("f2") == F.col("c2")) & (F.col("n") > 0), "left")
+    cold = cold.select("row", "doc_id", "n", F.when(F.col("n_links").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"), "first", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return done.unionByName(cold)
+
+
+def _rows(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    return numbered(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), scratch, "row")
+
+
+def jaccard_join(docs: DataFrame, *, n: int = 5, percent: int = 80, frequent: int | None = None, block: int = BLOCK) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links: a row per document. Sets are linked if 100 * common >= percent * union; percent is above 50."""
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    out = linked_rows(_rows(docs, scratch), scratch, n=n, percent=percent, frequent=frequent, block=block)
+    return scratch.finish(out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links"))
+
+
+def drop_near_duplicates(docs: DataFrame, *, n: int = 5, percent: int = 80, frequent: int | None = None, block: int = BLOCK) -> DataFrame:
+    """docs with one row of each component: that of the smallest doc_id (null ids last), the first such row. Rows are told apart by their place, so equal doc_ids of different texts stay."""
+    scratch = Scratch(docs.sparkSession, "near")
+    # the columns in a struct, so that no name of theirs can clash
+    whole = numbered(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")), scratch, "row")
+    lean = whole.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").cast("string").alias("text"))
+    linked = linked_rows(lean, scratch, n=n, percent=percent, frequent=frequent, block=block).where("first IS NOT NULL")
+    linked = scratch.cut(linked.select("row", "first", F.col("doc_id").isNull().alias("lacks"), "doc_id"), "linked")
+    kept = linked.groupBy("first").agg(F.min(F.struct("lacks", "doc_id", "row")).alias("kept")).select(F.col("kept.row").alias("row"))
+    gone = scratch.cut(linked.join(kept, "row", "left_anti").select(F.col("row").alias("gone")), "gone")
+    return whole.join(gone, F.col("row") == F.col("gone"), "left_anti").select("doc.*")
