@@ -10,7 +10,8 @@ MAX_BYTES; longer lists are split by hash into shards, each with a cascade of it
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, matches nothing and is allowed; an empty
 path matches no rule, as rules' paths begin with a slash. Repeated rows are judged each by itself; a rule that is listed
-both ways blocks. Extra columns go through, except those named like the results, which are replaced.
+both ways blocks. Extra columns go through, except those named like the results, which are replaced; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -152,13 +153,18 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", max_byt
     rules = scratch.cut(rules.where(F.col("rule").isNotNull()).select(F.regexp_extract("rule", r"^[^/]*", 0).alias("host"), F.col("rule").alias("key"), F.col("verdict")), "rules")
     labels = [r[0] for r in rules.select(F.size(F.split("host", r"\.", -1))).distinct().collect()]
     lengths = [r[0] for r in rules.select(F.length("key") - F.length("host")).distinct().collect()]
-    host, path = split_url(F.col(url_col))
-    keyed = pages.drop("host", "path", "rule", "verdict").withColumn("host", host).withColumn("path", path)
-    keyed = keyed.withColumn("_keys", candidate_keys(F.col("host"), F.col("path"), sorted(labels), sorted(lengths)))
-    listed = build_cascades(keyed.select(F.explode("_keys").alias("key")), rules.select("key"), scratch, max_bytes)
+    # the columns in a struct, so that no name of theirs can clash
+    made = ["host", "path", "rule", "verdict"]
+    names = [c for c in pages.columns if c not in made]
+    host, path = split_url(F.col(f"page.`{url_col}`"))
+    keyed = pages.select(F.struct(*(F.col(f"`{c}`") for c in pages.columns)).alias("page")).withColumn("host", host).withColumn("path", path)
+    keyed = keyed.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), sorted(labels), sorted(lengths)))
+    listed = build_cascades(keyed.select(F.explode("keys").alias("key")), rules.select("key"), scratch, max_bytes)
     blocked = build_cascades(rules.select("key"), rules.where("verdict = 'block'").select("key"), scratch, max_bytes)
-    flagged = listed_flags(keyed, "_keys", listed, "_on")
+    scratch.drop(*list(scratch.held))  # what is left is the cascades
+    flagged = listed_flags(keyed, "keys", listed, "listed")
     # the keys are sorted, so the first listed one is the longest
-    flagged = flagged.withColumn("rule", F.get(F.transform(F.filter(F.arrays_zip("_keys", "_on"), lambda x: x["_on"]), lambda x: x["_keys"]), F.lit(0)))
-    flagged = listed_flags(flagged.withColumn("_keys", F.array(F.coalesce("rule", F.lit("")))), "_keys", blocked, "_block")
-    return flagged.withColumn("verdict", F.when(F.col("rule").isNotNull() & F.get("_block", F.lit(0)), F.lit("block")).otherwise(F.lit("allow"))).drop("_keys", "_on", "_block")
+    flagged = flagged.withColumn("rule", F.get(F.transform(F.filter(F.arrays_zip("keys", "listed"), lambda x: x["listed"]), lambda x: x["keys"]), F.lit(0)))
+    flagged = listed_flags(flagged.withColumn("keys", F.array(F.coalesce("rule", F.lit("")))), "keys", blocked, "block")
+    verdict = F.when(F.col("rule").isNotNull() & F.get("block", F.lit(0)), F.lit("block")).otherwise(F.lit("allow")).alias("verdict")
+    return flagged.select(*(F.col(f"page.`{c}`") for c in names), "host", "path", "rule", verdict)
