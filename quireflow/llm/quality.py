@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quireflow.llm.common import Scratch, small_batches, worker_forget
+from quireflow.llm.common import Scratch, numbered, small_batches, worker_forget
 
 MAX_DOCS, MAX_SHARE, LEAST_LEFT = 10, 0.02, 0.2
 #: So many boilerplate lines are broadcast (8 bytes each); more are joined by a shuffle.
@@ -105,16 +105,30 @@ def _key(source: str | None, line: np.ndarray) -> np.ndarray:
     return (line.astype(np.int64).view(np.uint64) ^ np.uint64(salt)) * _ODD[0]
 
 
-def judge_documents(docs: DataFrame, *, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, least_left: float = LEAST_LEFT) -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, words_left, base_failed, kept."""
+def _listed(found: DataFrame) -> np.ndarray:
+    """Sorted keys of (source, line); 8 bytes each."""
+    parts = [_key(None if s != s or s is None else s, g["line"].to_numpy()) for s, g in found.toPandas().groupby("source", dropna=False)]
+    return np.sort(np.concatenate([np.zeros(0, np.uint64), *parts]))
+
+
+def _among(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which values are among sorted keys: a binary search each, whatever the number of keys."""
+    if not len(keys):
+        return np.zeros(len(values), bool)
+    return keys[np.minimum(np.searchsorted(keys, values), len(keys) - 1)] == values
+
+
+def judge_documents(docs: DataFrame, *, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, least_left: float = LEAST_LEFT, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, words_left, base_failed, kept.
+
+    Up to ``broadcast_lines`` boilerplate lines reach every worker; more are joined on (source, line), with equal results.
+    """
     spark = docs.sparkSession
     scratch = Scratch(spark, "quality")
     rows = scratch.cut(measured(docs), "measures")
     found = scratch.cut(boilerplate_lines(rows, max_docs, max_share), "boilerplate")
-    if found.count() <= BROADCAST_LINES:
-        listed = found.toPandas()
-        keys = np.sort(np.concatenate([np.zeros(0, np.uint64), *[_key(None if s != s or s is None else s, g["line"].to_numpy()) for s, g in listed.groupby("source", dropna=False)]]))
-        held = spark.sparkContext.broadcast(keys)
+    if found.count() <= broadcast_lines:
+        held = spark.sparkContext.broadcast(_listed(found))
 
         def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = held.value
@@ -123,7 +137,7 @@ def judge_documents(docs: DataFrame, *, max_docs: int = MAX_DOCS, max_share: flo
                 out = []
                 for source, lines, words in zip(b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
                     own = _key(source, lines.values.to_numpy(zero_copy_only=False))
-                    out.append(int(words.values.to_numpy(zero_copy_only=False)[~np.isin(own, keys)].sum()) if len(own) else 0)
+                    out.append(int(words.values.to_numpy(zero_copy_only=False)[~_among(own, keys)].sum()) if len(own) else 0)
                 yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[4:], pa.array(out, pa.int64())], [*names, "words_left"])
 
         picked = rows.select("doc_id", "source", "_lines", "_line_words", *NAMES[:5])
@@ -149,52 +163,54 @@ def clean_documents(docs: DataFrame, *, max_docs: int = MAX_DOCS, max_share: flo
     rows = scratch.cut(measured(docs), "measures")
     found = scratch.cut(boilerplate_lines(rows, max_docs, max_share), "boilerplate")
     scratch.drop("measures")
-    names = docs.columns
+    # the columns in a struct, so that no name of theirs can clash
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    text = F.col("doc.text").cast("string")
 
-    def judged(text: str | None, drop: set[int]) -> str | None:
-        """The text that stays, or None for a rejected document. drop: line hashes of the text's host or of the text."""
+    def judged(text: str | None, drop) -> str | None:
+        """The text that stays, or None for a rejected document. drop tells of an array of line hashes which ones go."""
         n, _, _, _, repeated, _, lines, words = measure(text or "")
-        drop = drop.intersection(lines)
-        left = n - sum(w for h, w in zip(lines, words, strict=True) if h in drop)
-        if n < 10 or 100 * repeated > 20 * n or left < least_left * n:
+        if n < 10 or 100 * repeated > 20 * n:
             return None
-        if not drop:
+        gone = drop(np.array(lines, np.int64))
+        if n - int(np.array(words, np.int64)[gone].sum()) < least_left * n:
+            return None
+        if not gone.any():
             return text
-        return "\n".join(x for x in text.split("\n") if not (own := x.encode("utf-8", "surrogatepass").split()) or line_hash(own) not in drop)
+        out = {h for h, x in zip(lines, gone.tolist(), strict=True) if x}
+        return "\n".join(x for x in text.split("\n") if not (own := x.encode("utf-8", "surrogatepass").split()) or line_hash(own) not in out)
 
     if found.count() <= broadcast_lines:
-        listed = found.toPandas()
-        by_host = {None if s != s or s is None else s: set(g["line"].tolist()) for s, g in listed.groupby("source", dropna=False)}
-        held = spark.sparkContext.broadcast(by_host)
+        held = spark.sparkContext.broadcast(_listed(found))
+        scratch.drop("boilerplate")
 
         @F.pandas_udf("string")
         def cleaned(text, source):
             import pandas as pd
 
             worker_forget()
-            return pd.Series([judged(t, held.value.get(s, set())) for t, s in zip(text, source, strict=True)], dtype=object)
+            return pd.Series([judged(t, lambda x: _among(_key(s, x), held.value)) for t, s in zip(text, source, strict=True)], dtype=object)  # noqa: B023
 
         # named nondeterministic, as the filter on its result would otherwise call it a second time, in workers of its own
-        out = docs.withColumn("_text", cleaned.asNondeterministic()(F.col("text"), F.col("source")))
+        out = whole.withColumn("new", cleaned.asNondeterministic()(text, F.col("doc.source").cast("string")))
     else:
-        # row ids must be the same when the texts are read again, so they are written
-        kept = scratch.cut(docs.select(F.monotonically_increasing_id().alias("_id"), F.struct(*names).alias("_doc")), "numbered")
-        own = measured(kept.select(F.col("_id").alias("doc_id"), F.col("_doc.source").alias("source"), F.col("_doc.text").alias("text")))
-        each = own.select(F.col("doc_id").alias("_at"), "source", F.explode("_lines").alias("line")).alias("e")
+        # row ids must be the same when the texts are read again
+        kept = numbered(whole, scratch, "row")
+        own = measured(kept.select(F.col("row").alias("doc_id"), F.col("doc.source").alias("source"), text.alias("text")))
+        each = own.select(F.col("doc_id").alias("at"), "source", F.explode("_lines").alias("line")).alias("e")
         f = found.alias("f")
         gone = each.join(f, F.col("e.source").eqNullSafe(F.col("f.source")) & (F.col("e.line") == F.col("f.line")), "left_semi")
-        gone = gone.groupBy("_at").agg(F.collect_list("line").alias("_gone"))
+        gone = scratch.cut(gone.groupBy("at").agg(F.sort_array(F.collect_list("line")).alias("gone")), "gone")  # of one document's own lines
 
         @F.pandas_udf("string")
         def cleaned_by_row(text, gone):
             import pandas as pd
 
             worker_forget()
-            return pd.Series([judged(t, set() if g is None else set(g)) for t, g in zip(text, gone, strict=True)], dtype=object)
-
-        joined = kept.join(gone, F.col("_id") == F.col("_at"), "left")
-        out = joined.select("_doc.*", cleaned_by_row.asNondeterministic()(F.col("_doc.text"), F.col("_gone")).alias("_text"))
-    out = out.where("_text IS NOT NULL").withColumn("text", F.col("_text"))
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*names)
+            lists = [np.zeros(0, np.int64) if g is None else np.asarray(g, np.int64) for g in gone]
+            return pd.Series([judged(t, lambda x: _among(x, g)) for t, g in zip(text, lists, strict=True)], dtype=object)  # noqa: B023
+
+        joined = kept.join(gone, F.col("row") == F.col("at"), "left")
+        out = joined.withColumn("new", cleaned_by_row.asNondeterministic()(text, F.col("gone")))
+    made = {"text": F.col("new").alias("text"), "n_chars": F.length("new").cast("long").alias("n_chars")}
+    return out.where("new IS NOT NULL").select(*(made.get(c, F.col(f"doc.`{c}`")) for c in docs.columns))
