@@ -110,11 +110,12 @@ def place_pieces(pieces: DataFrame, scratch: Scratch, capacity: int) -> DataFram
     histogram = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
     places = pieces.sparkSession.sparkContext.broadcast(_places(plan_bins(histogram, capacity), capacity))
     n = buckets_for(sum(histogram.values()))
-    bucketed = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(n)).cast("int"))
-    order = Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece", "ids_crc32")
+    # by a row's place, as many rows may be equal
+    bucketed = pieces.withColumn("_place", F.monotonically_increasing_id()).withColumn("_bucket", F.pmod(F.xxhash64("_place"), F.lit(n)).cast("int"))
+    order = Window.partitionBy("length", "_bucket").orderBy("_place")
     ranked = bucketed.withColumn("_rank", F.row_number().over(order).cast("long") - 1)
     ranked = ranked.join(bucket_totals(bucketed, ["length"], "_bucket", F.lit(1), "_before").hint("shuffle_merge"), ["length", "_bucket"])
-    ranked = scratch.cut(ranked.withColumn("_rank", F.col("_rank") + F.col("_before")).drop("_bucket", "_before"), "ranked")
+    ranked = scratch.cut(ranked.withColumn("_rank", F.col("_rank") + F.col("_before")).drop("_bucket", "_before", "_place"), "ranked")
     names = [c for c in ranked.columns if c != "_rank"]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
