@@ -6,16 +6,19 @@ mean of learned vectors of its character trigrams. A window's hidden states are
 score is that of its worst window. All windows of all texts are scored.
 
 Labels are of documents, so the toxic windows of toxic documents are found while training: first by log odds, then by the
-model itself. The training sample is bounded: MAX_TOXIC and MAX_OTHER documents with the smallest hashed ids, and at most
-MAX_WINDOWS windows of each. The driver trains on it; the model of some hundred KB is broadcast.
+model itself. The training sample is bounded by rows: MAX_TOXIC and MAX_OTHER documents with the smallest hashed ids, of
+which all windows are used, and all words that two of them hold. The driver trains on it; the model of some hundred KB is
+broadcast.
 
 Defined cases: a null or empty text is one window of padding and gets the score of no evidence; repeated rows get equal
-scores; without labels of both kinds every score is 0. Null labels and ids are never learned from. Extra columns are
-ignored; an empty table gives an empty result.
+scores; without labels of both kinds every score is 0. Null labels and ids are never learned from; an id that is labelled
+more than once is toxic if one of its labels says so; documents that share a sampled id are learned from as one. Extra
+columns go through drop_toxic, and are ignored otherwise; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -28,7 +31,7 @@ from quireflow.llm.common import Scratch, ship, small_batches, worker_forget, wo
 
 WINDOW, STEP = 24, 12
 WORD_DIM, CHAR_DIM, HIDDEN, ATTEND, TRIGRAMS = 6, 6, 8, 8, 4096
-MAX_TOXIC, MAX_OTHER, MAX_WINDOWS, MAX_VOCABULARY = 1000, 2500, 32, 20_000
+MAX_TOXIC, MAX_OTHER = 1000, 2500
 #: Words kept by a worker at most, and windows scored at once.
 KEPT, BATCH = 60_000, 512
 THRESHOLD = 0.7
@@ -168,7 +171,7 @@ def log_odds(documents: list[tuple[list[bytes], int]]) -> tuple[dict[bytes, int]
         totals[toxic] += 1
         for w in set(words):
             seen.setdefault(w, [0, 0])[toxic] += 1
-    often = sorted((w for w, c in seen.items() if sum(c) > 1), key=lambda w: (-sum(seen[w]), w))[:MAX_VOCABULARY]
+    often = sorted((w for w, c in seen.items() if sum(c) > 1), key=lambda w: (-sum(seen[w]), w))
     odds = np.array([0.0] + [np.log((seen[w][1] + 1) / (totals[1] + 2)) - np.log((seen[w][0] + 1) / (totals[0] + 2)) for w in often])
     return {w: k + 1 for k, w in enumerate(often)}, np.clip(odds, -2, 7) / 2
 
@@ -311,9 +314,9 @@ def held_out_fold(doc_id) -> int:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", skip_fold: int | None = 1) -> list[tuple[int, int, list[list[bytes]]]]:
-    """Windows of a bounded sample of labelled documents: those with the smallest hashed ids of each kind."""
+    """All windows of a bounded sample of labelled documents: those with the smallest hashed ids of each kind."""
     ship(docs.sparkSession)
-    able = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).select(F.col("doc_id").cast("long").alias("id"), F.col(label).cast("int").alias("y"))
+    able = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(F.col(label).cast("int")).alias("y"))
     if skip_fold is not None:
         able = able.where(F.crc32(F.col("id").cast("string").cast("binary")) % 3 != skip_fold)
     chosen = {}
@@ -330,14 +333,11 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", sk
             doc, out = [], []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 words = words_of(text)
-                starts = window_starts(len(words))
-                if len(starts) > MAX_WINDOWS:
-                    starts = np.sort(np.random.default_rng(i % 2**32).choice(starts, MAX_WINDOWS, replace=False))
-                for s in starts.tolist():
+                for s in window_starts(len(words)).tolist():
                     doc.append(i), out.append(b" ".join(words[s : s + WINDOW]))
             yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(out, pa.binary())], ["id", "words"])
 
-    lean = docs.join(ids, F.col("doc_id") == F.col("id")).select("id", F.col("text").cast("string"))
+    lean = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(ids, F.col("doc_id") == F.col("id")).select("id", "text")
     by_doc: dict[int, list[list[bytes]]] = {}
     same: dict[bytes, bytes] = {}  # one object for each distinct word
     for i, words in sorted((r.id, bytes(r.words)) for r in lean.mapInArrow(cut, "id long, words binary").collect()):
@@ -349,13 +349,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model | Non
     return train(training_sample(docs, labels, label))
 
 
-def scored(docs: DataFrame, model: Model | None, column: str = "score") -> DataFrame:
+def scored(docs: DataFrame, model: Model | None, text: str = "text", column: str = "score") -> DataFrame:
     """docs with the score of each text."""
     ship(docs.sparkSession)
     if model is None:
         return docs.withColumn(column, F.lit(0.0))
     held = docs.sparkSession.sparkContext.broadcast(model)
-    key = f"toxicity:{id(model)}:{np.float64(model.shift).tobytes().hex()}"
+    key = f"toxicity:{uuid.uuid4().hex}"
 
     @F.pandas_udf("double")
     def score(texts):
@@ -366,7 +366,7 @@ def scored(docs: DataFrame, model: Model | None, column: str = "score") -> DataF
             out += scorer.scores(texts.iloc[at : at + 256].tolist())
         return pd.Series(out)
 
-    return docs.withColumn(column, score(F.col("text").cast("string")))
+    return docs.withColumn(column, score(F.col(text).cast("string")))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -380,5 +380,6 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs whose score is below the threshold."""
-    names = docs.columns
-    return scored(docs, fit(docs, labels), "_score").where(F.col("_score") < THRESHOLD).select(*names)
+    # the columns in a struct, so that no name of theirs can clash
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    return scored(whole, fit(docs, labels), "doc.text").where(F.col("score") < THRESHOLD).select("doc.*")
