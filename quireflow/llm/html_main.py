@@ -29,7 +29,7 @@ TOKEN = re.compile(
 )
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 #: Elements without text of the page, and their ends; one that is not closed is read as any other tag.
-SKIPPED = {n: re.compile(rf"</{n}\s*>", re.I) for n in "iframe noscript object select svg template".split()}
+SKIPPED = {n: re.compile(rf"</{n}\s*>", re.I) for n in "iframe select svg template".split()}
 #: Tags that do not end a block.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -39,18 +39,29 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 WALLS = frozenset("ul ol dl table article section main div body".split())
 
 
+class Path:
+    """An element's tag, and the tags and words of it and of all around it; equal sets are one object on a page."""
+
+    __slots__ = ("tag", "features")
+
+    def __init__(self, tag: str, features: frozenset) -> None:
+        self.tag, self.features = tag, features
+
+
 class Block:
     __slots__ = ("path", "text", "links")
 
-    def __init__(self, path: tuple, text: str, links: int) -> None:
+    def __init__(self, path: Path, text: str, links: int) -> None:
         self.path, self.text, self.links = path, text, links
 
 
-def blocks(page: str | None) -> list[Block]:
-    """Leaf blocks in page order. A path is a linked list (tag, words, parent path), innermost first."""
+def blocks(page: str | None, known: dict[str, int] | None = None) -> list[Block]:
+    """Leaf blocks in page order. Of paths' features only ``known`` ones are kept, if given: however deep a page is nested, a path has no more."""
     out: list[Block] = []
-    root: tuple = ("", (), None)
-    stack: list[tuple[str, tuple]] = [("", root)]
+    root = Path("", frozenset(["tag:"]))
+    same: dict[frozenset, frozenset] = {}
+    stack: list[tuple[str, Path]] = [("", root)]
+    depth: dict[str, int] = {}  # open elements of each name
     parts: list[str] = []
     linked = link_depth = 0
     in_head = False
@@ -64,6 +75,11 @@ def blocks(page: str | None) -> list[Block]:
             parts.clear()
         linked = 0
 
+    def pop() -> str:
+        name = stack.pop()[0]
+        depth[name] -= 1
+        return name
+
     at, unclosed = 0, set()
     while m := TOKEN.search(page or "", at):
         if m.start() > at:
@@ -100,40 +116,39 @@ def blocks(page: str | None) -> list[Block]:
             if name == "head":
                 continue
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+            if depth.get(name):
+                while pop() != name:
+                    pass
             continue
         if in_head and name not in VOID:
             in_head = False
         if stack[-1][0] == "p":
-            stack.pop()
-        if name in ENDS:
+            pop()
+        if name in ENDS and any(depth.get(x) for x in ENDS[name]):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] in ENDS[name]:
-                    del stack[k:]
+                    while len(stack) > k:
+                        pop()
                     break
                 if stack[k][0] in WALLS:
                     break
         if name not in VOID:
             words = tuple(sorted({w for a in NAMED.findall(rest) for w in re.split(r"[^a-z0-9]+", "".join(a).lower()) if w})) if "=" in rest else ()
-            stack.append((name, (name, words, stack[-1][1])))
+            above, new = stack[-1][1].features, {x for x in (f"tag:{name}", *(f"word:{w}" for w in words)) if known is None or x in known}
+            if not new <= above:
+                above = above | new
+                above = same.setdefault(above, above)
+            stack.append((name, Path(name, above)))
+            depth[name] = depth.get(name, 0) + 1
     if page and at < len(page):
         parts.append(re.sub(r"<[^>]*\Z", " ", page[at:]))
     flush()
     return out
 
 
-def path_features(path: tuple) -> list[str]:
-    """Of the ancestors: each tag, the innermost tag, and each word of a class or id."""
-    out, node = [f"near:{path[0]}"], path
-    seen: set[str] = set()
-    while node is not None:
-        seen.add(f"tag:{node[0]}")
-        seen.update(f"word:{w}" for w in node[1])
-        node = node[2]
-    return out + sorted(seen)
+def path_features(path: Path) -> list[str]:
+    """The innermost tag, and of the ancestors: each tag, and each word of a class or id."""
+    return [f"near:{path.tag}", *sorted(path.features)]
 
 
 def text_features(b: Block) -> list[str]:
@@ -147,7 +162,7 @@ def text_features(b: Block) -> list[str]:
         out.append("mark")
     if share > 0.8 and words < 6:
         out.append("short-link")
-    if b.path[0] in ("h1", "h2", "h3", "h4"):
+    if b.path.tag in ("h1", "h2", "h3", "h4"):
         out.append("heading")
     return out
 
@@ -169,11 +184,12 @@ class Crf:
         return a, b
 
     def scores(self, b: Block) -> tuple[float, float]:
-        if b.path not in self.kept:
+        key = (b.path.tag, b.path.features)
+        if key not in self.kept:
             if len(self.kept) > 50_000:
                 self.kept.clear()
-            self.kept[b.path] = self._sum(path_features(b.path))
-        p, t = self.kept[b.path], self._sum(text_features(b))
+            self.kept[key] = self._sum(path_features(b.path))
+        p, t = self.kept[key], self._sum(text_features(b))
         return p[0] + t[0], p[1] + t[1]
 
     def decode(self, page: list[Block]) -> list[int]:
@@ -378,7 +394,7 @@ def default_model() -> Crf:
 
 
 def main_text(page: str | None, model: Crf) -> str:
-    found = blocks(page)
+    found = blocks(page, model.index)
     return "\n".join(b.text for b, y in zip(found, model.decode(found), strict=True) if y)
 
 
