@@ -6,8 +6,11 @@ integer columns, which ORC stores run-length encoded in stripes; the row index h
 filter on doc_id is pushed down to the stripes' metadata. A document's place in its file is stored with it; the places in
 the whole sequence follow from one sum per file.
 
+The number of files follows the bytes of text. Rows that share a doc_id, or have none, are told apart by a hash of their text
+and their place, so that no file gets all of them.
+
 Defined cases: a null text is empty; an empty text still has its end id. A null doc_id sorts first; repeated doc_ids sort
-by their text. An empty table gives an empty result. Other columns are not written.
+by a hash of their text. An empty table gives an empty result. Other columns are not written.
 """
 
 from __future__ import annotations
@@ -21,16 +24,24 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quireflow.llm.common import Scratch, small_batches
+from quireflow.llm.common import Scratch, numbered, small_batches
 from quireflow.llm.tokens import encoder
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("at", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 #: A batch that goes back to Spark holds about so many ids.
 BATCH_IDS = 1 << 20
+#: Bytes of text of a file at most, about, and at least where there are cores to spare.
+FILE_BYTES, LEAST_FILE_BYTES = 128 << 20, 8 << 20
+
+
+def files_for(text_bytes: int, cores: int) -> int:
+    """Files of FILE_BYTES; more of them where all cores could not work otherwise, of LEAST_FILE_BYTES then."""
+    return max(1, -(-text_bytes // FILE_BYTES), min(4 * cores, -(-text_bytes // LEAST_FILE_BYTES)))
 
 
 def write_token_orc(docs: DataFrame, path: str, vocabulary: str, *, kind: str = "word", end_id: int = 2, stride: int = 1000, stripe_mb: int = 16, files: int | None = None) -> None:
     """Writes ids of every document in ascending doc_id order to ORC files at ``path``; file k holds smaller ids than file k+1."""
+    scratch = Scratch(docs.sparkSession, "orc-input")
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,10 +67,14 @@ def write_token_orc(docs: DataFrame, path: str, vocabulary: str, *, kind: str =
             yield batch()
 
     lean = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    parts = files or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    ordered = lean.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    size = lean.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).collect()[0][0]
+    parts = files or files_for(size, docs.sparkSession.sparkContext.defaultParallelism)
+    keyed = numbered(lean, scratch, "place").withColumn("tie", F.xxhash64("text"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie"), F.col("place")]
+    ordered = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
     options = {"compression": "zstd", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.row.index.stride": str(stride), "orc.stripe.size": str(stripe_mb << 20), "orc.create.index": "true"}
     ordered.mapInArrow(encode, SCHEMA).write.options(**options).orc(path)
+    scratch.drop(*list(scratch.held))
 
 
 def read_token_orc(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
