@@ -51,6 +51,19 @@ class _Pieces(dict):
         return ids
 
 
+class _Sizes(dict):
+    def __init__(self, encode) -> None:
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> int:
+        n = len(self.encode(piece, add_special_tokens=False).ids)
+        if len(piece) <= LONGEST:
+            if len(self) >= KEPT:
+                self.clear()
+            self[piece] = n
+        return n
+
+
 class CachedEncoder:
     """Gives a text's ids as little-endian unsigned 32-bit bytes, equal to the library's for every text."""
 
@@ -65,7 +78,7 @@ class CachedEncoder:
         single = Tokenizer.from_file(path)
         single.normalizer, single.pre_tokenizer = None, ByteLevel(add_prefix_space=False, use_regex=False)
         self.findall, self.lower = re.compile(SPLITS[kind]).findall, kind == "word"
-        self.pieces = _Pieces(single.encode)
+        self.pieces, self.sizes = _Pieces(single.encode), _Sizes(single.encode)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -74,6 +87,19 @@ class CachedEncoder:
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.pieces.__getitem__, self.findall(text.lower() if self.lower else text)))
 
+    def count(self, text: str | None) -> int:
+        """The number of a text's ids."""
+        if not text:
+            return 0
+        if "<|" in text or not SAFE.fullmatch(text):
+            return len(self.library.encode(text, add_special_tokens=False).ids)
+        return sum(map(self.sizes.__getitem__, self.findall(text.lower() if self.lower else text)))
+
+
+def encoders(files: list[tuple[str, str]]) -> list[CachedEncoder]:
+    """An encoder for each (vocabulary, kind) in a Python worker."""
+    return worker_kept(f"encoders:{files}", lambda: [CachedEncoder(*f) for f in files])
+
 
 def encoder(path: str, kind: str) -> CachedEncoder:
     """One encoder for a vocabulary in a Python worker."""
