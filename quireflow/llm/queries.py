@@ -13,7 +13,7 @@ from quireflow.llm.mixing import mix_plan
 from quireflow.llm.ngram_join import jaccard_join
 from quireflow.llm.packing import pack_documents
 from quireflow.llm.quality import judge_documents
-from quireflow.llm.token_counts import RollupStore
+from quireflow.llm.token_counts import GROUP, RollupStore, count_tokens
 from quireflow.llm.token_orc import token_ids_digest
 from quireflow.llm.tokens import vocabulary
 from quireflow.llm.topk import top_k
@@ -33,22 +33,29 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+#: The tokenizers of op2: name, kind, vocabulary file.
+TOKENIZERS = [("byte_bpe_50k", "byte", "byte_bpe_50k.json"), ("word_bpe_49k", "word", "word_bpe_49k.json")]
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loads all documents' counts, loads them again (which changes nothing), revises them to the texts with white space collapsed, and deletes documents of fewer than 10 words."""
+    """Counts of all documents by source, language, tokenizer and version.
+
+    Loads them, loads them again (which changes nothing), moves documents of fewer than 10 words to the language ``und`` (a
+    revision into another group), withdraws those and puts them back. So all documents are in the totals.
+    """
     scratch = Scratch(spark, "token-counts")
     store = RollupStore(spark, scratch.path("store"))
-    text = F.coalesce("text", F.lit(""))
-    packed = F.octet_length(F.translate(text, " \t\n\x0b\x0c\r", "")) + F.greatest(F.col("_words") - 1, F.lit(0))
-    docs = table(spark, sf_dir, "documents").select("source", "lang", "text").withColumn("_words", n_words(F.col("text")))
-    counts = F.array(F.struct(F.lit("words").alias("tokenizer"), F.col("_words").alias("old"), F.col("_words").alias("new")), F.struct(F.lit("bytes").alias("tokenizer"), F.octet_length(text).cast("long").alias("old"), packed.cast("long").alias("new")))
-    docs = scratch.cut(docs.select("source", "lang", "_words", F.explode(counts).alias("c")).select("source", "lang", "_words", "c.*"), "counts")
-    group = [F.col("source"), F.col("lang"), F.col("tokenizer")]
-    load = docs.select(F.lit("insert").alias("op"), *group, F.col("old").alias("n_tokens"), F.lit(None).cast("long").alias("old_n_tokens"))
-    store.commit("load", load)
+    docs = table(spark, sf_dir, "documents").select("source", "lang", "text")
+    counted = count_tokens(docs, [(name, kind, vocabulary(file)) for name, kind, file in TOKENIZERS])
+    lean = counted.select("source", "lang", (n_words(F.col("text")) < 10).alias("short"), F.explode("counts").alias("c")).select("source", "lang", "short", "c.*")
+    lean = scratch.cut(lean, "counts")
+    store.commit("load", load := lean.withColumn("op", F.lit("insert")))
     store.commit("load", load)
-    store.commit("collapse", docs.select(F.lit("revise").alias("op"), *group, F.col("new").alias("n_tokens"), F.col("old").alias("old_n_tokens")))
-    store.commit("short", docs.where("_words < 10").select(F.lit("delete").alias("op"), *group, F.col("new").alias("n_tokens"), F.lit(None).cast("long").alias("old_n_tokens")))
-    out = store.totals().select("source", "lang", "tokenizer", F.col("docs").alias("n_docs"), F.col("tokens").alias("n_tokens"))
+    moved = lean.where("short").withColumn("old_lang", F.col("lang")).withColumn("lang", F.lit("und"))
+    store.commit("short", moved.withColumn("op", F.lit("revise")).withColumn("old_n_tokens", F.col("n_tokens")))
+    store.commit("withdraw", moved.withColumn("op", F.lit("delete")))
+    store.commit("restore", moved.withColumn("op", F.lit("insert")))
+    out = store.totals().select(*GROUP, F.col("docs").alias("n_docs"), F.col("tokens").alias("n_tokens"))
     return scratch.finish(out)
 
 
@@ -96,17 +103,6 @@ m AS (
 SELECT q.page_id, q.host, q.path, m.rule, coalesce(m.verdict, 'allow') AS verdict FROM q LEFT JOIN m USING (n)
 """
 
-OP2_SQL = r"""
-WITH d AS (
-  SELECT source, lang, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS words,
-    CAST(strlen(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS solid
-  FROM documents
-), k AS (SELECT * FROM d WHERE words >= 10)
-SELECT source, lang, 'words' AS tokenizer, count(*) AS n_docs, CAST(sum(words) AS BIGINT) AS n_tokens FROM k GROUP BY source, lang
-UNION ALL
-SELECT source, lang, 'bytes' AS tokenizer, count(*) AS n_docs, CAST(sum(solid + words - 1) AS BIGINT) AS n_tokens FROM k GROUP BY source, lang
-"""
-
 OP5_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS n, doc_id, source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT n, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS word, unnest(range(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')))) AS i FROM d),
@@ -182,8 +178,8 @@ WITH v AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), p AS (
-  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
-), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+  SELECT a.vec_id AS query_id, a.q AS asked, b.vec_id AS vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id OR a.q <> b.q WHERE a.vec_id % 50 = 0
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id, asked ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
@@ -199,4 +195,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
 }
-SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op2_token_counts": OP2_SQL, "op5_quality": OP5_SQL, "op8_ngram_join": OP8_SQL, "op9_mixing": OP9_SQL, "op10_topk": OP10_SQL}
+SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op5_quality": OP5_SQL, "op8_ngram_join": OP8_SQL, "op9_mixing": OP9_SQL, "op10_topk": OP10_SQL}

@@ -1,5 +1,6 @@
 """Each operator against a brute-force version or its SQL, and on odd tables: nulls, empties, repeats, clashing columns."""
 
+import math
 import zlib
 
 import numpy as np
@@ -148,7 +149,7 @@ def brute_components(texts, n, percent):
     return {i: (len(sets[i]), find(i), links[i]) for i in ids}
 
 
-@pytest.mark.parametrize("n,percent,frequent,block", [(4, 85, None, 1000), (5, 80, 3, 8), (3, 80, 1, 5)])
+@pytest.mark.parametrize("n,percent,frequent,block", [(4, 85, None, 1000), (5, 80, 3, 8), (3, 80, 1, 5), (2, 60, 2, 7), (1, 70, 1, 1000)])
 def test_jaccard(spark, n, percent, frequent, block):
     rng = np.random.default_rng(n)
     texts, number = {}, 0
@@ -163,10 +164,92 @@ def test_jaccard(spark, n, percent, frequent, block):
             texts[number] = " ".join(w)
             number += 1
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in ngram_join.jaccard_join(df, n=n, percent=percent, frequent=frequent, block=block, filter_bits=16).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in ngram_join.jaccard_join(df, n=n, percent=percent, frequent=frequent, block=block).collect()}
     assert got == brute_components(texts, n, percent)
 
 
+def linked_pairs(sets, percent):
+    ids = range(len(sets))
+    return [(a, b) for a in ids for b in range(a) if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+
+
+@pytest.mark.parametrize("percent", [55, 60, 66, 67, 70, 80, 85, 88])
+def test_linked_sets_share_a_signature(percent):
+    """Small sets of frequent, rare and unique tokens: every linked pair of different sets has a signature in common, and passes the parity bits."""
+    rng = np.random.default_rng(percent)
+    pool = rng.integers(0, 2**63, 30).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    sets = {frozenset(pool[rng.permutation(30)[: rng.integers(1, 12)]].tolist()) for _ in range(200)}
+    for base in list(sets)[:60]:  # neighbours of a set, so that many pairs are linked
+        for _ in range(3):
+            s = set(base)
+            s.symmetric_difference_update(rng.choice(pool, int(rng.integers(1, 4))).tolist())
+            sets |= {frozenset(s)} if s else set()
+    sets = sorted(sets, key=sorted)
+    arrays = [np.array(sorted(s), np.uint64) for s in sets]
+    count = {t: sum(t in s for s in sets) for t in pool.tolist()}
+    pairs = linked_pairs(sets, percent)
+    assert len(pairs) > 5
+    for frequent in (0, 20, 10**6):
+        sigs = [set(ngram_join.signatures(a, np.array([count[t] > 1 for t in a.tolist()], bool), np.array([count[t] > frequent for t in a.tolist()], bool), percent).tolist()) for a in arrays]
+        assert all(sigs[a] & sigs[b] for a, b in pairs)
+    n = np.array([len(s) for s in sets])
+    label = ngram_join.parity_links(n, [ngram_join.parity_bits(a) for a in arrays], np.zeros(len(n), int), percent)
+    assert all(label[a] == label[b] for a, b in pairs)
+
+
+def test_percent_without_a_bound_is_refused(docs):
+    with pytest.raises(ValueError, match="above 50"):
+        ngram_join.jaccard_join(docs, percent=50)
+
+
+def test_parity_bits_never_pass_over_a_link():
+    rng = np.random.default_rng(4)
+    sets = []
+    for _ in range(60):
+        base = rng.integers(0, 2**63, int(rng.integers(1, 400))).astype(np.uint64)
+        for _ in range(4):
+            own = base[rng.random(len(base)) > rng.random() * 0.2]
+            sets.append(frozenset([*own.tolist(), *rng.integers(0, 2**63, int(rng.integers(0, 1 + len(base) // 10))).tolist()]) or frozenset([7]))
+    words = [ngram_join.parity_bits(np.array(sorted(s), np.uint64)) for s in sets]
+    n, side = np.array([len(s) for s in sets]), np.arange(len(sets)) % 2 + 1
+    pairs = linked_pairs(sets, 85)
+    label = ngram_join.parity_links(n, words, np.zeros(len(n), int), 85)
+    assert len(pairs) > 50 and all(label[a] == label[b] for a, b in pairs) and len(set(label.tolist())) > 50 and (label <= np.arange(len(n))).all()
+    label = ngram_join.parity_links(n, words, side, 85)
+    assert all(label[a] == label[b] for a, b in pairs if side[a] != side[b])
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 4])
+def test_gaps_round_trip(width):
+    rng = np.random.default_rng(width)
+    for spread in (3, 300, 70_000, 2**33):
+        values = np.unique(rng.integers(0, spread * 50, 40).astype(np.uint64)) + np.uint64(5 << 40)
+        if spread * 60 // ((1 << 8 * width) - 1) < 10**6:
+            assert (ngram_join.unpack_gaps(ngram_join.pack_gaps(values, 5 << 40, width), 5 << 40, width) == values).all()
+
+
+def test_jaccard_hot_token(spark):
+    """A third of all documents share most of their tokens, in different sets; the others are alone."""
+    rng = np.random.default_rng(2)
+    body = [f"s{k}" for k in range(60)]
+    texts = {k: " ".join([*body[: 50 + k % 10], f"own{k}"] if k % 3 == 0 else [f"r{x}" for x in rng.integers(0, 10**9, 30)]) for k in range(600)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in ngram_join.jaccard_join(df, n=1, percent=85, block=50).collect()}
+    assert got == brute_components(texts, 1, 85)
+
+
+def test_near_duplicates_by_row(spark):
+    a, b = ("the quick brown fox jumps over the lazy dog and runs away " * 2).strip(), "an entirely different text that no other row of this table has at all"
+    rows = [(1, a, "x", 1), (5, a, "y", 2), (5, b, "z", 3), (None, a, "n", 4), (None, None, "n", 5), (7, "", "e", 6), (7, "", "e", 6), (5, b, "z", 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _gone string, row long")
+    got = ngram_join.drop_near_duplicates(df)
+    assert got.columns == df.columns
+    kept = sorted((r["row"] for r in got.collect()))
+    assert kept in ([1, 3, 5, 6, 6], [1, 5, 6, 6, 7])
+    alone = spark.createDataFrame([(None, a, "x", 1), (None, a, "y", 2)], df.schema)
+    assert ngram_join.drop_near_duplicates(alone).count() == 1 and ngram_join.drop_near_duplicates(df.limit(0)).count() == 0
+
+
 def test_jaccard_odd(spark, odd, none):
     got = ngram_join.jaccard_join(odd).collect()
     assert len(got) == len(ODD) and sum(r.component_id == 1 for r in got) == 3
@@ -191,26 +274,155 @@ def test_mixing_odd(spark, odd, none):
         assert abs(sum(r.taken for r in rows) - rows[0].target) < 4
 
 
+def brute_top(rows, k, every):
+    """(query_id, rank, vec_id, score), sorted: rows are (id, vector), repeated ones once."""
+    dims = max([len(v) for _, v in rows], default=0)
+    clamp = lambda x, low, high: min(max(x, low), high)
+    rows = sorted({(i, tuple(clamp(math.floor(256 * x), -(2**53), 2**53) for x in [*v, *[0.0] * (dims - len(v))])) for i, v in rows})
+    out = []
+    for i, q in rows:
+        if i % every == 0:
+            found = sorted((-clamp(sum(a * b for a, b in zip(q, v, strict=True)), -(2**63), 2**63 - 1), j) for j, v in rows if (j, v) != (i, q))
+            out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(found[:k])]
+    return sorted(out)
+
+
+def top(spark, rows, **options):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("x")).withColumn("query", F.lit(1))
+    return sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, **options).collect())
+
+
 def test_topk_odd(spark):
-    rows = [(0, [1.0, 0.5]), (50, [1.0, 0.5]), (1, None), (2, [float("nan"), 1.0]), (3, [None, 1.0]), (4, []), (5, [0.25]), (5, [0.25]), (None, [1.0, 1.0]), (6, [-1.0, -1.0])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("x"))
-    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df).orderBy("query_id", "rank").collect()]
-    want = [(1, 50 - q, 65536 + 16384) for q in (0, 50)]
-    assert [g[1:] for g in got if g[0] == 0][:1] == want[:1] and [g[2] for g in got if g[0] == 0] == [50, 5, 4, 6] and len(got) == 8
-    assert topk.top_k(df.where("vec_id < 0")).count() == 0
+    rows = [(0, [1.0, 0.5]), (50, [1.0, 0.5]), (1, None), (2, [float("nan"), 1.0]), (3, [None, 1.0]), (4, []), (5, [0.25]), (5, [0.25]), (None, [1.0, 1.0]), (6, [-1.0, -1.0]), (100, [0.25, 0.0]), (100, [3.0, -1.0]), (7, [float("inf"), 0.0]), (8, [2.0, 1.0]), (8, [2.0, 1.5])]
+    clean = [(i, v) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    got = top(spark, rows)
+    assert got == brute_top(clean, 5, 50) and len([g for g in got if g[0] == 100]) == 10
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert topk.top_k(df.where("vec_id < 0")).count() == 0 and topk.top_k(df.where("embedding is null")).count() == 0
+    assert top(spark, [(0, [1.0])]) == []
+
+
+def test_topk_large_numbers(spark):
+    rows = [(k, [3e7 * (k + 1), -3e7, 3e7, 1.0 * k]) for k in range(4)] + [(50, [1e300, 0.0, 0.0, 0.0]), (51, [1e-300, -1e300, 5e7, 1.0])]
+    assert top(spark, rows, k=2) == brute_top(rows, 2, 50)
+
+
+def test_topk_equals_brute_force(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((5, 6)) * 2
+    rows = [(k, np.round(centres[k % 5] + rng.standard_normal(6) * 0.3, 2).tolist()) for k in range(1500)]
+    rows += [(2000 + k, [1.0, 1.0, 0.5, 0.0, 0.0, 0.25]) for k in range(800)]  # one vector of a third of all rows
+    rows += [(k, rng.standard_normal(6).tolist()) for k in range(0, 200, 50)]  # ids that two rows have
+    before = topk.BLOCK, topk.STEP, topk.QUERIES
+    try:
+        topk.BLOCK, topk.STEP, topk.QUERIES = 40, 8, 16
+        assert top(spark, rows, pivots=7) == brute_top(rows, 5, 50)
+    finally:
+        topk.BLOCK, topk.STEP, topk.QUERIES = before
+
+
+CHANGE = "op string, source string, lang string, tokenizer string, version string, n_tokens long, old_n_tokens long"
 
 
 def test_token_counts(spark, tmp_path):
     store = RollupStore(spark, f"file://{tmp_path}/s")
-    row = "op string, source string, lang string, tokenizer string, n_tokens long, old_n_tokens long"
-    assert store.commit("a", spark.createDataFrame([("insert", "s", None, "t", 5, None), ("insert", "s", None, "t", None, None)], row))
-    assert not store.commit("a", spark.createDataFrame([("insert", "s", None, "t", 5, None)], row))
-    assert store.commit("b", spark.createDataFrame([("revise", "s", None, "t", 9, 5), ("delete", "s", None, "t", 0, None)], row))
-    store.compact()
-    assert store.commit("c", spark.createDataFrame([], row)) and not store.commit("b", spark.createDataFrame([], row))
-    assert [tuple(r) for r in store.totals().collect()] == [("s", None, "t", 1, 9)]
+    make = lambda *rows: spark.createDataFrame(list(rows), CHANGE).withColumn("docs", F.lit("x"))
+    assert store.totals().count() == 0
+    assert store.commit("a", make(("insert", "s", None, "t", "1", 5, None), ("insert", "s", None, "t", "1", None, None)))
+    assert not store.commit("a", make(("insert", "s", None, "t", "1", 5, None)))
+    assert store.commit("b", make(("revise", "s", None, "t", "1", 9, 5), ("delete", "s", None, "t", "1", 0, None)))
+    assert store.compact()
+    assert store.commit("c", make().limit(0)) and not store.commit("b", make())
+    assert [tuple(r) for r in store.totals().collect()] == [("s", None, "t", "1", 1, 9)]
     with pytest.raises(Exception, match="unknown op"):
-        store.commit("d", spark.createDataFrame([("no", "s", None, "t", 5, None)], row))
+        store.commit("d", make(("no", "s", None, "t", "1", 5, None)))
+    # to another language and version
+    assert store.commit("e", make(("revise", "s", "en", "t", "2", 7, 9)).withColumn("old_lang", F.lit(None).cast("string")).withColumn("old_version", F.lit("1")))
+    assert [tuple(r) for r in store.totals().collect()] == [("s", "en", "t", "2", 1, 7)]
+    assert store.vacuum(older_than_s=3600) == 0 and store.vacuum(older_than_s=-5) > 0 and store.vacuum(older_than_s=-5) == 0
+    assert [tuple(r) for r in store.totals().collect()] == [("s", "en", "t", "2", 1, 7)] and not store.commit("a", make())
+    with pytest.raises(Exception, match="rename"):
+        store._fs = None
+        RollupStore.__init__(store, type("S", (), {"_jvm": FakeJvm, "_jsc": FakeJvm, "sparkContext": spark.sparkContext, "conf": spark.conf}), "s3a://x/y")
+
+
+class FakeJvm:
+    """Stands for a gateway whose paths lie in an object store."""
+
+    class org:
+        class apache:
+            class hadoop:
+                class fs:
+                    class Path:
+                        def __init__(self, path):
+                            pass
+
+                        def getFileSystem(self, conf):
+                            return self
+
+                        def getUri(self):
+                            return self
+
+                        def getScheme(self):
+                            return "s3a"
+
+    @staticmethod
+    def hadoopConfiguration():
+        return None
+
+
+def test_rollups_against_plain_sums(spark, tmp_path, monkeypatch):
+    """Random batches, some sent twice, against a dictionary; whole states come often."""
+    from quireflow.llm import token_counts
+
+    monkeypatch.setattr(token_counts, "STATE_EVERY", 3)
+    rng, store, want, held = np.random.default_rng(5), RollupStore(spark, f"file://{tmp_path}/s"), {}, []
+    for batch in range(8):
+        rows = []
+        for _ in range(int(rng.integers(0, 6))):
+            g, n = ("s", str(rng.choice(["en", "de"])), "t", str(rng.integers(2))), int(rng.integers(1, 50))
+            op = str(rng.choice(["insert", "delete", "revise"])) if held else "insert"
+            if op == "insert":
+                held.append((g, n))
+                rows.append((op, *g, n, None, *g))
+            else:
+                was, old = held.pop(int(rng.integers(len(held))))
+                if op == "delete":
+                    rows.append((op, *was, old, None, *was))
+                else:
+                    held.append((g, n))
+                    rows.append((op, *g, n, old, *was))
+        df = spark.createDataFrame(rows, CHANGE + ", old_source string, old_lang string, old_tokenizer string, old_version string")
+        assert store.commit(f"b{batch}", df) and not store.commit(f"b{batch}", df)
+    for g, n in held:
+        docs, tokens = want.get(g, (0, 0))
+        want[g] = docs + 1, tokens + n
+    assert {tuple(r)[:4]: tuple(r)[4:] for r in store.totals().collect()} == want
+
+
+def test_token_counts_against_the_library(spark, docs):
+    """The query's totals against the tokenizers library called on every text."""
+    from tokenizers import Tokenizer
+
+    want = {}
+    for name, _, file in queries.TOKENIZERS:
+        library = Tokenizer.from_file(vocabulary(file))
+        for r in docs.collect():
+            lang = "und" if len((r.text or "").encode().split()) < 10 else r.lang
+            n, tokens = want.get((r.source, lang, name), (0, 0))
+            want[r.source, lang, name] = n + 1, tokens + len(library.encode(r.text or "", add_special_tokens=False).ids)
+    got = queries.op2_token_counts(spark, DATA).collect()
+    assert {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in got} == want and len({r.version for r in got}) == 2
+
+
+def test_count_tokens_odd(spark, odd, none):
+    from quireflow.llm.token_counts import count_tokens
+
+    three = [(n, k, vocabulary(f)) for n, k, f in queries.TOKENIZERS]
+    got = count_tokens(odd.withColumn("counts", F.lit(1)), three).collect()
+    e = [CachedEncoder(path, kind) for _, kind, path in three]
+    assert [[c.n_tokens for c in r.counts] for r in got] == [[len(x.encode(r.text)) // 4 for x in e] for r in got] and len(got) == len(ODD)
+    assert count_tokens(none, three).count() == 0
 
 
 def test_urls(spark):
