@@ -14,13 +14,18 @@ OPENING, MIRRORED = "([{<（《【「", ")]}>）》】」"
 # Last characters of a finished fragment.
 FINISHED = "。！？.)）】【」…\"'"
 
-REPEATED = r"(?s)\A(.+?)\1{2,}\z"
+# Five bracketed groups or more in a row, and rows of delimiters. No part of a match is tried again, so long runs need no deep stack.
+PAREN_RUN, DELIMITER_ROW = r"(?U)(?:\([^)]++\)\s*+){5,}+", r"(?mdU)^[-=*_○×☐]{3,}\s*$"
 
 
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
 
 
+def lstrip(c: Column) -> Column:
+    return F.regexp_replace(c, r"(?U)\A\s+", "")
+
+
 def rstrip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)\s+\z", "")
 
@@ -30,7 +35,7 @@ def lines(c: Column) -> Column:
 
 
 def is_block_element(c: Column) -> Column:
-    left = F.regexp_replace(c, r"(?U)\A\s+", "")
+    left = lstrip(c)
     out = F.lit(False)
     for start in BLOCK_STARTS:
         out = out | F.startswith(left, F.lit(start))
@@ -51,21 +56,31 @@ def collapse_newlines(c: Column) -> Column:
 
 
 def remove_paren_runs(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)(\([^)]+\)\s*){5,}", "")
+    return F.regexp_replace(c, PAREN_RUN, "")
 
 
 def remove_delimiter_rows(c: Column) -> Column:
     """The run of white space after a row goes too, so blank lines that follow go with it."""
-    return F.regexp_replace(c, r"(?mdU)^[-=*_○×☐]{3,}\s*$", "")
+    return F.regexp_replace(c, DELIMITER_ROW, "")
 
 
 def shrink_line(c: Column) -> Column:
-    """A line that repeats one unit three times or more becomes the shortest such unit."""
-    return F.regexp_replace(c, REPEATED, "$1")
+    """A line that repeats one unit three times or more becomes the shortest such unit.
+
+    Only divisors of the length can be a unit's, so a line is compared with that few repetitions, not with all of its prefixes.
+    """
+    n = F.length(c)
+    small = F.filter(F.sequence(F.lit(1), F.greatest(F.floor(F.sqrt(n)).cast("int"), F.lit(1))), lambda k: n % k == 0)
+    # divisors in ascending order: the small ones, and those that they leave
+    sizes = F.concat(small, F.reverse(F.transform(small, lambda k: F.floor(n / k).cast("int"))))
+    units = F.filter(sizes, lambda p: (p * 3 <= n) & (F.repeat(F.left(c, p), F.floor(n / F.greatest(p, F.lit(1))).cast("int")) == c))
+    return F.when(n < 3, c).otherwise(F.coalesce(F.left(c, F.get(units, F.lit(0))), c))
 
 
 def collapse_duplicates(c: Column) -> Column:
-    return F.when(c.rlike(REPEATED), shrink_line(c)).otherwise(F.array_join(F.transform(lines(c), shrink_line), "\n"))
+    """The text's unit if it is one unit three times or more, else each line's."""
+    whole = shrink_line(c)
+    return F.when(whole != c, whole).otherwise(F.array_join(F.transform(lines(c), shrink_line), "\n"))
 
 
 def normalise_markdown(c: Column) -> Column:

@@ -74,9 +74,11 @@ def greedy_links(pairs: DataFrame, frags: DataFrame, doc: str, block: str, o: Ch
     return rows.groupBy("_d").applyInPandas(grow, f"{doc} {types[doc]}, src {types[block]}, dst {types[block]}, mixed double")
 
 
-def walk_order(frags: DataFrame, links: DataFrame, doc: str, block: str) -> DataFrame:
-    """doc, block, seq: by the smallest ancestor, then hops from it. Links have one source and one target each, so a document's chains are walked in one call."""
-    rows = frags.select(F.col(doc).alias("_d"), F.col(block).alias("_b")).join(links.select(F.col(doc).alias("_e"), "src", "dst"), (F.col("_d") == F.col("_e")) & (F.col("_b") == F.col("src")), "left").select("_d", "_b", "dst")
+def walk_order(frags: DataFrame, links: DataFrame, doc: str, block: str, text: str | None = None) -> DataFrame:
+    """doc, block, seq, and the text if it is named: by the smallest ancestor, then hops from it. Links have one source and one target each, so a document's chains are walked in one call."""
+    carried = text is not None
+    own = [F.col(text).alias("_text")] if carried else []
+    rows = frags.select(F.col(doc).alias("_d"), F.col(block).alias("_b"), *own).join(links.select(F.col(doc).alias("_e"), "src", "dst"), (F.col("_d") == F.col("_e")) & (F.col("_b") == F.col("src")), "left").select("_d", "_b", "dst", *(["_text"] if carried else []))
 
     def walk(g):
         after = {r[1]: int(r[2]) for r in g.dropna(subset=["dst"]).itertuples(index=False)}
@@ -87,10 +89,13 @@ def walk_order(frags: DataFrame, links: DataFrame, doc: str, block: str) -> Data
                 seen.add(b)
                 out.append(b)
                 b = after.get(b)
-        return pd.DataFrame({doc: g["_d"].iloc[0], block: out, "seq": range(1, len(out) + 1)})
+        made = {doc: g["_d"].iloc[0], block: out, "seq": range(1, len(out) + 1)}
+        if carried:
+            made[text] = g.set_index("_b")["_text"].reindex(out).to_numpy()
+        return pd.DataFrame(made)
 
     types = dict(frags.dtypes)
-    return rows.groupBy("_d").applyInPandas(walk, f"{doc} {types[doc]}, {block} {types[block]}, seq int")
+    return rows.groupBy("_d").applyInPandas(walk, f"{doc} {types[doc]}, {block} {types[block]}, seq int" + (f", {text} string" if carried else ""))
 
 
 def compose(ordered: DataFrame, links: DataFrame, doc: str, block: str) -> DataFrame:
@@ -104,3 +109,15 @@ def compose(ordered: DataFrame, links: DataFrame, doc: str, block: str) -> DataF
     glue = F.when(F.col("_pid").isNull(), F.lit("")).when(header | starts | F.col("_is").isNull(), F.lit("\n\n")).otherwise(F.lit(""))
     parts = F.sort_array(F.collect_list(F.struct("seq", F.concat(glue, F.col("_body")).alias("part"))))
     return df.groupBy(doc).agg(F.array_join(F.transform(parts, lambda p: p["part"]), "").alias("markdown"))
+
+
+def render(ordered: DataFrame, doc: str, block: str) -> DataFrame:
+    """doc, markdown. ordered: doc, block, seq, text, connected. Like ``compose`` with the flag of each fragment given, and with texts stripped before headings are looked for."""
+    w = Window.partitionBy(doc).orderBy("seq")
+    df = ordered.withColumn("_body", T.strip_trailing_bbox(F.col("text"))).withColumn("_pb", F.lag("_body").over(w))
+    alone = F.startswith(T.strip(F.col("_pb")), F.lit("##")) & ~T.strip(F.col("_pb")).contains("\n")
+    left = T.lstrip(F.col("_body"))
+    opens = F.startswith(left, F.lit("##")) | F.startswith(left, F.lit("<div"))
+    glue = F.when(F.col("_pb").isNull(), F.lit("")).when(~F.coalesce("connected", F.lit(False)) | alone | opens, F.lit("\n\n")).otherwise(F.lit(""))
+    parts = F.sort_array(F.collect_list(F.struct("seq", F.concat(glue, F.col("_body")).alias("part"))))
+    return df.groupBy(doc).agg(F.array_join(F.transform(parts, lambda p: p["part"]), "").alias("markdown"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from collections.abc import Callable, Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quireflow.functions import textclean as T
@@ -28,3 +31,84 @@ def judge_direction(texts: DataFrame, lexicon: DataFrame, keys: list[str], text:
     out = back.join(a, keys).join(b, keys)
     rtl = (F.length(text) >= 2) & (F.col("_forth") < F.col("_back"))
     return out.withColumn("rtl", rtl).withColumn("fixed", F.when(rtl, F.col("_mirror")).otherwise(F.col(text))).drop("_mirror", "_forth", "_back")
+
+
+#: Labels of blocks whose lines may be turned round.
+TURNED_LABELS = ["text", "paragraph_title", "doc_title"]
+#: Words of a lexicon that may be broadcast; a larger one is joined (``log_likelihood``).
+MOST_WORDS = 2_000_000
+_MIRROR = str.maketrans(T.OPENING + T.MIRRORED, T.MIRRORED + T.OPENING)
+
+
+def mirrored(line: str) -> str:
+    """``textclean.mirror_reverse`` of one line."""
+    body = line.rstrip()
+    return body.translate(_MIRROR)[::-1] + line[len(body) :]
+
+
+def segment_words(text: str, lexicon: dict[str, float], total: float) -> list[str]:
+    """White-space tokens."""
+    return text.split()
+
+
+def segment_dictionary(text: str, lexicon: dict[str, float], total: float, longest: int = 12) -> list[str]:
+    """The likeliest split into lexicon words and single characters, by Viterbi: for scripts without spaces."""
+    best: list[tuple[float, int]] = [(0.0, 0)]
+    for end in range(1, len(text) + 1):
+        best.append(max((best[at][0] + math.log(max(lexicon.get(text[at:end], 0.0), 0.01) / total), at) for at in range(max(0, end - longest), end) if end - at == 1 or text[at:end] in lexicon))
+    out: list[str] = []
+    end = len(text)
+    while end:
+        at = best[end][1]
+        out.append(text[at:end])
+        end = at
+    return out[::-1]
+
+
+class Judge:
+    """Judges lines under a lexicon of word frequencies. An error leaves a text as it is."""
+
+    def __init__(self, lexicon: dict[str, float], segment: Callable[[str, dict[str, float], float], Iterable[str]] = segment_dictionary) -> None:
+        self.lexicon, self.total, self.segment = lexicon, float(sum(lexicon.values())) or 1.0, segment
+
+    def log_likelihood(self, text: str) -> float:
+        tokens = list(self.segment(text, self.lexicon, self.total))
+        return sum(math.log(max(self.lexicon.get(t, 0.01), 0.01) / self.total) for t in tokens) if tokens else -100.0
+
+    def is_backwards(self, line: str) -> bool:
+        return len(line) >= 2 and self.log_likelihood(line) < self.log_likelihood(mirrored(line))
+
+    def fix_text(self, text: str) -> str:
+        """Each line the way it is likelier."""
+        try:
+            return "\n".join(mirrored(x) if self.is_backwards(x) else x for x in text.split("\n"))
+        except Exception:
+            return text
+
+
+def read_lexicon(spark: SparkSession, path: str, most: int = MOST_WORDS) -> dict[str, float]:
+    """word -> frequency of lines ``word frequency ...``. A word listed again replaces the earlier one. More than ``most`` words raise."""
+    rows = spark.read.text(path).select(F.split(F.trim("value"), r"\s+").alias("p")).where("size(p) >= 2").select(F.get("p", F.lit(0)).alias("w"), F.get("p", F.lit(1)).try_cast("double").alias("f")).where("f IS NOT NULL")
+    held = rows.limit(most + 1).collect()
+    if len(held) > most:
+        raise ValueError("the lexicon is too large to be broadcast")
+    return {r.w: r.f for r in held}
+
+
+def fix_direction(docs: DataFrame, blocks: str, judge: Judge | None) -> DataFrame:
+    """docs whose ``blocks`` (an array of label, x1, y1, x2, y2, content) have the lines of wide text blocks turned round where that is likelier. Without a judge they stay."""
+    if judge is None:
+        return docs
+    held = docs.sparkSession.sparkContext.broadcast(judge)
+
+    @F.pandas_udf("string")
+    def fix(texts):
+        return texts.map(held.value.fix_text, na_action="ignore")
+
+    # one call for all contents of a row, joined by lines of a character that is taken out of them
+    wide = lambda b: F.coalesce(b["label"], F.lit("")).isin(*TURNED_LABELS) & (F.coalesce(b["content"], F.lit("")) != "") & (b["x2"] - b["x1"] > b["y2"] - b["y1"])
+    contents = F.transform(F.filter(blocks, wide), lambda b: F.translate(b["content"], "\x1e", " "))
+    out = docs.withColumn("_turned", F.split(fix(F.array_join(contents, "\n\x1e\n")), "\n\x1e\n"))
+    before = lambda i: F.size(F.filter(F.slice(blocks, F.lit(1), i), wide))
+    turned = F.transform(blocks, lambda b, i: F.when(wide(b), b.withField("content", F.get("_turned", before(i)))).otherwise(b))
+    return out.withColumn(blocks, turned).drop("_turned")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quireflow.functions import textclean as T
 
+# A box marker in Markdown.
 MARKER = r"bbox:\[(\d+),\s*(\d+),\s*(\d+),\s*(\d+)\]"
 
 
@@ -34,13 +35,15 @@ def parse_inline(docs: DataFrame, doc: str, text: str = "markdown") -> DataFrame
 
 
 def group_crops(pieces: DataFrame, doc: str, big: str, seq: str, is_title: str, text: str) -> DataFrame:
-    """doc, big, part, text: a crop's pieces in order; titles stand alone, the others between them are joined by newlines and cleaned."""
+    """doc, big, part, text: a crop's pieces in order; titles stand alone, the others between them are joined by newlines; each is cleaned, and goes if nothing is left."""
     order = Window.partitionBy(doc, big).orderBy(seq)
     titles = F.sum(F.col(is_title).cast("int")).over(order)
     rows = pieces.withColumn("_part", 2 * titles - F.col(is_title).cast("int"))
     body = F.sort_array(F.collect_list(F.struct(F.col(seq), F.col(text))))
-    joined = T.strip(F.array_join(F.transform(body, lambda x: x[text]), "\n"))
-    return rows.groupBy(doc, big, "_part").agg(joined.alias("text")).where("text <> ''").select(doc, big, F.col("_part").alias("part"), "text")
+    joined = F.array_join(F.transform(body, lambda x: x[text]), "\n")
+    grouped = rows.groupBy(doc, big, "_part").agg(joined.alias("_raw"))
+    cleaned = grouped.select(doc, big, F.col("_part").alias("part"), T.normalise_markdown(T.full_clean(F.col("_raw"))).alias("text"))
+    return cleaned.where("text <> ''")
 
 
 def add_markers(groups: DataFrame, boxes: DataFrame, doc: str, big: str) -> DataFrame:

@@ -55,10 +55,11 @@ def name_crops(df: DataFrame, page: str, order: str) -> DataFrame:
 def sub_crops(df: DataFrame, subs: str = "subs") -> DataFrame:
     """Rows of the array ``subs`` (x1, y1, x2, y2 within the crop), numbered before empty ones go, in page coordinates, clipped to the crop.
 
-    A crop without any valid sub box stays as itself (sub_no null).
+    A crop without any valid sub box stays as itself (sub_no null). Labels of sub boxes, if they have any, are sub_label.
     """
+    labelled = "label" in df.schema[subs].dataType.elementType.fieldNames()
     w, h = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    box = lambda b, i: F.struct((i + 1).alias("sub_no"), F.greatest(F.lit(0), b["x1"]).alias("a"), F.greatest(F.lit(0), b["y1"]).alias("b"), F.least(w, b["x2"]).alias("c"), F.least(h, b["y2"]).alias("d"))
+    box = lambda b, i: F.struct((i + 1).alias("sub_no"), F.greatest(F.lit(0), b["x1"]).alias("a"), F.greatest(F.lit(0), b["y1"]).alias("b"), F.least(w, b["x2"]).alias("c"), F.least(h, b["y2"]).alias("d"), *([b["label"].alias("label")] if labelled else []))
     fine = F.filter(F.transform(subs, box), lambda s: (s["c"] > s["a"]) & (s["d"] > s["b"]))
     out = df.withColumn("_s", F.explode_outer(fine))
     name = F.when(F.col("_s").isNull(), F.col("name")).otherwise(F.concat_ws(".", "name", F.col("_s.sub_no").cast("string")))
@@ -67,6 +68,7 @@ def sub_crops(df: DataFrame, subs: str = "subs") -> DataFrame:
         "sub_name": name, "sub_no": F.col("_s.sub_no"),
         "px1": F.coalesce(F.col(base["x1"]) + F.col("_s.a"), F.col("x1")), "py1": F.coalesce(F.col(base["y1"]) + F.col("_s.b"), F.col("y1")),
         "px2": F.coalesce(F.col(base["x1"]) + F.col("_s.c"), F.col("x2")), "py2": F.coalesce(F.col(base["y1"]) + F.col("_s.d"), F.col("y2")),
+        **({"sub_label": F.col("_s.label")} if labelled else {}),
     }).drop("_s")
 
 

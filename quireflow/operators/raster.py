@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -129,6 +130,48 @@ def pad_white(picture: np.ndarray) -> np.ndarray:
     return out
 
 
+def seed_of(*key) -> int:
+    """The same for the same key, wherever it is computed."""
+    return zlib.crc32("\x1f".join(map(str, key)).encode())
+
+
+def solid_sheet(height: int, width: int, like: np.ndarray, colour) -> np.ndarray:
+    """A sheet of one colour in the channels and type of ``like``: a number or a colour's first value for grey; missing channels are 0, and a fourth one is 255."""
+    values = np.atleast_1d(np.asarray(colour)).astype(int)
+    if like.ndim == 2 or like.shape[2] == 1:
+        return np.full((height, width, *like.shape[2:]), values[0], like.dtype)
+    out = np.zeros((height, width, like.shape[2]), like.dtype)
+    n = min(like.shape[2], len(values))
+    out[..., :n] = values[:n]
+    if like.shape[2] == 4:
+        out[..., 3] = 255
+    return out
+
+
+def background_stats(picture: np.ndarray, spans: list[tuple[int, int]], below: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and standard deviation, by channel, of pixels without ink outside the given columns; of all without ink if there are none."""
+    clear = ink(picture, below) == 0
+    outside = np.ones(picture.shape[1], bool)
+    for a, z in spans:
+        outside[a:z] = False
+    some = clear & outside
+    pixels = picture[some if some.any() else clear].reshape(-1, 1 if picture.ndim == 2 else picture.shape[2]).astype(float)
+    return pixels.mean(0), pixels.std(0)
+
+
+def paint_boxes(picture: np.ndarray, boxes: list[tuple[int, int, int, int]], colour=(255, 0, 0), thickness: int = 8) -> np.ndarray:
+    """The picture as RGB with outlines of boxes, which are clamped to it; lines go inwards."""
+    out = np.repeat(picture.reshape(*picture.shape[:2], 1), 3, 2) if picture.ndim == 2 or picture.shape[2] == 1 else picture[..., :3].copy()
+    h, w = out.shape[:2]
+    for x1, y1, x2, y2 in boxes:
+        x1, x2 = sorted((min(max(x1, 0), w), min(max(x2, 0), w)))
+        y1, y2 = sorted((min(max(y1, 0), h), min(max(y2, 0), h)))
+        t = thickness
+        for part in (np.s_[y1 : min(y1 + t, y2), x1:x2], np.s_[max(y2 - t, y1) : y2, x1:x2], np.s_[y1:y2, x1 : min(x1 + t, x2)], np.s_[y1:y2, max(x2 - t, x1) : x2]):
+            out[part] = colour
+    return out
+
+
 def prepare_crops(crops: DataFrame, options: GutterOptions = GutterOptions()) -> DataFrame:
     """crops (key, label, h, w, c, data) with widened gutters (label region only) and padding, in one pass over the pixels."""
 
@@ -140,7 +183,7 @@ def prepare_crops(crops: DataFrame, options: GutterOptions = GutterOptions()) ->
                     continue
                 p = np.frombuffer(r.data, np.uint8).reshape((r.h, r.w, r.c) if r.c > 1 else (r.h, r.w))
                 if r.label == "region":
-                    p = widen(p, options, seed=hash(r.key) & 0xFFFFFFFF if isinstance(r.key, int) else int.from_bytes(str(r.key).encode()[-4:], "big"))
+                    p = widen(p, options, seed=seed_of(r.key))
                 if 0.1 <= p.shape[1] / p.shape[0] <= 10:
                     p = pad_white(p)
                 out.append((r.key, r.label, p.shape[0], p.shape[1], 1 if p.ndim == 2 else p.shape[2], p.tobytes()))

@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quireflow.tables import Tables
+
 #: (x, y) shares by which boxes are shrunk before cutting: whole pages, and crops of a page.
 PAGE_SCALE, CROP_SCALE = (0.0667, 0.6667), (0.2, 0.0667)
 
@@ -33,8 +35,14 @@ def islands(df: DataFrame, group: list[str], lo: str, hi: str, idx: str, name: s
     return df.withColumn(name, F.when(inside, F.col("_run"))).drop("_run", "_end", "_last")
 
 
-def reading_order(df: DataFrame, page: str, idx: str, scale: tuple[float, float] = PAGE_SCALE, rounds: int = 6) -> DataFrame:
-    """Adds rank (from 1). ``rounds`` bounds the depth of the cuts; a group that is cut no further stays as it is."""
+def reading_order(df: DataFrame, page: str, idx: str, scale: tuple[float, float] = PAGE_SCALE, rounds: int = 2, tables: Tables | None = None) -> DataFrame:
+    """Adds rank (from 1), for any depth of cuts.
+
+    ``rounds`` of cuts are made by windows. Pages with a group of several boxes that may be cut further after those are
+    ordered by ``cut_order`` instead, each in one call; the boxes are written once for that.
+    """
+    tables = tables or Tables(df.sparkSession, "order")
+    names = df.columns
     df = shrunk(df, page, scale).withColumn("_done", F.lit(False))
     path: list[str] = []
     for k in range(rounds):
@@ -46,9 +54,15 @@ def reading_order(df: DataFrame, page: str, idx: str, scale: tuple[float, float]
             path.append(name)
     # boxes that fell out of a run come last, in input order
     out = F.greatest(*[F.col(p).isNull().cast("int") for p in path])
+    several = F.count(F.lit(1)).over(Window.partitionBy(page, *path)) > 1
+    df = df.withColumn("_open", F.max((~F.col("_done") & (out == 0) & several).cast("int")).over(Window.partitionBy(page)) == 1)
     keys = [F.when(out == 0, F.col(p)) for p in path]
     order = Window.partitionBy(page).orderBy(out, *keys, F.when(out == 0, F.col("ly")), F.when(out == 0, F.col("lx")), idx)
-    return df.withColumn("rank", F.row_number().over(order)).drop(*path, "_done")
+    df = tables.cut(df.withColumn("rank", F.row_number().over(order)).drop(*path, "_done"), "ranked")
+    further = df.where("_open")
+    deep = _grouped(further, page, idx).select(F.col(page).alias("_page"), F.col(idx).alias("_idx"), "rank")
+    deep = further.drop("rank").join(deep, F.col(page).eqNullSafe(F.col("_page")) & (F.col(idx) == F.col("_idx")))
+    return df.where("NOT _open").select(*names, "rank").unionByName(deep.select(*names, "rank"))
 
 
 def _runs(boxes: list[tuple], lo: int, hi: int) -> list[list[tuple]]:
@@ -83,12 +97,21 @@ def cut_order(boxes: list[tuple]) -> list:
     return [b[0] for b in done] + [b[0] for b in boxes if b[0] not in seen]
 
 
+def _grouped(boxes: DataFrame, page: str, idx: str) -> DataFrame:
+    def one(g):
+        rows = sorted(g[[idx, "lx", "ly", "hx", "hy"]].itertuples(index=False, name=None))
+        return pd.DataFrame({page: g[page].iloc[0], idx: cut_order(rows), "rank": range(1, len(rows) + 1)})
+
+    types = dict(boxes.dtypes)
+    return boxes.select(page, idx, "lx", "ly", "hx", "hy").groupBy(page).applyInPandas(one, f"{page} {types[page]}, {idx} {types[idx]}, rank int")
+
+
 def reading_order_grouped(df: DataFrame, page: str, idx: str, scale: tuple[float, float] = PAGE_SCALE) -> DataFrame:
     """page, idx, rank by one function call for each page; a page has as many boxes as fit on it."""
+    return _grouped(shrunk(df, page, scale), page, idx)
 
-    def one(g):
-        boxes = sorted(g[[idx, "lx", "ly", "hx", "hy"]].itertuples(index=False, name=None))
-        return pd.DataFrame({page: g[page].iloc[0], idx: cut_order(boxes), "rank": range(1, len(boxes) + 1)})
 
-    types = dict(df.dtypes)
-    return shrunk(df, page, scale).select(page, idx, "lx", "ly", "hx", "hy").groupBy(page).applyInPandas(one, f"{page} {types[page]}, {idx} {types[idx]}, rank int")
+def order_boxes(boxes: list[list[int]], scale: tuple[float, float]) -> list[int]:
+    """Places of boxes (x1, y1, x2, y2) in reading order, as ``reading_order`` has them."""
+    s = max((max(abs(b[0]), abs(b[2])) for b in boxes), default=0)
+    return cut_order([(k, s - x2, y1, int(s - x1 - (x2 - x1) * scale[0]), int(y2 - (y2 - y1) * scale[1])) for k, (x1, y1, x2, y2) in enumerate(boxes)])

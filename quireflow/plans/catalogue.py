@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from quireflow.functions import textclean as T
 from quireflow.operators import chain as C
+from quireflow.operators import detect as E
 from quireflow.operators import direction as D
 from quireflow.operators import fragments as P
 from quireflow.operators import geometry as G
 from quireflow.operators import raster as R
 from quireflow.operators import xycut as X
+from quireflow.plans import fakes
+from quireflow.plans.stages import page_pipeline
 from quireflow.plans.views import FRAGS, LAYOUT, doc_lines, frags, layout, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,12 +167,12 @@ def _(s, d):
 
 @query("xy_reading_order", xy_sql(X.PAGE_SCALE, 4))
 def _(s, d):
-    return X.reading_order(layout(s, d), "page", "region", X.PAGE_SCALE, rounds=4).select("page", "region", "rank")
+    return X.reading_order(layout(s, d), "page", "region", X.PAGE_SCALE).select("page", "region", "rank")
 
 
 @query("xy_reading_order_small", xy_sql(X.CROP_SCALE, 4))
 def _(s, d):
-    return X.reading_order(layout(s, d), "page", "region", X.CROP_SCALE, rounds=4).select("page", "region", "rank")
+    return X.reading_order(layout(s, d), "page", "region", X.CROP_SCALE).select("page", "region", "rank")
 
 
 @query("xy_reading_order_grouped", xy_sql(X.PAGE_SCALE, 4))
@@ -212,32 +215,48 @@ def _(s, d):
 
 
 def shrink_sql(c: str) -> str:
-    return f"coalesce((list_filter(list_transform(range(1, len({c}) // 3 + 1), lambda p: CASE WHEN len({c}) % p = 0 AND repeat(left({c}, p), CAST(len({c}) // p AS BIGINT)) = {c} THEN left({c}, p) END), lambda u: u IS NOT NULL))[1], {c})"
+    sizes = f"list_filter(range(1, len({c}) // 3 + 1), lambda p: len({c}) % p = 0)"
+    return f"coalesce((list_filter(list_transform({sizes}, lambda p: CASE WHEN repeat(left({c}, p), CAST(len({c}) // p AS BIGINT)) = {c} THEN left({c}, p) END), lambda u: u IS NOT NULL))[1], {c})"
 
 
-@query("shrink_line_repeats", f"{LINES}, t AS (SELECT doc_id, line_no, CASE line_no % 3 WHEN 0 THEN repeat(left(line, 3), 4) WHEN 1 THEN left(line, 60) ELSE repeat(left(line, 1), 5) END AS line FROM l) SELECT doc_id, line_no, {shrink_sql('line')} AS line FROM t")
+# some lines are made three and five times as long, as real ones seldom repeat a unit
+REPEATED = "CASE line_no % 5 WHEN 0 THEN repeat(line, 3) WHEN 1 THEN repeat(line, 5) ELSE line END"
+
+
+@query("shrink_line_repeats", f"{LINES}, t AS (SELECT doc_id, line_no, {REPEATED} AS line FROM l) SELECT doc_id, line_no, {shrink_sql('line')} AS line FROM t")
 def _(s, d):
-    """Whole lines; the SQL still makes short ones of them, so it differs."""
-    return doc_lines(s, d).select("doc_id", "line_no", T.shrink_line(F.col("line")).alias("line"))
+    line = F.when(F.col("line_no") % 5 == 0, F.repeat("line", 3)).when(F.col("line_no") % 5 == 1, F.repeat("line", 5)).otherwise(F.col("line"))
+    return doc_lines(s, d).select("doc_id", "line_no", T.shrink_line(line).alias("line"))
 
 
-NORMAL = r"""
-SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents
-), s AS (SELECT doc_id, i, regexp_replace(raw, '^\s+|\s+$', '', 'g') AS x FROM l), k AS (SELECT doc_id, i, x, lag(x) OVER (PARTITION BY doc_id ORDER BY i) AS p,
-  regexp_matches(x, '^(#|<div|<table|<img|<tr)') AS b FROM s WHERE x <> ''), g AS (SELECT *, CASE WHEN p IS NULL THEN '' WHEN right(p, 1) NOT IN ('。', '！', '？', ')', '>', '|', '"', ';', '.', '；')
-  AND left(x, 1) NOT IN ('【', '(', '▲') AND NOT b AND NOT regexp_matches(p, '^(#|<div|<table|<img|<tr)') THEN '' ELSE chr(10) || chr(10) END AS glue FROM k)
-SELECT doc_id, string_agg(glue || x, '' ORDER BY i) AS text FROM g GROUP BY doc_id
-"""
+def normal_sql(c: str, frame: str, key: str) -> str:
+    """CTEs from ``frame`` (key, c) to ``normal`` (key, c): stripped lines without blank ones, joined where neither ends or begins for good."""
+    block = "^(#|<div|<table|<img|<tr)"
+    return rf"""n1 AS (SELECT {key}, unnest(string_split({c}, chr(10))) AS raw, unnest(range(len(string_split({c}, chr(10))))) AS i FROM {frame}),
+n2 AS (SELECT {key}, i, regexp_replace(raw, '^\s+|\s+$', '', 'g') AS x FROM n1),
+n3 AS (SELECT *, lag(x) OVER (PARTITION BY {key} ORDER BY i) AS p, regexp_matches(x, '{block}') AS b FROM n2 WHERE x <> ''),
+n4 AS (SELECT *, CASE WHEN p IS NULL THEN '' WHEN right(p, 1) NOT IN ('。', '！', '？', ')', '>', '|', '"', ';', '.', '；')
+  AND left(x, 1) NOT IN ('【', '(', '▲') AND NOT b AND NOT regexp_matches(p, '{block}') THEN '' ELSE chr(10) || chr(10) END AS glue FROM n3),
+n5 AS (SELECT {key}, string_agg(glue || x, '' ORDER BY i) AS t FROM n4 GROUP BY {key}),
+normal AS (SELECT {key}, coalesce(t, '') AS {c} FROM {frame} LEFT JOIN n5 USING ({key}))"""
 
 
-@query("normalise_markdown", f"WITH l AS ({NORMAL}")
+@query("normalise_markdown", f"WITH {normal_sql('text', 'documents', 'doc_id')} SELECT doc_id, text FROM normal")
 def _(s, d):
     return table(s, d, "documents").select("doc_id", T.normalise_markdown(F.col("text")).alias("text"))
 
 
-@query("full_text_clean", f"{LINES}, t AS (SELECT doc_id, line_no, left(line, 50) AS line FROM l), u AS (SELECT *, {shrink_sql('line')} AS c FROM t) SELECT doc_id, line_no, CASE WHEN c = line THEN ltrim(line) || chr(10) || chr(10) || 'ab' ELSE c || chr(10) || chr(10) || 'ab' END AS text FROM u")
+def clean_sql(c: str, frame: str, key: str) -> str:
+    """CTEs from ``frame`` (key, c) to ``cleaned`` (key, c): paren runs, delimiter rows, repetitions of the whole and of lines, newline runs, strip."""
+    return rf"""k1 AS (SELECT {key}, regexp_replace(regexp_replace({c}, '(\([^)]+\)\s*){{5,}}', '', 'g'), '(?m)^[-=*_○×☐]{{3,}}\s*$', '', 'g') AS t FROM {frame}),
+k2 AS (SELECT {key}, t, {shrink_sql('t')} AS u FROM k1),
+k3 AS (SELECT {key}, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS line_no FROM k2 WHERE t = u),
+k4 AS (SELECT {key}, string_agg({shrink_sql('line')}, chr(10) ORDER BY line_no) AS v FROM k3 GROUP BY {key}),
+cleaned AS (SELECT {key}, regexp_replace(regexp_replace(coalesce(v, u), '\n{{3,}}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS {c} FROM k2 LEFT JOIN k4 USING ({key}))"""
+
+
+@query("full_text_clean", f"WITH {clean_sql('text', 'documents', 'doc_id')} SELECT doc_id, text FROM cleaned")
 def _(s, d):
-    """Whole documents; the SQL still cleans the first 50 characters of lines, so it differs."""
     return table(s, d, "documents").select("doc_id", T.full_clean(F.col("text")).alias("text"))
 
 
@@ -248,9 +267,8 @@ def _(s, d):
     return frags(s, d).select("conv_id", "turn", T.format_title(text).alias("text"))
 
 
-@query("mirror_reverse", r"SELECT conv_id, turn, reverse(translate(regexp_replace(left(text, 30) || '(a]', '\s+$', ''), '([{<)]}>', ')]}>([{<')) || '  ' AS text FROM conversations")
+@query("mirror_reverse", "SELECT conv_id, turn, reverse(translate(text || '(a]', '([{<（《【「)]}>）》】」', ')]}>）》】」([{<（《【「')) || '  ' AS text FROM conversations")
 def _(s, d):
-    """Whole turns; the SQL still mirrors the first 30 characters, so it differs."""
     return table(s, d, "conversations").select("conv_id", "turn", T.mirror_reverse(F.concat("text", F.lit("(a]  "))).alias("text"))
 
 
@@ -285,7 +303,7 @@ def _(s, d):
     return frags(s, d).where(T.is_open(F.col("text"))).select("conv_id", "turn")
 
 
-@query("lone_header_flag", f"{WITH_F} SELECT conv_id, turn, turn % 2 = 0 AND strpos(trim(text, ' ' || chr(10)), chr(10)) = 0 AS lone FROM frags")
+@query("lone_header_flag", f"{WITH_F}, t AS (SELECT conv_id, turn, regexp_replace(CASE WHEN turn % 2 = 0 THEN '## ' || text ELSE text END, '^\\s+|\\s+$', '', 'g') AS t FROM frags) SELECT conv_id, turn, starts_with(t, '##') AND length(t) < 101 AND NOT contains(t, chr(10)) AND NOT contains(t, '<div') AND NOT contains(t, '<table') AND NOT contains(substr(t, 3), '##') AS lone FROM t")
 def _(s, d):
     return frags(s, d).select("conv_id", "turn", T.is_lone_header(F.when(F.col("turn") % 2 == 0, F.concat(F.lit("## "), "text")).otherwise(F.col("text"))).alias("lone"))
 
@@ -360,8 +378,14 @@ def _(s, d):
     return C.compose(ordered, links, "conv_id", "turn")
 
 
-@query("crop_grouping", f"""{WITH_F}, t AS (SELECT conv_id, CAST(turn // 4 AS BIGINT) AS big, turn, turn % 3 = 1 AS title, text FROM frags), p AS (SELECT *, 2 * sum(CASE WHEN title THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id, big ORDER BY turn) - CASE WHEN title THEN 1 ELSE 0 END AS part FROM t)
-SELECT conv_id, big, CAST(part AS BIGINT) AS part, trim(string_agg(text, chr(10) ORDER BY turn), ' ' || chr(10)) AS text FROM p GROUP BY conv_id, big, part HAVING trim(string_agg(text, chr(10) ORDER BY turn), ' ' || chr(10)) <> ''""")
+CROP = "conv_id, big, part"
+
+
+@query("crop_grouping", f"""{WITH_F}, t AS (SELECT conv_id, CAST(turn // 4 AS BIGINT) AS big, turn, turn % 3 = 1 AS title, text FROM frags), p AS (SELECT *, 2 * sum(CASE WHEN title THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id, big ORDER BY turn) - CASE WHEN title THEN 1 ELSE 0 END AS part FROM t),
+raw AS (SELECT conv_id, big, CAST(part AS BIGINT) AS part, string_agg(text, chr(10) ORDER BY turn) AS text FROM p GROUP BY conv_id, big, part),
+{clean_sql('text', 'raw', CROP)},
+{normal_sql('text', 'cleaned', CROP)}
+SELECT conv_id, big, part, text FROM normal WHERE text <> ''""")
 def _(s, d):
     pieces = frags(s, d).withColumn("big", F.floor(F.col("turn") / 4)).withColumn("title", F.col("turn") % 3 == 1)
     return P.group_crops(pieces, "conv_id", "big", "turn", "title", "text")
@@ -420,19 +444,8 @@ def _(s, d):
 
 
 def end_to_end(s: SparkSession, d: str) -> DataFrame:
-    """Layout filter, reading order, naming, stand-in OCR text, titles, grouping, markers, parsing, linking, composition."""
-    kept = G.filter_labels(G.drop_degenerate(layout(s, d), 1200, 1700), ["header", "advert"])
-    ordered = X.reading_order(kept, "page", "region", X.PAGE_SCALE, rounds=4)
-    crops = ordered.withColumn("big_no", F.col("rank"))
-    said = F.concat(F.lit("Region "), F.col("region").cast("string"), F.when(F.col("region") % 2 == 0, F.lit(" ends.")).otherwise(F.lit(" goes on")))
-    text = F.when(F.col("label") == "title", T.format_title(said)).otherwise(T.full_clean(said))
-    pieces = crops.select("page", "big_no", F.lit(1).alias("seq"), (F.col("label") == "title").alias("title"), text.alias("text"))
-    marked_docs = P.add_markers(P.group_crops(pieces, "page", "big_no", "seq", "title", "text"), crops.select("page", "big_no", "x1", "y1", "x2", "y2"), "page", "big_no")
-    blocks = P.parse_lines(marked_docs, "page")
-    near = C.neighbour_pairs(blocks, "page", "block_id").withColumn("near", C.spatial_weight()).withColumn("goes_on", F.lit(0.9995))
-    links = C.greedy_links(near.withColumn("mixed", C.mixed_strength(F.col("near"), F.col("goes_on"))), blocks, "page", "block_id")
-    walked = C.walk_order(blocks, links, "page", "block_id").join(blocks.select("page", "block_id", "text"), ["page", "block_id"])
-    return C.compose(walked, links, "page", "block_id")
+    """All eleven stages over pages drawn from the layout view, with stand-ins for the models. Pages without any text are left out."""
+    return page_pipeline(**fakes.CONFIG).run(fakes.pages(s, d)).where("markdown <> ''")
 
 
 @query("end_to_end_markdown")
@@ -440,9 +453,30 @@ def _(s, d):
     return end_to_end(s, d)
 
 
-@query("batch_summary", f"{WITH_L} SELECT count(DISTINCT page) AS documents, count(DISTINCT page) AS succeeded FROM layout WHERE label NOT IN ('header', 'advert')")
+@query("batch_summary")
+def _(s, d):
+    done = end_to_end(s, d).select("doc_id")
+    return fakes.pages(s, d).select(F.col("doc_id").alias("page")).join(done, F.col("page") == F.col("doc_id"), "left").agg(F.count(F.lit(1)).alias("documents"), F.count("doc_id").alias("succeeded"))
+
+
+DETECTED = "SELECT o_custkey AS doc_id, count(*) OVER (PARTITION BY o_custkey) AS n, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS k, o_orderkey AS r FROM orders"
+
+
+@query("coarse_boxes", f"""WITH d AS ({DETECTED}) SELECT doc_id, CAST(k AS INT) AS region, CASE r % 5 WHEN 0 THEN '' ELSE 'label ' || r % 5 END AS label,
+  CASE r % 3 WHEN 0 THEN 0.0::DOUBLE ELSE (r % 10) / 10.0::DOUBLE END AS confidence, CAST(trunc((r % 700) * (1000 / 1240.0::DOUBLE)) AS INT) AS x1, CAST(trunc((r % 900) * (1600 / 1755.0::DOUBLE)) AS INT) AS y1,
+  CAST(trunc((r % 700 + 33.5) * (1000 / 1240.0::DOUBLE)) AS INT) AS x2, CAST(trunc((r % 900 + 20.25) * (1600 / 1755.0::DOUBLE)) AS INT) AS y2 FROM d WHERE r % 7 <> 0""")
 def _(s, d):
-    return end_to_end(s, d).agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("markdown") != "").alias("succeeded"))
+    """Model results as JSON, under res.boxes or res, with short coordinates, scores under either name or none, and missing labels, to boxes in page pixels."""
+    r = F.col("o_orderkey")
+    x, y = (r % 700).cast("double"), (r % 900).cast("double")
+    corners = F.when(r % 7 == 0, F.array(x, y)).otherwise(F.array(x, y, x + 33.5, y + 20.25, F.lit(9.0)))
+    label = F.when(r % 5 != 0, F.concat(F.lit("label "), (r % 5).cast("string")))
+    value = (r % 10) / F.lit(10.0)
+    box = F.struct(corners.alias("coordinate"), label.alias("label"), F.when(r % 3 == 1, value).alias("score"), F.when(r % 3 == 2, value).alias("confidence"))
+    rows = table(s, d, "orders").groupBy(F.col("o_custkey").alias("doc_id")).agg(F.transform(F.sort_array(F.collect_list(F.struct("o_orderkey", box.alias("b")))), lambda q: q["b"]).alias("boxes"))
+    result = F.when(F.col("doc_id") % 2 == 0, F.to_json(F.struct(F.struct("boxes").alias("res")))).otherwise(F.to_json(F.struct(F.col("boxes").alias("res"))))
+    pages = rows.select("doc_id", F.lit(1000).alias("page_w"), F.lit(1600).alias("page_h"), result.alias("result"))
+    return E.normalise_boxes(pages, "result", (1240, 1755)).select("doc_id", "region", "label", "confidence", "x1", "y1", "x2", "y2")
 
 
 def flagship(s: SparkSession, d: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import os
 from collections.abc import Callable
 from copy import deepcopy
@@ -11,6 +12,9 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 
+_LOG = logging.getLogger(__name__)
+
+
 class LayoutError(Exception):
     """Base error, with details."""
 
@@ -79,7 +83,7 @@ class Config:
     values: dict = field(default_factory=dict)
 
     @classmethod
-    def load(cls, defaults: dict, path: str | None = None, environ: dict | None = None, prefix: str = "OP_", runtime: dict | None = None) -> Config:
+    def load(cls, defaults: dict, path: str | None = None, environ: dict | None = None, prefix: str = "QUIREFLOW_", runtime: dict | None = None) -> Config:
         values = deepcopy(defaults)
         if path is not None:
             if not os.path.exists(path):
@@ -106,26 +110,102 @@ class Config:
         return at
 
 
+@dataclass
+class Context:
+    """What stages share: the configuration, named tables, values, each stage's result, and the stage that is being built."""
+
+    config: Config = field(default_factory=Config)
+    tables: dict[str, DataFrame] = field(default_factory=dict)
+    values: dict[str, Any] = field(default_factory=dict)
+    results: dict[str, DataFrame] = field(default_factory=dict)
+    stage: str | None = None
+    scratch: Any = None
+
+    def get(self, key: str, default: Any = None) -> Any:
+        """A value of the configuration."""
+        return self.config.get(key, default)
+
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        """A frame that is read more than once, written to the shared folder."""
+        if self.scratch is None:
+            from quireflow.tables import Tables
+
+            self.scratch = Tables(df.sparkSession, "pages")
+        return self.scratch.cut(df, name)
+
+
+class Stage:
+    """Base of a stage with a state of its own: made once a pipeline; ``setup`` runs before the plan is built and ``teardown`` after it."""
+
+    def __init__(self, context: Context) -> None:
+        self.context = context
+
+    def setup(self) -> None: ...
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        raise NotImplementedError
+
+    def teardown(self) -> None: ...
+
+
 @dataclass
 class Pipeline:
-    """Composes registered stages to one lazy plan; ``results`` has every stage's DataFrame by name."""
+    """Composes registered stages to one plan; ``results`` has every stage's DataFrame by name.
+
+    A stage is a function of a frame and the context, or a subclass of Stage. ``stages`` is the given list, else the
+    configuration's ``pipeline.stages``, else every registered stage; those in ``skip`` or ``pipeline.skip_stages`` pass
+    their frame on unchanged.
+    """
 
-    stages: list[str]
+    stages: list[str] | None = None
     config: Config = field(default_factory=Config)
     skip: list[str] = field(default_factory=list)
     results: dict[str, DataFrame] = field(default_factory=dict)
+    context: Context | None = None
 
     def __post_init__(self) -> None:
-        self._built = [(name, STAGES.get(name)) for name in self.stages]  # an unknown name fails here, also if skipped
+        self.context = self.context or Context(self.config, results=self.results)
+        names = self.stages or self.config.get("pipeline.stages") or STAGES.names()
+        self.skip = [*self.skip, *(self.config.get("pipeline.skip_stages") or [])]
+        self._built = []
+        for name in [*names, *self.skip]:  # an unknown name fails here, also if skipped
+            STAGES.get(name)
+        for name in names:
+            made = STAGES.get(name)
+            self._built.append((name, made(self.context) if isinstance(made, type) else made))
 
     def run(self, df: DataFrame) -> DataFrame:
         for name, stage in self._built:
             if name not in self.skip:
+                self.context.stage = name
+                _LOG.info("stage %s", name)
                 try:
-                    df = stage(df, self.config)
+                    df = _applied(stage, df, self.context)
                 except LayoutError:
                     raise
                 except Exception as e:
                     raise PipelineError(str(e), stage=name) from e
             self.results[name] = df
+        self.context.stage = None
         return df
+
+
+def _applied(stage: Any, df: DataFrame, context: Context) -> DataFrame:
+    if not isinstance(stage, Stage):
+        return stage(df, context)
+    stage.setup()
+    try:
+        return stage.apply(df)
+    finally:
+        stage.teardown()
+
+
+def setup_logging(level: str = "INFO", file: str | None = None, form: str = "%(asctime)s %(name)s %(levelname)s %(message)s") -> logging.Logger:
+    """The package's logger, to the console and to a file if one is named. A second call changes the level only."""
+    logger = logging.getLogger("quireflow")
+    logger.setLevel(level.upper())
+    if not logger.handlers:
+        for handler in [logging.StreamHandler(), *([logging.FileHandler(file, encoding="utf-8")] if file else [])]:
+            handler.setFormatter(logging.Formatter(form))
+            logger.addHandler(handler)
+    return logger

@@ -13,7 +13,7 @@ SELECT o_custkey AS page, o_orderkey AS region, CAST((o_orderkey * 37) % 900 AS
 FROM orders
 """
 FRAGS = """
-SELECT conv_id, turn, substr(text, 1, 40) AS text, CAST((turn % 2) * 350 + (conv_id % 7) * 10 AS INT) AS x1, CAST(floor(turn / 2) * 120 AS INT) AS y1,
+SELECT conv_id, turn, text, CAST((turn % 2) * 350 + (conv_id % 7) * 10 AS INT) AS x1, CAST(floor(turn / 2) * 120 AS INT) AS y1,
   CAST((turn % 2) * 350 + (conv_id % 7) * 10 + 300 AS INT) AS x2, CAST(floor(turn / 2) * 120 + 100 AS INT) AS y2
 FROM conversations
 """
@@ -28,7 +28,7 @@ def layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The turns with their whole texts; FRAGS, which the queries' SQL reads, still has the first 40 characters."""
+    """The turns as text boxes, in SQL as FRAGS."""
     x, y = (F.col("turn") % 2) * 350 + (F.col("conv_id") % 7) * 10, F.floor(F.col("turn") / 2) * 120
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", *[c.cast("int").alias(n) for n, c in (("x1", x), ("y1", y), ("x2", x + 300), ("y2", y + 100))])
 

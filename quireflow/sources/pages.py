@@ -2,29 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quireflow.functions.textclean import strip_bbox_lines
+from quireflow.plans.registry import InputError
+
 # Suffixes of page files.
 SUFFIXES = ["png", "jpg", "jpeg", "bmp", "tiff", "pdf"]
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id (the file's stem), path, content of the page files directly in a folder, or of one file of any suffix. Streams read alike with readStream."""
-    files = spark.read.format("binaryFile").load(path)
-    name = F.element_at(F.split("path", "/"), -1)
-    single = path.rstrip("/").rsplit("/", 1)[-1].count(".") > 0 and "*" not in path
-    out = files.select(F.regexp_replace(name, r"\.[^.]*$", "").alias("doc_id"), "path", "content")
-    return out if single else out.where(F.lower(F.regexp_extract("path", r"\.([^.]*)$", 1)).isin(SUFFIXES))
+    """doc_id (the file's stem), path, content of the page files directly in a folder, or of one file of any suffix. A path that is not there raises."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    if not found:
+        raise InputError("no such path", path=path)
+    single = len(found) == 1 and found[0].isFile()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(path)
+    out = files.select(stem(F.col("path")).alias("doc_id"), "path", "content")
+    return out if single else out.where(F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1)).isin(SUFFIXES))
+
 
+def stem(path: Column) -> Column:
+    """A path's last part without its suffix."""
+    name = F.element_at(F.split(path, "/"), -1)
+    return F.when(name.rlike(r"^\.[^.]*$"), name).otherwise(F.regexp_replace(name, r"\.[^.]*$", ""))
 
-def final_text(final: str = "final_markdown", annotated: str = "markdown_bbox"):
+
+def final_text(final: Column, annotated: Column) -> Column:
     """The final text, else the annotated one without its markers."""
-    from quireflow.functions.textclean import strip_bbox_lines
+    return F.coalesce(F.when(final != "", final), strip_bbox_lines(annotated))
+
+
+def file_name(key: object) -> str:
+    """A document's name as a file's: separators and control characters are percent-coded, null is ``null``."""
+    return quote("null" if key is None else str(key), safe=" !#$&'()+,;=@[]{}~^`") or "%"
+
+
+def write_markdown(docs: DataFrame, root: str, doc: str = "doc_id", text: str = "markdown") -> int:
+    """Writes root/name/name.md for each document, in UTF-8, and gives their number. The executors write, through Arrow's file systems, each file under a hidden name first; a file that is there is replaced, so a task that runs again does no harm."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import uuid
 
-    return F.coalesce(F.when(F.col(final) != "", F.col(final)), strip_bbox_lines(F.col(annotated)))
+        from pyarrow import fs
 
+        store, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+        for b in batches:
+            for key, body in zip(b["key"], b["body"], strict=True):
+                name = file_name(key)
+                store.create_dir(f"{base}/{name}", recursive=True)
+                hidden = f"{base}/{name}/.{uuid.uuid4().hex}"
+                with store.open_output_stream(hidden) as f:
+                    f.write((body or "").encode("utf-8", "replace"))
+                store.move(hidden, f"{base}/{name}/{name}.md")
+            yield pd.DataFrame({"n": [len(b)]})
 
-def write_markdown(docs: DataFrame, root: str, doc: str = "doc_id", text: str = "markdown") -> None:
-    """One UTF-8 text file per document at root/doc=<id>/, written by the executors; nothing is collected."""
-    docs.select(doc, text).write.mode("overwrite").partitionBy(doc).option("lineSep", "\n").text(root)
+    rows = docs.select(F.col(doc).cast("string").alias("key"), F.col(text).cast("string").alias("body"))
+    return rows.mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).collect()[0][0]

@@ -10,7 +10,7 @@ os.environ["PYTHONPATH"] = os.path.dirname(os.path.dirname(os.path.abspath(__fil
 
 @pytest.fixture(scope="session")
 def spark():
-    s = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    s = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "4g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
