@@ -306,6 +306,8 @@ def training_pages(n: int = 500, seed: int = 5) -> list[tuple[str, list[tuple[st
             tag = kind if bare and chance(0.6) else pick(["div", "section", "div", "aside"] if kind != "nav" else ["div", "ul"])
             named = None if tag == kind and chance(0.5) else kind
             inside = []
+            if kind != "header" and chance(0.3):
+                inside.append(f"<{(c := pick(['h2', 'h3', 'h4']))}>{put(prose(1, 4), 0)}</{c}>")
             for _ in range(int(rng.integers(1, 4))):
                 if kind in ("nav", "aside", "share") and chance(0.7) or kind in ("footer", "header") and chance(0.4):
                     items = "".join(f'<li><a href="/{word()}">{put(prose(1, 4).rstrip("."), 0)}</a></li>' if chance(0.8) else f"<li>{put(prose(1, 6), 0)}</li>" for _ in range(int(rng.integers(2, 7))))
