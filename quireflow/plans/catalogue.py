@@ -18,7 +18,7 @@ from quireflow.operators import raster as R
 from quireflow.operators import xycut as X
 from quireflow.plans import fakes
 from quireflow.plans.stages import page_pipeline
-from quireflow.plans.views import FRAGS, LAYOUT, doc_lines, frags, layout, table
+from quireflow.plans.views import FRAGS, HALVES, LAYOUT, doc_lines, frags, halves, layout, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -219,14 +219,14 @@ def shrink_sql(c: str) -> str:
     return f"coalesce((list_filter(list_transform({sizes}, lambda p: CASE WHEN repeat(left({c}, p), CAST(len({c}) // p AS BIGINT)) = {c} THEN left({c}, p) END), lambda u: u IS NOT NULL))[1], {c})"
 
 
-# some lines are made three and five times as long, as real ones seldom repeat a unit
+# real lines seldom repeat a unit, so some are tried three and five times as long too
 REPEATED = "CASE line_no % 5 WHEN 0 THEN repeat(line, 3) WHEN 1 THEN repeat(line, 5) ELSE line END"
 
 
-@query("shrink_line_repeats", f"{LINES}, t AS (SELECT doc_id, line_no, {REPEATED} AS line FROM l) SELECT doc_id, line_no, {shrink_sql('line')} AS line FROM t")
+@query("shrink_line_repeats", f"{LINES}, t AS (SELECT doc_id, line_no, line, {REPEATED} AS again FROM l) SELECT doc_id, line_no, {shrink_sql('line')} AS line, {shrink_sql('again')} AS repeated FROM t")
 def _(s, d):
-    line = F.when(F.col("line_no") % 5 == 0, F.repeat("line", 3)).when(F.col("line_no") % 5 == 1, F.repeat("line", 5)).otherwise(F.col("line"))
-    return doc_lines(s, d).select("doc_id", "line_no", T.shrink_line(line).alias("line"))
+    again = F.when(F.col("line_no") % 5 == 0, F.repeat("line", 3)).when(F.col("line_no") % 5 == 1, F.repeat("line", 5)).otherwise(F.col("line"))
+    return doc_lines(s, d).select("doc_id", "line_no", T.shrink_line(F.col("line")).alias("line"), T.shrink_line(again).alias("repeated"))
 
 
 def normal_sql(c: str, frame: str, key: str) -> str:
@@ -298,9 +298,9 @@ def _(s, d):
     return P.parse_inline(marked(s, d, " "), "conv_id")
 
 
-@query("open_tail_seeds", r"WITH frags AS (" + FRAGS + r"), t AS (SELECT conv_id, turn, regexp_replace(text, '\s+$', '') AS t FROM frags) SELECT conv_id, turn FROM t WHERE t <> '' AND right(t, 1) NOT IN ('。', '！', '？', '.', ')', '）', '】', '【', '」', '…', '""', '''')".replace('\'""\'', "'\"'"))
+@query("open_tail_seeds", r"WITH frags AS (" + HALVES + r"), t AS (SELECT conv_id, turn, regexp_replace(text, '\s+$', '') AS t FROM frags) SELECT conv_id, turn FROM t WHERE t <> '' AND right(t, 1) NOT IN ('。', '！', '？', '.', ')', '）', '】', '【', '」', '…', '""', '''')".replace('\'""\'', "'\"'"))
 def _(s, d):
-    return frags(s, d).where(T.is_open(F.col("text"))).select("conv_id", "turn")
+    return halves(s, d).where(T.is_open(F.col("text"))).select("conv_id", "turn")
 
 
 @query("lone_header_flag", f"{WITH_F}, t AS (SELECT conv_id, turn, regexp_replace(CASE WHEN turn % 2 = 0 THEN '## ' || text ELSE text END, '^\\s+|\\s+$', '', 'g') AS t FROM frags) SELECT conv_id, turn, starts_with(t, '##') AND length(t) < 101 AND NOT contains(t, chr(10)) AND NOT contains(t, '<div') AND NOT contains(t, '<table') AND NOT contains(substr(t, 3), '##') AS lone FROM t")
@@ -308,7 +308,7 @@ def _(s, d):
     return frags(s, d).select("conv_id", "turn", T.is_lone_header(F.when(F.col("turn") % 2 == 0, F.concat(F.lit("## "), "text")).otherwise(F.col("text"))).alias("lone"))
 
 
-PAIRS = f"""{WITH_F}, p AS (
+PAIRS = f"""WITH frags AS ({HALVES}), p AS (
   SELECT a.conv_id, a.turn AS src, b.turn AS dst, a.text AS a_text, b.text AS b_text, abs(b.x2 - a.x1) AS h, abs(b.y1 - a.y2) AS v, abs(a.y1 - b.y1) AS dy, abs(b.x1 - a.x2) AS dx
   FROM frags a JOIN frags b ON a.conv_id = b.conv_id AND a.turn <> b.turn
   WHERE NOT starts_with(b.text, '<div') AND ((abs(b.x2 - a.x1) <= 200 AND abs(b.y2 - a.y2) <= 100) OR abs(b.y1 - a.y2) <= 1000)
@@ -318,7 +318,7 @@ x AS (SELECT *, CASE WHEN near > 0.95::DOUBLE AND goes_on > 0.999::DOUBLE THEN g
 
 
 def pairs(s: SparkSession, d: str) -> DataFrame:
-    df = C.neighbour_pairs(frags(s, d), "conv_id", "turn").withColumn("near", C.spatial_weight())
+    df = C.neighbour_pairs(halves(s, d), "conv_id", "turn").withColumn("near", C.spatial_weight())
     score = ((F.length("a_text") * 31 + F.length("b_text") * 17 + F.col("src") * 7 + F.col("dst") * 13) % 997) / F.lit(998.0)
     df = df.withColumn("goes_on", score)
     return df.withColumn("mixed", C.mixed_strength(F.col("near"), F.col("goes_on")))
@@ -326,7 +326,7 @@ def pairs(s: SparkSession, d: str) -> DataFrame:
 
 @query("neighbour_pairs", f"{PAIRS} SELECT conv_id, src, dst FROM p")
 def _(s, d):
-    return C.neighbour_pairs(frags(s, d), "conv_id", "turn").select("conv_id", "src", "dst")
+    return C.neighbour_pairs(halves(s, d), "conv_id", "turn").select("conv_id", "src", "dst")
 
 
 @query("spatial_weight", f"{PAIRS} SELECT conv_id, src, dst, round(near, 6) AS near FROM w")
@@ -346,17 +346,17 @@ def _(s, d):
 
 @query("greedy_links")
 def _(s, d):
-    return C.greedy_links(pairs(s, d), frags(s, d), "conv_id", "turn")
+    return C.greedy_links(pairs(s, d), halves(s, d), "conv_id", "turn")
 
 
 def every_other(s: SparkSession, d: str) -> DataFrame:
     """A fixed link table: each turn goes on two turns later."""
-    f = frags(s, d).select("conv_id", "turn")
+    f = halves(s, d).select("conv_id", "turn")
     g = f.select(F.col("conv_id").alias("c"), F.col("turn").alias("dst"))
     return f.join(g, (F.col("conv_id") == F.col("c")) & (F.col("turn") + 2 == F.col("dst"))).select("conv_id", F.col("turn").alias("src"), "dst", F.lit(1.0).alias("mixed"))
 
 
-WALK = f"""WITH RECURSIVE frags AS ({FRAGS}), e AS (SELECT a.conv_id, a.turn AS src, b.turn AS dst FROM frags a JOIN frags b ON a.conv_id = b.conv_id AND a.turn + 2 = b.turn),
+WALK = f"""WITH RECURSIVE frags AS ({HALVES}), e AS (SELECT a.conv_id, a.turn AS src, b.turn AS dst FROM frags a JOIN frags b ON a.conv_id = b.conv_id AND a.turn + 2 = b.turn),
 r AS (SELECT conv_id, turn AS head, turn, 0 AS hops FROM frags f WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.conv_id = f.conv_id AND e.dst = f.turn)
   UNION ALL SELECT r.conv_id, r.head, e.dst, r.hops + 1 FROM r JOIN e ON r.conv_id = e.conv_id AND r.turn = e.src),
 o AS (SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY head, hops) AS INT) AS seq FROM r)"""
@@ -364,7 +364,7 @@ o AS (SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id ORDER B
 
 @query("chain_walk_order", f"{WALK} SELECT conv_id, turn, seq FROM o")
 def _(s, d):
-    return C.walk_order(frags(s, d), every_other(s, d), "conv_id", "turn")
+    return C.walk_order(halves(s, d), every_other(s, d), "conv_id", "turn")
 
 
 @query("compose_document", f"""{WALK}, b AS (SELECT o.conv_id, o.turn, o.seq, trim(regexp_replace(f.text, '\\s+$', '')) AS body FROM o JOIN frags f USING (conv_id, turn)),
@@ -374,7 +374,7 @@ g AS (SELECT p.*, CASE WHEN pid IS NULL THEN '' WHEN (starts_with(pb, '##') AND
 SELECT conv_id, string_agg(glue || body, '' ORDER BY seq) AS markdown FROM g GROUP BY conv_id""")
 def _(s, d):
     links = every_other(s, d)
-    ordered = C.walk_order(frags(s, d), links, "conv_id", "turn").join(frags(s, d).select("conv_id", "turn", "text"), ["conv_id", "turn"])
+    ordered = C.walk_order(halves(s, d), links, "conv_id", "turn", text="text")
     return C.compose(ordered, links, "conv_id", "turn")
 
 
@@ -480,7 +480,7 @@ def _(s, d):
 
 
 def flagship(s: SparkSession, d: str) -> DataFrame:
-    """Conversations as annotated Markdown, parsed, linked by place and a deterministic score, and composed again."""
-    links = C.greedy_links(pairs(s, d), frags(s, d), "conv_id", "turn")
-    ordered = C.walk_order(frags(s, d), links, "conv_id", "turn").join(frags(s, d).select("conv_id", "turn", "text"), ["conv_id", "turn"])
+    """Conversations' fragments, linked by place and a deterministic score, and composed again."""
+    links = C.greedy_links(pairs(s, d), halves(s, d), "conv_id", "turn")
+    ordered = C.walk_order(halves(s, d), links, "conv_id", "turn", text="text")
     return C.compose(ordered, links, "conv_id", "turn").select(F.col("conv_id").alias("doc_id"), "markdown")

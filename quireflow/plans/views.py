@@ -17,6 +17,13 @@ SELECT conv_id, turn, text, CAST((turn % 2) * 350 + (conv_id % 7) * 10 AS INT) A
   CAST((turn % 2) * 350 + (conv_id % 7) * 10 + 300 AS INT) AS x2, CAST(floor(turn / 2) * 120 + 100 AS INT) AS y2
 FROM conversations
 """
+# each turn as two fragments, one under the other, that together are all of it: most first halves end open
+HALVES = """
+SELECT conv_id, CAST(2 * turn + part AS BIGINT) AS turn, CASE part WHEN 0 THEN left(text, CAST(floor(length(text) / 2) AS INT)) ELSE substr(text, CAST(floor(length(text) / 2) AS INT) + 1) END AS text,
+  CAST((turn % 2) * 350 + (conv_id % 7) * 10 AS INT) AS x1, CAST(floor(turn / 2) * 120 + part * 60 AS INT) AS y1,
+  CAST((turn % 2) * 350 + (conv_id % 7) * 10 + 300 AS INT) AS x2, CAST(floor(turn / 2) * 120 + part * 60 + 50 AS INT) AS y2
+FROM conversations CROSS JOIN (SELECT 0 AS part UNION ALL SELECT 1 AS part) AS parts
+"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,3 +42,12 @@ def frags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+
+
+def halves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both halves of each turn as text boxes, in SQL as HALVES."""
+    half, x = F.floor(F.length("text") / 2).cast("int"), (F.col("turn") % 2) * 350 + (F.col("conv_id") % 7) * 10
+    y = F.floor(F.col("turn") / 2) * 120 + F.col("part") * 60
+    text = F.when(F.col("part") == 0, F.left("text", half)).otherwise(F.substr("text", half + 1))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", F.explode(F.array(F.lit(0), F.lit(1))).alias("part"))
+    return rows.select("conv_id", (F.col("turn") * 2 + F.col("part")).cast("long").alias("turn"), text.alias("text"), *[c.cast("int").alias(n) for n, c in (("x1", x), ("y1", y), ("x2", x + 300), ("y2", y + 50))])
