@@ -2,94 +2,27 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
 import gc
-import os
-import tempfile
-import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quireflow import tables
+from quireflow.tables import Tables, delete_path  # noqa: F401 - for the operators
+
 #: A word is a run of characters other than these six.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir, or set by setCheckpointDir. Only on one machine, where neither is there, a new temporary folder, which is then set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if held.isDefined():
-            return held.get()
-        if not spark.sparkContext.master.split("[")[0] == "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="quireflow-")
-        spark.sparkContext.setCheckpointDir(root)
-        return spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return root
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsc.hadoopConfiguration() if spark.sparkContext._jsc is not None else spark._jvm.org.apache.hadoop.conf.Configuration()
-    p.getFileSystem(conf).delete(p, True)
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-_ROOTS: list[tuple[SparkSession, str]] = []
-
-
-def delete_roots() -> None:
-    """Deletes what this process's calls have left in the shared folder, results included. Called when the process ends."""
-    while _ROOTS:
-        spark, root = _ROOTS.pop()
-        try:
-            delete_path(spark, root)
-        except Exception:  # noqa: BLE001, S110 - the JVM may be gone already
-            pass
-
-
-atexit.register(delete_roots)
-
-
-class Scratch:
-    """Intermediate tables of one call, as Parquet in the shared folder, so that a lost executor costs no recomputation beyond them.
-
-    ``cut`` writes and rereads a frame (it cuts the lineage), ``drop`` deletes one that nothing reads any more, and
-    ``finish`` cuts the result and deletes everything else. Results, and tables that a lazy result still reads, stay until
-    the process ends.
-    """
+class Scratch(Tables):
+    """Intermediate tables of one call. ``finish`` writes the result and deletes everything else; results, and tables that a lazy result still reads, stay until the process ends."""
 
     def __init__(self, spark: SparkSession, name: str) -> None:
-        self.spark, self.root, self.n = spark, f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}", 0
-        self.held: dict[str, str] = {}
-        _ROOTS.append((spark, self.root))
+        super().__init__(spark, name)
         ship(spark)
 
-    def path(self, name: str) -> str:
-        self.n += 1
-        self.held[name] = f"{self.root}/{self.n:03d}-{name}"
-        return self.held[name]
-
-    def cut(self, df: DataFrame, name: str) -> DataFrame:
-        path, schema = self.path(name), df.schema
-        df.write.parquet(path)
-        return self.spark.read.schema(schema).parquet(path)
-
-    def drop(self, *names: str) -> None:
-        for name in names:
-            if name in self.held:
-                delete_path(self.spark, self.held.pop(name))
-
     def finish(self, df: DataFrame) -> DataFrame:
         out = self.cut(df, "result")
         self.drop(*[n for n in list(self.held) if n != "result"])
@@ -97,26 +30,13 @@ class Scratch:
 
 
 _BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 500
-_SHIPPED = "quireflow-package.zip"
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends the package to the executors, once a session, so that Python workers can import it wherever they run.
-
-    Rows here are whole documents, so Spark's default of 10,000 rows for an Arrow batch is lowered; a setting of the
-    user's own stays.
-    """
+    """Sends the package to the executors. Rows here are whole documents, so Spark's default of 10,000 rows for an Arrow batch is lowered; a setting of the user's own stays."""
     if spark.conf.get(_BATCH_CONF) == "10000":
         spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
-    sc = spark.sparkContext
-    if any(str(f).endswith(_SHIPPED) for f in sc._python_includes):
-        return
-    top = Path(__file__).resolve().parent.parent
-    where = Path(tempfile.mkdtemp(prefix="quireflow-ship-")) / _SHIPPED
-    with zipfile.ZipFile(where, "w") as z:
-        for p in sorted(top.rglob("*.py")):
-            z.write(p, os.path.join(top.name, p.relative_to(top)))
-    sc.addPyFile(str(where))
+    tables.ship(spark)
 
 
 _KEPT: dict[str, object] = {}

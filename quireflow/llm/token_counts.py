@@ -37,6 +37,11 @@ STATE_EVERY = 64
 REPLACING = ["s3", "s3a", "s3n", "gs", "abfs", "abfss", "wasb", "wasbs", "oss", "cosn"]
 
 
+def refuse_replacing(scheme: str) -> None:
+    if scheme in REPLACING:
+        raise ValueError("a store needs a file system whose rename does not replace files")
+
+
 class RollupStore:
     """Rollups under ``path``."""
 
@@ -46,8 +51,7 @@ class RollupStore:
         hadoop = spark._jvm.org.apache.hadoop.fs
         self._at = lambda name: hadoop.Path(f"{path}/{name}")
         self._fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-        if self._fs.getUri().getScheme() in REPLACING:
-            raise ValueError("a store needs a file system whose rename does not replace files")
+        refuse_replacing(self._fs.getUri().getScheme())
 
     def _names(self) -> list[str]:
         folder = self._at("log")
