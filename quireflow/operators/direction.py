@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from quireflow.functions import textclean as T
 
 
+TIE = 1e-9
+
+
 def log_likelihood(texts: DataFrame, lexicon: DataFrame, keys: list[str], text: str, name: str) -> DataFrame:
     """keys with ``name``: the sum of ln(max(freq, 0.01) / total) over white-space tokens; -100 without any. lexicon: token, freq.
 
@@ -24,12 +27,12 @@ def log_likelihood(texts: DataFrame, lexicon: DataFrame, keys: list[str], text:
 
 
 def judge_direction(texts: DataFrame, lexicon: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """texts with rtl and fixed: whether the mirrored text is likelier, and the text so read. Texts of fewer than two characters stay."""
+    """texts with rtl and fixed: whether the mirrored text is likelier, and the text so read. Texts of fewer than two characters stay; so do ties, to TIE, as sums come in any order."""
     back = texts.withColumn("_mirror", T.mirror_reverse(F.col(text)))
     a = log_likelihood(back, lexicon, keys, text, "_forth")
     b = log_likelihood(back, lexicon, keys, "_mirror", "_back")
     out = back.join(a, keys).join(b, keys)
-    rtl = (F.length(text) >= 2) & (F.col("_forth") < F.col("_back"))
+    rtl = (F.length(text) >= 2) & (F.col("_forth") < F.col("_back") - TIE)
     return out.withColumn("rtl", rtl).withColumn("fixed", F.when(rtl, F.col("_mirror")).otherwise(F.col(text))).drop("_mirror", "_forth", "_back")
 
 
@@ -76,7 +79,7 @@ class Judge:
         return sum(math.log(max(self.lexicon.get(t, 0.01), 0.01) / self.total) for t in tokens) if tokens else -100.0
 
     def is_backwards(self, line: str) -> bool:
-        return len(line) >= 2 and self.log_likelihood(line) < self.log_likelihood(mirrored(line))
+        return len(line) >= 2 and self.log_likelihood(line) < self.log_likelihood(mirrored(line)) - TIE
 
     def fix_text(self, text: str) -> str:
         """Each line the way it is likelier."""

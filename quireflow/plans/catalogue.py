@@ -19,6 +19,7 @@ from quireflow.operators import xycut as X
 from quireflow.plans import fakes
 from quireflow.plans.stages import page_pipeline
 from quireflow.plans.views import FRAGS, HALVES, LAYOUT, doc_lines, frags, halves, layout, table
+from quireflow.sources.pages import success_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -367,11 +368,14 @@ def _(s, d):
     return C.walk_order(halves(s, d), every_other(s, d), "conv_id", "turn")
 
 
-@query("compose_document", f"""{WALK}, b AS (SELECT o.conv_id, o.turn, o.seq, trim(regexp_replace(f.text, '\\s+$', '')) AS body FROM o JOIN frags f USING (conv_id, turn)),
+COMPOSE = f"""{WALK}, b AS (SELECT o.conv_id, o.turn, o.seq, trim(regexp_replace(f.text, '\\s+$', '')) AS body FROM o JOIN frags f USING (conv_id, turn)),
 p AS (SELECT *, lag(body) OVER w AS pb, lag(turn) OVER w AS pid FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY seq)),
 g AS (SELECT p.*, CASE WHEN pid IS NULL THEN '' WHEN (starts_with(pb, '##') AND strpos(pb, chr(10)) = 0) OR starts_with(body, '##') OR starts_with(body, '<div')
   OR NOT EXISTS (SELECT 1 FROM e WHERE e.conv_id = p.conv_id AND e.src = p.pid) THEN chr(10) || chr(10) ELSE '' END AS glue FROM p)
-SELECT conv_id, string_agg(glue || body, '' ORDER BY seq) AS markdown FROM g GROUP BY conv_id""")
+SELECT conv_id, string_agg(glue || body, '' ORDER BY seq) AS markdown FROM g GROUP BY conv_id"""
+
+
+@query("compose_document", COMPOSE)
 def _(s, d):
     links = every_other(s, d)
     ordered = C.walk_order(halves(s, d), links, "conv_id", "turn", text="text")
@@ -404,6 +408,25 @@ def _(s, d):
     return D.log_likelihood(doc_lines(s, d), lexicon(s, d), ["doc_id", "line_no"], "line", "loglik").withColumn("loglik", F.round("loglik", 6))
 
 
+def mirror_sql(c: str) -> str:
+    return rf"reverse(translate(regexp_replace({c}, '\s+$', ''), '([{{<（《【「)]}}>）》】」', ')]}}>）》】」([{{<（《【「')) || regexp_extract({c}, '\s+$')"
+
+
+def loglik_sql(c: str) -> str:
+    return rf"SELECT k.doc_id, k.line_no, coalesce(sum(ln(greatest(coalesce(x.freq, 0.01::DOUBLE), 0.01::DOUBLE) / z.total)) FILTER (k.token IS NOT NULL), -100.0::DOUBLE) AS ll FROM (SELECT doc_id, line_no, unnest(CASE WHEN len(t) = 0 THEN [NULL] ELSE t END) AS token FROM (SELECT doc_id, line_no, list_filter(string_split_regex({c}, '\s+'), lambda w: w <> '') AS t FROM b)) k LEFT JOIN x ON k.token = x.token CROSS JOIN z GROUP BY k.doc_id, k.line_no"
+
+
+# every other line is turned round before it is judged
+@query("direction_fix", f"""{LINES}, s AS (SELECT doc_id, line_no, CASE line_no % 2 WHEN 1 THEN {mirror_sql('line')} ELSE line END AS line FROM l), b AS (SELECT *, {mirror_sql('line')} AS back FROM s),
+x AS (SELECT token, CAST(count(*) AS DOUBLE) AS freq FROM (SELECT unnest(string_split_regex(line, '\\s+')) AS token FROM l) WHERE token <> '' GROUP BY token), z AS (SELECT sum(freq) AS total FROM x),
+f AS ({loglik_sql('line')}), r AS ({loglik_sql('back')})
+SELECT doc_id, line_no, length(line) >= 2 AND f.ll < r.ll - 1e-9::DOUBLE AS rtl, CASE WHEN length(line) >= 2 AND f.ll < r.ll - 1e-9::DOUBLE THEN back ELSE line END AS fixed FROM b JOIN f USING (doc_id, line_no) JOIN r USING (doc_id, line_no)""")
+def _(s, d):
+    line = F.when(F.col("line_no") % 2 == 1, T.mirror_reverse(F.col("line"))).otherwise(F.col("line"))
+    texts = doc_lines(s, d).select("doc_id", "line_no", line.alias("line"))
+    return D.judge_direction(texts, lexicon(s, d), ["doc_id", "line_no"], "line").select("doc_id", "line_no", "rtl", "fixed")
+
+
 PIXELS = "SELECT o_custkey AS crop, CAST(o_orderkey % 50 AS INT) AS x, CAST(o_orderkey % 7 AS INT) AS y, CAST((o_orderkey * 91) % 256 AS INT) AS value FROM orders"
 PROFILE = f"WITH p AS ({PIXELS}), c AS (SELECT crop, x, CAST(sum(CASE WHEN value <= 100 THEN 255 ELSE 0 END) AS BIGINT) AS profile FROM p GROUP BY crop, x)"
 
@@ -453,10 +476,9 @@ def _(s, d):
     return end_to_end(s, d)
 
 
-@query("batch_summary")
+@query("batch_summary", COMPOSE.replace("\nSELECT conv_id, string_agg", ",\nc AS (SELECT conv_id, string_agg") + ") SELECT (SELECT count(DISTINCT conv_id) FROM conversations) AS documents, count(*) FILTER (markdown <> '') AS succeeded FROM c")
 def _(s, d):
-    done = end_to_end(s, d).select("doc_id")
-    return fakes.pages(s, d).select(F.col("doc_id").alias("page")).join(done, F.col("page") == F.col("doc_id"), "left").agg(F.count(F.lit(1)).alias("documents"), F.count("doc_id").alias("succeeded"))
+    return success_count(table(s, d, "conversations"), QUERIES["compose_document"](s, d), "conv_id")
 
 
 DETECTED = "SELECT o_custkey AS doc_id, count(*) OVER (PARTITION BY o_custkey) AS n, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS k, o_orderkey AS r FROM orders"

@@ -65,3 +65,9 @@ def write_markdown(docs: DataFrame, root: str, doc: str = "doc_id", text: str =
 
     rows = docs.select(F.col(doc).cast("string").alias("key"), F.col(text).cast("string").alias("body"))
     return rows.mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).collect()[0][0]
+
+
+def success_count(tasks: DataFrame, done: DataFrame, doc: str = "doc_id", text: str = "markdown") -> DataFrame:
+    """One row: documents, and how many of them have a text."""
+    good = done.where(F.col(text) != "").select(F.col(doc).alias("_done")).distinct()
+    return tasks.select(doc).distinct().join(good, F.col(doc) == F.col("_done"), "left").agg(F.count(F.lit(1)).alias("documents"), F.count("_done").alias("succeeded"))
