@@ -12,9 +12,9 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from quireflow.plans.registry import Config, LayoutError, Pipeline, setup_logging
+from quireflow.plans.registry import BACKENDS, Config, LayoutError, Pipeline, setup_logging
 from quireflow.plans.stages import DEFAULTS
-from quireflow.sources.pages import read_pages, write_markdown
+from quireflow.sources.pages import read_pages, write_crop_texts, write_markdown, write_outlines
 
 
 def listed(raw: str | None) -> list[str] | None:
@@ -26,7 +26,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("-i", "--img_path", required=True, help="a page file, or a folder of them")
     p.add_argument("-o", "--output_path", required=True, help="root folder of the Markdown files")
     p.add_argument("-c", "--config", help="YAML file")
-    p.add_argument("-d", "--debug", action="store_true", help="also write the annotated Markdown, as name_with_bbox")
+    p.add_argument("-d", "--debug", action="store_true", help="also write the annotated Markdown, outlines of boxes, and each crop's text")
     p.add_argument("-v", "--verbose", action="store_true")
     p.add_argument("--skip", help="stages to pass over")
     p.add_argument("--only", help="stages to run, instead of all")
@@ -35,13 +35,26 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def write_debug(pipeline: Pipeline, root: str) -> None:
+    """What stages left, as far as they ran."""
+    held, ctx = pipeline.results, pipeline.context
+    if "postprocessor" in held:
+        write_markdown(held["postprocessor"], root, suffix="_with_bbox")
+    if "ocr" in held:
+        write_crop_texts(held["ocr"], root)
+    for stage in ("coarse_detector", "fine_detector"):
+        if stage in held and "pages" in ctx.tables:
+            write_outlines(ctx.tables["pages"], held[stage], root, stage, BACKENDS.get(f"decoder:{ctx.get('source.decoder')}")(), thickness=int(ctx.get("source.outline", 8)))
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     """0, or 1 if there is no such path or no page. A page whose models fail has an empty text, and is not counted as succeeded."""
     args = parser().parse_args(argv)
     log = setup_logging("DEBUG" if args.verbose else "INFO")
     for module in listed(args.plugins) or []:
         importlib.import_module(module)
-    runtime: dict = {"pipeline": {"skip_stages": listed(args.skip), "stages": listed(args.only)}, "crop_filter": {"ignore_labels": listed(args.ignore_labels) or []}}
+    chosen = {"skip_stages": listed(args.skip), "stages": listed(args.only)}
+    runtime: dict = {"pipeline": {k: v for k, v in chosen.items() if v}, "crop_filter": {"ignore_labels": listed(args.ignore_labels) or []}}
     own = spark is None
     spark = spark or SparkSession.builder.appName("quireflow").getOrCreate()
     try:
@@ -56,9 +69,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         out = pages.select("doc_id").join(texts, "doc_id", "left").withColumn("markdown", F.coalesce("markdown", F.lit("")))
         out = pipeline.context.cut(out, "written")
         write_markdown(out, args.output_path)
-        if args.debug and "postprocessor" in pipeline.results:
-            annotated = pipeline.results["postprocessor"]
-            write_markdown(annotated.withColumn("doc_id", F.concat("doc_id", F.lit("_with_bbox"))), args.output_path)
+        if args.debug:
+            write_debug(pipeline, args.output_path)
         done = out.where("markdown <> ''").count()
         log.info("%d/%d succeeded; results in %s", done, n, args.output_path)
         return 0

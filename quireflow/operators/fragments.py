@@ -54,3 +54,19 @@ def add_markers(groups: DataFrame, boxes: DataFrame, doc: str, big: str) -> Data
     marker = F.when(F.col("x1").isNotNull(), F.concat(F.lit("\n\nbbox:["), F.concat_ws(",", *low), F.lit("]"))).otherwise(F.lit(""))
     every = F.sort_array(F.collect_list(F.struct(F.col(big), F.concat("_text", marker).alias("t"))))
     return g.groupBy(doc).agg(F.array_join(F.transform(every, lambda x: x["t"]), "\n\n").alias("markdown"))
+
+
+def positional_labels(crops: DataFrame, doc: str, big: str, sub: str, label: str, there: str) -> DataFrame:
+    """crops with format_label and group_label, as labels are found when lists are paired by position.
+
+    Labels are those of sub crops only, in order. The n-th is taken for the n-th crop with a result (``there``) when titles
+    are formatted, and for the n-th crop of all when they part groups; crops beyond the list have none.
+    """
+    order = Window.partitionBy(doc).orderBy(big, F.coalesce(sub, F.lit(0)))
+    upto = lambda c: F.sum(c.cast("int")).over(order)
+    held = Window.partitionBy(doc)
+    rows = crops.withColumns({"_of_all": F.row_number().over(order), "_of_there": F.when(F.col(there), upto(F.col(there))), "_of_subs": F.when(F.col(sub).isNotNull(), upto(F.col(sub).isNotNull()))})
+    labels = F.transform(F.sort_array(F.collect_list(F.when(F.col(sub).isNotNull(), F.struct("_of_subs", label))).over(held)), lambda x: x[label])
+    rows = rows.withColumn("_labels", labels)
+    at = lambda k: F.get("_labels", F.col(k) - 1)
+    return rows.withColumns({"format_label": at("_of_there"), "group_label": at("_of_all")}).drop("_of_all", "_of_there", "_of_subs", "_labels")

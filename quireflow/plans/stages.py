@@ -31,7 +31,7 @@ DEFAULTS: dict = {
     "fine_detector": {"model": "none", "scale": list(X.CROP_SCALE)},
     "column_expander": {"extra": 5, "ink_below": 100, "least_depth": 0.6, "least_valley": 2, "least_column": 18, "smooth": 4, "jitter": 2},
     "ocr": {"model": "none", "second": None, "threads": 8, "timeout": 120},
-    "postprocessor": {"lexicon": None, "segmenter": "dictionary"},
+    "postprocessor": {"lexicon": None, "segmenter": "dictionary", "positional_labels": False},
     "reorder": {"model": "none", "left": 200, "diagonal": 100, "below": 1000, "least": 0.6, "decay": 500.0},
     "aggregator": {"output": None},
 }
@@ -110,13 +110,20 @@ def ocr(crops: DataFrame, ctx: Context) -> DataFrame:
 
 @STAGES.register("postprocessor")
 def postprocessor(results: DataFrame, ctx: Context) -> DataFrame:
-    """A row per document with its annotated Markdown. Results that are null are left out; so are documents without any."""
+    """A row per document with its annotated Markdown. Results that are null are left out; so are documents without any.
+
+    A crop's label is its own; with ``positional_labels`` it is looked up by position, with the shifts that this has.
+    """
     segment = {"dictionary": D.segment_dictionary, "words": D.segment_words}[ctx.get("postprocessor.segmenter")]
     judge = D.Judge(D.read_lexicon(results.sparkSession, path), segment) if (path := ctx.get("postprocessor.lexicon")) else None
+    if ctx.get("postprocessor.positional_labels"):
+        results = P.positional_labels(results.withColumn("there", F.col("blocks").isNotNull()), DOC, "big_no", "sub_no", "label", "there")
+    else:
+        results = results.withColumns({"format_label": F.col("label"), "group_label": F.col("label")})
     there = D.fix_direction(results.where(F.col("blocks").isNotNull()), "blocks", judge)
     said = F.array_join(F.transform("blocks", lambda b: b["content"]), "\n\n")
-    title = F.col("label") == "title"
-    pieces = there.withColumn("title", title).withColumn("text", F.when(title & (said != ""), T.format_title(said)).otherwise(said))
+    is_title = lambda c: F.coalesce(F.col(c) == "title", F.lit(False))
+    pieces = there.withColumn("title", is_title("group_label")).withColumn("text", F.when(is_title("format_label") & (said != ""), T.format_title(said)).otherwise(said))
     pieces = ctx.cut(pieces.select(DOC, "big_no", F.coalesce("sub_no", F.lit(0)).alias("seq"), "title", "text", "bx1", "by1", "bx2", "by2"), "pieces")
     boxes = pieces.select(DOC, "big_no", F.col("bx1").alias("x1"), F.col("by1").alias("y1"), F.col("bx2").alias("x2"), F.col("by2").alias("y2")).distinct()
     return P.add_markers(P.group_crops(pieces, DOC, "big_no", "seq", "title", "text"), boxes, DOC, "big_no")
@@ -142,6 +149,11 @@ def aggregator(docs: DataFrame, ctx: Context) -> DataFrame:
     return out
 
 
+#: The stages above, in their order.
+ORDER = [n for n in STAGES.names() if getattr(STAGES.get(n), "__module__", None) == __name__]
+DEFAULTS["pipeline"]["stages"] = ORDER
+
+
 def page_pipeline(stages: list[str] | None = None, skip: list[str] | None = None, **config) -> Pipeline:
     """The default pipeline: DEFAULTS, then the environment, then what is given by section."""
     return Pipeline(stages, Config.load(DEFAULTS, path=config.pop("path", None), runtime=config), skip or [])

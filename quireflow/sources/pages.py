@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,8 +45,12 @@ def file_name(key: object) -> str:
     return quote("null" if key is None else str(key), safe=" !#$&'()+,;=@[]{}~^`") or "%"
 
 
-def write_markdown(docs: DataFrame, root: str, doc: str = "doc_id", text: str = "markdown") -> int:
-    """Writes root/name/name.md for each document, in UTF-8, and gives their number. The executors write, through Arrow's file systems, each file under a hidden name first; a file that is there is replaced, so a task that runs again does no harm."""
+def write_files(files: DataFrame, root: str) -> int:
+    """Writes each row's ``body`` (binary) to the path below root that its ``parts`` (array of names) tell, and gives the number of rows.
+
+    The executors write, through Arrow's file systems, each file under a hidden name first; a file that is there is replaced,
+    so a task that runs again does no harm.
+    """
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import uuid
@@ -54,17 +59,44 @@ def write_markdown(docs: DataFrame, root: str, doc: str = "doc_id", text: str =
 
         store, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
         for b in batches:
-            for key, body in zip(b["key"], b["body"], strict=True):
-                name = file_name(key)
-                store.create_dir(f"{base}/{name}", recursive=True)
-                hidden = f"{base}/{name}/.{uuid.uuid4().hex}"
+            for parts, body in zip(b["parts"], b["body"], strict=True):
+                *folders, name = map(file_name, parts)
+                folder = "/".join([base, *folders])
+                store.create_dir(folder, recursive=True)
+                hidden = f"{folder}/.{uuid.uuid4().hex}"
                 with store.open_output_stream(hidden) as f:
-                    f.write((body or "").encode("utf-8", "replace"))
-                store.move(hidden, f"{base}/{name}/{name}.md")
+                    f.write(bytes(body or b""))
+                store.move(hidden, f"{folder}/{name}")
             yield pd.DataFrame({"n": [len(b)]})
 
-    rows = docs.select(F.col(doc).cast("string").alias("key"), F.col(text).cast("string").alias("body"))
-    return rows.mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).collect()[0][0]
+    return files.select("parts", "body").mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).collect()[0][0]
+
+
+def write_markdown(docs: DataFrame, root: str, doc: str = "doc_id", text: str = "markdown", suffix: str = "") -> int:
+    """Writes root/name/name.md for each document, in UTF-8, and gives their number. With a suffix, root/name/name<suffix>.md."""
+    name = F.coalesce(F.col(doc).cast("string"), F.lit("null"))
+    return write_files(docs.select(F.array(name, F.concat(name, F.lit(f"{suffix}.md"))).alias("parts"), F.col(text).cast("string").cast("binary").alias("body")), root)
+
+
+def write_crop_texts(results: DataFrame, root: str, doc: str = "doc_id") -> int:
+    """Writes root/name/debug/crop/crop.md for each recognised crop (doc, name, blocks) that has a text."""
+    said = F.array_join(F.transform("blocks", lambda b: b["content"]), "\n\n")
+    rows = results.where(F.col("blocks").isNotNull()).select(F.array(F.coalesce(F.col(doc).cast("string"), F.lit("null")), F.lit("debug"), "name", F.concat("name", F.lit(".md"))).alias("parts"), said.alias("said"))
+    return write_files(rows.where(~F.col("said").rlike(r"(?U)\A\s*\z")).select("parts", F.col("said").cast("binary").alias("body")), root)
+
+
+def write_outlines(pages: DataFrame, boxes: DataFrame, root: str, name: str, decode: Callable[[bytes], np.ndarray], doc: str = "doc_id", thickness: int = 8) -> int:
+    """Writes root/name/debug/<name>.ppm for each page with boxes (doc, x1, y1, x2, y2): the page as a Netpbm picture with their outlines."""
+    from quireflow.operators.raster import paint_boxes
+
+    def draw(key, page, own):
+        if not len(page) or not len(own) or page["content"].iloc[0] is None:
+            return pd.DataFrame({"key": [], "body": []})
+        p = paint_boxes(decode(bytes(page["content"].iloc[0])), list(own[["x1", "y1", "x2", "y2"]].astype(int).itertuples(index=False, name=None)), thickness=thickness)
+        return pd.DataFrame({"key": [str(key[0])], "body": [b"P6\n%d %d\n255\n" % (p.shape[1], p.shape[0]) + p.tobytes()]})
+
+    drawn = pages.select(doc, "content").groupBy(doc).cogroup(boxes.select(doc, "x1", "y1", "x2", "y2").groupBy(doc)).applyInPandas(draw, "key string, body binary")
+    return write_files(drawn.select(F.array("key", F.lit("debug"), F.lit(f"{name}.ppm")).alias("parts"), "body"), root)
 
 
 def success_count(tasks: DataFrame, done: DataFrame, doc: str = "doc_id", text: str = "markdown") -> DataFrame:
