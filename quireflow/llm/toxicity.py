@@ -21,6 +21,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -164,67 +165,91 @@ def _gradients(model: Model, words: list[bytes], ids: np.ndarray, mask: np.ndarr
     return g
 
 
-def log_odds(documents: list[tuple[list[bytes], int]]) -> tuple[dict[bytes, int], np.ndarray]:
+@dataclass
+class Sample:
+    """Training documents: ids, labels, and words as places in ``names``."""
+
+    ids: list[int]
+    toxic: list[int]
+    words: list[np.ndarray]
+    names: list[bytes]
+
+    @classmethod
+    def of(cls, rows: list[tuple[int, int, list[bytes]]]) -> Sample:
+        """rows: id, label, words; in the order of ids."""
+        place: dict[bytes, int] = {}
+        rows = sorted(rows, key=lambda r: r[0])
+        words = [np.array([place.setdefault(w, len(place)) for w in own], np.int32) for _, _, own in rows]
+        return cls([i for i, _, _ in rows], [t for _, t, _ in rows], words, list(place))
+
+    def part(self, which: list[int]) -> Sample:
+        return Sample([self.ids[k] for k in which], [self.toxic[k] for k in which], [self.words[k] for k in which], self.names)
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """All windows of all documents, words as places from 1 and 0 for padding, and each window's document."""
+        ids, owner = [], []
+        for k, w in enumerate(self.words):
+            starts = window_starts(len(w))
+            padded = np.concatenate([w + 1, np.zeros(max(0, WINDOW - len(w)), np.int32)])
+            ids.append(padded[starts[:, None] + np.arange(WINDOW)])
+            owner.append(np.full(len(starts), k))
+        return np.concatenate(ids).astype(np.int32), np.concatenate(owner)
+
+
+def log_odds(sample: Sample) -> tuple[dict[bytes, int], np.ndarray]:
     """Words of two training texts or more, with the log of how much likelier they are in toxic ones."""
-    seen, totals = {}, [0, 0]
-    for words, toxic in documents:
-        totals[toxic] += 1
-        for w in set(words):
-            seen.setdefault(w, [0, 0])[toxic] += 1
-    often = sorted((w for w, c in seen.items() if sum(c) > 1), key=lambda w: (-sum(seen[w]), w))
-    odds = np.array([0.0] + [np.log((seen[w][1] + 1) / (totals[1] + 2)) - np.log((seen[w][0] + 1) / (totals[0] + 2)) for w in often])
-    return {w: k + 1 for k, w in enumerate(often)}, np.clip(odds, -2, 7) / 2
+    seen, totals = np.zeros((2, len(sample.names)), np.int64), np.bincount(sample.toxic, minlength=2)
+    for toxic, words in zip(sample.toxic, sample.words, strict=True):
+        seen[toxic, np.unique(words)] += 1
+    often = sorted(np.flatnonzero(seen.sum(0) > 1).tolist(), key=lambda k: (-seen[:, k].sum(), sample.names[k]))
+    odds = np.log((seen[1, often] + 1) / (totals[1] + 2)) - np.log((seen[0, often] + 1) / (totals[0] + 2))
+    return {sample.names[k]: n + 1 for n, k in enumerate(often)}, np.clip(np.concatenate([[0.0], odds]), -2, 7) / 2
 
 
-def train(sample: list[tuple[int, int, list[list[bytes]]]], seed: int = 1) -> Model | None:
-    """sample: (doc, toxic, windows). None if a kind is missing. Deterministic for a given sample.
+def train(sample: Sample, seed: int = 1) -> Model | None:
+    """None if a kind is missing. Deterministic for a given sample.
 
-    A first model learns from three quarters of the sample, and the others give the cut with the best F1, which the logits
-    are shifted to; the model that is kept learns from all.
+    A first model learns from three quarters of the sample, and the others, scored as any text is, give the cut with the
+    best F1, which the logits are shifted to; the model that is kept learns from all.
     """
-    sample = sorted(sample, key=lambda s: s[0])
-    if len({t for _, t, _ in sample}) < 2:
+    toxic = np.array(sample.toxic)
+    if len(np.unique(toxic)) < 2:
         return None
-    part = np.zeros(len(sample), int)
+    part = np.zeros(len(toxic), int)
     for kind in (0, 1):
-        mine = [k for k, s in enumerate(sample) if s[1] == kind]
+        mine = np.flatnonzero(toxic == kind)
         part[mine] = np.arange(len(mine)) % 4
-    rest = [s for s, k in zip(sample, part, strict=True) if k == 3]
+    rest = np.flatnonzero(part == 3).tolist()
     cut = 0.0
-    if len({t for _, t, _ in rest}) == 2:
-        first, scorer_cut = _fit([s for s, k in zip(sample, part, strict=True) if k < 3], seed), []
-        scorer = Scorer(first)
-        for _, _, windows in rest:
-            scorer_cut.append(scorer.worst(windows))
-        cut = _best_cut(np.array(scorer_cut), np.array([t for _, t, _ in rest]))
+    if len(np.unique(toxic[rest])) == 2:
+        scorer = Scorer(_fit(sample.part(np.flatnonzero(part < 3).tolist()), seed))
+        worst = [scorer.worst([sample.names[w] for w in sample.words[k]]) for k in rest]
+        cut = _best_cut(np.array(worst), toxic[rest])
     model = _fit(sample, seed)
     model.shift = float(np.log(THRESHOLD / (1 - THRESHOLD)) - cut)
     return model
 
 
-def _fit(sample: list[tuple[int, int, list[list[bytes]]]], seed: int, epochs: int = 8, batch: int = 128, rate: float = 0.01) -> Model:
+def _fit(sample: Sample, seed: int, epochs: int = 6, batch: int = 128, rate: float = 0.01, least_steps: int = 150) -> Model:
+    """At least ``epochs`` rounds over the chosen windows, and more of them where a sample is so small that they are fewer than ``least_steps`` steps."""
     rng = np.random.default_rng(seed)
-    known, odds = log_odds([([w for x in windows for w in x], toxic) for _, toxic, windows in sample])
+    known, odds = log_odds(sample)
     model = Model(known, odds, seed)
-    windows = [x for _, _, xs in sample for x in xs]
-    doc = np.repeat(np.arange(len(sample)), [len(xs) for _, _, xs in sample])
-    toxic = np.array([t for _, t, _ in sample])
-    index: dict[bytes, int] = {}
-    ids = np.zeros((len(windows), WINDOW), np.int64)
-    for k, x in enumerate(windows):
-        ids[k, : len(x)] = [index.setdefault(w, len(index) + 1) for w in x]
-    names = list(index)
-    word_odds = np.concatenate([[0.0], [odds[known.get(w, 0)] for w in names]])
+    ids, doc = sample.windows()
+    toxic, names = np.array(sample.toxic), sample.names
+    word_odds = np.concatenate([[0.0], odds[[known.get(w, 0) for w in names]]])
     score = word_odds[ids].max(1)
     m, v, step = {k: np.zeros_like(x) for k, x in model.w.items()}, {k: np.zeros_like(x) for k, x in model.w.items()}, 0
     negative = np.flatnonzero(toxic[doc] == 0)
+    kinds = np.bincount(toxic, minlength=2)
+    epochs = max(epochs, -(-least_steps * batch // max(1, min(9 * kinds[1], kinds[1] + len(negative)))))
     for epoch in range(epochs):
         # of a toxic document, the windows that look worst are its toxic ones; of the others, all
-        worst = np.full(len(sample), -np.inf)
+        worst = np.full(len(toxic), -np.inf)
         np.maximum.at(worst, doc, score)
         positive = np.flatnonzero((toxic[doc] == 1) & (score >= worst[doc] - 1e-9))
         hard = negative[np.argsort(-score[negative], kind="stable")[: 4 * len(positive)]]
-        soft = rng.choice(negative, min(len(negative), 8 * len(positive)), replace=False)
+        soft = rng.choice(negative, min(len(negative), 4 * len(positive)), replace=False)
         chosen = rng.permutation(np.unique(np.concatenate([positive, hard, soft])))
         for at in range(0, len(chosen), batch):
             who = chosen[at : at + batch]
@@ -244,11 +269,19 @@ def _fit(sample: list[tuple[int, int, list[list[bytes]]]], seed: int, epochs: in
                 m[k] = 0.9 * m[k] + 0.1 * x
                 v[k] = 0.99 * v[k] + 0.01 * x * x
                 model.w[k] = (model.w[k] - lr * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6) - (lr * 1e-3 * model.w[k] if k in ("word", "char", "o") else 0)).astype(np.float32)
-        projected = model.project(np.concatenate([np.zeros((1, WORD_DIM + 1 + CHAR_DIM), np.float32), model.inputs(names)]))
-        score = np.concatenate([model.logits(projected, ids[at : at + 2048].T, ids[at : at + 2048].T > 0) for at in range(0, len(ids), 2048)])
+        if epoch % 2 == 0 and epoch < epochs - 1:
+            score = _window_scores(model, names, ids)
     return model
 
 
+def _window_scores(model: Model, names: list[bytes], ids: np.ndarray, rows: int = 1024) -> np.ndarray:
+    """Logits of all windows, so many at once."""
+    parts = [model.project(np.zeros((1, WORD_DIM + 1 + CHAR_DIM), np.float32))]
+    parts += [model.project(model.inputs(names[at : at + 20_000])) for at in range(0, len(names), 20_000)]
+    projected = np.concatenate(parts, 1)
+    return np.concatenate([model.logits(projected, ids[at : at + rows].T, ids[at : at + rows].T > 0) for at in range(0, len(ids), rows)])
+
+
 def _best_cut(worst: np.ndarray, toxic: np.ndarray) -> float:
     """The cut with the best F1, in the middle of the widest gap if several have it."""
     order = np.argsort(-worst, kind="stable")
@@ -278,9 +311,10 @@ class Scorer:
         self.index, self.fresh = Index(), []
         self.table = self.model.project(np.zeros((1, WORD_DIM + 1 + CHAR_DIM), np.float32))
 
-    def worst(self, windows: list[list[bytes]]) -> float:
-        """The largest logit of some windows."""
-        return max(float(np.log(p / (1 - p))) for p in np.clip(self.scores([b" ".join(x).decode("utf-8", "surrogatepass") for x in windows]), 1e-12, 1 - 1e-12))
+    def worst(self, words: list[bytes]) -> float:
+        """The largest logit of a text's windows."""
+        p = min(max(self.scores([b" ".join(words).decode("utf-8", "surrogatepass")])[0], 1e-12), 1 - 1e-12)
+        return float(np.log(p / (1 - p)))
 
     def scores(self, texts: list[str | None]) -> list[float]:
         if len(self.index) > KEPT:
@@ -313,8 +347,8 @@ def held_out_fold(doc_id) -> int:
     return zlib.crc32(str(doc_id).encode()) % 3
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", skip_fold: int | None = 1) -> list[tuple[int, int, list[list[bytes]]]]:
-    """All windows of a bounded sample of labelled documents: those with the smallest hashed ids of each kind."""
+def training_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", skip_fold: int | None = 1) -> Sample:
+    """The words of a bounded sample of labelled documents: those with the smallest hashed ids of each kind."""
     ship(docs.sparkSession)
     able = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(F.col(label).cast("int")).alias("y"))
     if skip_fold is not None:
@@ -323,26 +357,20 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", sk
     for kind, most in ((1, MAX_TOXIC), (0, MAX_OTHER)):
         chosen |= {r.id: r.y for r in able.where(F.col("y") == kind).orderBy(F.xxhash64("id"), "id").limit(most).collect()}
     if not chosen:
-        return []
-    spark = docs.sparkSession
-    ids = F.broadcast(spark.createDataFrame(sorted(chosen.items()), "id long, y int"))
+        return Sample.of([])
+    ids = F.broadcast(docs.sparkSession.createDataFrame(sorted(chosen.items()), "id long, y int"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_forget()
         for b in small_batches(batches):
-            doc, out = [], []
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                words = words_of(text)
-                for s in window_starts(len(words)).tolist():
-                    doc.append(i), out.append(b" ".join(words[s : s + WINDOW]))
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(out, pa.binary())], ["id", "words"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([b" ".join(words_of(t)) for t in b.column(1).to_pylist()], pa.binary())], ["id", "words"])
 
     lean = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(ids, F.col("doc_id") == F.col("id")).select("id", "text")
-    by_doc: dict[int, list[list[bytes]]] = {}
+    by_doc: dict[int, list[bytes]] = {}
     same: dict[bytes, bytes] = {}  # one object for each distinct word
     for i, words in sorted((r.id, bytes(r.words)) for r in lean.mapInArrow(cut, "id long, words binary").collect()):
-        by_doc.setdefault(i, []).append([same.setdefault(w, w) for w in words.split()])
-    return [(i, chosen[i], xs) for i, xs in sorted(by_doc.items())]
+        by_doc.setdefault(i, []).extend(same.setdefault(w, w) for w in words.split())
+    return Sample.of([(i, chosen[i], xs) for i, xs in by_doc.items()])
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model | None:
