@@ -71,9 +71,11 @@ class Tables:
         ship(spark)
 
     def path(self, name: str) -> str:
+        """A new path; a name that is taken gets its number too, so that no table is lost sight of."""
         self.n += 1
-        self.held[name] = f"{self.root}/{self.n:03d}-{name}"
-        return self.held[name]
+        key = name if name not in self.held else f"{name}-{self.n}"
+        self.held[key] = f"{self.root}/{self.n:03d}-{name}"
+        return self.held[key]
 
     def cut(self, df: DataFrame, name: str) -> DataFrame:
         """Writes and rereads a frame."""
@@ -82,6 +84,7 @@ class Tables:
         return self.spark.read.schema(schema).parquet(path)
 
     def drop(self, *names: str) -> None:
+        """Deletes tables that nothing reads any more."""
         for name in names:
             if name in self.held:
                 delete_path(self.spark, self.held.pop(name))
