@@ -431,4 +431,5 @@ def drop_near_duplicates(docs: DataFrame, *, n: int = 5, percent: int = 80, freq
     linked = scratch.cut(linked.select("row", "first", F.col("doc_id").isNull().alias("lacks"), "doc_id"), "linked")
     kept = linked.groupBy("first").agg(F.min(F.struct("lacks", "doc_id", "row")).alias("kept")).select(F.col("kept.row").alias("row"))
     gone = scratch.cut(linked.join(kept, "row", "left_anti").select(F.col("row").alias("gone")), "gone")
+    scratch.drop(*[name for name in list(scratch.held) if name not in ("gone", "row-numbered")])
     return whole.join(gone, F.col("row") == F.col("gone"), "left_anti").select("doc.*")
