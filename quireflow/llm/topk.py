@@ -125,8 +125,10 @@ def top_k(vectors: DataFrame, *, k: int = 5, every: int = 50, id_col: str = "vec
             yield pd.DataFrame({"id": b.id, "vec": packed, "pivot": near.astype(np.int32), "dist": d[np.arange(len(d)), near]})
 
     keyed = scratch.cut(candidates.mapInPandas(assign, "id long, vec binary, pivot int, dist double"), "keyed")
-    # a row per pivot, and then one per annulus
-    edges = keyed.groupBy("pivot").agg(F.percentile_approx("dist", F.array(*(F.lit(i / RINGS) for i in range(1, RINGS))), F.lit(1000)).alias("edges"))
+    # a row per pivot, and then one per annulus: as many annuli as the pivot's rows fill blocks, RINGS at most
+    quantiles = F.percentile_approx("dist", F.array(*(F.lit(i / RINGS) for i in range(1, RINGS))), F.lit(1000)).alias("edges")
+    edges = keyed.groupBy("pivot").agg(quantiles, F.greatest(F.floor(F.lit(RINGS * BLOCK) / F.count(F.lit(1))), F.lit(1)).alias("every"))
+    edges = edges.select("pivot", F.filter("edges", lambda e, i: (i + 1) % F.col("every") == 0).alias("edges"))
     ringed = keyed.join(F.broadcast(edges), "pivot").withColumn("ring", F.size(F.filter(F.array_distinct("edges"), lambda e: e < F.col("dist")))).drop("edges")
     ringed = scratch.cut(ringed, "ringed")
     slots = F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("slots")
