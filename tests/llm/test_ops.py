@@ -208,8 +208,8 @@ def test_parity_bits_never_pass_over_a_link():
     for _ in range(60):
         base = rng.integers(0, 2**63, int(rng.integers(1, 400))).astype(np.uint64)
         for _ in range(4):
-            own = base[rng.random(len(base)) > rng.random() * 0.2]
-            sets.append(frozenset([*own.tolist(), *rng.integers(0, 2**63, int(rng.integers(0, 1 + len(base) // 10))).tolist()]) or frozenset([7]))
+            own = base[rng.random(len(base)) > rng.random() * 0.08]
+            sets.append(frozenset([*own.tolist(), *rng.integers(0, 2**63, int(rng.integers(0, 1 + len(base) // 20))).tolist()]) or frozenset([7]))
     words = [ngram_join.parity_bits(np.array(sorted(s), np.uint64)) for s in sets]
     n, side = np.array([len(s) for s in sets]), np.arange(len(sets)) % 2 + 1
     pairs = linked_pairs(sets, 85)
