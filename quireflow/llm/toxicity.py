@@ -207,10 +207,11 @@ def log_odds(sample: Sample) -> tuple[dict[bytes, int], np.ndarray]:
 
 
 def train(sample: Sample, seed: int = 1) -> Model | None:
-    """None if a kind is missing. Deterministic for a given sample.
+    """None if a kind is missing.
 
-    A first model learns from three quarters of the sample, and the others, scored as any text is, give the cut with the
-    best F1, which the logits are shifted to; the model that is kept learns from all.
+    The model learns from three quarters of the sample. The others, scored by it as any text is, give the cut with the best
+    F1, which the logits are shifted to: a cut holds for the model that it was found with, not for another one that learnt
+    from all. Where the others lack a kind, the model learns from all and is not shifted.
     """
     toxic = np.array(sample.toxic)
     if len(np.unique(toxic)) < 2:
@@ -220,17 +221,16 @@ def train(sample: Sample, seed: int = 1) -> Model | None:
         mine = np.flatnonzero(toxic == kind)
         part[mine] = np.arange(len(mine)) % 4
     rest = np.flatnonzero(part == 3).tolist()
-    cut = 0.0
-    if len(np.unique(toxic[rest])) == 2:
-        scorer = Scorer(_fit(sample.part(np.flatnonzero(part < 3).tolist()), seed))
-        worst = [scorer.worst([sample.names[w] for w in sample.words[k]]) for k in rest]
-        cut = _best_cut(np.array(worst), toxic[rest])
-    model = _fit(sample, seed)
-    model.shift = float(np.log(THRESHOLD / (1 - THRESHOLD)) - cut)
+    if len(np.unique(toxic[rest])) < 2:
+        return _fit(sample, seed)
+    model = _fit(sample.part(np.flatnonzero(part < 3).tolist()), seed)
+    scorer = Scorer(model)
+    worst = [scorer.worst([sample.names[w] for w in sample.words[k]]) for k in rest]
+    model.shift = float(np.log(THRESHOLD / (1 - THRESHOLD)) - _best_cut(np.array(worst), toxic[rest]))
     return model
 
 
-def _fit(sample: Sample, seed: int, epochs: int = 6, batch: int = 128, rate: float = 0.01, least_steps: int = 150) -> Model:
+def _fit(sample: Sample, seed: int, epochs: int = 8, batch: int = 128, rate: float = 0.01, least_steps: int = 150) -> Model:
     """At least ``epochs`` rounds over the chosen windows, and more of them where a sample is so small that they are fewer than ``least_steps`` steps."""
     rng = np.random.default_rng(seed)
     known, odds = log_odds(sample)
@@ -242,14 +242,14 @@ def _fit(sample: Sample, seed: int, epochs: int = 6, batch: int = 128, rate: flo
     m, v, step = {k: np.zeros_like(x) for k, x in model.w.items()}, {k: np.zeros_like(x) for k, x in model.w.items()}, 0
     negative = np.flatnonzero(toxic[doc] == 0)
     kinds = np.bincount(toxic, minlength=2)
-    epochs = max(epochs, -(-least_steps * batch // max(1, min(9 * kinds[1], kinds[1] + len(negative)))))
+    epochs = max(epochs, -(-least_steps * batch // max(1, min(13 * kinds[1], kinds[1] + len(negative)))))
     for epoch in range(epochs):
         # of a toxic document, the windows that look worst are its toxic ones; of the others, all
         worst = np.full(len(toxic), -np.inf)
         np.maximum.at(worst, doc, score)
         positive = np.flatnonzero((toxic[doc] == 1) & (score >= worst[doc] - 1e-9))
         hard = negative[np.argsort(-score[negative], kind="stable")[: 4 * len(positive)]]
-        soft = rng.choice(negative, min(len(negative), 4 * len(positive)), replace=False)
+        soft = rng.choice(negative, min(len(negative), 8 * len(positive)), replace=False)
         chosen = rng.permutation(np.unique(np.concatenate([positive, hard, soft])))
         for at in range(0, len(chosen), batch):
             who = chosen[at : at + batch]
@@ -269,7 +269,7 @@ def _fit(sample: Sample, seed: int, epochs: int = 6, batch: int = 128, rate: flo
                 m[k] = 0.9 * m[k] + 0.1 * x
                 v[k] = 0.99 * v[k] + 0.01 * x * x
                 model.w[k] = (model.w[k] - lr * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6) - (lr * 1e-3 * model.w[k] if k in ("word", "char", "o") else 0)).astype(np.float32)
-        if epoch % 2 == 0 and epoch < epochs - 1:
+        if epoch < epochs - 1:
             score = _window_scores(model, names, ids)
     return model
 
