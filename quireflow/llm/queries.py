@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quireflow.llm.common import Scratch, n_words
+from quireflow.llm.filter_audit import audit_documents
 from quireflow.llm.html_main import extract_pages
 from quireflow.llm.mixing import mix_plan
 from quireflow.llm.ngram_join import jaccard_join
 from quireflow.llm.packing import pack_documents
+from quireflow.llm.prefix_trie import trie_nodes
 from quireflow.llm.quality import judge_documents
+from quireflow.llm.sentence_pieces import digest
 from quireflow.llm.token_counts import GROUP, RollupStore, count_tokens
 from quireflow.llm.token_orc import token_ids_digest
 from quireflow.llm.tokens import vocabulary
@@ -91,6 +94,18 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_nodes(table(spark, sf_dir, "conversations"))
+
+
 OP1_SQL = r"""
 WITH rules(rule, verdict) AS (VALUES ('com/', 'allow'), ('example.com/en/', 'block'), ('www.example.com/en/', 'allow'), ('net/es/', 'block'), ('net/fr/', 'block')),
 r AS (SELECT rule, verdict, regexp_extract(rule, '^[^/]*') AS h, substr(rule, length(regexp_extract(rule, '^[^/]*')) + 1) AS p FROM rules),
@@ -183,6 +198,69 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+OP12_SQL = r"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+), d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), m AS (SELECT text, min(doc_id) AS least FROM d GROUP BY text),
+f AS (
+  SELECT d.part, coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic, list_filter(['A', 'B', 'C', 'D', 'E'], lambda k: CASE k
+    WHEN 'A' THEN len(d.w) < 200
+    WHEN 'B' THEN 100 * len(list_distinct(d.w)) < 50 * len(d.w)
+    WHEN 'C' THEN 100 * (length(d.text) - length(translate(d.text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 3 * length(d.text)
+    WHEN 'D' THEN regexp_matches(d.text, '[#$%&*|]')
+    ELSE coalesce(d.doc_id > m.least, false) END) AS fails
+  FROM d JOIN m USING (text) LEFT JOIN l ON l.doc_id = d.doc_id
+), c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+k AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS k),
+o AS (SELECT CAST('' AS VARCHAR) AS filter_order UNION ALL SELECT o.filter_order || k.k FROM o JOIN k ON strpos(o.filter_order, k.k) = 0),
+s AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS k, string_split(left(filter_order, step - 1), '') AS before
+  FROM (SELECT filter_order, CAST(unnest(range(1, 6)) AS INTEGER) AS step FROM o WHERE length(filter_order) = 5)
+), r AS (
+  SELECT c.part, s.filter_order, s.step, s.k,
+    sum(CASE WHEN NOT list_has_any(c.fails, s.before) AND NOT list_contains(c.fails, s.k) THEN c.n ELSE 0 END) AS kept,
+    sum(CASE WHEN NOT list_has_any(c.fails, s.before) AND list_contains(c.fails, s.k) THEN c.n ELSE 0 END) AS removed,
+    sum(CASE WHEN list_has_any(c.fails, s.before) AND list_contains(c.fails, s.k) THEN c.n ELSE 0 END) AS redundant,
+    sum(CASE WHEN c.fails = [s.k] THEN c.n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN NOT list_has_any(c.fails, s.before) AND list_contains(c.fails, s.k) THEN c.good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN NOT list_has_any(c.fails, s.before) AND list_contains(c.fails, s.k) THEN c.toxic ELSE 0 END) AS toxic_lost
+  FROM c CROSS JOIN s GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, k) AS BIGINT) AS shapley
+FROM r
+"""
+
+# crc32 of a decimal number, bit by bit; nodes are lists of digests of turns
+OP13_SQL = r"""
+WITH t AS (
+  SELECT conv_id, md5(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS key, turn, CAST(strlen(coalesce(text, '')) AS BIGINT) AS bytes
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, list(key ORDER BY turn NULLS FIRST, key) AS keys, list(bytes ORDER BY turn NULLS FIRST, key) AS sizes,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), list_transform(range(8), lambda i: 0::BIGINT)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)), 4294967295::BIGINT) % 9 AS h
+  FROM t GROUP BY conv_id
+), b AS (
+  SELECT c.conv_id, coalesce(f.keys[1:c.h], []) || c.keys[c.h + 1:] AS keys, coalesce(f.sizes[1:c.h], []) || c.sizes[c.h + 1:] AS sizes
+  FROM c LEFT JOIN c f ON f.conv_id = c.conv_id - c.conv_id % 5
+), p AS (SELECT conv_id, keys, sizes, unnest(range(len(keys) + 1)) AS depth FROM b),
+q AS (SELECT conv_id, depth, keys[1:depth] AS node, CASE WHEN depth > 0 THEN keys[1:depth - 1] END AS parent, CASE WHEN depth > 0 THEN sizes[depth] ELSE 0 END AS bytes, depth = len(keys) AS ends FROM p),
+n AS (
+  SELECT node, any_value(parent) AS parent, min(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(bytes) AS own,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM q GROUP BY node
+), k AS (SELECT parent AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY parent),
+m AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k USING (node)),
+u AS (SELECT node, own, CAST(n_children = 0 AS BIGINT) AS leaf, unnest(range(depth + 1)) AS up FROM m),
+s AS (SELECT node[1:up] AS node, sum(own) AS saved_tokens, sum(leaf) AS n_leaves FROM u GROUP BY 1)
+SELECT m.conv_id, CAST(m.depth AS BIGINT) AS depth, x.conv_id AS parent_conv_id, m.n_convs, CAST(m.n_children AS BIGINT) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+  CAST(s.saved_tokens AS BIGINT) AS saved_tokens, m.ends_sha256
+FROM m JOIN s USING (node) LEFT JOIN m x ON m.depth > 0 AND x.node = m.parent
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_token_counts": op2_token_counts,
@@ -194,5 +272,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_prefix_trie": op13_prefix_trie,
 }
-SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op5_quality": OP5_SQL, "op8_ngram_join": OP8_SQL, "op9_mixing": OP9_SQL, "op10_topk": OP10_SQL}
+SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op5_quality": OP5_SQL, "op8_ngram_join": OP8_SQL, "op9_mixing": OP9_SQL, "op10_topk": OP10_SQL, "op12_filter_audit": OP12_SQL, "op13_prefix_trie": OP13_SQL}
