@@ -64,23 +64,33 @@ def remove_delimiter_rows(c: Column) -> Column:
     return F.regexp_replace(c, DELIMITER_ROW, "")
 
 
+def bound(c: Column, f) -> Column:
+    """f(c), with c evaluated once however often f uses it, inside lambda functions too."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def shrink_line(c: Column) -> Column:
     """A line that repeats one unit three times or more becomes the shortest such unit.
 
-    Only divisors of the length can be a unit's, so a line is compared with that few repetitions, not with all of its prefixes.
+    Only divisors of the length can be a unit's. A text repeats a unit of p characters if it equals itself moved on by p, so
+    each divisor costs one comparison and no text is built up again.
     """
-    n = F.length(c)
-    small = F.filter(F.sequence(F.lit(1), F.greatest(F.floor(F.sqrt(n)).cast("int"), F.lit(1))), lambda k: n % k == 0)
-    # divisors in ascending order: the small ones, and those that they leave
-    sizes = F.concat(small, F.reverse(F.transform(small, lambda k: F.floor(n / k).cast("int"))))
-    units = F.filter(sizes, lambda p: (p * 3 <= n) & (F.repeat(F.left(c, p), F.floor(n / F.greatest(p, F.lit(1))).cast("int")) == c))
-    return F.when(n < 3, c).otherwise(F.coalesce(F.left(c, F.get(units, F.lit(0))), c))
+
+    def shrink(t: Column) -> Column:
+        n = F.length(t)
+        small = F.filter(F.sequence(F.lit(1), F.greatest(F.floor(F.sqrt(n)).cast("int"), F.lit(1))), lambda k: n % k == 0)
+        # divisors in ascending order: the small ones, and those that they leave
+        sizes = F.concat(small, F.reverse(F.transform(small, lambda k: F.floor(n / k).cast("int"))))
+        units = F.filter(sizes, lambda p: (p * 3 <= n) & (F.left(t, n - p) == F.substr(t, p + 1)))
+        return F.when(n < 3, t).otherwise(F.coalesce(F.left(t, F.get(units, F.lit(0))), t))
+
+    return bound(c, shrink)
 
 
 def collapse_duplicates(c: Column) -> Column:
     """The text's unit if it is one unit three times or more, else each line's."""
-    whole = shrink_line(c)
-    return F.when(whole != c, whole).otherwise(F.array_join(F.transform(lines(c), shrink_line), "\n"))
+    by_line = lambda t: F.array_join(F.transform(lines(t), shrink_line), "\n")
+    return bound(c, lambda t: bound(shrink_line(t), lambda whole: F.when(whole != t, whole).otherwise(by_line(t))))
 
 
 def normalise_markdown(c: Column) -> Column:

@@ -3,29 +3,41 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
 from quireflow.plans.registry import ModelError
+from quireflow.tables import ship
 
 # Ids that open a pair and end its parts, and the most ids a pair may have.
 OPENS, ENDS, MOST_IDS = 101, 102, 256
-_LOADED: dict[str, object] = {}
+_LOADED: dict[str, tuple[str, object]] = {}
 _LOG = logging.getLogger(__name__)
 
 Recognise = Callable[[Sequence], Sequence]
 
 
-def loaded(name: str, load: Callable[[], object]) -> object:
-    """This process's model of that name, loaded at its first use."""
-    if name not in _LOADED:
+def loaded(name: str, load: Callable[[], object], plan: str = "") -> object:
+    """This process's model of that name, loaded and warmed up at its first use, and anew for another ``plan``, which may mean another model by that name."""
+    held = _LOADED.get(name)
+    if held is None or held[0] != plan:
         try:
-            _LOADED[name] = load()
+            _LOADED[name] = (plan, load())
+            warm_up(_LOADED[name][1])
         except Exception as e:
+            _LOADED.pop(name, None)
             raise ModelError("model can't be loaded", name=name) from e
-    return _LOADED[name]
+    return _LOADED[name][1]
+
+
+def warm_up(model: object) -> None:
+    """Calls a model's ``warm_up``, if it has one, so that the first batch doesn't pay for what is built late."""
+    call = getattr(model, "warm_up", None)
+    if callable(call):
+        call()
 
 
 def pair_ids(a: list[int], b: list[int], most: int = MOST_IDS) -> list[int]:
@@ -89,6 +101,7 @@ def recognise_crops(crops: DataFrame, key: str, pixels: str, first: Callable[[],
             got = recognise([bytes(x) for x in b[pixels]], *models, threads=threads, timeout=timeout)
             yield pd.DataFrame({key: b[key], "text": pd.Series([t for t, _ in got], dtype=object, index=b.index), "attempt": pd.Series([k for _, k in got], dtype="int32", index=b.index)})
 
+    ship(crops.sparkSession)
     kept = crops.where(f"`{pixels}` IS NOT NULL").select(key, pixels)
     return kept.mapInPandas(run, f"`{key}` {kept.schema[key].dataType.simpleString()}, text string, attempt int")
 
@@ -105,17 +118,19 @@ def as_blocks(result: object) -> list[dict] | None:
     return [{"label": b.get("label"), **dict(zip(("x1", "y1", "x2", "y2"), map(int, b.get("bbox") or (0, 0, 0, 0)), strict=True)), "content": b.get("content") or ""} for b in result]
 
 
-def recognise_pictures(crops: DataFrame, first: Callable[[], Recognise], second: Callable[[], Recognise] | None = None, *, threads: int = 1, timeout: float | None = None) -> DataFrame:
-    """crops that have pixels, without them, with ``blocks`` (null where no model gives a result) and ``attempt``. Models get pictures as arrays and give texts, or lists of blocks (label, bbox, content)."""
+def recognise_pictures(crops: DataFrame, first: Callable[[], Recognise], second: Callable[[], Recognise] | None = None, *, threads: int = 1, timeout: float | None = None, names: tuple[str | None, str | None] = (None, None)) -> DataFrame:
+    """crops that have pixels, without them, with ``blocks`` (null where no model gives a result) and ``attempt``. Models get pictures as arrays and give texts, or lists of blocks (label, bbox, content). With ``names`` a worker loads each once."""
     from quireflow.operators.detect import picture_of
 
+    ship(crops.sparkSession)
+    plan = uuid.uuid4().hex
     rest = [f for f in crops.schema if f.name not in ("h", "w", "c", "data")]
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
 
-        models = first(), second() if second is not None else None
+        models = [None if load is None else loaded(f"recogniser:{name}", load, plan) if name else load() for name, load in zip(names, (first, second), strict=True)]
         for b in batches:
             got = recognise([picture_of(r) for r in b.itertuples(index=False)], *models, threads=threads, timeout=timeout)
             yield b[[f.name for f in rest]].assign(blocks=pd.Series([as_blocks(x) for x, _ in got], dtype=object, index=b.index), attempt=pd.Series([k for _, k in got], dtype="int32", index=b.index))

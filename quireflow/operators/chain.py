@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quireflow.functions import textclean as T
+from quireflow.tables import ship
 
 
 @dataclass(frozen=True)
@@ -48,6 +49,7 @@ def best_successor(pairs: DataFrame, doc: str) -> DataFrame:
 
 def greedy_links(pairs: DataFrame, frags: DataFrame, doc: str, block: str, o: ChainOptions = ChainOptions()) -> DataFrame:
     """doc, src, dst, mixed: each open fragment in input order grows a chain by its best free neighbour. Scores don't depend on the chain, so all pairs are scored before."""
+    ship(frags.sparkSession)
     opens = frags.select(F.col(doc).alias("_d"), F.col(block).alias("_b"), T.is_open(F.col("text")).alias("_open"))
     rows = opens.join(pairs.select(doc, "src", "dst", "goes_on", "mixed"), (F.col("_d") == F.col(doc)) & (F.col("_b") == F.col("src")), "left").select("_d", "_b", "_open", "dst", "goes_on", "mixed")
 
@@ -76,6 +78,7 @@ def greedy_links(pairs: DataFrame, frags: DataFrame, doc: str, block: str, o: Ch
 
 def walk_order(frags: DataFrame, links: DataFrame, doc: str, block: str, text: str | None = None) -> DataFrame:
     """doc, block, seq, and the text if it is named: by the smallest ancestor, then hops from it. Links have one source and one target each, so a document's chains are walked in one call."""
+    ship(frags.sparkSession)
     carried = text is not None
     own = [F.col(text).alias("_text")] if carried else []
     rows = frags.select(F.col(doc).alias("_d"), F.col(block).alias("_b"), *own).join(links.select(F.col(doc).alias("_e"), "src", "dst"), (F.col("_d") == F.col("_e")) & (F.col("_b") == F.col("src")), "left").select("_d", "_b", "dst", *(["_text"] if carried else []))

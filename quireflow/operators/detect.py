@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import json
 import logging
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quireflow.operators import geometry as G
 from quireflow.operators.xycut import CROP_SCALE, order_boxes
+from quireflow.tables import ship
 
 _LOG = logging.getLogger(__name__)
 #: What a detector gives: results as JSON text or as the object itself, one for each picture; None for none.
@@ -20,6 +25,8 @@ Detect = Callable[[Sequence[np.ndarray]], Sequence[str | dict | None]]
 Decode = Callable[[bytes], np.ndarray]
 RESULT = "struct<res: struct<boxes: array<struct<coordinate: array<double>, label: string, score: double, confidence: double>>>>"
 PICTURE = "h int, w int, c int, data binary"
+#: Pages that are decoded at once; an Arrow batch may hold hundreds of compressed ones.
+SLICE = 8
 
 
 def decode_netpbm(content: bytes) -> np.ndarray:
@@ -82,23 +89,32 @@ def _text(result: str | dict | None) -> str | None:
     return result if result is None or isinstance(result, str) else json.dumps(result)
 
 
-def detect_pages(pages: DataFrame, doc: str, content: str, detector: Callable[[], Detect], decode: Decode = decode_picture, target: tuple[int, int] = (1240, 1755), permissive: bool = False) -> DataFrame:
-    """doc, page_w, page_h, result (JSON) and error of pages. Pictures are resized to ``target`` for the model. A model's error ends the job, or is the page's ``error`` if permissive."""
+def slices(batches: Iterator[pd.DataFrame], rows: int = SLICE) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        for at in range(0, len(b), rows):
+            yield b.iloc[at : at + rows]
+
+
+def detect_pages(pages: DataFrame, doc: str, content: str, detector: Callable[[], Detect], decode: Decode = decode_picture, target: tuple[int, int] = (1240, 1755), permissive: bool = False, name: str | None = None) -> DataFrame:
+    """doc, page_w, page_h, result (JSON) and error of pages. Pictures are resized to ``target`` for the model, SLICE pages at a time.
+
+    A model's error ends the job, or is the page's ``error`` if permissive. With a name, a worker loads the model once.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = detector()
-        for b in batches:
+        model = loaded(f"detector:{name}", detector, plan) if name else detector()
+        for b in slices(batches):
             sizes, pictures, errors = [], [], []
             for x in b[content]:
                 try:
                     p = decode(bytes(x))
-                    sizes.append((p.shape[1], p.shape[0]))
-                    pictures.append(resize(p, target))
-                    errors.append(None)
+                    small = resize(p, target)
                 except Exception as e:
                     if not permissive:
                         raise
                     sizes.append((None, None)), errors.append(str(e))
+                else:
+                    sizes.append((p.shape[1], p.shape[0])), pictures.append(small), errors.append(None)
             good = [k for k, e in enumerate(errors) if e is None]
             found: list = [None] * len(errors)
             try:
@@ -112,6 +128,10 @@ def detect_pages(pages: DataFrame, doc: str, content: str, detector: Callable[[]
                     errors[k] = str(e)
             yield pd.DataFrame({doc: b[doc], "page_w": pd.Series([w for w, _ in sizes], dtype="Int32", index=b.index), "page_h": pd.Series([h for _, h in sizes], dtype="Int32", index=b.index), "result": pd.Series(found, dtype=object, index=b.index), "error": pd.Series(errors, dtype=object, index=b.index)})
 
+    from quireflow.operators.backends import loaded
+
+    ship(pages.sparkSession)
+    plan = uuid.uuid4().hex
     kept = pages.where(F.col(content).isNotNull()).select(doc, content)
     return kept.mapInPandas(run, f"`{doc}` {kept.schema[doc].dataType.simpleString()}, page_w int, page_h int, result string, error string")
 
@@ -138,15 +158,32 @@ def normalise_boxes(detections: DataFrame, result: str, target: tuple[int, int])
 
 
 def crop_pixels(boxes: DataFrame, pages: DataFrame, doc: str, content: str, decode: Decode = decode_picture) -> DataFrame:
-    """boxes with the pixels (h, w, c, data) inside cx1, cy1, cx2, cy2. A page is decoded once for all its boxes; boxes of a page without content get none."""
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in boxes.schema)
+    """boxes with the pixels (h, w, c, data) inside cx1, cy1, cx2, cy2; boxes of a page without content get none.
 
-    def cut(key, own, page):
-        picture = decode(bytes(page[content].iloc[0])) if len(page) and page[content].iloc[0] is not None else None
-        parts = [None if picture is None else picture[b.cy1 : b.cy2, b.cx1 : b.cx2] for b in own.itertuples(index=False)]
-        return own.assign(**_columns(parts, own.index))
+    A page's boxes are gathered to one row, which is a few hundred bytes, and come to its page: it is decoded once for all of
+    them, and only its row is in memory. Where the gathered boxes are small enough to be broadcast, no page is shuffled.
+    """
+    inner = [f for f in boxes.schema if f.name != doc]
+    gathered = boxes.groupBy(doc).agg(F.collect_list(F.struct(*(F.col(f"`{f.name}`") for f in inner))).alias("_boxes")).withColumnRenamed(doc, "_doc")
+    met = gathered.join(pages.select(doc, content), F.col("_doc").eqNullSafe(F.col(doc)), "left").select(F.col("_doc").alias(doc), "_boxes", content)
 
-    return boxes.groupBy(doc).cogroup(pages.select(doc, content).groupBy(doc)).applyInPandas(cut, f"{kind}, {PICTURE}")
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in range(b.num_rows):
+                one = b.slice(row, 1)
+                held = pc.list_flatten(one.column(1))
+                bytes_ = one.column(2)[0].as_py()
+                picture = None if bytes_ is None else decode(bytes_)
+                corners = zip(*(pc.struct_field(held, c).to_pylist() for c in ("cx1", "cy1", "cx2", "cy2")), strict=True)
+                parts = [None if picture is None else picture[max(0, y1) : max(0, y2), max(0, x1) : max(0, x2)] for x1, y1, x2, y2 in corners]
+                shape = [pa.array([None if p is None else f(p) for p in parts], pa.int32()) for f in (lambda p: p.shape[0], lambda p: p.shape[1], lambda p: p.shape[2] if p.ndim == 3 else 1)]
+                own = [pc.struct_field(held, f.name) for f in inner]
+                key = pa.array([one.column(0)[0].as_py()] * len(parts), one.column(0).type)
+                yield pa.RecordBatch.from_arrays([key, *own, *shape, pa.array([None if p is None else p.tobytes() for p in parts], pa.binary())], [doc, *(f.name for f in inner), "h", "w", "c", "data"])
+
+    ship(boxes.sparkSession)
+    kind = T.StructType([boxes.schema[doc], *inner, *T.StructType.fromDDL(PICTURE).fields])
+    return met.mapInArrow(cut, kind).select(*boxes.columns, "h", "w", "c", "data")
 
 
 def _columns(parts: list[np.ndarray | None], index) -> dict[str, pd.Series]:
@@ -162,6 +199,7 @@ def picture_of(row) -> np.ndarray | None:
 
 def map_pixels(crops: DataFrame, change: Callable) -> DataFrame:
     """crops with each row's pixels replaced by change(picture, row); rows without pixels stay as they are."""
+    ship(crops.sparkSession)
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in crops.schema)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -182,12 +220,17 @@ def sub_boxes(result: str | dict | None, scale: tuple[float, float] = CROP_SCALE
     return [(*corners[k], labels[k]) for k in order_boxes(corners, scale)]
 
 
-def detect_in_crops(crops: DataFrame, detector: Callable[[], Detect], scale: tuple[float, float] = CROP_SCALE) -> DataFrame:
+def detect_in_crops(crops: DataFrame, detector: Callable[[], Detect], scale: tuple[float, float] = CROP_SCALE, name: str | None = None) -> DataFrame:
     """crops with ``subs``: the sub boxes of each picture, in reading order; null where the model fails or finds none. One call a batch; if it fails, each picture is tried by itself."""
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in crops.schema)
 
+    from quireflow.operators.backends import loaded
+
+    ship(crops.sparkSession)
+    plan = uuid.uuid4().hex
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = detector()
+        model = loaded(f"fine detector:{name}", detector, plan) if name else detector()
 
         def one(p: np.ndarray) -> str | dict | None:
             try:
@@ -219,13 +262,13 @@ def sub_pixels(named: DataFrame) -> DataFrame:
     return cut.drop("ox", "oy", "ow", "oh")
 
 
-def fine_crops(crops: DataFrame, detector: Callable[[], Detect], doc: str, scale: tuple[float, float] = CROP_SCALE) -> DataFrame:
+def fine_crops(crops: DataFrame, detector: Callable[[], Detect], doc: str, scale: tuple[float, float] = CROP_SCALE, name: str | None = None) -> DataFrame:
     """crops (doc, big_no, name, label, x1.., cx1.., h, w, c, data) fanned out into sub crops; a crop that none is found in stays as itself.
 
     The picture covers the clipped box, so sub boxes count from its corner, as the source's do from the box's own: page
     coordinates are the box's corner plus the sub box's.
     """
-    found = detect_in_crops(crops, detector, scale)
+    found = detect_in_crops(crops, detector, scale, name)
     # sub_crops clips to x2 - x1 and y2 - y1, which here must be the picture's size
     picture = found.withColumns({"bx1": F.col("x1"), "by1": F.col("y1"), "bx2": F.col("x2"), "by2": F.col("y2"), "x2": F.col("x1") + F.col("w"), "y2": F.col("y1") + F.col("h")})
     rows = sub_pixels(G.sub_crops(picture))

@@ -27,13 +27,20 @@ def log_likelihood(texts: DataFrame, lexicon: DataFrame, keys: list[str], text:
 
 
 def judge_direction(texts: DataFrame, lexicon: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """texts with rtl and fixed: whether the mirrored text is likelier, and the text so read. Texts of fewer than two characters stay; so do ties, to TIE, as sums come in any order."""
-    back = texts.withColumn("_mirror", T.mirror_reverse(F.col(text)))
-    a = log_likelihood(back, lexicon, keys, text, "_forth")
-    b = log_likelihood(back, lexicon, keys, "_mirror", "_back")
-    out = back.join(a, keys).join(b, keys)
-    rtl = (F.length(text) >= 2) & (F.col("_forth") < F.col("_back") - TIE)
-    return out.withColumn("rtl", rtl).withColumn("fixed", F.when(rtl, F.col("_mirror")).otherwise(F.col(text))).drop("_mirror", "_forth", "_back")
+    """texts with rtl and fixed: whether the mirrored text is likelier, and the text so read. Texts of fewer than two characters stay; so do ties, to TIE, as sums come in any order.
+
+    Each distinct text is judged once and found again by its digest, so rows are told apart by nothing else: ``keys`` may be
+    null or repeated. A null text is no text: rtl is false and fixed null.
+    """
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    distinct = texts.where(F.col(text).isNotNull()).groupBy(digest(text).alias("_key")).agg(F.first(text).alias("_text"))
+    back = distinct.withColumn("_mirror", T.mirror_reverse(F.col("_text")))
+    forth = log_likelihood(back, lexicon, ["_key"], "_text", "_forth")
+    turned = log_likelihood(back, lexicon, ["_key"], "_mirror", "_back").withColumnRenamed("_key", "_same")
+    judged = forth.join(turned, F.col("_key") == F.col("_same")).select("_key", (F.col("_forth") < F.col("_back") - TIE).alias("_turned"))
+    out = texts.withColumn("_own", digest(text)).join(judged, F.col("_own") == F.col("_key"), "left")
+    rtl = (F.length(F.coalesce(F.col(text), F.lit(""))) >= 2) & F.coalesce("_turned", F.lit(False))
+    return out.withColumn("rtl", rtl).withColumn("fixed", F.when(rtl, T.mirror_reverse(F.col(text))).otherwise(F.col(text))).drop("_own", "_key", "_turned")
 
 
 #: Labels of blocks whose lines may be turned round.

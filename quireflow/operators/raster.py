@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quireflow.tables import ship
+
 
 @dataclass(frozen=True)
 class GutterOptions:
@@ -189,6 +191,7 @@ def prepare_crops(crops: DataFrame, options: GutterOptions = GutterOptions()) ->
                 out.append((r.key, r.label, p.shape[0], p.shape[1], 1 if p.ndim == 2 else p.shape[2], p.tobytes()))
             yield pd.DataFrame(out, columns=["key", "label", "h", "w", "c", "data"])
 
+    ship(crops.sparkSession)
     types = dict(crops.dtypes)
     return crops.select("key", "label", "h", "w", "c", "data").mapInPandas(run, f"key {types['key']}, label string, h int, w int, c int, data binary")
 

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quireflow.tables import Tables
+from quireflow.tables import Tables, ship
 
 #: (x, y) shares by which boxes are shrunk before cutting: whole pages, and crops of a page.
 PAGE_SCALE, CROP_SCALE = (0.0667, 0.6667), (0.2, 0.0667)
@@ -39,7 +39,7 @@ def reading_order(df: DataFrame, page: str, idx: str, scale: tuple[float, float]
     """Adds rank (from 1), for any depth of cuts.
 
     ``rounds`` of cuts are made by windows. Pages with a group of several boxes that may be cut further after those are
-    ordered by ``cut_order`` instead, each in one call; the boxes are written once for that.
+    ordered by ``cut_order`` instead, each in one call; the boxes are written once for that, when this is called.
     """
     tables = tables or Tables(df.sparkSession, "order")
     names = df.columns
@@ -102,6 +102,7 @@ def _grouped(boxes: DataFrame, page: str, idx: str) -> DataFrame:
         rows = sorted(g[[idx, "lx", "ly", "hx", "hy"]].itertuples(index=False, name=None))
         return pd.DataFrame({page: g[page].iloc[0], idx: cut_order(rows), "rank": range(1, len(rows) + 1)})
 
+    ship(boxes.sparkSession)
     types = dict(boxes.dtypes)
     return boxes.select(page, idx, "lx", "ly", "hx", "hy").groupBy(page).applyInPandas(one, f"{page} {types[page]}, {idx} {types[idx]}, rank int")
 

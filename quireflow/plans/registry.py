@@ -125,13 +125,24 @@ class Context:
         """A value of the configuration."""
         return self.config.get(key, default)
 
-    def cut(self, df: DataFrame, name: str) -> DataFrame:
-        """A frame that is read more than once, written to the shared folder."""
+    def written(self, df: DataFrame) -> Any:
+        """This run's tables in the shared folder."""
         if self.scratch is None:
             from quireflow.tables import Tables
 
             self.scratch = Tables(df.sparkSession, "pages")
-        return self.scratch.cut(df, name)
+        return self.scratch
+
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        """A frame that is read more than once, written to the shared folder."""
+        return self.written(df).cut(df, name)
+
+
+    def close(self) -> None:
+        """Deletes the tables that were written for this run; what reads them can't be used any more."""
+        if self.scratch is not None:
+            self.scratch.close()
+            self.scratch = None
 
 
 class Stage:
@@ -175,6 +186,9 @@ class Pipeline:
             self._built.append((name, made(self.context) if isinstance(made, type) else made))
 
     def run(self, df: DataFrame) -> DataFrame:
+        from quireflow.tables import ship
+
+        ship(df.sparkSession)
         for name, stage in self._built:
             if name not in self.skip:
                 self.context.stage = name

@@ -48,10 +48,13 @@ def _backend(ctx: Context, kind: str, key: str):
 
 @STAGES.register("coarse_detector")
 def coarse_detector(pages: DataFrame, ctx: Context) -> DataFrame:
-    """Boxes of pages. The pages are kept for the cropper."""
+    """Boxes of pages. The pages are kept for the cropper, and in a permissive run the errors for the aggregator."""
     ctx.tables["pages"] = pages
-    target = tuple(ctx.get("coarse_detector.target_size"))
-    found = E.detect_pages(pages, DOC, "content", _backend(ctx, "detector", "coarse_detector.model"), _backend(ctx, "decoder", "source.decoder")(), target, bool(ctx.get("coarse_detector.permissive")))
+    target, permissive, name = tuple(ctx.get("coarse_detector.target_size")), bool(ctx.get("coarse_detector.permissive")), ctx.get("coarse_detector.model")
+    found = E.detect_pages(pages, DOC, "content", _backend(ctx, "detector", "coarse_detector.model"), _backend(ctx, "decoder", "source.decoder")(), target, permissive, name)
+    if permissive:
+        found = ctx.cut(found, "detected")  # read twice
+        ctx.tables["errors"] = found.where(F.col("error").isNotNull()).select(DOC, "error")
     boxes = E.normalise_boxes(found.drop("error"), "result", target)
     return boxes.where(F.col("confidence") >= float(ctx.get("coarse_detector.threshold")))
 
@@ -66,7 +69,7 @@ def _named(crops: DataFrame) -> DataFrame:
 
 @STAGES.register("sorter")
 def sorter(boxes: DataFrame, ctx: Context) -> DataFrame:
-    return X.reading_order(boxes, DOC, "region", tuple(ctx.get("sorter.scale")), int(ctx.get("sorter.rounds")))
+    return X.reading_order(boxes, DOC, "region", tuple(ctx.get("sorter.scale")), int(ctx.get("sorter.rounds")), ctx.written(boxes))
 
 
 @STAGES.register("cropper")
@@ -88,7 +91,7 @@ def crop_filter(crops: DataFrame, ctx: Context) -> DataFrame:
 def fine_detector(crops: DataFrame, ctx: Context) -> DataFrame:
     """Named crops and sub crops; a crop without pixels goes, but counts."""
     named = G.name_crops(crops, DOC, "rank" if "rank" in crops.columns else "region").where(F.col("data").isNotNull())
-    return E.fine_crops(named, _backend(ctx, "detector", "fine_detector.model"), DOC, tuple(ctx.get("fine_detector.scale")))
+    return E.fine_crops(named, _backend(ctx, "detector", "fine_detector.model"), DOC, tuple(ctx.get("fine_detector.scale")), ctx.get("fine_detector.model"))
 
 
 @STAGES.register("column_expander")
@@ -105,7 +108,7 @@ def preprocessor(crops: DataFrame, ctx: Context) -> DataFrame:
 @STAGES.register("ocr")
 def ocr(crops: DataFrame, ctx: Context) -> DataFrame:
     second = BACKENDS.get(f"recogniser:{name}") if (name := ctx.get("ocr.second")) else None
-    return recognise_pictures(_named(crops), _backend(ctx, "recogniser", "ocr.model"), second, threads=int(ctx.get("ocr.threads")), timeout=ctx.get("ocr.timeout"))
+    return recognise_pictures(_named(crops), _backend(ctx, "recogniser", "ocr.model"), second, threads=int(ctx.get("ocr.threads")), timeout=ctx.get("ocr.timeout"), names=(ctx.get("ocr.model"), name))
 
 
 @STAGES.register("postprocessor")
@@ -140,15 +143,35 @@ def reorder(docs: DataFrame, ctx: Context) -> DataFrame:
 
 @STAGES.register("aggregator")
 def aggregator(docs: DataFrame, ctx: Context) -> DataFrame:
-    """doc_id and its final text; written below ``aggregator.output`` if that is set."""
+    """doc_id and its final text; written below ``aggregator.output`` if that is set.
+
+    Pages of one document (pages with document and page_no) are joined by blank lines in their order, and doc_id is the
+    document then. In a permissive run there is also a row for each page or document with an error, which tells it.
+    """
     final = F.col("final") if "final" in docs.columns else F.lit(None).cast("string")
     out = docs.select(DOC, F.coalesce(final_text(final, F.col("markdown")), F.lit("")).alias("markdown"))
+    if "errors" in ctx.tables:
+        failed = ctx.tables["errors"].withColumnRenamed(DOC, "_failed")
+        out = out.join(failed, F.col(DOC).eqNullSafe(F.col("_failed")), "full").select(F.coalesce(DOC, "_failed").alias(DOC), F.coalesce("markdown", F.lit("")).alias("markdown"), "error")
+    if {"document", "page_no"} <= set(ctx.tables["pages"].columns if "pages" in ctx.tables else ()):
+        out = join_pages(out, ctx.tables["pages"])
     if root := ctx.get("aggregator.output"):
         out = ctx.cut(out, "final")
         ctx.values["written"] = write_markdown(out, root, DOC)
     return out
 
 
+def join_pages(texts: DataFrame, pages: DataFrame) -> DataFrame:
+    """A row per document of pages' texts (doc_id, markdown and maybe error); doc_id is the document's. pages: doc_id, document, page_no."""
+    of = pages.select(F.col(DOC).alias("_page"), "document", "page_no")
+    rows = texts.join(of, F.col(DOC).eqNullSafe(F.col("_page")))
+    parts = F.sort_array(F.collect_list(F.when(F.col("markdown") != "", F.struct("page_no", F.col("markdown").alias("t")))))
+    errors = F.sort_array(F.collect_list(F.when(F.col("error").isNotNull(), F.struct("page_no", F.col("error").alias("t"))))) if "error" in texts.columns else None
+    said = lambda rows, sep: F.array_join(F.transform(rows, lambda r: r["t"]), sep)
+    made = [said(parts, "\n\n").alias("markdown"), *([F.nullif(said(errors, "\n"), F.lit("")).alias("error")] if errors is not None else [])]
+    return rows.groupBy(F.col("document").alias(DOC)).agg(*made)
+
+
 #: The stages above, in their order.
 ORDER = [n for n in STAGES.names() if getattr(STAGES.get(n), "__module__", None) == __name__]
 DEFAULTS["pipeline"]["stages"] = ORDER

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quireflow.functions.textclean import strip_bbox_lines
 from quireflow.plans.registry import InputError
+from quireflow.tables import ship
 
 # Suffixes of page files.
 SUFFIXES = ["png", "jpg", "jpeg", "bmp", "tiff", "pdf"]
@@ -69,6 +70,7 @@ def write_files(files: DataFrame, root: str) -> int:
                 store.move(hidden, f"{folder}/{name}")
             yield pd.DataFrame({"n": [len(b)]})
 
+    ship(files.sparkSession)
     return files.select("parts", "body").mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).collect()[0][0]
 
 
@@ -95,6 +97,7 @@ def write_outlines(pages: DataFrame, boxes: DataFrame, root: str, name: str, dec
         p = paint_boxes(decode(bytes(page["content"].iloc[0])), list(own[["x1", "y1", "x2", "y2"]].astype(int).itertuples(index=False, name=None)), thickness=thickness)
         return pd.DataFrame({"key": [str(key[0])], "body": [b"P6\n%d %d\n255\n" % (p.shape[1], p.shape[0]) + p.tobytes()]})
 
+    ship(pages.sparkSession)
     drawn = pages.select(doc, "content").groupBy(doc).cogroup(boxes.select(doc, "x1", "y1", "x2", "y2").groupBy(doc)).applyInPandas(draw, "key string, body binary")
     return write_files(drawn.select(F.array("key", F.lit("debug"), F.lit(f"{name}.ppm")).alias("parts"), "body"), root)
 

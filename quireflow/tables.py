@@ -49,7 +49,10 @@ atexit.register(delete_roots)
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends the package to the executors, once a session, so that Python workers can import it wherever they run."""
+    """Sends the package to the executors, once a session, so that Python workers can import it wherever they run.
+
+    A function takes the list of files along when it is made, so whatever makes one for the executors calls this before.
+    """
     sc = spark.sparkContext
     if any(str(f).endswith(_SHIPPED) for f in sc._python_includes):
         return
@@ -88,3 +91,10 @@ class Tables:
         for name in names:
             if name in self.held:
                 delete_path(self.spark, self.held.pop(name))
+
+    def close(self) -> None:
+        """Deletes all of them."""
+        self.held.clear()
+        delete_path(self.spark, self.root)
+        if (self.spark, self.root) in _ROOTS:
+            _ROOTS.remove((self.spark, self.root))
