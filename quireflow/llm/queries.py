@@ -44,7 +44,8 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of all documents by source, language, tokenizer and version.
 
     Loads them, loads them again (which changes nothing), moves documents of fewer than 10 words to the language ``und`` (a
-    revision into another group), withdraws those and puts them back. So all documents are in the totals.
+    revision into another group), withdraws those, puts them back, and moves them back to their own language. So all documents
+    are in the totals, each in its own group.
     """
     scratch = Scratch(spark, "token-counts")
     store = RollupStore(spark, scratch.path("store"))
@@ -58,6 +59,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.commit("short", moved.withColumn("op", F.lit("revise")).withColumn("old_n_tokens", F.col("n_tokens")))
     store.commit("withdraw", moved.withColumn("op", F.lit("delete")))
     store.commit("restore", moved.withColumn("op", F.lit("insert")))
+    store.commit("back", lean.where("short").withColumns({"old_lang": F.lit("und"), "op": F.lit("revise"), "old_n_tokens": F.col("n_tokens")}))
     out = store.totals().select(*GROUP, F.col("docs").alias("n_docs"), F.col("tokens").alias("n_tokens"))
     return scratch.finish(out)
 

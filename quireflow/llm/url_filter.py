@@ -5,8 +5,10 @@ the keys of the universe that level 0 wrongly accepts; level 2 the listed keys t
 key is left. A lookup walks the levels to the first that rejects. Here the universe is every key a corpus's urls can match
 (host suffixes with path prefixes, for the suffix and prefix sizes of the rules), so a lookup needs no join.
 
-Bits are set by a grouped bit_or of 64-bit words, so building is one small shuffle for each level. A filter holds at most
-MAX_BYTES; longer lists are split by hash into shards, each with a cascade of its own that is broadcast by itself.
+Level 0 has the more bits a key, the more of the universe it has to keep out: so many that about as many wrongly pass as
+are listed. So every level follows the list, and the universe only by a fourth root. Bits are set by a grouped bit_or of
+64-bit words, so building is one small shuffle for each level. No level holds more than ``max_bytes``: where one would, the
+keys are split by hash into more shards, each with a cascade of its own that is broadcast by itself.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, matches nothing and is allowed; an empty
 path matches no rule, as rules' paths begin with a slash. Repeated rows are judged each by itself; a rule that is listed
@@ -65,8 +67,13 @@ def hashes(key: Column) -> list[Column]:
     return [F.shiftright(F.xxhash64(key), 6), F.shiftright(F.xxhash64(F.concat(F.lit("\x01"), key)), 6)]
 
 
-def _encode(keys: DataFrame, level: int, n: int) -> np.ndarray:
-    bits = 64 * max(1, -(-n * BITS_PER_KEY // 64))
+def bits_for(keys: int, others: int = 0) -> int:
+    """Bits of a level of so many keys, of which about as many of the others pass as there are keys, and one in 80 at most."""
+    each = max(BITS_PER_KEY, HASHES * (others / keys) ** (1 / HASHES)) if keys else BITS_PER_KEY
+    return 64 * max(1, -(-int(keys * each) // 64))
+
+
+def _encode(keys: DataFrame, level: int, bits: int) -> np.ndarray:
     at = F.explode(F.array(*[_position(level, i, bits) for i in range(HASHES)])).alias("at")
     words = keys.select(at).groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 AS INT)))").alias("bits"))
     out = np.zeros(bits // 64, np.uint64)
@@ -95,19 +102,35 @@ def build_cascades(universe: DataFrame, listed: DataFrame, scratch: Scratch, max
     both = universe.select("key", F.lit(False).alias("on")).unionByName(listed.select("key", F.lit(True).alias("on"))).where("key IS NOT NULL")
     h1, h2 = hashes(F.col("key"))
     keys = scratch.cut(both.select(h1.alias("h1"), h2.alias("h2"), "on").groupBy("h1", "h2").agg(F.max("on").alias("on")), "universe")
-    total = keys.where("on").count()
-    shards = max(1, -(-total * BITS_PER_KEY // (8 * max_bytes)))
-    out = []
-    for shard in range(shards):
-        mine = keys.where(F.pmod("h2", F.lit(shards)) == shard)
-        cascade, take, rest = Cascade(shard=shard, shards=shards), mine.where("on").select("h1", "h2"), mine.where("NOT on").select("h1", "h2")
-        while n := take.count():
-            if len(cascade.levels) >= MAX_LEVELS:
-                raise ValueError("two keys have equal hashes")
-            cascade.levels.append(_encode(take, len(cascade.levels), n))
-            take, rest = scratch.cut(_accepted(rest, cascade), f"level{shard}-{len(cascade.levels)}"), take
-        out.append(cascade)
-    return out
+    counts = {r.on: r["count"] for r in keys.groupBy("on").count().collect()}
+    shards = max(1, -(-bits_for(counts.get(True, 0), counts.get(False, 0)) // (8 * max_bytes)))
+    while True:
+        out = []
+        for shard in range(shards):
+            cascade = _cascade(keys.where(F.pmod("h2", F.lit(shards)) == shard), Cascade(shard=shard, shards=shards), scratch, max_bytes)
+            if cascade is None:
+                break
+            out.append(cascade)
+        else:
+            return out
+        shards *= 2
+
+
+def _cascade(keys: DataFrame, cascade: Cascade, scratch: Scratch, max_bytes: int) -> Cascade | None:
+    """The levels for a shard's keys; None if one would hold more than max_bytes, and more than the one word that it has at least."""
+    counts = {r.on: r["count"] for r in keys.groupBy("on").count().collect()}
+    take, rest = keys.where("on").select("h1", "h2"), keys.where("NOT on").select("h1", "h2")
+    n, others = counts.get(True, 0), counts.get(False, 0)
+    while n:
+        if len(cascade.levels) >= MAX_LEVELS:
+            raise ValueError("two keys have equal hashes")
+        bits = bits_for(n, others if not cascade.levels else 0)
+        if bits > max(64, 8 * max_bytes):
+            return None
+        cascade.levels.append(_encode(take, len(cascade.levels), bits))
+        take, rest = scratch.cut(_accepted(rest, cascade), f"level{cascade.shard}-{len(cascade.levels)}"), take
+        n = take.count()
+    return cascade
 
 
 def listed_flags(df: DataFrame, keys_col: str, cascades: list[Cascade], name: str) -> DataFrame:

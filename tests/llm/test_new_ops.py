@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quireflow.llm import filter_audit, prefix_trie, queries, sentence_pieces
+from quireflow.llm import filter_audit, prefix_trie, queries, sentence_pieces, url_filter
 from quireflow.llm.common import Scratch
 from quireflow.llm.tokens import vocabulary
 
@@ -232,6 +232,22 @@ def test_trie_of_a_long_conversation(spark):
     assert nodes_of(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")) == plain_trie(rows)
 
 
+# --- bounded filters -------------------------------------------------------------------------------------------------------
+
+
+def test_no_level_of_a_cascade_outgrows_its_bound(spark):
+    """The universe grows a hundredfold; every level stays within the bound, and membership exact."""
+    listed = spark.createDataFrame([(f"listed {k}",) for k in range(40)], "key string")
+    for n, most in ((2_000, 256), (20_000, 256), (200_000, 256), (20_000, 64)):
+        universe = spark.range(n).select(F.concat(F.lit("key "), F.col("id").cast("string")).alias("key"))
+        cascades = url_filter.build_cascades(universe, listed, Scratch(spark, "test"), most)
+        assert cascades and all(x.nbytes <= most for c in cascades for x in c.levels) and len({c.shards for c in cascades}) == 1
+        keys = universe.unionByName(listed).select(F.array("key").alias("keys"), F.startswith("key", F.lit("listed")).alias("want"))
+        assert url_filter.listed_flags(keys, "keys", cascades, "on").where(F.col("on")[0] != F.col("want")).count() == 0
+    one = url_filter.build_cascades(spark.range(400_000).select(F.col("id").cast("string").alias("key")), spark.createDataFrame([(f"x{k}",) for k in range(5)], "key string"), Scratch(spark, "test"), 1024)
+    assert len(one) == 1 and sum(x.nbytes for x in one[0].levels) < 200
+
+
 # --- SQL -------------------------------------------------------------------------------------------------------------------
 
 
