@@ -18,7 +18,9 @@ from quireflow.sources.pages import read_pages, write_crop_texts, write_markdown
 
 
 def listed(raw: str | None) -> list[str] | None:
-    return [x.strip() for x in raw.split(",") if x.strip()] or None if raw else None
+    """The names of a comma-separated option; None without any."""
+    names = [name for part in (raw or "").split(",") if (name := part.strip())]
+    return names or None
 
 
 def parser() -> argparse.ArgumentParser:
@@ -48,7 +50,7 @@ def write_debug(pipeline: Pipeline, root: str) -> None:
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
-    """0, or 1 if there is no such path or no page. A page whose models fail has an empty text, and is not counted as succeeded."""
+    """0, or 1 if there is no such path or no page. A document whose models fail has an empty file, and is not counted among those with text."""
     args = parser().parse_args(argv)
     log = setup_logging("DEBUG" if args.verbose else "INFO")
     for module in listed(args.plugins) or []:
@@ -60,19 +62,20 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     try:
         config = Config.load(DEFAULTS, path=args.config, runtime=runtime)
         pages = read_pages(spark, args.img_path)
-        n = pages.count()
+        documents = pages.select(F.col("document").alias("doc_id")).distinct()
+        n = documents.count()
         if not n:
-            log.error("no pages in %s", args.img_path)
+            log.error("found nothing to read at %s", args.img_path)
             return 1
         pipeline = Pipeline(config=config)
         texts = pipeline.run(pages)
-        out = pages.select("doc_id").join(texts, "doc_id", "left").withColumn("markdown", F.coalesce("markdown", F.lit("")))
+        out = documents.join(texts, "doc_id", "left").withColumn("markdown", F.coalesce("markdown", F.lit("")))
         out = pipeline.context.cut(out, "written")
         write_markdown(out, args.output_path)
         if args.debug:
             write_debug(pipeline, args.output_path)
         done = out.where("markdown <> ''").count()
-        log.info("%d/%d succeeded; results in %s", done, n, args.output_path)
+        log.info("wrote %s: %d documents, of which %d have text", args.output_path, n, done)
         return 0
     except LayoutError as e:
         log.error("%s", e)

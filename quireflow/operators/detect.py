@@ -29,8 +29,8 @@ PICTURE = "h int, w int, c int, data binary"
 SLICE = 8
 
 
-def decode_netpbm(content: bytes) -> np.ndarray:
-    """A binary grey (P5) or colour (P6) Netpbm picture of 8 bits."""
+def _netpbm_head(content: bytes) -> tuple[bytes, int, int, int]:
+    """Kind, width, height, and where the pixels begin."""
     fields: list[bytes] = []
     at = 0
     while len(fields) < 4:
@@ -49,7 +49,19 @@ def decode_netpbm(content: bytes) -> np.ndarray:
     kind, (w, h, most) = fields[0], map(int, fields[1:])
     if kind not in (b"P5", b"P6") or most > 255:
         raise ValueError("only P5 and P6 pictures of 8 bits are read")
-    pixels = np.frombuffer(content, np.uint8, w * h * (3 if kind == b"P6" else 1), at + 1)
+    return kind, w, h, at + 1
+
+
+def netpbm_size(content: bytes) -> int:
+    """Bytes of the first picture of a Netpbm file."""
+    kind, w, h, at = _netpbm_head(content[:4096])
+    return min(len(content), at + w * h * (3 if kind == b"P6" else 1))
+
+
+def decode_netpbm(content: bytes) -> np.ndarray:
+    """A binary grey (P5) or colour (P6) Netpbm picture of 8 bits."""
+    kind, w, h, at = _netpbm_head(content)
+    pixels = np.frombuffer(content, np.uint8, w * h * (3 if kind == b"P6" else 1), at)
     return pixels.reshape((h, w, 3) if kind == b"P6" else (h, w))
 
 

@@ -2,38 +2,36 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quireflow.functions.textclean import strip_bbox_lines
-from quireflow.plans.registry import InputError
+from quireflow.plans.registry import BACKENDS, InputError
+from quireflow.sources.datasource import PARTITION_BYTES, Splitter, batch_done, register
 from quireflow.tables import ship
 
-# Suffixes of page files.
-SUFFIXES = ["png", "jpg", "jpeg", "bmp", "tiff", "pdf"]
+def read_pages(spark: SparkSession, path: str, splitters: dict[str, Splitter] | None = None, names: str = "stem", partition_bytes: int = PARTITION_BYTES) -> DataFrame:
+    """doc_id, document, page_no, path, content of the page files directly in a folder, of one file of any suffix, or of what a pattern tells. A path that is not there raises.
 
-
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id (the file's stem), path, content of the page files directly in a folder, or of one file of any suffix. A path that is not there raises."""
+    doc_id is a page's own key. The document is the file's stem, or its whole name where two files have one stem (with names
+    "file" it is the whole name of any); a file of several pages, as a splitter of its suffix gives them, has a row for each. Splitters are those registered by
+    ``splitter:<suffix>``, and those given.
+    """
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
     if not found:
         raise InputError("no such path", path=path)
-    single = len(found) == 1 and found[0].isFile()
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(path)
-    out = files.select(stem(F.col("path")).alias("doc_id"), "path", "content")
-    return out if single else out.where(F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1)).isin(SUFFIXES))
-
-
-def stem(path: Column) -> Column:
-    """A path's last part without its suffix."""
-    name = F.element_at(F.split(path, "/"), -1)
-    return F.when(name.rlike(r"^\.[^.]*$"), name).otherwise(F.regexp_replace(name, r"\.[^.]*$", ""))
+    known = {n.split(":", 1)[1]: BACKENDS.get(n)() for n in BACKENDS.names() if n.startswith("splitter:")}
+    register(spark, known | dict(splitters or {}))
+    paths = [path] if len(found) == 1 and not re.search(r"[*?\[{]", path) else [f.getPath().toString() for f in found]
+    return spark.read.format("quireflow_pages").option("files", json.dumps(paths)).option("names", names).option("partition_bytes", partition_bytes).load()
 
 
 def final_text(final: Column, annotated: Column) -> Column:
@@ -74,10 +72,20 @@ def write_files(files: DataFrame, root: str) -> int:
     return files.select("parts", "body").mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).collect()[0][0]
 
 
-def write_markdown(docs: DataFrame, root: str, doc: str = "doc_id", text: str = "markdown", suffix: str = "") -> int:
-    """Writes root/name/name.md for each document, in UTF-8, and gives their number. With a suffix, root/name/name<suffix>.md."""
-    name = F.coalesce(F.col(doc).cast("string"), F.lit("null"))
-    return write_files(docs.select(F.array(name, F.concat(name, F.lit(f"{suffix}.md"))).alias("parts"), F.col(text).cast("string").cast("binary").alias("body")), root)
+def write_markdown(docs: DataFrame, root: str, doc: str = "doc_id", text: str = "markdown", suffix: str = "", batch: str | None = None) -> int:
+    """Writes root/name/name.md for each document, in UTF-8, and gives their number. With a suffix, root/name/name<suffix>.md.
+
+    Files are seen when all are written, and a failing job changes none. With ``batch``, a mark is left that ``batch_done``
+    finds, and a batch that is marked isn't written again.
+    """
+    if batch is not None and batch_done(root, batch):
+        return 0
+    register(docs.sparkSession)
+    seen = Observation()
+    rows = docs.select(F.coalesce(F.col(doc).cast("string"), F.lit("null")).alias("doc_id"), F.col(text).cast("string").alias("markdown")).observe(seen, F.count(F.lit(1)).alias("n"))
+    out = rows.write.format("quireflow_markdown").mode("append").option("path", root).option("suffix", suffix)
+    (out if batch is None else out.option("batch", batch)).save()
+    return seen.get["n"]
 
 
 def write_crop_texts(results: DataFrame, root: str, doc: str = "doc_id") -> int:
