@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from quireflow.operators import chain as C
 from quireflow.operators.backends import loaded
 from quireflow.plans.registry import BACKENDS, ModelError, PipelineError
+from quireflow.tables import ship
 
 _LOG = logging.getLogger(__name__)
 #: Characters of a pair that the model sees: the end of the first text, the beginning of the second.
@@ -90,11 +92,14 @@ def score_pairs(pairs: DataFrame, load: Callable[[], Scorer], name: str, o: C.Ch
     goes_on and mixed of -1 and near of 0, so it is never linked. ``failed`` is set where the model can't be loaded at all.
     """
 
+    ship(pairs.sparkSession)
+    plan = uuid.uuid4().hex
+
     @F.pandas_udf("struct<goes_on: double, failed: boolean>")
     def judge(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         model = None
         try:
-            model = loaded(f"scorer:{name}", load)
+            model = loaded(f"scorer:{name}", load, plan)
             model.initialize()
         except Exception:
             _LOG.warning("the scorer can't be loaded", exc_info=True)

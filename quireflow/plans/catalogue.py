@@ -14,6 +14,7 @@ from quireflow.operators import detect as E
 from quireflow.operators import direction as D
 from quireflow.operators import fragments as P
 from quireflow.operators import geometry as G
+from quireflow.operators import nsp as N
 from quireflow.operators import raster as R
 from quireflow.operators import xycut as X
 from quireflow.plans import fakes
@@ -350,6 +351,13 @@ def _(s, d):
     return C.greedy_links(pairs(s, d), halves(s, d), "conv_id", "turn")
 
 
+@query("next_turn_ranking")
+def _(s, d):
+    """A continuity scorer that has learnt from two thirds of the conversations ranks every turn's next one among turns of others."""
+    turns = table(s, d, "conversations")
+    return N.rank_next_turns(turns, N.fit(turns))
+
+
 def every_other(s: SparkSession, d: str) -> DataFrame:
     """A fixed link table: each turn goes on two turns later."""
     f = halves(s, d).select("conv_id", "turn")

@@ -5,6 +5,8 @@ Pages are rows of doc_id and content. Models are plugged in by name: ``<stage>.m
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from quireflow.operators import detect as E
 from quireflow.operators import direction as D
 from quireflow.operators import fragments as P
 from quireflow.operators import geometry as G
+from quireflow.operators import nsp  # noqa: F401 - registers its scorer
 from quireflow.operators import raster as R
 from quireflow.operators import xycut as X
 from quireflow.operators.backends import recognise_pictures
@@ -32,7 +35,7 @@ DEFAULTS: dict = {
     "column_expander": {"extra": 5, "ink_below": 100, "least_depth": 0.6, "least_valley": 2, "least_column": 18, "smooth": 4, "jitter": 2},
     "ocr": {"model": "none", "second": None, "threads": 8, "timeout": 120},
     "postprocessor": {"lexicon": None, "segmenter": "dictionary", "positional_labels": False},
-    "reorder": {"model": "none", "left": 200, "diagonal": 100, "below": 1000, "least": 0.6, "decay": 500.0},
+    "reorder": {"model": "none", "weights": None, "left": 200, "diagonal": 100, "below": 1000, "least": 0.6, "decay": 500.0},
     "aggregator": {"output": None},
 }
 
@@ -137,7 +140,10 @@ def reorder(docs: DataFrame, ctx: Context) -> DataFrame:
     o = ctx.get("reorder")
     docs = ctx.cut(docs, "annotated")
     options = ChainOptions(o["left"], o["diagonal"], o["below"], o["least"], o["decay"])
-    final = S.reorder_markdown(docs, DOC, "markdown", S.scorer_of(o["model"]), o["model"], ctx.scratch, options)
+    load = S.scorer_of(o["model"])
+    if o.get("weights"):
+        load = partial(load, o["weights"])
+    final = S.reorder_markdown(docs, DOC, "markdown", load, o["model"], ctx.scratch, options)
     return docs.join(final, DOC, "left")
 
 
