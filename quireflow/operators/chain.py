@@ -22,13 +22,27 @@ class ChainOptions:
 
 
 def neighbour_pairs(frags: DataFrame, doc: str, block: str, o: ChainOptions = ChainOptions()) -> DataFrame:
-    """doc, src, dst with both boxes and texts: dst lies to the left of src at about its end, or right below it."""
+    """doc, src, dst with both boxes and texts: dst lies to the left of src at about its end, or right below it.
+
+    A band join: a fragment below another one has its top in the same band of ``below`` pixels as the other's foot, or in a
+    band next to it; one beside it lies in the same or a neighbouring cell of ``left`` by ``diagonal`` pixels. So a fragment
+    meets those of three bands and nine cells, and a long document is as many join keys as it has bands. A pair that is both
+    is found by its band. Fragments of a null document have no neighbours, and a rule
+    holds for none that lacks a coordinate it asks for.
+    """
     cols = ["x1", "y1", "x2", "y2", "text"]
-    a = frags.select(doc, F.col(block).alias("src"), *[F.col(c).alias(f"a_{c}") for c in cols])
-    b = frags.select(F.col(doc).alias("_doc"), F.col(block).alias("dst"), *[F.col(c).alias(f"b_{c}") for c in cols])
+    band = lambda c, width: F.floor(F.col(c) / F.lit(max(1, width))).cast("long")
+    key = lambda kind, y, x: F.struct(F.lit(kind).alias("kind"), y.alias("y"), x.alias("x"))
+    none, near = F.lit(0).cast("long"), (-1, 0, 1)
+    around = [key(0, band("y2", o.below) + k, none) for k in near] + [key(1, band("y2", o.diagonal) + k, band("x1", o.left) + j) for k in near for j in near]
+    own = [key(0, band("y1", o.below), none), key(1, band("y2", o.diagonal), band("x2", o.left))]
+    a = frags.select(doc, F.col(block).alias("src"), *[F.col(c).alias(f"a_{c}") for c in cols], F.explode(F.array(*around)).alias("_at"))
+    b = frags.where(~F.startswith(F.col("text"), F.lit("<div"))).select(F.col(doc).alias("_doc"), F.col(block).alias("dst"), *[F.col(c).alias(f"b_{c}") for c in cols], F.explode(F.array(*own)).alias("_in"))
     beside = (F.abs(F.col("b_x2") - F.col("a_x1")) <= o.left) & (F.abs(F.col("b_y2") - F.col("a_y2")) <= o.diagonal)
     under = F.abs(F.col("b_y1") - F.col("a_y2")) <= o.below
-    return a.join(b, (F.col(doc) == F.col("_doc")) & (F.col("src") != F.col("dst")) & ~F.startswith(F.col("b_text"), F.lit("<div")) & (beside | under)).drop("_doc")
+    meets = (F.col(doc) == F.col("_doc")) & (F.col("_at.kind") == F.col("_in.kind")) & (F.col("_at.y") == F.col("_in.y")) & (F.col("_at.x") == F.col("_in.x"))
+    wanted = F.when(F.col("_at.kind") == 0, under).otherwise(beside & ~F.coalesce(under, F.lit(False)))
+    return a.join(b, meets & (F.col("src") != F.col("dst")) & wanted).drop("_doc", "_at", "_in")
 
 
 def spatial_weight(o: ChainOptions = ChainOptions()) -> Column:
