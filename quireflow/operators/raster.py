@@ -45,36 +45,65 @@ def smooth(profile: np.ndarray, size: int) -> np.ndarray:
     return np.convolve(padded, np.full(size, 1 / size), "valid")
 
 
+def _bases(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place the nearest earlier place with a larger value (-1: none), and the last smallest place from there on, up to the place itself.
+
+    A stack of falling values: each place is put on and taken off once, and what is taken off hands on its smallest place.
+    """
+    before, base, stack = np.full(len(x), -1), np.arange(len(x)), []
+    for k, v in enumerate(x.tolist()):
+        least = k
+        while stack and x[stack[-1]] <= v:
+            j = base[stack.pop()]
+            if x[j] < x[least]:
+                least = j
+        before[k], base[k] = (stack[-1] if stack else -1), least
+        stack.append(k)
+    return before, base
+
+
+def peaks(x: np.ndarray) -> list[tuple[int, int, int, float, float]]:
+    """(place, left base, right base, prominence, width at half prominence) of every peak. A flat peak's place is its middle; one at an end is none."""
+    out: list[tuple[int, int, int, float, float]] = []
+    if len(x) < 3:
+        return out
+    edges = np.flatnonzero(np.diff(x)) + 1
+    starts, ends = np.concatenate([[0], edges]), np.concatenate([edges - 1, [len(x) - 1]])
+    _, left = _bases(x)
+    right = len(x) - 1 - _bases(x[::-1])[1][::-1]
+    for a, z in zip(starts[1:-1].tolist(), ends[1:-1].tolist(), strict=True):
+        if not (x[a - 1] < x[a] > x[z + 1]):
+            continue
+        mid = (a + z) // 2
+        lo, hi = int(left[mid]), int(right[mid])
+        prominence = float(x[mid] - max(x[lo], x[hi]))
+        half = float(x[mid]) - prominence / 2
+        i = mid
+        while x[i] > half:
+            i -= 1
+        j = mid
+        while x[j] > half:
+            j += 1
+        first = i + (half - x[i]) / (x[i + 1] - x[i]) if x[i] < half else float(i)
+        last = j - (half - x[j]) / (x[j - 1] - x[j]) if x[j] < half else float(j)
+        out.append((mid, lo, hi, prominence, float(last - first)))
+    return out
+
+
 def valleys(profile: np.ndarray, least_width: float) -> list[tuple[int, int, int]]:
     """(place, left base, right base) of peaks of max - profile whose width at half prominence is enough."""
-    x, out = profile.max() - profile, []
-    k = 1
-    while k < len(x) - 1:
-        if x[k - 1] < x[k]:
-            ahead = k + 1
-            while ahead < len(x) - 1 and x[ahead] == x[k]:
-                ahead += 1
-            if x[ahead] < x[k]:
-                mid = (k + ahead - 1) // 2
-                higher_l, higher_r = np.flatnonzero(x[:mid] > x[mid]), np.flatnonzero(x[mid + 1 :] > x[mid])
-                a, z = (higher_l[-1] if len(higher_l) else 0), (mid + 1 + higher_r[0] if len(higher_r) else len(x) - 1)
-                left = mid - int(np.argmin(x[a : mid + 1][::-1]))
-                right = mid + int(np.argmin(x[mid : z + 1]))
-                half = x[mid] - (x[mid] - max(x[left], x[right])) / 2
-                i = mid
-                while i > left and x[i] > half:
-                    i -= 1
-                lo = i + (half - x[i]) / (x[i + 1] - x[i]) if x[i] < half else float(i)
-                j = mid
-                while j < right and x[j] > half:
-                    j += 1
-                hi = j - (half - x[j]) / (x[j - 1] - x[j]) if x[j] < half else float(j)
-                if hi - lo >= least_width:
-                    out.append((mid, left, right))
-            k = ahead
-        else:
-            k += 1
-    return out
+    return [(mid, lo, hi) for mid, lo, hi, _, width in peaks(profile.max() - profile) if width >= least_width]
+
+
+def depth(profile: np.ndarray, mid: int, left: int, right: int) -> float:
+    """How far the profile falls from the lower of both bases, as a share of it, from 0 to 1."""
+    dip = lambda ref: 0.0 if ref <= 0 else min(max((ref - profile[mid]) / ref, 0.0), 1.0)
+    return float(min(dip(profile[left]), dip(profile[right])))
+
+
+def spans_between(cuts: list[int], width: int, least: int) -> list[tuple[int, int]]:
+    """Columns of at least that width between cuts."""
+    return [(a, z) for a, z in zip([0, *cuts], [*cuts, width], strict=True) if z - a >= least]
 
 
 def column_spans(picture: np.ndarray, o: GutterOptions = GutterOptions()) -> list[tuple[int, int]]:
@@ -85,14 +114,8 @@ def column_spans(picture: np.ndarray, o: GutterOptions = GutterOptions()) -> lis
     if w < o.smooth:
         return [(0, w)] if w >= o.least_column else []
     profile = smooth(ink(picture, o.ink_below).sum(0, dtype=np.int64), o.smooth)
-    dip = lambda v, ref: 0.0 if ref <= 0 else min(max((ref - v) / ref, 0.0), 1.0)
-    cuts = [m for m, a, z in valleys(profile, o.least_valley) if min(dip(profile[m], profile[a]), dip(profile[m], profile[z])) >= o.least_depth]
-    at, out = 0, []
-    for cut in [*cuts, w]:
-        if cut - at >= o.least_column:
-            out.append((at, cut))
-        at = cut
-    return out
+    cuts = [m for m, a, z in valleys(profile, o.least_valley) if depth(profile, m, a, z) >= o.least_depth]
+    return spans_between(cuts, w, o.least_column)
 
 
 def _edge(picture: np.ndarray, mask: np.ndarray, centre: int) -> np.ndarray:
@@ -206,6 +229,47 @@ def smooth_profile(profile: DataFrame, crop: str, size: int = 4) -> DataFrame:
     return profile.withColumn("smooth", F.sum("profile").over(w) / F.lit(float(size)))
 
 
+def profile_arrays(profile: DataFrame, crop: str, width: int) -> DataFrame:
+    """crop, profile: the ink of each of ``width`` columns as an array; a column without a row has none."""
+    held = profile.where(F.col("x").between(0, width - 1)).groupBy(crop).agg(F.map_from_entries(F.collect_list(F.struct("x", F.col("profile").cast("double")))).alias("_m"))
+    return held.select(crop, F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda x: F.coalesce(F.element_at("_m", x), F.lit(0.0))).alias("profile"))
+
+
+VALLEY = "array<struct<place: int, left_base: int, right_base: int, prominence: double, width: double, depth: double>>"
+
+
+def column_valleys(profiles: DataFrame, crop: str, o: GutterOptions = GutterOptions()) -> DataFrame:
+    """crop, place, left_base, right_base, prominence, width, depth, is_cut: the valleys of each smoothed profile (an array) that are wide enough, and whether they are deep enough for a cut."""
+    ship(profiles.sparkSession)
+
+    @F.pandas_udf(VALLEY)
+    def find(arrays: pd.Series) -> pd.Series:
+        def one(a):
+            p = smooth(np.asarray(a, float), o.smooth) if len(a) >= o.smooth else np.zeros(0)
+            found = peaks(p.max() - p) if len(p) else []
+            return [{"place": m, "left_base": lo, "right_base": hi, "prominence": t, "width": w, "depth": depth(p, m, lo, hi)} for m, lo, hi, t, w in found if w >= o.least_valley]
+
+        return arrays.map(one)
+
+    rows = profiles.where(F.col("profile").isNotNull()).select(crop, F.explode(find("profile")).alias("v")).select(crop, "v.*")
+    return rows.withColumn("is_cut", F.col("depth") >= o.least_depth)
+
+
+def cut_spans(valleys_: DataFrame, profiles: DataFrame, crop: str, o: GutterOptions = GutterOptions()) -> DataFrame:
+    """crop, start, stop: the text columns between cuts of each profile."""
+    cuts = valleys_.where("is_cut").groupBy(F.col(crop).alias("_crop")).agg(F.sort_array(F.collect_list("place")).alias("_cuts"))
+    rows = profiles.select(crop, F.size("profile").alias("_w")).join(cuts, F.col(crop).eqNullSafe(F.col("_crop")), "left")
+    inner = F.coalesce("_cuts", F.array().cast("array<int>"))
+    spans = F.zip_with(F.concat(F.array(F.lit(0)), inner), F.concat(inner, F.array("_w")), lambda a, z: F.struct(a.alias("start"), z.alias("stop")))
+    return rows.select(crop, F.explode(F.filter(spans, lambda s: s["stop"] - s["start"] >= o.least_column)).alias("s")).select(crop, "s.*")
+
+
+def colour_stats(pixels: DataFrame, crop: str, below: int = 100) -> DataFrame:
+    """crop, mean, deviation: of the values of pixels (crop, value) without ink, as of a whole population."""
+    clear = F.when(F.col("value") > below, F.col("value").cast("double"))
+    return pixels.groupBy(crop).agg(F.avg(clear).alias("mean"), F.stddev_pop(clear).alias("deviation"))
+
+
 def peak_gaps(profile: np.ndarray, least_height: float, least_gap: int, inset: int) -> list[tuple[int, int]]:
     """Gaps wider than ``least_gap`` between peaks of a profile, inset on both sides."""
     peaks = [k for k in range(1, len(profile) - 1) if profile[k] >= least_height and profile[k - 1] < profile[k] >= profile[k + 1]]

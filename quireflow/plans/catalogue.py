@@ -15,6 +15,7 @@ from quireflow.operators import direction as D
 from quireflow.operators import fragments as P
 from quireflow.operators import geometry as G
 from quireflow.operators import nsp as N
+from quireflow.operators import overlaps as O
 from quireflow.operators import raster as R
 from quireflow.operators import xycut as X
 from quireflow.plans import fakes
@@ -182,6 +183,34 @@ def _(s, d):
     return X.reading_order_grouped(layout(s, d), "page", "region", X.PAGE_SCALE)
 
 
+# --- overlaps ----------------------------------------------------------------------------------------------------------
+
+# three boxes a place, moved on a little, so that many of a page overlap
+CROWD = "SELECT page, region * 3 + k AS region, CAST(floor(x1 / 2) AS INT) + k * 9 AS x1, CAST(floor(y1 / 2) AS INT) + k * 5 AS y1, CAST(floor(x1 / 2) AS INT) + x2 - x1 AS x2, CAST(floor(y1 / 2) AS INT) + y2 - y1 - k * 3 AS y2, confidence + k * 0.001::DOUBLE AS score FROM layout CROSS JOIN (SELECT unnest(range(3)) AS k)"
+KEPT = """list_reduce(list_transform(list({'i': region, 'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2} ORDER BY score DESC, region), lambda b: [b]), lambda a, b: CASE WHEN len(list_filter(a, lambda o: (
+  greatest(0, least(o.x2, b[1].x2) - greatest(o.x1, b[1].x1)) * greatest(0, least(o.y2, b[1].y2) - greatest(o.y1, b[1].y1))) > 0.5::DOUBLE * ((o.x2 - o.x1) * (o.y2 - o.y1) + (b[1].x2 - b[1].x1) * (b[1].y2 - b[1].y1)
+  - greatest(0, least(o.x2, b[1].x2) - greatest(o.x1, b[1].x1)) * greatest(0, least(o.y2, b[1].y2) - greatest(o.y1, b[1].y1))))) > 0 THEN a ELSE a || b END)"""
+
+
+def crowd(s: SparkSession, d: str) -> DataFrame:
+    k, half = F.col("k"), lambda c: F.floor(F.col(c) / 2).cast("int")
+    rows = layout(s, d).withColumn("k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    made = {"x1": half("x1") + k * 9, "y1": half("y1") + k * 5, "x2": half("x1") + F.col("x2") - F.col("x1"), "y2": half("y1") + F.col("y2") - F.col("y1") - k * 3}
+    return rows.select("page", (F.col("region") * 3 + k).alias("region"), *(c.alias(n) for n, c in made.items()), (F.col("confidence") + k * 0.001).alias("score"))
+
+
+@query("overlap_suppression", f"{WITH_L}, w AS ({CROWD}), k AS (SELECT page, unnest({KEPT}) AS b FROM w WHERE x2 > x1 AND y2 > y1 GROUP BY page) SELECT page, b.i AS region FROM k UNION ALL SELECT page, region FROM w WHERE NOT (x2 > x1 AND y2 > y1)")
+def _(s, d):
+    return O.suppress(crowd(s, d), "page", "region", "score").select("page", "region")
+
+
+@query("overlap_containers", f"""{WITH_L}, w AS ({CROWD}), a AS (SELECT *, greatest(0, x2 - x1) * greatest(0, y2 - y1) AS area FROM w)
+SELECT page, region FROM a b WHERE NOT EXISTS (SELECT 1 FROM a o WHERE o.page = b.page AND o.region <> b.region AND o.area > 0 AND b.area > 0 AND (o.area > b.area OR (o.area = b.area AND o.region < b.region))
+  AND greatest(0, least(o.x2, b.x2) - greatest(o.x1, b.x1)) * greatest(0, least(o.y2, b.y2) - greatest(o.y1, b.y1)) >= 0.9::DOUBLE * b.area)""")
+def _(s, d):
+    return O.keep_containers(crowd(s, d), "page", "region").select("page", "region")
+
+
 # --- text --------------------------------------------------------------------------------------------------------------
 
 
@@ -453,6 +482,47 @@ def _(s, d):
     return R.smooth_profile(R.column_profile(pixels(s, d), "crop", 100), "crop", 4)
 
 
+# columns 0 to 49 of each crop, smoothed; x is the profile upside down
+VALLEYS = f"""{PROFILE}, k AS (SELECT crop, CAST(unnest(range(50)) AS INT) AS x FROM (SELECT DISTINCT crop FROM p)),
+s AS (SELECT k.crop, k.x AS k, sum(coalesce(c.profile, 0)) OVER (PARTITION BY k.crop ORDER BY k.x ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING) / 4.0::DOUBLE AS p FROM k LEFT JOIN c ON c.crop = k.crop AND c.x = k.x),
+x AS (SELECT crop, k, p, max(p) OVER (PARTITION BY crop) - p AS v FROM s),
+r1 AS (SELECT *, CASE WHEN lag(v) OVER (PARTITION BY crop ORDER BY k) = v THEN 0 ELSE 1 END AS new FROM x),
+r2 AS (SELECT *, sum(new) OVER (PARTITION BY crop ORDER BY k) AS run FROM r1),
+r3 AS (SELECT crop, run, min(k) AS a, max(k) AS z, min(v) AS v FROM r2 GROUP BY crop, run),
+r4 AS (SELECT *, lag(v) OVER w AS pv, lead(v) OVER w AS nv FROM r3 WINDOW w AS (PARTITION BY crop ORDER BY run)),
+m AS (SELECT crop, CAST((a + z) // 2 AS INT) AS place, v FROM r4 WHERE pv < v AND nv < v),
+h AS (SELECT m.*, coalesce(max(x.k) FILTER (x.k < place AND x.v > m.v), 0) AS a, coalesce(min(x.k) FILTER (x.k > place AND x.v > m.v), 49) AS z FROM m JOIN x USING (crop) GROUP BY crop, place, m.v),
+b AS (SELECT h.crop, place, h.v, arg_min(x.k, {{l}}) FILTER (x.k BETWEEN a AND place) AS left_base, arg_min(x.k, {{r}}) FILTER (x.k BETWEEN place AND z) AS right_base FROM h JOIN x USING (crop) GROUP BY h.crop, place, h.v),
+t AS (SELECT b.*, b.v - greatest(l.v, r.v) AS prominence, b.v - (b.v - greatest(l.v, r.v)) / 2 AS half, l.p AS lp, r.p AS rp FROM b JOIN x l ON l.crop = b.crop AND l.k = left_base JOIN x r ON r.crop = b.crop AND r.k = right_base),
+e AS (SELECT t.*, max(x.k) FILTER (x.k <= place AND x.v <= half) AS i, min(x.k) FILTER (x.k >= place AND x.v <= half) AS j FROM t JOIN x USING (crop) GROUP BY ALL),
+f AS (SELECT e.*, m.p AS mp, i + CASE WHEN xi.v < half THEN (half - xi.v) / (xa.v - xi.v) ELSE 0 END AS first, j - CASE WHEN xj.v < half THEN (half - xj.v) / (xb.v - xj.v) ELSE 0 END AS last
+  FROM e JOIN x m ON m.crop = e.crop AND m.k = place JOIN x xi ON xi.crop = e.crop AND xi.k = i JOIN x xa ON xa.crop = e.crop AND xa.k = i + 1 JOIN x xj ON xj.crop = e.crop AND xj.k = j JOIN x xb ON xb.crop = e.crop AND xb.k = j - 1),
+d AS (SELECT crop, place, CAST(left_base AS INT) AS left_base, CAST(right_base AS INT) AS right_base, prominence, last - first AS width,
+  least(CASE WHEN lp <= 0 THEN 0.0 ELSE least(greatest((lp - mp) / lp, 0.0), 1.0) END, CASE WHEN rp <= 0 THEN 0.0 ELSE least(greatest((rp - mp) / rp, 0.0), 1.0) END) AS depth FROM f)""".format(l="x.v * 1000 - x.k", r="x.v * 1000 + x.k")
+
+
+def profiles(s: SparkSession, d: str) -> DataFrame:
+    return R.profile_arrays(R.column_profile(pixels(s, d), "crop", 100), "crop", 50)
+
+
+@query("column_valleys", f"{VALLEYS} SELECT crop, place, left_base, right_base, round(prominence, 6) AS prominence, round(width, 6) AS width, round(depth, 6) AS depth, depth >= 0.6::DOUBLE AS is_cut FROM d WHERE width >= 2")
+def _(s, d):
+    out = R.column_valleys(profiles(s, d), "crop")
+    return out.withColumns({c: F.round(c, 6) for c in ("prominence", "width", "depth")})
+
+
+@query("column_spans", f"""{VALLEYS}, g AS (SELECT crop, place FROM d WHERE width >= 2 AND depth >= 0.6::DOUBLE UNION ALL SELECT DISTINCT crop, 50 FROM p),
+n AS (SELECT crop, CAST(coalesce(lag(place) OVER (PARTITION BY crop ORDER BY place), 0) AS INT) AS start, CAST(place AS INT) AS stop FROM g) SELECT crop, start, stop FROM n WHERE stop - start >= 18""")
+def _(s, d):
+    held = profiles(s, d)
+    return R.cut_spans(R.column_valleys(held, "crop"), held, "crop")
+
+
+@query("colour_stats", f"WITH p AS ({PIXELS}) SELECT crop, round(avg(CAST(value AS DOUBLE)) FILTER (value > 100), 6) AS mean, round(stddev_pop(CAST(value AS DOUBLE)) FILTER (value > 100), 6) AS deviation FROM p GROUP BY crop")
+def _(s, d):
+    return R.colour_stats(pixels(s, d), "crop").withColumns({c: F.round(c, 6) for c in ("mean", "deviation")})
+
+
 @query("gutter_widen")
 def _(s, d):
     """Two dark columns of text with a gutter, of sizes given by the region, through widening and padding."""

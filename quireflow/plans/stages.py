@@ -17,6 +17,7 @@ from quireflow.operators import direction as D
 from quireflow.operators import fragments as P
 from quireflow.operators import geometry as G
 from quireflow.operators import nsp  # noqa: F401 - registers its scorer
+from quireflow.operators import overlaps as O
 from quireflow.operators import raster as R
 from quireflow.operators import xycut as X
 from quireflow.operators.backends import recognise_pictures
@@ -28,7 +29,7 @@ DOC = "doc_id"
 DEFAULTS: dict = {
     "pipeline": {},
     "source": {"decoder": "picture"},
-    "coarse_detector": {"model": "none", "target_size": [1240, 1755], "threshold": 0.0, "permissive": False},
+    "coarse_detector": {"model": "none", "target_size": [1240, 1755], "threshold": 0.0, "overlaps": "none", "permissive": False},
     "sorter": {"scale": list(X.PAGE_SCALE), "rounds": 2},
     "crop_filter": {"ignore_labels": ["header", "advert"]},
     "fine_detector": {"model": "none", "scale": list(X.CROP_SCALE)},
@@ -59,7 +60,11 @@ def coarse_detector(pages: DataFrame, ctx: Context) -> DataFrame:
         found = ctx.cut(found, "detected")  # read twice
         ctx.tables["errors"] = found.where(F.col("error").isNotNull()).select(DOC, "error")
     boxes = E.normalise_boxes(found.drop("error"), "result", target)
-    return boxes.where(F.col("confidence") >= float(ctx.get("coarse_detector.threshold")))
+    boxes = boxes.where(F.col("confidence") >= float(ctx.get("coarse_detector.threshold")))
+    mode = ctx.get("coarse_detector.overlaps")
+    if mode == "none":
+        return boxes
+    return O.settle(ctx.cut(boxes, "boxes"), DOC, "region", "confidence", mode, ctx.written(boxes))
 
 
 def _named(crops: DataFrame) -> DataFrame:

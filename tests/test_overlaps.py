@@ -1,0 +1,217 @@
+"""Overlaps, valleys over pixel tables, direction of repeated rows, cleaning of long texts, and crops, against plain loops."""
+
+import random
+import time
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quireflow.functions import textclean as T
+from quireflow.operators import backends as B
+from quireflow.operators import detect as E
+from quireflow.operators import direction as D
+from quireflow.operators import overlaps as O
+from quireflow.operators import raster as R
+from quireflow.plans import fakes
+from quireflow.plans.stages import page_pipeline
+
+BOXES = "doc string, idx int, x1 int, y1 int, x2 int, y2 int, score double"
+
+
+def area(b):
+    return max(0, b[4] - b[2]) * max(0, b[5] - b[3])
+
+
+def common(a, b):
+    return max(0, min(a[4], b[4]) - max(a[2], b[2])) * max(0, min(a[5], b[5]) - max(a[3], b[3]))
+
+
+def plain_suppress(rows, least):
+    kept = []
+    for b in sorted(rows, key=lambda b: (-(b[6] if b[6] is not None else -np.inf), b[1])):
+        if not any(a[0] == b[0] and common(a, b) > least * (area(a) + area(b) - common(a, b)) for a in kept):
+            kept.append(b)
+    return {(b[0], b[1]) for b in kept}
+
+
+def plain_containers(rows, share):
+    larger = lambda a, b: (area(a), -a[1]) > (area(b), -b[1])
+    return {(b[0], b[1]) for b in rows if not any(a[0] == b[0] and a is not b and common(a, b) > 0 and common(a, b) >= share * area(b) and larger(a, b) for a in rows)}
+
+
+def some_boxes(seed, n=80):
+    rng = random.Random(seed)
+    rows = [(d, k, x, y, x + rng.randint(-5, 600), y + rng.randint(0, 600), rng.choice([None, 0.1, 0.5, 0.5, 0.9])) for d in ("a", "b") for k in range(n) for x, y in [(rng.randint(-300, 700), rng.randint(-300, 700))]]
+    # a chain in which each box covers the next one, and boxes that touch at the edge of a cell
+    rows += [("chain", k, 10 * k, 0, 10 * k + 40, 40, float(-k)) for k in range(30)]
+    return rows + [("edge", 0, 0, 0, 256, 256, 1.0), ("edge", 1, 256, 0, 512, 256, 1.0), ("edge", 2, 250, 250, 600, 600, 1.0), ("edge", 3, 250, 250, 600, 600, 1.0)]
+
+
+@pytest.mark.parametrize(("seed", "least"), [(1, 0.3), (2, 0.5), (3, 0.0)])
+def test_suppression_and_containers_against_loops(spark, seed, least):
+    rows = some_boxes(seed)
+    df = spark.createDataFrame(rows, BOXES)
+    assert {(r.doc, r.idx) for r in O.suppress(df, "doc", "idx", "score", least).collect()} == plain_suppress(rows, least)
+    for share in (0.9, 0.5):
+        assert {(r.doc, r.idx) for r in O.keep_containers(df, "doc", "idx", share).collect()} == plain_containers(rows, share)
+    assert O.suppress(df.limit(0), "doc", "idx", "score").count() == 0 and O.keep_containers(df.limit(0), "doc", "idx").count() == 0
+
+
+def test_each_pair_is_found_once(spark):
+    rows = some_boxes(4, 40)
+    for cell in (64, 256, 5000):
+        got = [(r.doc, r.a_idx, r.b_idx, r.common) for r in O.overlapping(spark.createDataFrame(rows, BOXES), "doc", "idx", [], cell).collect()]
+        want = {(a[0], a[1], b[1], common(a, b)) for a in rows for b in rows if a is not b and a[0] == b[0] and common(a, b)}
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_modes_of_the_detector_stage(spark):
+    pages = fakes.pages(spark, "/root/testdata/sf0.001").limit(20)
+    boxes = {}
+    for mode in O.MODES:
+        run = page_pipeline(["coarse_detector"], coarse_detector={**fakes.CONFIG["coarse_detector"], "overlaps": mode})
+        boxes[mode] = {(r.doc_id, r.region) for r in run.run(pages).collect()}
+    assert boxes["none"] > boxes["large"] and boxes["none"] >= boxes["score"]
+    with pytest.raises(ValueError):
+        O.settle(pages, "doc_id", "region", "confidence", "other")
+
+
+# --- valleys ---------------------------------------------------------------------------------------------------------------
+
+
+def plain_peaks(x):
+    """By scanning from every place."""
+    out, n = [], len(x)
+    for a in range(1, n - 1):
+        z = a
+        while z + 1 < n and x[z + 1] == x[a]:
+            z += 1
+        if x[a - 1] >= x[a] or z == n - 1 or x[z + 1] > x[a]:
+            continue
+        m = (a + z) // 2
+        lo = m
+        while lo > 0 and x[lo - 1] <= x[m]:
+            lo -= 1
+        hi = m
+        while hi < n - 1 and x[hi + 1] <= x[m]:
+            hi += 1
+        left = max((k for k in range(lo, m + 1)), key=lambda k: (-x[k], k))
+        right = min((k for k in range(m, hi + 1)), key=lambda k: (x[k], k))
+        tall = x[m] - max(x[left], x[right])
+        half = x[m] - tall / 2
+        i = max(k for k in range(m + 1) if x[k] <= half)
+        j = min(k for k in range(m, n) if x[k] <= half)
+        first = i if x[i] == half else i + (half - x[i]) / (x[i + 1] - x[i])
+        last = j if x[j] == half else j - (half - x[j]) / (x[j - 1] - x[j])
+        out.append((m, left, right, tall, last - first))
+    return out
+
+
+def test_peaks_against_scans():
+    rng = np.random.default_rng(1)
+    for k in range(400):
+        x = rng.integers(0, 2 + k % 7, rng.integers(0, 40)).astype(float)
+        got, want = R.peaks(x), plain_peaks(x.tolist())
+        assert len(got) == len(want) and np.allclose(np.array(got).reshape(-1, 5), np.array(want).reshape(-1, 5))
+    began = time.time()
+    wide = rng.integers(0, 1000, 200_000).astype(float)
+    assert len(R.peaks(wide)) > 50_000 and time.time() - began < 5
+
+
+def test_pixel_tables_cut_where_pictures_are_cut(spark):
+    """The pictures of gutter_widen: column_spans of each picture against valleys and spans of its pixel table."""
+    rng, pictures = np.random.default_rng(2), {}
+    for k in range(30):
+        h, w = int(rng.integers(12, 30)), 120
+        p = np.full((h, w), 255, np.uint8)
+        for a in range(0, w, 40 if k % 2 else 60):
+            p[:, a : a + int(rng.integers(20, 38))] = np.where(rng.random((h, 1)) < 0.8, 20 + k, 255)
+        pictures[k] = p
+    rows = [(k, x, y, int(p[y, x])) for k, p in pictures.items() for y in range(p.shape[0]) for x in range(p.shape[1])]
+    pixels = spark.createDataFrame(rows, "crop int, x int, y int, value int")
+    held = R.profile_arrays(R.column_profile(pixels, "crop", 100), "crop", 120)
+    spans = {}
+    for r in R.cut_spans(R.column_valleys(held, "crop"), held, "crop").collect():
+        spans.setdefault(r.crop, []).append((r.start, r.stop))
+    assert {k: sorted(v) for k, v in spans.items()} == {k: R.column_spans(p) for k, p in pictures.items()} and any(len(v) > 2 for v in spans.values())
+
+
+def test_colours(spark):
+    df = spark.createDataFrame([(1, 200), (1, 100), (1, 150), (2, 5), (None, 200), (3, None)], "crop int, value int")
+    got = {r.crop: (r["mean"], r.deviation) for r in R.colour_stats(df, "crop").collect()}
+    assert got == {1: (175.0, 25.0), 2: (None, None), None: (200.0, 0.0), 3: (None, None)}
+
+
+# --- direction and cleaning ------------------------------------------------------------------------------------------------
+
+
+def test_direction_of_null_and_repeated_keys(spark):
+    lexicon = spark.createDataFrame([("the", 50), ("cat", 20)], "token string, freq long")
+    rows = [(None, "tac eht"), (1, "tac eht"), (1, "the cat"), (1, "the cat"), (None, None), (2, None), (None, "the cat")]
+    got = sorted(((r.id, r.text, r.rtl, r.fixed) for r in D.judge_direction(spark.createDataFrame(rows, "id int, text string"), lexicon, ["id"], "text").collect()), key=str)
+    want = [(i, t, t == "tac eht", t and "the cat") for i, t in rows]
+    assert got == sorted(want, key=str)
+
+
+def plain_unit(t):
+    return next((t[:p] for p in range(1, len(t) // 3 + 1) if len(t) % p == 0 and t[:p] * (len(t) // p) == t), t)
+
+
+def test_units_against_a_loop(spark):
+    rng = random.Random(3)
+    texts = ["", "a", "aa", "aaa", "é漢é漢é漢", "abab", *("".join(rng.choice("ab") for _ in range(rng.randint(1, 4))) * rng.randint(1, 12) for _ in range(300))]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [(r.t, r.u) for r in df.select("t", T.shrink_line(F.col("t")).alias("u")).collect()] == [(t, plain_unit(t)) for t in texts]
+
+
+@pytest.mark.parametrize("text", ["a" * 200_000, "ab c" * 50_000, "x y\n" * 50_000 + "z", "a word and another one\n" * 9_000])
+def test_long_texts_are_cleaned_in_a_second(spark, text):
+    df = spark.createDataFrame([(text,)], "t string").coalesce(1).cache()
+    clean = df.select(F.length(T.full_clean(F.col("t"))).alias("n"))
+    clean.collect()
+    began = time.time()
+    clean.collect()
+    assert time.time() - began < 1
+
+
+# --- crops and models ------------------------------------------------------------------------------------------------------
+
+
+def test_crops_without_a_shuffle_of_pages(spark):
+    pages = fakes.pages(spark, "/root/testdata/sf0.001").limit(9).cache()
+    held = {r.doc_id: E.decode_picture(bytes(r.content)) for r in pages.collect()}
+    rows = [(d, k, 3 * k, 2 * k, 3 * k + 20, 2 * k + 9, "x") for d in [*held, -1] for k in range(3)]
+    boxes = spark.createDataFrame(rows, "doc_id long, data_no int, cx1 int, cy1 int, cx2 int, cy2 int, label string")
+    got = E.crop_pixels(boxes, pages, "doc_id", "content")
+    for r in got.collect():
+        p = E.picture_of(r)
+        assert p is None if r.doc_id == -1 else np.array_equal(p, held[r.doc_id][r.cy1 : r.cy2, r.cx1 : r.cx2])
+    assert got.count() == len(rows)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and "MapInArrow" in plan
+
+
+def test_models_are_loaded_and_warmed_once_a_plan():
+    made = []
+
+    class Model:
+        def __init__(self):
+            made.append("new")
+
+        def warm_up(self):
+            made.append("warm")
+
+    a = B.loaded("test:m", Model, "plan 1")
+    assert B.loaded("test:m", Model, "plan 1") is a and made == ["new", "warm"]
+    assert B.loaded("test:m", Model, "plan 2") is not a and len(made) == 4
+
+
+def test_pages_are_detected_in_slices(spark):
+    pages = fakes.pages(spark, "/root/testdata/sf0.001").limit(30).coalesce(1)
+
+    def model(pictures):
+        assert len(pictures) <= E.SLICE
+        return fakes.detect(pictures)
+
+    assert E.detect_pages(pages, "doc_id", "content", lambda: model, target=(fakes.WIDTH, fakes.HEIGHT)).where("result IS NOT NULL").count() == 30
