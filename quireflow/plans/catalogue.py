@@ -445,6 +445,13 @@ def _(s, d):
     return D.log_likelihood(doc_lines(s, d), lexicon(s, d), ["doc_id", "line_no"], "line", "loglik").withColumn("loglik", F.round("loglik", 6))
 
 
+@query("lexicon_segmentation")
+def _(s, d):
+    """The likeliest split of every line of the documents under all words that they hold."""
+    words = lexicon(s, d)
+    return D.segment_lines(doc_lines(s, d), "line", words).select("doc_id", "line_no", F.size("words").alias("n_words"), "words", F.round("loglik", 6).alias("loglik"))
+
+
 def mirror_sql(c: str) -> str:
     return rf"reverse(translate(regexp_replace({c}, '\s+$', ''), '([{{<（《【「)]}}>）》】」', ')]}}>）》】」([{{<（《【「')) || regexp_extract({c}, '\s+$')"
 

@@ -35,7 +35,7 @@ DEFAULTS: dict = {
     "fine_detector": {"model": "none", "scale": list(X.CROP_SCALE)},
     "column_expander": {"extra": 5, "ink_below": 100, "least_depth": 0.6, "least_valley": 2, "least_column": 18, "smooth": 4, "jitter": 2},
     "ocr": {"model": "none", "second": None, "threads": 8, "timeout": 120},
-    "postprocessor": {"lexicon": None, "segmenter": "dictionary", "positional_labels": False},
+    "postprocessor": {"lexicon": None, "segmenter": "dictionary", "broadcast_words": D.MOST_WORDS, "positional_labels": False},
     "reorder": {"model": "none", "weights": None, "left": 200, "diagonal": 100, "below": 1000, "least": 0.6, "decay": 500.0},
     "aggregator": {"output": None},
 }
@@ -119,19 +119,30 @@ def ocr(crops: DataFrame, ctx: Context) -> DataFrame:
     return recognise_pictures(_named(crops), _backend(ctx, "recogniser", "ocr.model"), second, threads=int(ctx.get("ocr.threads")), timeout=ctx.get("ocr.timeout"), names=(ctx.get("ocr.model"), name))
 
 
+def _turned(results: DataFrame, ctx: Context) -> DataFrame:
+    """Blocks with lines the way they are likelier, if there is a lexicon: one that can be broadcast goes to the workers, a larger one is used in shards."""
+    path, name = ctx.get("postprocessor.lexicon"), ctx.get("postprocessor.segmenter")
+    segment = {"dictionary": D.segment_dictionary, "words": D.segment_words}[name]
+    if not path:
+        return results
+    words = ctx.cut(D.lexicon_rows(results.sparkSession, path), "lexicon")
+    most = int(ctx.get("postprocessor.broadcast_words"))
+    if name == "dictionary" and words.limit(most + 1).count() > most:
+        return D.fix_direction_by_table(results, "blocks", words, ctx.written(results), most)
+    return D.fix_direction(results, "blocks", D.Judge({r.token: r.freq for r in words.collect()}, segment))
+
+
 @STAGES.register("postprocessor")
 def postprocessor(results: DataFrame, ctx: Context) -> DataFrame:
     """A row per document with its annotated Markdown. Results that are null are left out; so are documents without any.
 
     A crop's label is its own; with ``positional_labels`` it is looked up by position, with the shifts that this has.
     """
-    segment = {"dictionary": D.segment_dictionary, "words": D.segment_words}[ctx.get("postprocessor.segmenter")]
-    judge = D.Judge(D.read_lexicon(results.sparkSession, path), segment) if (path := ctx.get("postprocessor.lexicon")) else None
     if ctx.get("postprocessor.positional_labels"):
         results = P.positional_labels(results.withColumn("there", F.col("blocks").isNotNull()), DOC, "big_no", "sub_no", "label", "there")
     else:
         results = results.withColumns({"format_label": F.col("label"), "group_label": F.col("label")})
-    there = D.fix_direction(results.where(F.col("blocks").isNotNull()), "blocks", judge)
+    there = _turned(results.where(F.col("blocks").isNotNull()), ctx)
     said = F.array_join(F.transform("blocks", lambda b: b["content"]), "\n\n")
     is_title = lambda c: F.coalesce(F.col(c) == "title", F.lit(False))
     pieces = there.withColumn("title", is_title("group_label")).withColumn("text", F.when(is_title("format_label") & (said != ""), T.format_title(said)).otherwise(said))
