@@ -15,7 +15,9 @@ no such bound, and a ValueError is raised.
 
 Counting is a shuffle of sorted, truncated hashes, coded as gaps, by parts of the hash range; each chunk of documents gets
 back its tokens' classes as bits. Nothing of that is broadcast, and the hash's width and the number of parts follow the
-corpus, so the unique class does not fill up with it.
+corpus, so the unique class does not fill up with it. A chunk speaks to 1 << LEVEL_BITS parts only. Where there are more,
+chunks are first brought together, 1 << LEVEL_BITS of them for one such part, and what they hold together is dealt on, so a
+row stands for as many tokens at any size; the classes come back the same way.
 
 Signatures carry a band of the set's size, as similar sets have similar sizes. Documents that share signatures form
 candidate clusters (components over one star per signature, so a signature that a third of all documents share costs one
@@ -51,6 +53,8 @@ from quireflow.llm.components import connected_components
 BLOCK, BLOCK_BYTES = 1000, 4 << 20
 #: Bytes of text of a chunk of documents, bytes of text taken for one token, tokens of a part of the hash range.
 CHUNK_BYTES, TOKEN_BYTES, PART_TOKENS = 3 << 20, 6, 1 << 21
+#: Bits of the hash that tell the parts that one chunk, or one group of chunks, speaks to.
+LEVEL_BITS = 8
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -77,29 +81,45 @@ def shingles(text: str | None, n: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Layout:
-    """How tokens are counted: bits kept of a hash, how many of them tell the part, documents of a chunk (as a power of two), bytes of a coded gap."""
+    """How tokens are counted: bits kept of a hash, bits that tell the part on each level, documents of a chunk (as a power of two), bytes of a coded gap, chunks."""
 
     bits: int
-    part_bits: int
+    levels: tuple[int, ...]
     chunk_shift: int
     width: int
+    chunks: int = 1
 
     @classmethod
-    def of(cls, documents: int, text_bytes: int) -> Layout:
+    def of(cls, documents: int, text_bytes: int, level_bits: int | None = None, part_tokens: int | None = None) -> Layout:
         """For a corpus of that size. Of hashes that are five bits wider than the number of tokens, one in 32 unique tokens is taken for a rare one, which costs a signature and changes no result."""
-        tokens = max(1, text_bytes // TOKEN_BYTES)
+        tokens, level_bits = max(1, text_bytes // TOKEN_BYTES), level_bits or LEVEL_BITS
         bits = min(64, max(24, tokens.bit_length() + 5))
-        part_bits = min(bits - 1, max(6, (tokens // PART_TOKENS).bit_length()))
+        part_bits = min(bits - 1, max(min(6, level_bits), (tokens // (part_tokens or PART_TOKENS)).bit_length()))
+        levels = [level_bits] * (part_bits // level_bits) + [part_bits % level_bits] * bool(part_bits % level_bits)
         chunk_shift = max(0, (CHUNK_BYTES * documents // max(1, text_bytes)).bit_length() - 1) if documents else 0
         in_chunk = min(tokens, CHUNK_BYTES // TOKEN_BYTES).bit_length()
-        return cls(bits, part_bits, min(chunk_shift, 20), min(4, max(1, -(-(bits - in_chunk + 2) // 8))))
+        return cls(bits, tuple(levels), min(chunk_shift, 20), min(4, max(1, -(-(bits - in_chunk + 2) // 8))), max(1, text_bytes // CHUNK_BYTES))
+
+    def groups(self, level: int) -> int:
+        """Groups that the units of a level are brought together to, so that one holds a chunk's worth of tokens of a part."""
+        return max(1, -(-self.chunks >> sum(self.levels[: level + 1])))
+
+    def rows(self) -> int:
+        """Rows that all levels send one way: for each unit one a part, where a unit is a chunk or a group's share of a part."""
+        units = [self.chunks, *(self.groups(k) << sum(self.levels[: k + 1]) for k in range(len(self.levels) - 1))]
+        return sum(n << b for n, b in zip(units, self.levels, strict=True))
 
     def short(self, tokens: np.ndarray) -> np.ndarray:
         return tokens >> np.uint64(64 - self.bits)
 
-    def ends(self, sorted_short: np.ndarray) -> np.ndarray:
-        """Where each part of sorted short hashes begins, and their end."""
-        starts = np.arange(1 << self.part_bits, dtype=np.uint64) << np.uint64(self.bits - self.part_bits)
+    def base(self, part: int, level: int) -> int:
+        """The first short hash of a part of a level."""
+        return part << (self.bits - sum(self.levels[: level + 1]))
+
+    def ends(self, sorted_short: np.ndarray, level: int = 0, part: int = 0) -> np.ndarray:
+        """Where each part of a level begins in the sorted short hashes of a part of the level above, and their end."""
+        n, rest = self.levels[level], self.bits - sum(self.levels[: level + 1])
+        starts = (np.arange(1 << n, dtype=np.uint64) + np.uint64(part << n)) << np.uint64(rest)
         return np.append(np.searchsorted(sorted_short, starts), len(sorted_short))
 
 
@@ -126,8 +146,42 @@ def _sets(texts: list[str | None], n: int) -> tuple[list[np.ndarray], np.ndarray
     return sets, np.concatenate([np.zeros(0, np.uint64), *sets])
 
 
-def token_classes(docs: DataFrame, n: int, frequent: int, layout: Layout) -> DataFrame:
-    """chunk, part, n, shared, often: for the sorted distinct short hashes of a chunk in a part, a bit each for two documents or more, and for more than ``frequent`` (null: none). docs: row, text."""
+def _counted(layout: Layout, level: int, unit: int, part: int, token: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+    """Rows of PIECE for a unit's sorted distinct tokens, one for each part of the level that it has tokens in."""
+    ends, rows, again = layout.ends(token, level, part), [], count > 1
+    for k in np.flatnonzero(np.diff(ends)).tolist():
+        own = slice(ends[k], ends[k + 1])
+        m, at = again[own], (part << layout.levels[level]) + k
+        rows.append((unit, at, int(len(m)), pack_gaps(token[own], layout.base(at, level), layout.width), np.packbits(m).tobytes(), count[own][m].astype("<u4").tobytes()))
+    columns = zip(zip(*rows, strict=True) if rows else [[]] * 6, (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in columns], ["unit", "part", "n", "gaps", "again", "counts"])
+
+
+PIECE, CLASSES = "unit long, part long, n int, gaps binary, again binary, counts binary", "unit long, part long, n int, shared binary, often binary"
+
+
+def _pieces(layout: Layout, level: int, part: int, table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of a part's rows one after the other, their counts, and the rows' sizes."""
+    sizes, base = table["n"].to_numpy(), layout.base(part, level)
+    token = np.concatenate([np.zeros(0, np.uint64), *(unpack_gaps(x, base, layout.width) for x in table["gaps"].to_pylist())])
+    weight = np.ones(len(token), np.int64)
+    again = np.concatenate([np.zeros(0, np.uint8), *(np.unpackbits(np.frombuffer(x, np.uint8), count=m) for x, m in zip(table["again"].to_pylist(), sizes.tolist(), strict=True))]).astype(bool)
+    weight[again] = np.frombuffer(b"".join(table["counts"].to_pylist()), "<u4")
+    return token, weight, sizes
+
+
+def _bits(flags: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Flags of rows of so many tokens as packed bits, null for none."""
+    at = np.append(0, np.cumsum(sizes))
+    return pa.array([np.packbits(flags[a:z]).tobytes() if flags[a:z].any() else None for a, z in zip(at[:-1], at[1:], strict=True)], pa.binary())
+
+
+def _unpacked(bits: bytes | None, n: int) -> np.ndarray:
+    return np.zeros(n, bool) if bits is None else np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
+
+
+def token_classes(docs: DataFrame, n: int, frequent: int, layout: Layout, scratch: Scratch) -> DataFrame:
+    """unit (a chunk), part, n, shared, often: for the sorted distinct short hashes of a chunk in a part of the first level, a bit each for two documents or more, and for more than ``frequent`` (null: none). docs: row, text."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_forget()
@@ -135,14 +189,7 @@ def token_classes(docs: DataFrame, n: int, frequent: int, layout: Layout) -> Dat
         now = None
 
         def flush() -> pa.RecordBatch:
-            t, c = np.unique(layout.short(_sets(held, n)[1]), return_counts=True)
-            ends, rows, again = layout.ends(t), [], c > 1
-            for k in np.flatnonzero(np.diff(ends)).tolist():
-                own = slice(ends[k], ends[k + 1])
-                m = again[own]
-                rows.append((now, k, int(len(m)), pack_gaps(t[own], k << (layout.bits - layout.part_bits), layout.width), np.packbits(m).tobytes(), c[own][m].astype("<u4").tobytes()))
-            columns = zip(zip(*rows, strict=True) if rows else [[]] * 6, (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in columns], ["chunk", "part", "n", "gaps", "again", "counts"])
+            return _counted(layout, 0, now, 0, *np.unique(layout.short(_sets(held, n)[1]), return_counts=True))
 
         for b in small_batches(batches):
             for row, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -154,14 +201,15 @@ def token_classes(docs: DataFrame, n: int, frequent: int, layout: Layout) -> Dat
         if held:
             yield flush()
 
+    return _classes(docs.select("row", "text").mapInArrow(count, PIECE), 0, frequent, layout, scratch)
+
+
+def _classes(rows: DataFrame, level: int, frequent: int, layout: Layout, scratch: Scratch) -> DataFrame:
+    """The classes of rows of PIECE, whose parts are those of the level: of the last one by counting, else by what groups of units hold together."""
+
     def merge(key, table):
         worker_forget()
-        base = key[0].as_py() << (layout.bits - layout.part_bits)
-        sizes = table["n"].to_numpy()
-        token = np.concatenate([unpack_gaps(x, base, layout.width) for x in table["gaps"].to_pylist()])
-        weight = np.ones(len(token), np.int64)
-        again = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=m) for x, m in zip(table["again"].to_pylist(), sizes.tolist(), strict=True)]).astype(bool)
-        weight[again] = np.frombuffer(b"".join(table["counts"].to_pylist()), "<u4")
+        token, weight, sizes = _pieces(layout, level, key[0].as_py(), table)
         order = np.argsort(token, kind="stable")
         token = token[order]
         first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
@@ -169,12 +217,33 @@ def token_classes(docs: DataFrame, n: int, frequent: int, layout: Layout) -> Dat
         total = np.repeat(total, np.diff(np.append(first, len(token))))
         shared, often = np.empty(len(token), bool), np.empty(len(token), bool)
         shared[order], often[order] = total > 1, total > frequent
-        at = np.append(0, np.cumsum(sizes))
-        bits = [[np.packbits(x[a:z]).tobytes() if x[a:z].any() else None for a, z in zip(at[:-1], at[1:], strict=True)] for x in (shared, often)]
-        return pa.table({"chunk": table["chunk"], "part": table["part"], "n": table["n"], "shared": pa.array(bits[0], pa.binary()), "often": pa.array(bits[1], pa.binary())})
+        return pa.table({"unit": table["unit"], "part": table["part"], "n": table["n"], "shared": _bits(shared, sizes), "often": _bits(often, sizes)})
+
+    if level == len(layout.levels) - 1:
+        return rows.groupBy("part").applyInArrow(merge, CLASSES)
+
+    def together(key, table):
+        worker_forget()
+        group, part = (k.as_py() for k in key)
+        token, weight, _ = _pieces(layout, level, part, table)
+        distinct, place = np.unique(token, return_inverse=True)
+        return pa.Table.from_batches([_counted(layout, level + 1, group, part, distinct, np.bincount(place, weights=weight, minlength=len(distinct)).astype(np.int64))])
+
+    def apart(key, table, answers):
+        worker_forget()
+        token, _, sizes = _pieces(layout, level, key[1].as_py(), table)
+        distinct, place = np.unique(token, return_inverse=True)
+        answers = sorted(zip(*(answers[c].to_pylist() for c in ("part", "n", "shared", "often")), strict=True))
+        flags = [np.concatenate([np.zeros(0, bool), *(_unpacked(a[k], a[1]) for a in answers)]) for k in (2, 3)]
+        if len(flags[0]) != len(distinct):
+            raise RuntimeError("the documents were not the same when they were read again")
+        return pa.table({"unit": table["unit"], "part": table["part"], "n": table["n"], "shared": _bits(flags[0][place], sizes), "often": _bits(flags[1][place], sizes)})
 
-    counted = docs.select("row", "text").mapInArrow(count, "chunk long, part int, n int, gaps binary, again binary, counts binary")
-    return counted.groupBy("part").applyInArrow(merge, "chunk long, part int, n int, shared binary, often binary")
+    rows = scratch.cut(rows, f"pieces{level}")
+    held = rows.withColumn("group", F.pmod(F.xxhash64("unit", F.lit(level)), F.lit(layout.groups(level)).cast("long")))
+    groups = held.groupBy("group", "part").applyInArrow(together, PIECE)
+    answers = _classes(groups, level + 1, frequent, layout, scratch).withColumn("whole", F.shiftright("part", layout.levels[level + 1]))
+    return held.groupBy("group", "part").cogroup(answers.groupBy("unit", "whole")).applyInArrow(apart, CLASSES)
 
 
 def short_sets(percent: int) -> int:
@@ -242,7 +311,7 @@ def document_signatures(docs: DataFrame, n: int, percent: int, classes: DataFram
         return pa.table(dict(zip(("row", "doc_id", "n", "f1", "f2", "sigs", "parity", "tokens"), arrays, strict=True)))
 
     lean = docs.select(F.shiftright("row", layout.chunk_shift).alias("at"), "row", "doc_id", "text")
-    return lean.groupBy("at").cogroup(classes.groupBy("chunk")).applyInArrow(run, schema)
+    return lean.groupBy("at").cogroup(classes.groupBy("unit")).applyInArrow(run, schema)
 
 
 def least_common(a, b, percent: int):
@@ -363,7 +432,7 @@ def linked_rows(docs: DataFrame, scratch: Scratch, *, n: int, percent: int, freq
     short_sets(percent)
     count, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).collect()[0]
     layout = Layout.of(count, size)
-    classes = token_classes(docs, n, max(64, count // 1024) if frequent is None else frequent, layout)
+    classes = token_classes(docs, n, max(64, count // 1024) if frequent is None else frequent, layout, scratch)
     rows = scratch.cut(document_signatures(docs, n, percent, classes, layout), "documents")
     # documents of equal sets are one vertex: the first of them
     groups = scratch.cut(rows.where("n > 0").groupBy("f1", "f2").agg(F.min("row").alias("v"), F.count(F.lit(1)).alias("mult"), F.min("doc_id").alias("least")), "groups")

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quireflow.llm import filter_audit, prefix_trie, queries, sentence_pieces, url_filter
+from quireflow.llm import filter_audit, ngram_join, prefix_trie, queries, sentence_pieces, url_filter
 from quireflow.llm.common import Scratch
 from quireflow.llm.tokens import vocabulary
 
@@ -248,6 +248,47 @@ def test_no_level_of_a_cascade_outgrows_its_bound(spark):
     assert len(one) == 1 and sum(x.nbytes for x in one[0].levels) < 200
 
 
+# --- token classes on several levels -----------------------------------------------------------------------------------------
+
+
+def test_rows_per_token_stay_the_same():
+    """From the size that has two levels to 4096 times it; a chunk's worth of tokens is never dealt to more than 1 << LEVEL_BITS rows a level."""
+    for times in (1, 4, 64, 4096, 1 << 20):
+        size = (4 << 30) * times
+        layout = ngram_join.Layout.of(size // 3000, size)
+        assert max(layout.levels) <= ngram_join.LEVEL_BITS and sum(layout.levels) <= layout.bits
+        tokens = size // ngram_join.TOKEN_BYTES
+        per_level = tokens / layout.rows() * len(layout.levels)
+        assert per_level > 1500, (times, layout)
+
+
+@pytest.mark.parametrize(("level_bits", "part_tokens", "chunk"), [(2, 600, 40_000), (1, 4000, 5_000), (3, 50, 10**9)])
+def test_levels_give_the_classes_of_one_level(spark, monkeypatch, level_bits, part_tokens, chunk):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select(F.col("doc_id").alias("row"), "text")
+    size = docs.agg(F.sum(F.octet_length("text"))).collect()[0][0]
+    monkeypatch.setattr(ngram_join, "CHUNK_BYTES", chunk)
+    one = ngram_join.Layout.of(200, size, 60, 10**9)
+    deep = ngram_join.Layout.of(200, size, level_bits, part_tokens)
+    assert len(one.levels) == 1 and len(deep.levels) > 2 and deep.chunk_shift == one.chunk_shift and deep.bits == one.bits
+    found = []
+    for layout in (one, deep):
+        held = {}
+        for r in ngram_join.token_classes(docs, 5, 3, layout, Scratch(spark, "test")).collect():
+            for k in ("shared", "often"):
+                held.setdefault((r.unit, k), []).append((r.part, ngram_join._unpacked(r[k], r.n).tolist()))
+        found.append({k: [b for _, bits in sorted(v) for b in bits] for k, v in held.items()})
+    assert found[0] == found[1] and any(any(v) for v in found[0].values())
+
+
+def test_join_on_several_levels(spark, monkeypatch):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    want = sorted(map(tuple, ngram_join.jaccard_join(docs).collect()))
+    monkeypatch.setattr(ngram_join, "LEVEL_BITS", 2)
+    monkeypatch.setattr(ngram_join, "PART_TOKENS", 1000)
+    monkeypatch.setattr(ngram_join, "CHUNK_BYTES", 50_000)
+    assert sorted(map(tuple, ngram_join.jaccard_join(docs).collect())) == want
+
+
 # --- SQL -------------------------------------------------------------------------------------------------------------------
 
 
