@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quireflow.plans.registry import BACKENDS, Config, LayoutError, Pipeline, setup_logging
 from quireflow.plans.stages import DEFAULTS
-from quireflow.sources.pages import read_pages, write_crop_texts, write_markdown, write_outlines
+from quireflow.sources.pages import read_pages, write_crop_pictures, write_crop_texts, write_markdown, write_outlines
 
 
 def listed(raw: str | None) -> list[str] | None:
@@ -44,9 +44,16 @@ def write_debug(pipeline: Pipeline, root: str) -> None:
         write_markdown(held["postprocessor"], root, suffix="_with_bbox")
     if "ocr" in held:
         write_crop_texts(held["ocr"], root)
-    for stage in ("coarse_detector", "fine_detector"):
-        if stage in held and "pages" in ctx.tables:
-            write_outlines(ctx.tables["pages"], held[stage], root, stage, BACKENDS.get(f"decoder:{ctx.get('source.decoder')}")(), thickness=int(ctx.get("source.outline", 8)))
+    if "pages" in ctx.tables:
+        decode, thickness = BACKENDS.get(f"decoder:{ctx.get('source.decoder')}")(), int(ctx.get("source.outline", 8))
+        if "coarse_detector" in held:
+            ranked = held.get("sorter", held["coarse_detector"])
+            write_outlines(ctx.tables["pages"], ranked, root, "coarse_detector", decode, thickness=thickness, order="rank" if "rank" in ranked.columns else "region")
+        if "fine_detector" in held:
+            write_outlines(ctx.tables["pages"], held["fine_detector"], root, "fine_detector", decode, thickness=thickness, edge=(0, 0, 255), ink=(255, 255, 255))
+    for stage, suffix in (("fine_detector", ""), ("preprocessor", "_processed")):
+        if stage in held and "name" in held[stage].columns:
+            write_crop_pictures(held[stage], root, suffix)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:

@@ -197,6 +197,48 @@ def paint_boxes(picture: np.ndarray, boxes: list[tuple[int, int, int, int]], col
     return out
 
 
+# Room around a caption, where its text begins, and the sizes that a font has for pages of REFERENCE_EDGE pixels.
+BADGE_PAD, BADGE_INSET, FONT_RANGE, FONT_BASE, REFERENCE_EDGE = 8, (4, 2), (12, 40), 16, 1920
+#: Characters of captions, three columns by five rows, a row after the other from the top. Others are drawn as a box.
+GLYPHS = dict(
+    pair.split("=", 1) for pair in """
+0=111101101101111 1=010110010010111 2=111001111100111 3=111001111001111 4=101101111001001 5=111100111001111 6=111100111101111 7=111001001001001 8=111101111101111 9=111101111001111
+a=010101111101101 b=110101110101110 c=011100100100011 d=110101101101110 e=111100110100111 f=111100110100100 g=011100101101011 h=101101111101101 i=111010010010111 j=001001001101010
+k=101101110101101 l=100100100100111 m=101111111101101 n=110101101101101 o=010101101101010 p=110101110100100 q=010101101110011 r=110101110101101 s=011100010001110 t=111010010010010
+u=101101101101111 v=101101101101010 w=101101111111101 x=101101010101101 y=101101010010010 z=111001010100111 _=000000000000111 -=000000111000000 .=000000000000010 :=000010000010000
+""".split()
+)
+GLYPHS |= {" ": "0" * 15}
+
+
+def font_scale(height: int, width: int) -> int:
+    """Pixels of a caption's dot: a fifth of the font size for the longest edge."""
+    return max(1, min(max(max(height, width) * FONT_BASE // REFERENCE_EDGE, FONT_RANGE[0]), FONT_RANGE[1]) // 5)
+
+
+def caption_mask(text: str, scale: int) -> np.ndarray:
+    """A caption as a mask: glyphs one dot apart, each dot ``scale`` pixels wide."""
+    rows = [np.array(list(GLYPHS.get(ch, "1" * 15)), int).reshape(5, 3).astype(bool) for ch in text.lower()]
+    parts = [np.pad(r, ((0, 0), (0, 1))) for r in rows]
+    dots = np.concatenate(parts, 1)[:, :-1] if parts else np.zeros((5, 0), bool)
+    return np.repeat(np.repeat(dots, scale, 0), scale, 1)
+
+
+def paint_captions(picture: np.ndarray, boxes: list[tuple[int, int, int, int]], captions: list[str], edge=(255, 0, 0), ink_colour=(255, 255, 0)) -> np.ndarray:
+    """An RGB picture with a badge above each box's left upper corner, as far as there is room: the caption on a ground of the edge's colour."""
+    out = picture.copy()
+    h, w = out.shape[:2]
+    scale = font_scale(h, w)
+    for (x1, y1, _, _), text in zip(boxes, captions, strict=True):
+        x, y, mask = min(max(x1, 0), w), min(max(y1, 0), h), caption_mask(text, scale)
+        top, right = max(0, y - mask.shape[0] - BADGE_PAD), min(w, x + mask.shape[1] + BADGE_PAD)
+        out[top : y + 1, x : right + 1] = edge
+        a, b = top + BADGE_INSET[1], x + BADGE_INSET[0]
+        room = out[a : a + mask.shape[0], b : b + mask.shape[1]]
+        room[mask[: room.shape[0], : room.shape[1]]] = ink_colour
+    return out
+
+
 def prepare_crops(crops: DataFrame, options: GutterOptions = GutterOptions()) -> DataFrame:
     """crops (key, label, h, w, c, data) with widened gutters (label region only) and padding, in one pass over the pixels."""
 

@@ -95,21 +95,57 @@ def write_crop_texts(results: DataFrame, root: str, doc: str = "doc_id") -> int:
     return write_files(rows.where(~F.col("said").rlike(r"(?U)\A\s*\z")).select("parts", F.col("said").cast("binary").alias("body")), root)
 
 
-def write_outlines(pages: DataFrame, boxes: DataFrame, root: str, name: str, decode: Callable[[bytes], np.ndarray], doc: str = "doc_id", thickness: int = 8) -> int:
-    """Writes root/name/debug/<name>.ppm for each page with boxes (doc, x1, y1, x2, y2): the page as a Netpbm picture with their outlines."""
-    from quireflow.operators.raster import paint_boxes
+def netpbm(picture: np.ndarray) -> bytes:
+    """A picture as a binary Netpbm file: grey, or colour without alpha."""
+    grey = picture.ndim == 2 or picture.shape[2] == 1
+    body = picture if grey else np.ascontiguousarray(picture[..., :3])
+    return b"P%d\n%d %d\n255\n" % (5 if grey else 6, picture.shape[1], picture.shape[0]) + body.tobytes()
 
-    def draw(key, page, own):
-        if not len(page) or not len(own) or page["content"].iloc[0] is None:
-            return pd.DataFrame({"key": [], "body": []})
-        p = paint_boxes(decode(bytes(page["content"].iloc[0])), list(own[["x1", "y1", "x2", "y2"]].astype(int).itertuples(index=False, name=None)), thickness=thickness)
-        return pd.DataFrame({"key": [str(key[0])], "body": [b"P6\n%d %d\n255\n" % (p.shape[1], p.shape[0]) + p.tobytes()]})
+
+def _folder(doc: str):
+    return F.coalesce(F.col(doc).cast("string"), F.lit("null"))
+
+
+def write_outlines(pages: DataFrame, boxes: DataFrame, root: str, name: str, decode: Callable[[bytes], np.ndarray], doc: str = "doc_id", thickness: int = 8, order: str | None = None, edge=(255, 0, 0), ink=(255, 255, 0)) -> int:
+    """Writes root/name/debug/<name>.ppm for each page with boxes (doc, x1, y1, x2, y2): the page as a Netpbm picture with their outlines, each with its number, and its label if there is one, on a badge.
+
+    Numbers go by the column ``order``, else from the top left.
+    """
+    from quireflow.operators.raster import paint_boxes, paint_captions
+
+    keys = [order] if order else ["y1", "x1", "y2", "x2"]
+    label = [F.col("label").cast("string").alias("label")] if "label" in boxes.columns else [F.lit(None).cast("string").alias("label")]
+    lean = boxes.select(F.col(doc).alias("_of"), F.struct(*(F.col(k).alias(f"k{n}") for n, k in enumerate(keys)), *(F.col(c).cast("int").alias(c) for c in ("x1", "y1", "x2", "y2")), *label).alias("b"))
+    gathered = lean.groupBy("_of").agg(F.sort_array(F.collect_list("b")).alias("boxes"))
+    met = gathered.join(pages.select(doc, "content"), F.col("_of").eqNullSafe(F.col(doc))).where("content IS NOT NULL").select(_folder("_of").alias("key"), "boxes", "content")
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for key, own, content in b.itertuples(index=False):
+                corners = [tuple(int(x[c]) for c in ("x1", "y1", "x2", "y2")) for x in own]
+                captions = [f"{n}:{x['label']}" if x["label"] else str(n) for n, x in enumerate(own, 1)]
+                outlined = paint_boxes(decode(bytes(content)), corners, colour=edge, thickness=thickness)
+                yield pd.DataFrame({"key": [key], "body": [netpbm(paint_captions(outlined, corners, captions, edge, ink))]})
 
     ship(pages.sparkSession)
-    drawn = pages.select(doc, "content").groupBy(doc).cogroup(boxes.select(doc, "x1", "y1", "x2", "y2").groupBy(doc)).applyInPandas(draw, "key string, body binary")
+    drawn = met.mapInPandas(draw, "key string, body binary")
     return write_files(drawn.select(F.array("key", F.lit("debug"), F.lit(f"{name}.ppm")).alias("parts"), "body"), root)
 
 
+def write_crop_pictures(crops: DataFrame, root: str, suffix: str = "", doc: str = "doc_id") -> int:
+    """Writes root/name/debug/crop/crop<suffix>.ppm for each crop (doc, name, h, w, c, data) that has pixels."""
+    from quireflow.operators.detect import picture_of
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"key": b["key"], "name": b["name"], "body": [netpbm(picture_of(r)) for r in b.itertuples(index=False)]})
+
+    ship(crops.sparkSession)
+    lean = crops.where("data IS NOT NULL AND h > 0 AND w > 0").select(_folder(doc).alias("key"), "name", "h", "w", "c", "data")
+    drawn = lean.mapInPandas(draw, "key string, name string, body binary")
+    return write_files(drawn.select(F.array("key", F.lit("debug"), "name", F.concat("name", F.lit(f"{suffix}.ppm"))).alias("parts"), "body"), root)
+
+
 def success_count(tasks: DataFrame, done: DataFrame, doc: str = "doc_id", text: str = "markdown") -> DataFrame:
     """One row: documents, and how many of them have a text."""
     good = done.where(F.col(text) != "").select(F.col(doc).alias("_done")).distinct()

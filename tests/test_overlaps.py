@@ -215,3 +215,38 @@ def test_pages_are_detected_in_slices(spark):
         return fakes.detect(pictures)
 
     assert E.detect_pages(pages, "doc_id", "content", lambda: model, target=(fakes.WIDTH, fakes.HEIGHT)).where("result IS NOT NULL").count() == 30
+
+
+# --- debug pictures --------------------------------------------------------------------------------------------------------
+
+
+def test_captions_dot_by_dot():
+    assert all(len(g) == 15 for g in R.GLYPHS.values()) and R.font_scale(100, 50) == 2 and R.font_scale(100, 9600) == 8
+    assert R.caption_mask("1", 1).astype(int).tolist() == [[0, 1, 0], [1, 1, 0], [0, 1, 0], [0, 1, 0], [1, 1, 1]] and R.caption_mask("", 3).shape == (15, 0)
+    page = np.full((60, 80, 3), 7, np.uint8)
+    got = R.paint_captions(page, [(10, 30, 50, 50), (-5, 0, 9, 9), (79, 59, 90, 90)], ["1:a", "?", "22"], (255, 0, 0), (255, 255, 0))
+    mask = R.caption_mask("1:a", 2)
+    want = page.copy()
+    want[30 - 10 - 8 : 31, 10 : 10 + mask.shape[1] + 9] = (255, 0, 0)
+    for y, x in np.argwhere(mask):
+        want[30 - 18 + 2 + y, 14 + x] = (255, 255, 0)
+    assert (got[5:40, 10:60] == want[5:40, 10:60]).all() and (got[0, :10] == (255, 0, 0)).all() and (page == 7).all()
+
+
+def test_debug_pictures_byte_for_byte(spark, tmp_path):
+    from quireflow.sources import pages as P
+
+    rows = [(r.doc_id, bytes(r.content)) for r in fakes.pages(spark, "/root/testdata/sf0.001").orderBy("doc_id").limit(3).collect()]
+    pages = spark.createDataFrame([*rows, (None, rows[0][1])], "doc_id long, content binary")
+    boxes = [(rows[0][0], 5, 6, 40, 50, 2, "title"), (rows[0][0], 50, 6, 90, 50, 1, None), (None, 0, 0, 9, 9, 1, "x"), (-7, 0, 0, 9, 9, 1, "x")]
+    df = spark.createDataFrame(boxes, "doc_id long, x1 int, y1 int, x2 int, y2 int, rank int, label string")
+    assert P.write_outlines(pages, df, str(tmp_path), "coarse_detector", E.decode_picture, thickness=1, order="rank") == 2
+    own = [(50, 6, 90, 50), (5, 6, 40, 50)]
+    want = R.paint_captions(R.paint_boxes(E.decode_picture(rows[0][1]), own, thickness=1), own, ["1", "2:title"])
+    assert (tmp_path / str(rows[0][0]) / "debug" / "coarse_detector.ppm").read_bytes() == P.netpbm(want) and (tmp_path / "null" / "debug" / "coarse_detector.ppm").exists()
+    grey, colour = np.arange(12, dtype=np.uint8).reshape(3, 4), np.arange(48, dtype=np.uint8).reshape(3, 4, 4)
+    crops = [(1, "crop_1", 3, 4, 1, grey.tobytes()), (1, "crop_1.2", 3, 4, 4, colour.tobytes()), (1, "crop_3", None, None, None, None)]
+    assert P.write_crop_pictures(spark.createDataFrame(crops, "doc_id long, name string, h int, w int, c int, data binary"), str(tmp_path), "_processed") == 2
+    folder = tmp_path / "1" / "debug"
+    assert (folder / "crop_1" / "crop_1_processed.ppm").read_bytes() == b"P5\n4 3\n255\n" + grey.tobytes()
+    assert np.array_equal(E.decode_netpbm((folder / "crop_1.2" / "crop_1.2_processed.ppm").read_bytes()), colour[..., :3])
