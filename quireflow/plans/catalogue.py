@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quireflow.functions import textclean as T
 from quireflow.operators import chain as C
+from quireflow.operators import continuity as S
 from quireflow.operators import detect as E
 from quireflow.operators import direction as D
 from quireflow.operators import fragments as P
@@ -19,9 +20,10 @@ from quireflow.operators import overlaps as O
 from quireflow.operators import raster as R
 from quireflow.operators import xycut as X
 from quireflow.plans import fakes
-from quireflow.plans.stages import page_pipeline
+from quireflow.plans.stages import join_pages, page_pipeline
 from quireflow.plans.views import FRAGS, HALVES, LAYOUT, doc_lines, frags, halves, layout, table
-from quireflow.sources.pages import success_count
+from quireflow.sources.pages import final_text, success_count
+from quireflow.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -219,10 +221,19 @@ def _(s, d):
     return frags(s, d).withColumn("text", F.when(F.col("turn") % 3 != 0, F.col("text"))).where("text IS NOT NULL").select("conv_id", "turn", "text")
 
 
-@query("strip_bbox_lines", f"{WITH_F} SELECT conv_id, turn, text || chr(10) || text AS text FROM frags")
+# every third line is a marker, some of them set in, and every fifth only looks like one
+MARKED_LINES = "CASE line_no % 5 WHEN 1 THEN '  bbox:[1,2,3,4]' WHEN 2 THEN 'bbox: ' || line WHEN 3 THEN 'x bbox:[1,2,3,4]' ELSE line END"
+
+
+def marked_lines(s: SparkSession, d: str) -> DataFrame:
+    n = F.col("line_no") % 5
+    line = F.when(n == 1, F.lit("  bbox:[1,2,3,4]")).when(n == 2, F.concat(F.lit("bbox: "), "line")).when(n == 3, F.lit("x bbox:[1,2,3,4]")).otherwise(F.col("line"))
+    return doc_lines(s, d).groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", line.alias("t")))), lambda x: x["t"]), "\n").alias("text"))
+
+
+@query("strip_bbox_lines", rf"{LINES}, m AS (SELECT doc_id, line_no, {MARKED_LINES} AS t FROM l) SELECT doc_id, coalesce(string_agg(t, chr(10) ORDER BY line_no) FILTER (NOT regexp_matches(t, '^\s*bbox:')), '') AS text FROM m GROUP BY doc_id")
 def _(s, d):
-    marked = F.concat("text", F.lit("\n  bbox:[1,2,3,4]\n"), "text", F.lit("\nbbox:x"))
-    return frags(s, d).select("conv_id", "turn", T.strip_bbox_lines(marked).alias("text"))
+    return marked_lines(s, d).select("doc_id", T.strip_bbox_lines(F.col("text")).alias("text"))
 
 
 @query("block_element_flag", "SELECT page_id, starts_with(html, '<div') OR starts_with(html, '#') AS a, starts_with('  ' || substr(html, strpos(html, '<div')), '  <div') AS b FROM pages")
@@ -230,9 +241,11 @@ def _(s, d):
     return table(s, d, "pages").select("page_id", T.is_block_element(F.col("html")).alias("a"), T.is_block_element(F.concat(F.lit("  "), F.substr("html", F.instr("html", "<div")))).alias("b"))
 
 
-@query("collapse_newlines", "SELECT doc_id, text || chr(10) || chr(10) || 'x' AS text FROM documents")
+@query("collapse_newlines", r"SELECT doc_id, regexp_replace(replace(replace(text, '. ', '.' || repeat(chr(10), 3)), ', ', repeat(chr(10), 2)) || repeat(chr(10), 5), '\n{3,}', chr(10) || chr(10), 'g') AS text FROM documents")
 def _(s, d):
-    return table(s, d, "documents").select("doc_id", T.collapse_newlines(F.concat("text", F.lit("\n\n\n\nx"))).alias("text"))
+    """Runs of two, three and five line breaks all over the texts, next to those that they have."""
+    more = F.concat(F.replace(F.replace("text", F.lit(". "), F.lit(".\n\n\n")), F.lit(", "), F.lit("\n\n")), F.lit("\n" * 5))
+    return table(s, d, "documents").select("doc_id", T.collapse_newlines(more).alias("text"))
 
 
 @query("remove_paren_runs", r"SELECT doc_id, regexp_replace(text || ' (a)(b) (c)(d)(e) z', '(\([^)]+\)\s*){5,}', '', 'g') AS text FROM documents")
@@ -432,6 +445,79 @@ def _(s, d):
     return P.group_crops(pieces, "conv_id", "big", "turn", "title", "text")
 
 
+# a group's texts, then its box; coordinates below zero are printed as 0
+ANNOTATED = f"""{WITH_F}, p AS (SELECT conv_id, CAST(floor(turn / 3) AS BIGINT) AS big, turn, trim(replace(text, chr(10), ' ')) AS t, x1 - 200 AS x1, y1, x2, y2 FROM frags),
+g AS (SELECT conv_id, big, string_agg(t, chr(10) || chr(10) ORDER BY turn) AS t, arg_min(x1, turn) AS x1, arg_min(y1, turn) AS y1, arg_min(x2, turn) AS x2, arg_min(y2, turn) AS y2 FROM p GROUP BY conv_id, big)"""
+
+
+def annotated(s: SparkSession, d: str) -> DataFrame:
+    """conv_id, markdown: each three turns as a group with the first one's box, moved to the left."""
+    rows = frags(s, d).select("conv_id", F.floor(F.col("turn") / 3).alias("big"), F.col("turn").alias("part"), F.trim(F.regexp_replace("text", "\n", " ")).alias("text"), (F.col("x1") - 200).alias("x1"), "y1", "x2", "y2")
+    boxes = rows.groupBy("conv_id", "big").agg(F.min_by(F.struct("x1", "y1", "x2", "y2"), "part").alias("b")).select("conv_id", "big", "b.*")
+    return P.add_markers(rows.select("conv_id", "big", "part", "text"), boxes, "conv_id", "big")
+
+
+@query("bbox_markers", f"{ANNOTATED} SELECT conv_id, string_agg(t || chr(10) || chr(10) || 'bbox:[' || greatest(0, x1) || ',' || greatest(0, y1) || ',' || greatest(0, x2) || ',' || greatest(0, y2) || ']', chr(10) || chr(10) ORDER BY big) AS markdown FROM g GROUP BY conv_id")
+def _(s, d):
+    return annotated(s, d)
+
+
+@query("reorder_without_links", f"{ANNOTATED} SELECT conv_id, string_agg(t, chr(10) || chr(10) ORDER BY big) AS final FROM g GROUP BY conv_id")
+def _(s, d):
+    """The whole reorder step with a scorer that links nothing: fragments are parsed, paired, scored, walked and composed, and markers go."""
+    docs = annotated(s, d)
+    return S.reorder_markdown(docs, "conv_id", "markdown", fakes.nothing_goes_on, "nothing", Tables(s, "reorder"))
+
+
+@query("render_flags", f"""WITH frags AS ({HALVES}), b AS (SELECT conv_id, turn, CASE turn % 7 WHEN 2 THEN '## ' || replace(trim(text), chr(10), ' ') WHEN 5 THEN '<div>' || trim(text) ELSE trim(regexp_replace(text, '\\s+$', '')) END AS t, turn % 3 = 1 AS connected FROM frags),
+p AS (SELECT *, lag(t) OVER w AS pb, row_number() OVER w AS n FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+g AS (SELECT *, CASE WHEN n = 1 THEN '' WHEN NOT connected OR (starts_with(trim(pb), '##') AND strpos(trim(pb), chr(10)) = 0) OR starts_with(ltrim(t), '##') OR starts_with(ltrim(t), '<div') THEN chr(10) || chr(10) ELSE '' END AS glue FROM p)
+SELECT conv_id, string_agg(glue || t, '' ORDER BY turn) AS markdown FROM g GROUP BY conv_id""")
+def _(s, d):
+    """Fragments composed by a flag of each, with headings and markup among them."""
+    n = F.col("turn") % 7
+    text = F.when(n == 2, F.concat(F.lit("## "), F.regexp_replace(F.trim("text"), "\n", " "))).when(n == 5, F.concat(F.lit("<div>"), F.trim("text"))).otherwise(F.col("text"))
+    rows = halves(s, d).select("conv_id", "turn", F.col("turn").cast("int").alias("seq"), text.alias("text"), (F.col("turn") % 3 == 1).alias("connected"))
+    return C.render(rows, "conv_id", "turn")
+
+
+@query("positional_labels", f"""{WITH_F}, c AS (SELECT conv_id, turn, CAST(floor(turn / 3) AS INT) AS big, CASE WHEN turn % 3 <> 2 THEN CAST(turn % 3 + 1 AS INT) END AS sub, role AS label, turn % 4 <> 0 AS there FROM frags JOIN conversations USING (conv_id, turn)),
+n AS (SELECT *, row_number() OVER w AS of_all, CASE WHEN there THEN count(*) FILTER (there) OVER w END AS of_there, CASE WHEN sub IS NOT NULL THEN count(*) FILTER (sub IS NOT NULL) OVER w END AS of_subs FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY big, coalesce(sub, 0) ROWS UNBOUNDED PRECEDING))
+SELECT n.conv_id, n.turn, a.label AS format_label, b.label AS group_label FROM n LEFT JOIN n a ON a.conv_id = n.conv_id AND a.of_subs = n.of_there LEFT JOIN n b ON b.conv_id = n.conv_id AND b.of_subs = n.of_all""")
+def _(s, d):
+    """Labels as they are found when lists of crops and of sub crops are paired by position. Every third crop has no sub crops, every fourth no result."""
+    turn = F.col("turn")
+    rows = table(s, d, "conversations").select("conv_id", "turn", F.floor(turn / 3).cast("int").alias("big"), F.when(turn % 3 != 2, (turn % 3 + 1).cast("int")).alias("sub"), F.col("role").alias("label"), (turn % 4 != 0).alias("there"))
+    return P.positional_labels(rows, "conv_id", "big", "sub", "label", "there").select("conv_id", "turn", "format_label", "group_label")
+
+
+@query("pages_to_documents", "SELECT conv_id AS doc_id, coalesce(string_agg(text, chr(10) || chr(10) ORDER BY turn) FILTER (turn % 3 <> 1), '') AS markdown, string_agg('page ' || turn, chr(10) ORDER BY turn) FILTER (turn % 5 = 4) AS error FROM conversations GROUP BY conv_id")
+def _(s, d):
+    """Turns as pages of documents: some without a text, some with an error."""
+    rows = table(s, d, "conversations").withColumn("page", F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")))
+    texts = rows.select(F.col("page").alias("doc_id"), F.when(F.col("turn") % 3 == 1, F.lit("")).otherwise(F.col("text")).alias("markdown"), F.when(F.col("turn") % 5 == 4, F.concat(F.lit("page "), F.col("turn").cast("string"))).alias("error"))
+    return join_pages(texts, rows.select(F.col("page").alias("doc_id"), F.col("conv_id").alias("document"), F.col("turn").alias("page_no")))
+
+
+@query("final_text", "SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN text WHEN turn % 3 = 1 THEN text || chr(10) || 'x' ELSE text END AS text FROM conversations")
+def _(s, d):
+    """The final text if there is one, else the annotated one without its markers."""
+    n = F.col("turn") % 3
+    final = F.when(n == 0, F.col("text")).when(n == 1, F.lit(""))
+    return table(s, d, "conversations").select("conv_id", "turn", final_text(final, F.when(n == 1, F.concat("text", F.lit("\nbbox:[1,2,3,4]\nx"))).otherwise(F.concat("text", F.lit("\n bbox:[5,6,7,8]")))).alias("text"))
+
+
+SELECTED = xy_sql(X.PAGE_SCALE, 4)
+
+
+@query("selected_stages", f"SELECT r.page AS doc_id, r.region, r.rank, greatest(0, l.x1) AS cx1, greatest(0, l.y1) AS cy1, least(700, l.x2) AS cx2, least(1200, l.y2) AS cy2 FROM ({SELECTED}) r JOIN ({LAYOUT}) l ON l.page = r.page AND l.region = r.region WHERE least(700, l.x2) > greatest(0, l.x1) AND least(1200, l.y2) > greatest(0, l.y1) AND l.label NOT IN ('header', 'advert')")
+def _(s, d):
+    """Three stages by name, one of them passed over: boxes in reading order, clipped to the page, without headers and adverts."""
+    boxes = layout(s, d).withColumnRenamed("page", "doc_id").withColumns({"page_w": F.lit(700), "page_h": F.lit(1200)})
+    run = page_pipeline(["sorter", "cropper", "crop_filter", "fine_detector"], skip=["fine_detector"])
+    return run.run(boxes).select("doc_id", "region", "rank", "cx1", "cy1", "cx2", "cy2")
+
+
 # --- direction, pixels, whole plan -------------------------------------------------------------------------------------
 
 
