@@ -46,3 +46,31 @@ def test_a_long_document_is_many_keys(spark):
     foot = lambda k: 60 * k + 50
     want = [sum(1 for j in range(max(0, k - 40), min(n, k + 40)) if j != k and abs(60 * j - foot(k)) <= o.below) for k in range(60)]
     assert got[0] == n and got[1] == max(want) and got[2] == sum(want[:40]) + (n - 80) * want[45] + sum(sum(1 for j in range(k - 40, n) if j != k and abs(60 * j - foot(k)) <= o.below) for k in range(n - 40, n))
+
+
+# --- walks -----------------------------------------------------------------------------------------------------------------
+
+
+def plain_walk(blocks, after):
+    seen = []
+    for b in sorted(blocks):
+        while b is not None and b not in seen:
+            seen.append(b)
+            b = after.get(b)
+    return seen
+
+
+def test_walks_of_chains_and_rings(spark):
+    rng, frags, links, want = random.Random(1), [(None, 3, "null"), (None, 1, "null")], [(None, 3, 1)], []
+    for d in range(80):
+        blocks = rng.sample(range(100), rng.randint(1, 25))
+        ends = blocks[:]
+        rng.shuffle(ends)
+        after = {a: b for a, b in zip(blocks, ends, strict=True) if a != b and rng.random() < rng.choice([0.3, 0.9, 1])}
+        frags += [(d, b, f"t{b}") for b in blocks]
+        links += [(d, a, b) for a, b in after.items()]
+        want += [(d, b, k, f"t{b}") for k, b in enumerate(plain_walk(blocks, after), 1)]
+    out = C.walk_order(spark.createDataFrame(frags, "d int, b int, t string"), spark.createDataFrame(links, "d int, src int, dst int"), "d", "b", "t")
+    got = [tuple(r) for r in out.collect()]
+    assert sorted(r for r in got if r[0] is not None) == sorted(want) and [r[1:] for r in got if r[0] is None] == [(1, 1, "null"), (3, 2, "null")]
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString() and C.walk_order(spark.createDataFrame([], "d int, b int, t string"), spark.createDataFrame([], "d int, src int, dst int"), "d", "b").count() == 0
