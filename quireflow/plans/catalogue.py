@@ -221,6 +221,12 @@ def _(s, d):
     return frags(s, d).withColumn("text", F.when(F.col("turn") % 3 != 0, F.col("text"))).where("text IS NOT NULL").select("conv_id", "turn", "text")
 
 
+@query("strip_bbox_lines", f"{WITH_F} SELECT conv_id, turn, text || chr(10) || text AS text FROM frags")
+def _(s, d):
+    marked = F.concat("text", F.lit("\n  bbox:[1,2,3,4]\n"), "text", F.lit("\nbbox:x"))
+    return frags(s, d).select("conv_id", "turn", T.strip_bbox_lines(marked).alias("text"))
+
+
 # every third line is a marker, some of them set in, and every fifth only looks like one
 MARKED_LINES = "CASE line_no % 5 WHEN 1 THEN '  bbox:[1,2,3,4]' WHEN 2 THEN 'bbox: ' || line WHEN 3 THEN 'x bbox:[1,2,3,4]' ELSE line END"
 
@@ -231,7 +237,7 @@ def marked_lines(s: SparkSession, d: str) -> DataFrame:
     return doc_lines(s, d).groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", line.alias("t")))), lambda x: x["t"]), "\n").alias("text"))
 
 
-@query("strip_bbox_lines", rf"{LINES}, m AS (SELECT doc_id, line_no, {MARKED_LINES} AS t FROM l) SELECT doc_id, coalesce(string_agg(t, chr(10) ORDER BY line_no) FILTER (NOT regexp_matches(t, '^\s*bbox:')), '') AS text FROM m GROUP BY doc_id")
+@query("strip_marker_lines", rf"{LINES}, m AS (SELECT doc_id, line_no, {MARKED_LINES} AS t FROM l) SELECT doc_id, coalesce(string_agg(t, chr(10) ORDER BY line_no) FILTER (NOT regexp_matches(t, '^\s*bbox:')), '') AS text FROM m GROUP BY doc_id")
 def _(s, d):
     return marked_lines(s, d).select("doc_id", T.strip_bbox_lines(F.col("text")).alias("text"))
 
