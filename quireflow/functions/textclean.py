@@ -18,12 +18,16 @@ FINISHED = "。！？.)）】【」…\"'"
 PAREN_RUN, DELIMITER_ROW = r"(?U)(?:\([^)]++\)\s*+){5,}+", r"(?mdU)^[-=*_○×☐]{3,}\s*$"
 
 
-def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
+#: A character of white space, as a pattern.
+WHITE = r"\s"
 
 
-def lstrip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\A\s+", "")
+def strip(c: Column, white: str = WHITE) -> Column:
+    return F.regexp_replace(c, rf"(?U)\A{white}+|{white}+\z", "")
+
+
+def lstrip(c: Column, white: str = WHITE) -> Column:
+    return F.regexp_replace(c, rf"(?U)\A{white}+", "")
 
 
 def rstrip(c: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import pandas as pd
@@ -122,11 +123,11 @@ def walk_order(frags: DataFrame, links: DataFrame, doc: str, block: str, text: s
     return out.select(F.col("_d").alias(doc), F.col("x.b").alias(block), (F.col("_k") + 1).cast("int").alias("seq"), *([F.col("x.t").alias(text)] if text is not None else []))
 
 
-def compose(ordered: DataFrame, links: DataFrame, doc: str, block: str) -> DataFrame:
-    """doc, markdown. ordered: doc, block, seq, text. A fragment whose predecessor is a link's source follows it without a break, headings and markup apart."""
+def compose(ordered: DataFrame, links: DataFrame, doc: str, block: str, body: Callable[[Column], Column] = T.strip_trailing_bbox) -> DataFrame:
+    """doc, markdown. ordered: doc, block, seq, text. A fragment whose predecessor is a link's source follows it without a break, headings and markup apart. ``body`` makes a fragment's part of its text."""
     sources = links.select(F.col(doc).alias("_d"), F.col("src").alias("_s")).distinct().withColumn("_is", F.lit(True))
     w = Window.partitionBy(doc).orderBy("seq")
-    df = ordered.withColumn("_body", T.strip_trailing_bbox(F.col("text"))).withColumn("_pb", F.lag("_body").over(w)).withColumn("_pid", F.lag(block).over(w))
+    df = ordered.withColumn("_body", body(F.col("text"))).withColumn("_pb", F.lag("_body").over(w)).withColumn("_pid", F.lag(block).over(w))
     df = df.join(sources, (F.col(doc) == F.col("_d")) & (F.col("_pid") == F.col("_s")), "left")
     header = F.startswith(F.col("_pb"), F.lit("##")) & ~F.col("_pb").contains("\n")
     starts = F.startswith(F.col("_body"), F.lit("##")) | F.startswith(F.col("_body"), F.lit("<div"))
@@ -135,12 +136,13 @@ def compose(ordered: DataFrame, links: DataFrame, doc: str, block: str) -> DataF
     return df.groupBy(doc).agg(F.array_join(F.transform(parts, lambda p: p["part"]), "").alias("markdown"))
 
 
-def render(ordered: DataFrame, doc: str, block: str) -> DataFrame:
-    """doc, markdown. ordered: doc, block, seq, text, connected. Like ``compose`` with the flag of each fragment given, and with texts stripped before headings are looked for."""
+def render(ordered: DataFrame, doc: str, block: str, body: Callable[[Column], Column] = T.strip_trailing_bbox, white: str = T.WHITE) -> DataFrame:
+    """doc, markdown. ordered: doc, block, seq, text, connected. Like ``compose`` with the flag of each fragment given, and with texts stripped of ``white`` before headings are looked for."""
     w = Window.partitionBy(doc).orderBy("seq")
-    df = ordered.withColumn("_body", T.strip_trailing_bbox(F.col("text"))).withColumn("_pb", F.lag("_body").over(w))
-    alone = F.startswith(T.strip(F.col("_pb")), F.lit("##")) & ~T.strip(F.col("_pb")).contains("\n")
-    left = T.lstrip(F.col("_body"))
+    df = ordered.withColumn("_body", body(F.col("text"))).withColumn("_pb", F.lag("_body").over(w))
+    before = T.strip(F.col("_pb"), white)
+    alone = F.startswith(before, F.lit("##")) & ~before.contains("\n")
+    left = T.lstrip(F.col("_body"), white)
     opens = F.startswith(left, F.lit("##")) | F.startswith(left, F.lit("<div"))
     glue = F.when(F.col("_pb").isNull(), F.lit("")).when(~F.coalesce("connected", F.lit(False)) | alone | opens, F.lit("\n\n")).otherwise(F.lit(""))
     parts = F.sort_array(F.collect_list(F.struct("seq", F.concat(glue, F.col("_body")).alias("part"))))
