@@ -7,42 +7,77 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quireflow.functions import textclean as T
 from quireflow.tables import Tables, ship
 
 
-TIE = 1e-9
+#: Log-likelihoods that are as good as equal, and the least frequency.
+TIE, LEAST = 1e-9, 0.01
 
 
-def log_likelihood(texts: DataFrame, lexicon: DataFrame, keys: list[str], text: str, name: str) -> DataFrame:
+#: Words of a lexicon, the most frequent ones, that token tables are joined to by broadcast.
+HOT_WORDS = 300_000
+
+
+def _dealt(words: DataFrame, freq: str, most: int) -> tuple[DataFrame, DataFrame]:
+    """The most frequent words of a written table, ``most`` at the most, and the others: parted between two bins of frequencies, of which only the counts come to the driver."""
+    level = F.floor(F.log2(F.greatest(F.col(freq).cast("double"), F.lit(LEAST))) * 8)
+    above, held = float("inf"), 0
+    for r in sorted(words.groupBy(level.alias("level")).count().where("level IS NOT NULL").collect(), reverse=True):
+        if (held := held + r["count"]) > most:
+            break
+        above = r.level
+    hot = F.coalesce(level >= F.lit(above), F.lit(False))
+    return words.where(hot), words.where(~hot)
+
+
+def _tokens(text: str) -> Column:
+    return F.filter(F.split(F.col(text), r"(?U)\s+", -1), lambda t: t != "")
+
+
+def log_likelihood(texts: DataFrame, lexicon: DataFrame, keys: list[str], text: str, name: str, hot_words: int = HOT_WORDS) -> DataFrame:
     """keys with ``name``: the sum of ln(max(freq, 0.01) / total) over white-space tokens; -100 without any. lexicon: token, freq.
 
-    Tokens are joined to the lexicon by an equi-join, so neither side's size matters.
+    Tokens are joined to the most frequent words where they lie, and only sums by key are shuffled. The other tokens are
+    joined to the other words by an equi-join, so neither side's size matters.
     """
-    total = lexicon.agg(F.sum("freq").cast("double").alias("_total"))
-    tokens = texts.select(*keys, F.explode_outer(F.filter(F.split(F.col(text), r"(?U)\s+", -1), lambda t: t != "")).alias("token"))
-    scored = tokens.join(lexicon, "token", "left").crossJoin(F.broadcast(total))  # total is one row
-    each = F.ln(F.greatest(F.coalesce(F.col("freq").cast("double"), F.lit(0.01)), F.lit(0.01)) / F.col("_total"))
-    return scored.groupBy(*keys).agg(F.coalesce(F.sum(F.when(F.col("token").isNotNull(), each)), F.lit(-100.0)).alias(name))
+    words = Tables(texts.sparkSession, "words").cut(lexicon.select("token", F.col("freq").cast("double").alias("freq")), "lexicon")
+    total = words.agg(F.sum("freq")).collect()[0][0]
+    hot, cold = _dealt(words, "freq", hot_words)
+    tokens = texts.select(*keys, F.explode_outer(_tokens(text)).alias("token"))
+    each = F.ln(F.greatest(F.coalesce("freq", F.lit(LEAST)), F.lit(LEAST)) / F.lit(total).cast("double"))
+    there = tokens.join(F.broadcast(hot), "token", "left").groupBy(*keys).agg(F.sum(F.when(F.col("freq").isNotNull(), each)).alias("_sum"))
+    rest = tokens.where(F.col("token").isNotNull()).join(F.broadcast(hot.select("token")), "token", "left_anti").join(cold, "token", "left").groupBy(*keys).agg(F.sum(each).alias("_sum"))
+    return there.unionByName(rest).groupBy(*keys).agg(F.coalesce(F.sum("_sum"), F.lit(-100.0)).alias(name))
 
 
-def judge_direction(texts: DataFrame, lexicon: DataFrame, keys: list[str], text: str) -> DataFrame:
+def judge_direction(texts: DataFrame, lexicon: DataFrame, keys: list[str], text: str, hot_words: int = HOT_WORDS) -> DataFrame:
     """texts with rtl and fixed: whether the mirrored text is likelier, and the text so read. Texts of fewer than two characters stay; so do ties, to TIE, as sums come in any order.
 
-    Each distinct text is judged once and found again by its digest, so rows are told apart by nothing else: ``keys`` may be
-    null or repeated. A null text is no text: rtl is false and fixed null.
+    The mirror image's tokens are the mirrored tokens, so a text is worth more or less than its image by the sum over its tokens of
+    a number that each has, from the frequencies of the token and of its mirror image; total and tokens that are in no lexicon
+    cancel out. Sums go by the text's digest, divided by its copies, so rows are told apart by nothing else: ``keys`` may be
+    null or repeated. The frequent tokens are joined by broadcast, so texts are shuffled once, to meet the judgement. A null
+    text is no text: rtl is false and fixed null.
     """
-    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
-    distinct = texts.where(F.col(text).isNotNull()).groupBy(digest(text).alias("_key")).agg(F.first(text).alias("_text"))
-    back = distinct.withColumn("_mirror", T.mirror_reverse(F.col("_text")))
-    forth = log_likelihood(back, lexicon, ["_key"], "_text", "_forth")
-    turned = log_likelihood(back, lexicon, ["_key"], "_mirror", "_back").withColumnRenamed("_key", "_same")
-    judged = forth.join(turned, F.col("_key") == F.col("_same")).select("_key", (F.col("_forth") < F.col("_back") - TIE).alias("_turned"))
-    out = texts.withColumn("_own", digest(text)).join(judged, F.col("_own") == F.col("_key"), "left")
-    rtl = (F.length(F.coalesce(F.col(text), F.lit(""))) >= 2) & F.coalesce("_turned", F.lit(False))
+    tables = Tables(texts.sparkSession, "direction")
+    gain = F.ln(F.greatest(F.col("freq").cast("double"), F.lit(LEAST)) / F.lit(LEAST))
+    known = lexicon.where(F.col("token").isNotNull() & F.col("freq").isNotNull()).select("token", gain.alias("gain"), F.col("freq").cast("double").alias("freq"))
+    sides = F.array(F.struct("token", "gain"), F.struct(T.mirror_reverse(F.col("token")).alias("token"), (-F.col("gain")).alias("gain")))
+    worth = tables.cut(known.select("freq", F.explode(sides).alias("s")).groupBy("s.token").agg(F.sum("s.gain").alias("gain"), F.max("freq").alias("freq")), "worth")
+    hot, cold = (x.select("token", "gain") for x in _dealt(worth, "freq", hot_words))
+    own = F.unhex(F.sha2(F.col(text).cast("binary"), 256))
+    tokens = texts.where(F.length(text) >= 2).select(own.alias("_key"), F.posexplode(_tokens(text)).alias("_n", "token"))
+    there = tokens.join(F.broadcast(hot), "token", "left").groupBy("_key").agg(F.sum(F.coalesce("gain", F.lit(0.0))).alias("gain"), F.sum((F.col("_n") == 0).cast("long")).alias("copies"))
+    # a token that is its own mirror image is worth nothing
+    rest = tokens.where(F.col("token") != T.mirror_reverse(F.col("token"))).join(F.broadcast(hot.select("token")), "token", "left_anti").join(cold, "token")
+    rest = rest.groupBy("_key").agg(F.sum("gain").alias("gain"), F.lit(0).cast("long").alias("copies"))
+    turned = there.unionByName(rest).groupBy("_key").agg((F.sum("gain") / F.sum("copies")).alias("gain")).where(F.col("gain") < -TIE).select("_key", F.lit(True).alias("_turned"))
+    out = texts.withColumn("_own", own).join(turned, F.col("_own") == F.col("_key"), "left")
+    rtl = F.coalesce("_turned", F.lit(False))
     return out.withColumn("rtl", rtl).withColumn("fixed", F.when(rtl, T.mirror_reverse(F.col(text))).otherwise(F.col(text))).drop("_own", "_key", "_turned")
 
 
@@ -69,8 +104,8 @@ def segment_dictionary(text: str, lexicon: dict[str, float], total: float) -> li
     return best_splits([text], [Trie.of(lexicon, total)], total, words=True)[1][0]
 
 
-#: Bits of a character in a trie's keys, the least frequency, and characters that are segmented at once.
-_CHAR_BITS, LEAST, CHARS = 21, 0.01, 200_000
+#: Bits of a character in a trie's keys, and characters that are segmented at once.
+_CHAR_BITS, CHARS = 21, 200_000
 
 
 class Trie:

@@ -1,10 +1,13 @@
 """What larger tables brought up: texts, lines and pages that the small ones lack, against the SQL of the queries or plain programs."""
 
+import math
 import os
+import random
 
 import duckdb
 import pytest
 
+from quireflow.operators import direction as D
 from quireflow.plans import catalogue
 
 
@@ -35,3 +38,24 @@ def test_halves_that_begin_with_line_breaks_are_composed_as_in_sql(spark, broken
 
 def test_halves_that_begin_with_line_breaks_are_rendered_as_in_sql(spark, broken_turns):
     assert any("\n\n\n" in text for _, text in same_as_sql(spark, "render_flags", broken_turns))
+
+
+@pytest.mark.parametrize("hot_words", [0, 3, D.HOT_WORDS])
+def test_direction_by_frequent_and_rare_words(spark, hot_words):
+    """Any number of words by broadcast gives the same; tokens beyond those are joined to the others. Texts themselves are shuffled once."""
+    rng = random.Random(4)
+    freq = {w: rng.randint(1, 50) for w in ("the", "cat", "sat", "(on)", "a", "mat", "tac", "aba", "level", "x(y")}
+    words = [*freq, *(D.mirrored(w) for w in freq), "unknown", "nwonknu", "　", ""]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 7))) + rng.choice(["", " ", "\t"]) for _ in range(150)]
+    texts += texts[:40] * 5 + ["x", "", None, "the cat", "tac eht"]
+    total = float(sum(freq.values()))
+    worth = lambda t: sum(math.log(max(freq.get(w, 0.01), 0.01) / total) for w in t.split()) if t.split() else -100.0
+    table = spark.createDataFrame(list(freq.items()), "token string, freq long")
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    out = D.judge_direction(df, table, ["id"], "text", hot_words)
+    turned = {k: len(t or "") >= 2 and worth(t) < worth(D.mirrored(t)) - 1e-9 for k, t in enumerate(texts)}
+    assert {r.id: (r.rtl, r.fixed) for r in out.collect()} == {k: (turned[k], D.mirrored(t) if turned[k] else t) for k, t in enumerate(texts)} and 10 < sum(turned.values()) < 300
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "first(" not in plan
+    got = {r.id: r.ll for r in D.log_likelihood(df, table, ["id"], "text", "ll", hot_words).collect()}
+    assert len(got) == len(texts) and all(math.isclose(got[k], worth(t or ""), abs_tol=1e-9) for k, t in enumerate(texts))
