@@ -5,9 +5,12 @@ import os
 import random
 
 import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quireflow.operators import direction as D
+from quireflow.operators import xycut as X
 from quireflow.plans import catalogue
 
 
@@ -59,3 +62,33 @@ def test_direction_by_frequent_and_rare_words(spark, hot_words):
     assert "first(" not in plan
     got = {r.id: r.ll for r in D.log_likelihood(df, table, ["id"], "text", "ll", hot_words).collect()}
     assert len(got) == len(texts) and all(math.isclose(got[k], worth(t or ""), abs_tol=1e-9) for k, t in enumerate(texts))
+
+
+def crowded_pages(rng, n):
+    """Pages of overlapping, empty and turned boxes."""
+    pages = []
+    for _ in range(n):
+        size, most = rng.choice([30, 300]), rng.choice([3, 40, 150])
+        corners = [(rng.randint(-20, size), rng.randint(-20, size)) for _ in range(rng.randint(1, 30))]
+        pages.append([[x, y, x + rng.randint(-2, most), y + rng.randint(-2, most)] for x, y in corners])
+    return pages
+
+
+def plain_ranks(boxes, scale):
+    return [k + 1 for k, _ in sorted(enumerate(X.order_boxes(boxes, scale)), key=lambda p: p[1])]
+
+
+@pytest.mark.parametrize("scale", [X.PAGE_SCALE, X.CROP_SCALE])
+def test_many_pages_are_cut_at_once_as_one_by_one(scale):
+    pages = crowded_pages(random.Random(2), 400)
+    number = np.repeat(np.arange(len(pages)), [len(p) for p in pages])
+    flat = np.array([b for p in pages for b in p], np.int64).T
+    assert X.cut_pages(number, *flat, np.ones(flat.shape, bool), scale).tolist() == [k for p in pages for k in plain_ranks(p, scale)]
+
+
+def test_reading_order_sorts_once(spark):
+    """One shuffle and one sort, whatever the depth of cuts: memory is a sort's, and a batch's in Python."""
+    boxes = spark.createDataFrame([(1, 1, 0, 0, 5, 5)], "page int, idx int, x1 int, y1 int, x2 int, y2 int")
+    plan = X.reading_order(boxes, "page", "idx")._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("Initial Plan")[-1]
+    assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1 and "Window" not in plan
