@@ -92,3 +92,13 @@ def test_reading_order_sorts_once(spark):
     plan = X.reading_order(boxes, "page", "idx")._jdf.queryExecution().executedPlan().toString()
     plan = plan.split("Initial Plan")[-1]
     assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1 and "Window" not in plan
+
+
+def test_small_reading_order_by_batches(spark, monkeypatch):
+    """Pages that begin in one part and end in another one, of null and string keys, and one larger than a part."""
+    monkeypatch.setattr(X, "BOXES", 7)
+    pages = [*crowded_pages(random.Random(3), 60), [[k * 10 % 400, k * 7 % 300, k * 10 % 400 + 30, k * 7 % 300 + 9] for k in range(90)]]
+    rows = [(f"p{k}" if k else None, i, *b) for k, p in enumerate(pages) for i, b in enumerate(p)]
+    df = spark.createDataFrame(rows, "page string, idx int, x1 int, y1 int, x2 int, y2 int").repartition(3)
+    got = {(r.page, r.idx): r["rank"] for r in X.reading_order(df, "page", "idx", X.CROP_SCALE).collect()}
+    assert got == {(f"p{k}" if k else None, i): r for k, p in enumerate(pages) for i, r in enumerate(plain_ranks(p, X.CROP_SCALE))}
