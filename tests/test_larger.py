@@ -102,3 +102,9 @@ def test_small_reading_order_by_batches(spark, monkeypatch):
     df = spark.createDataFrame(rows, "page string, idx int, x1 int, y1 int, x2 int, y2 int").repartition(3)
     got = {(r.page, r.idx): r["rank"] for r in X.reading_order(df, "page", "idx", X.CROP_SCALE).collect()}
     assert got == {(f"p{k}" if k else None, i): r for k, p in enumerate(pages) for i, r in enumerate(plain_ranks(p, X.CROP_SCALE))}
+
+
+def test_selected_stages_write_no_table(spark):
+    """The sorter's boxes are passed on as they come, and its columns are kept."""
+    out = catalogue.QUERIES["selected_stages"](spark, "/root/testdata/sf0.001")
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString() and "ranked" not in str(out.inputFiles())
