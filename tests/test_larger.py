@@ -108,3 +108,13 @@ def test_selected_stages_write_no_table(spark):
     """The sorter's boxes are passed on as they come, and its columns are kept."""
     out = catalogue.QUERIES["selected_stages"](spark, "/root/testdata/sf0.001")
     assert "Window" not in out._jdf.queryExecution().executedPlan().toString() and "ranked" not in str(out.inputFiles())
+
+
+def test_grouped_reading_order_takes_pages_together(spark):
+    """No call a page; coordinates that are null or broken are ordered as before."""
+    df = spark.createDataFrame([(1, 0, None, 0, 5, 5), (1, 1, 0, 0, 5, 5), (1, 2, 9, 0, 12, None), (2, 0, None, None, None, None)], "page int, idx int, x1 int, y1 int, x2 int, y2 int")
+    out = X.reading_order_grouped(df, "page", "idx")
+    assert "FlatMapGroups" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {(r.page, r.idx): r["rank"] for r in out.collect()}
+    broken = df.select("page", "idx", *(F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")))
+    assert got == {(r.page, r.idx): r["rank"] for r in X.reading_order(broken, "page", "idx").collect()} and got[2, 0] == 1
