@@ -117,13 +117,18 @@ class Trie:
     @classmethod
     def of(cls, lexicon: dict[str, float], total: float) -> Trie:
         words = [w for w in lexicon if w]
-        codes, ends = _codes(words)
+        return cls.of_words(words, np.array([lexicon[w] for w in words], float), total)
+
+    @classmethod
+    def of_words(cls, words: Sequence[str], freq: np.ndarray, total: float) -> Trie:
+        """Of words, none of them empty, and their frequencies."""
+        codes, ends = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4"), np.cumsum([len(w) for w in words], dtype=np.int64)
         starts, size = np.concatenate([[0], ends[:-1]]).astype(np.int64), np.diff(ends, prepend=0)
-        value = np.log(np.maximum([lexicon[w] for w in words] or [1.0], LEAST) / total)
+        value = np.log(np.maximum(freq, LEAST) / total)
         node, active, made = np.zeros(len(words), np.int64), np.arange(len(words)), 1
         keys, nodes, ending, level = [], [], [], 0
         while len(active):
-            pair = (node[active] << _CHAR_BITS) | codes[starts[active] + level]
+            pair = (node[active] << _CHAR_BITS) | codes[starts[active] + level].astype(np.int64)
             new, back = np.unique(pair, return_inverse=True)
             keys.append(new)
             nodes.append(np.arange(made, made + len(new)))
@@ -320,14 +325,16 @@ def segment_lines(lines: DataFrame, text: str, lexicon: DataFrame, most: int = M
     """
     spark = lines.sparkSession
     ship(spark)
+    lexicon = Tables(spark, "segments").cut(lexicon.select("token", "freq"), "lexicon")  # read by every shard
     n, total = lexicon.agg(F.count(F.lit(1)), F.sum(F.col("freq").cast("double"))).collect()[0]
     shards, total = max(1, -(-n // most)), float(total or 1.0)
     shard = F.pmod(F.xxhash64("token"), F.lit(shards))
     out = lines.withColumn("_found", F.array().cast(MATCHES))
     for k in range(shards):
-        # about ``most`` rows
-        words = {r.token: float(r.freq) for r in lexicon.where(shard == k).select("token", "freq").collect() if r.token}
-        held = spark.sparkContext.broadcast(Trie.of(words, total))
+        # about ``most`` rows, as columns: a row's objects are many times as large
+        own = lexicon.where((shard == k) & (F.col("token") != "")).select("token", F.col("freq").cast("double").alias("freq")).toArrow()
+        held = spark.sparkContext.broadcast(Trie.of_words(own["token"].to_pylist(), own["freq"].to_numpy(), total))
+        del own
         if shards == 1:
             break
 

@@ -10,7 +10,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quireflow.operators import chain as C
 from quireflow.operators import direction as D
+from quireflow.operators import nsp as N
+from quireflow.operators import overlaps as O
 from quireflow.operators import raster as R
 from quireflow.operators import xycut as X
 from quireflow.plans import catalogue
@@ -131,3 +134,11 @@ def test_crops_are_prepared_by_all_cores_without_their_pixels_coming_back(spark)
     want = {r.key: (r.h, r.w, r.c, r.crc) for r in R.prepare_crops(crops).withColumn("crc", F.crc32("data")).collect()}
     got = {r.key: (r.h, r.w, r.c, r.crc) for r in R.prepare_crops(crops, instead={"crc": ("long", lambda p: zlib.crc32(p.tobytes()))}).collect()}
     assert got == want and len(got) == 200
+
+
+def test_trie_of_columns_equals_trie_of_a_dictionary():
+    """Words of a shard come to the driver as columns; no dictionary or row is made of them."""
+    words = {"ab": 3.0, "abc": 1.0, "b": 2.0, "é x": 0.0, "𝄞": 4.0}
+    one, two = D.Trie.of(words | {"": 9.0}, 19.0), D.Trie.of_words(list(words), np.array(list(words.values())), 19.0)
+    assert all(np.array_equal(getattr(one, k), getattr(two, k), equal_nan=k == "logs") for k in ("keys", "nodes", "logs"))
+    assert len(D.Trie.of_words([], np.zeros(0), 1.0).keys) == 0
