@@ -25,12 +25,14 @@ def overlapping(boxes: DataFrame, doc: str, idx: str, extra: list[str], cell: in
     at = lambda c: F.floor(c / F.lit(cell)).cast("long")
     whole = boxes.where("x2 > x1 AND y2 > y1")
     cells = F.explode(F.sequence(at(F.col("x1")), at(F.col("x2") - 1)))
-    cols = ["x1", "y1", "x2", "y2", idx, *extra]
-    side = lambda p, key: whole.withColumn("_cx", cells).withColumn("_cy", F.explode(F.sequence(at(F.col("y1")), at(F.col("y2") - 1)))).select(F.col(doc).alias(key), F.col("_cx").alias(f"{p}cx"), F.col("_cy").alias(f"{p}cy"), *(F.col(c).alias(f"{p}{c}") for c in dict.fromkeys(cols)))
+    cols = list(dict.fromkeys(["x1", "y1", "x2", "y2", idx, *extra]))
+    side = whole.select(doc, *cols).withColumn("_cx", cells).withColumn("_cy", F.explode(F.sequence(at(F.col("y1")), at(F.col("y2") - 1))))
     low = lambda c: F.greatest(f"a_{c}", f"b_{c}")
     high = lambda c: F.least(f"a_{c}", f"b_{c}")
-    a, b = side("a_", doc), side("b_", "_doc")
-    met = a.join(b, (F.col(doc) == F.col("_doc")) & (F.col("a_cx") == F.col("b_cx")) & (F.col("a_cy") == F.col("b_cy")) & (F.col(f"a_{idx}") != F.col(f"b_{idx}")))
+    # both sides are one frame, names and all, so that it is shuffled once
+    of = lambda p, c: F.col(f"{p}.`{c}`")
+    same = (of("a", doc) == of("b", doc)) & (of("a", "_cx") == of("b", "_cx")) & (of("a", "_cy") == of("b", "_cy")) & (of("a", idx) != of("b", idx))
+    met = side.alias("a").join(side.alias("b"), same).select(of("a", doc).alias(doc), of("a", "_cx").alias("a_cx"), of("a", "_cy").alias("a_cy"), *(of(p, c).alias(f"{p}_{c}") for p in "ab" for c in cols))
     here = (at(low("x1")) == F.col("a_cx")) & (at(low("y1")) == F.col("a_cy"))
     met = met.where((low("x1") < high("x2")) & (low("y1") < high("y2")) & here)
     common = (high("x2") - low("x1")).cast("long") * (high("y2") - low("y1"))

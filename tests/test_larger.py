@@ -142,3 +142,16 @@ def test_trie_of_columns_equals_trie_of_a_dictionary():
     one, two = D.Trie.of(words | {"": 9.0}, 19.0), D.Trie.of_words(list(words), np.array(list(words.values())), 19.0)
     assert all(np.array_equal(getattr(one, k), getattr(two, k), equal_nan=k == "logs") for k in ("keys", "nodes", "logs"))
     assert len(D.Trie.of_words([], np.zeros(0), 1.0).keys) == 0
+
+
+@pytest.mark.parametrize("name", ["overlap_containers", "overlap_suppression"])
+def test_cells_are_shuffled_once(spark, name):
+    """Both sides of the join of cells are one exchange."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = O.overlapping(catalogue.crowd(spark, "/root/testdata/sf0.001"), "page", "region", ["score"] if "sup" in name else [])
+        pairs.collect()
+        plan = pairs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ReusedExchange" in plan or plan.count("Exchange") == 1
