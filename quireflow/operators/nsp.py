@@ -30,6 +30,8 @@ from quireflow.tables import Tables, ship
 DIM, HIDDEN, EDGE = 16, 32, 8
 #: Conversations of the training sample, of which all turns are learnt from.
 MAX_CONVERSATIONS = 4000
+#: Texts that are encoded at once, and turns whose candidates are scored at once.
+TEXTS, TURNS = 256, 64
 #: Others that a true next turn is ranked among, and turns that choose them from each other.
 OTHERS, BUCKET_ROWS = 7, 200_000
 
@@ -51,7 +53,9 @@ class Encoder:
         self.size = max(self.library.get_vocab_size(), ENDS + 1)
 
     def __call__(self, texts: Sequence[str | None]) -> list[list[int]]:
-        return [x.ids for x in self.library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        """A few texts at a time, as the library holds much more of each than its ids."""
+        parts = (texts[at : at + TEXTS] for at in range(0, len(texts), TEXTS))
+        return [x.ids for some in parts for x in self.library.encode_batch([t or "" for t in some], add_special_tokens=False)]
 
 
 def seen(ids: list[int], most: int = MOST_IDS) -> tuple[list[int], list[int]]:
@@ -275,9 +279,12 @@ def rank_next_turns(turns: DataFrame, weights: Weights, path: str | None = None,
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         scorer = loaded("scorer:nsp ranks", lambda: PairScorer(held.value, path), name)
         for tails, candidates in batches:
-            pairs = [(list(t), list(c)) for t, cs in zip(tails, candidates, strict=True) for c in cs]
-            flat, ends = scorer.of_ids(pairs), np.cumsum([len(cs) for cs in candidates])
-            yield pd.Series([flat[z - len(cs) : z] for cs, z in zip(candidates, ends.tolist(), strict=True)], index=tails.index)
+            out: list[list[float]] = []
+            for at in range(0, len(tails), TURNS):
+                some = candidates.iloc[at : at + TURNS]
+                flat, ends = scorer.of_ids([(t.tolist(), c.tolist()) for t, cs in zip(tails.iloc[at : at + TURNS], some, strict=True) for c in cs]), np.cumsum([len(cs) for cs in some])
+                out += [flat[z - len(cs) : z] for cs, z in zip(some, ends.tolist(), strict=True)]
+            yield pd.Series(out, index=tails.index, dtype=object)
 
     out = met.withColumn("scores", score("tail", "candidates"))
     mine = F.get("scores", F.lit(0))

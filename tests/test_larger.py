@@ -155,3 +155,12 @@ def test_cells_are_shuffled_once(spark, name):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "ReusedExchange" in plan or plan.count("Exchange") == 1
+
+
+def test_texts_are_encoded_a_few_at_a_time(monkeypatch):
+    """A batch's size is not what the library, or a call of the scorer, must hold."""
+    encoder, sizes = N.Encoder(N.vocabulary()), []
+    library = encoder.library
+    encoder.library = type("L", (), {"encode_batch": staticmethod(lambda some, **o: sizes.append(len(some)) or library.encode_batch(some, **o))})
+    texts = [f"text {k}" if k % 7 else None for k in range(1000)]
+    assert encoder(texts) == [library.encode(t or "", add_special_tokens=False).ids for t in texts] and max(sizes) <= 256
