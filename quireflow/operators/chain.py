@@ -22,14 +22,15 @@ class ChainOptions:
     decay: float = 500.0
 
 
-def neighbour_pairs(frags: DataFrame, doc: str, block: str, o: ChainOptions = ChainOptions()) -> DataFrame:
+def neighbour_pairs(frags: DataFrame, doc: str, block: str, o: ChainOptions = ChainOptions(), seen: int | None = None) -> DataFrame:
     """doc, src, dst with both boxes and texts: dst lies to the left of src at about its end, or right below it.
 
     A band join: a fragment below another one has its top in the same band of ``below`` pixels as the other's foot, or in a
     band next to it; one beside it lies in the same or a neighbouring cell of ``left`` by ``diagonal`` pixels. So a fragment
     meets those of three bands and nine cells, and a long document is as many join keys as it has bands. A pair that is both
     is found by its band. Fragments of a null document have no neighbours, and a rule
-    holds for none that lacks a coordinate it asks for.
+    holds for none that lacks a coordinate it asks for. With ``seen``, of the first text only so many characters at the end
+    are carried along, and of the second one so many at the beginning.
     """
     cols = ["x1", "y1", "x2", "y2", "text"]
     band = lambda c, width: F.floor(F.col(c) / F.lit(max(1, width))).cast("long")
@@ -37,8 +38,9 @@ def neighbour_pairs(frags: DataFrame, doc: str, block: str, o: ChainOptions = Ch
     none, near = F.lit(0).cast("long"), (-1, 0, 1)
     around = [key(0, band("y2", o.below) + k, none) for k in near] + [key(1, band("y2", o.diagonal) + k, band("x1", o.left) + j) for k in near for j in near]
     own = [key(0, band("y1", o.below), none), key(1, band("y2", o.diagonal), band("x2", o.left))]
-    a = frags.select(doc, F.col(block).alias("src"), *[F.col(c).alias(f"a_{c}") for c in cols], F.explode(F.array(*around)).alias("_at"))
-    b = frags.where(~F.startswith(F.col("text"), F.lit("<div"))).select(F.col(doc).alias("_doc"), F.col(block).alias("dst"), *[F.col(c).alias(f"b_{c}") for c in cols], F.explode(F.array(*own)).alias("_in"))
+    end, start = (F.col("text"), F.col("text")) if seen is None else (F.right("text", F.lit(seen)), F.left("text", F.lit(seen)))
+    a = frags.select(doc, F.col(block).alias("src"), *[F.col(c).alias(f"a_{c}") for c in cols[:-1]], end.alias("a_text"), F.explode(F.array(*around)).alias("_at"))
+    b = frags.where(~F.startswith(F.col("text"), F.lit("<div"))).select(F.col(doc).alias("_doc"), F.col(block).alias("dst"), *[F.col(c).alias(f"b_{c}") for c in cols[:-1]], start.alias("b_text"), F.explode(F.array(*own)).alias("_in"))
     beside = (F.abs(F.col("b_x2") - F.col("a_x1")) <= o.left) & (F.abs(F.col("b_y2") - F.col("a_y2")) <= o.diagonal)
     under = F.abs(F.col("b_y1") - F.col("a_y2")) <= o.below
     meets = (F.col(doc) == F.col("_doc")) & (F.col("_at.kind") == F.col("_in.kind")) & (F.col("_at.y") == F.col("_in.y")) & (F.col("_at.x") == F.col("_in.x"))
@@ -65,21 +67,22 @@ def best_successor(pairs: DataFrame, doc: str) -> DataFrame:
 def greedy_links(pairs: DataFrame, frags: DataFrame, doc: str, block: str, o: ChainOptions = ChainOptions()) -> DataFrame:
     """doc, src, dst, mixed: each open fragment in input order grows a chain by its best free neighbour. Scores don't depend on the chain, so all pairs are scored before."""
     ship(frags.sparkSession)
-    opens = frags.select(F.col(doc).alias("_d"), F.col(block).alias("_b"), T.is_open(F.col("text")).alias("_open"))
-    rows = opens.join(pairs.select(doc, "src", "dst", "goes_on", "mixed"), (F.col("_d") == F.col(doc)) & (F.col("_b") == F.col("src")), "left").select("_d", "_b", "_open", "dst", "goes_on", "mixed")
+    # only open fragments grow, and only by pairs that are strong enough, so others need no call
+    opens = frags.where(T.is_open(F.col("text"))).select(F.col(doc).alias("_d"), F.col(block).alias("_b"))
+    strong = pairs.where(F.col("mixed") >= o.least).select(doc, "src", "dst", "goes_on", "mixed")
+    rows = strong.join(opens, (F.col("_d") == F.col(doc)) & (F.col("_b") == F.col("src"))).select("_d", "_b", "dst", "goes_on", "mixed")
 
     def grow(g):
-        is_open = dict(zip(g["_b"], g["_open"], strict=True))
         near: dict = {}
-        for r in g.dropna(subset=["dst"]).itertuples(index=False):
+        for r in g.itertuples(index=False):
             near.setdefault(r[1], []).append((-r.mixed, r.dst, r.goes_on))
         taken, seen, out = set(), set(), []
-        for seed in sorted(is_open):
+        for seed in sorted(near):
             now = seed
-            while now is not None and is_open[now] and now not in seen:
+            while now in near and now not in seen:
                 seen.add(now)
-                free = [c for c in sorted(near.get(now, [])) if c[1] not in taken]
-                if not free or free[0][2] < 0 or -free[0][0] < o.least:
+                free = [c for c in sorted(near[now]) if c[1] not in taken]
+                if not free or free[0][2] < 0:
                     break
                 strength, to, _ = free[0]
                 taken.add(to)

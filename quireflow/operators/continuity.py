@@ -140,7 +140,7 @@ def reorder_markdown(docs: DataFrame, doc: str, text: str, load: Callable[[], Sc
     from quireflow.operators.fragments import parse_lines
 
     blocks = tables.cut(parse_lines(docs.where(F.col(text) != ""), doc, text), "blocks")
-    pairs = C.neighbour_pairs(blocks, doc, "block_id", o)
+    pairs = C.neighbour_pairs(blocks, doc, "block_id", o, SEEN)
     scored = tables.cut(score_pairs(pairs, load, name, o).select(doc, "src", "dst", "goes_on", "mixed", "failed"), "pairs")
     links = tables.cut(C.greedy_links(scored, blocks, doc, "block_id", o), "links")
     walked = C.walk_order(blocks, links, doc, "block_id", text="text")

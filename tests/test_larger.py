@@ -164,3 +164,25 @@ def test_texts_are_encoded_a_few_at_a_time(monkeypatch):
     encoder.library = type("L", (), {"encode_batch": staticmethod(lambda some, **o: sizes.append(len(some)) or library.encode_batch(some, **o))})
     texts = [f"text {k}" if k % 7 else None for k in range(1000)]
     assert encoder(texts) == [library.encode(t or "", add_special_tokens=False).ids for t in texts] and max(sizes) <= 256
+
+
+def test_only_strong_pairs_of_open_fragments_are_linked_in_python(spark):
+    """Without a strong pair there is no group to call, and links are those of all pairs tried one after the other."""
+    rng = random.Random(5)
+    frags = [(d, b, rng.choice(["open", "done."])) for d in range(30) for b in range(8)]
+    pairs = [(d, a, b, round(rng.uniform(-1, 1), 1), round(rng.random(), 1)) for d in range(30) for a in range(8) for b in range(8) if a != b and rng.random() < 0.6]
+    want = []
+    for d in range(30):
+        is_open, taken, seen = {b: t == "open" for e, b, t in frags if e == d}, set(), set()
+        for now in range(8):
+            while is_open[now] and now not in seen:
+                seen.add(now)
+                free = sorted((-m, b, g) for e, a, b, g, m in pairs if e == d and a == now and b not in taken)
+                if not free or free[0][2] < 0 or -free[0][0] < 0.6:
+                    break
+                taken.add(free[0][1])
+                want.append((d, now, free[0][1]))
+                now = free[0][1]
+    links = C.greedy_links(spark.createDataFrame(pairs, "d int, src int, dst int, goes_on double, mixed double"), spark.createDataFrame(frags, "d int, b int, text string"), "d", "b")
+    assert sorted((r.d, r.src, r.dst) for r in links.collect()) == sorted(want) and want
+    assert "0.6" in links._jdf.queryExecution().optimizedPlan().toString()
