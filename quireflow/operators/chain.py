@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,12 +70,11 @@ def greedy_links(pairs: DataFrame, frags: DataFrame, doc: str, block: str, o: Ch
     # only open fragments grow, and only by pairs that are strong enough, so others need no call
     opens = frags.where(T.is_open(F.col("text"))).select(F.col(doc).alias("_d"), F.col(block).alias("_b"))
     strong = pairs.where(F.col("mixed") >= o.least).select(doc, "src", "dst", "goes_on", "mixed")
-    rows = strong.join(opens, (F.col("_d") == F.col(doc)) & (F.col("_b") == F.col("src"))).select("_d", "_b", "dst", "goes_on", "mixed")
+    types = dict(frags.dtypes)
+    met = strong.join(opens, (F.col("_d") == F.col(doc)) & (F.col("_b") == F.col("src")))
+    rows = met.select("_d", "_b", F.col("dst").cast(types[block]).alias("dst"), F.coalesce("goes_on", F.lit(0.0)).alias("goes_on"), "mixed")
 
-    def grow(g):
-        near: dict = {}
-        for r in g.itertuples(index=False):
-            near.setdefault(r[1], []).append((-r.mixed, r.dst, r.goes_on))
+    def grow(d, near: dict) -> list[tuple]:
         taken, seen, out = set(), set(), []
         for seed in sorted(near):
             now = seed
@@ -86,12 +85,29 @@ def greedy_links(pairs: DataFrame, frags: DataFrame, doc: str, block: str, o: Ch
                     break
                 strength, to, _ = free[0]
                 taken.add(to)
-                out.append((g["_d"].iloc[0], now, int(to), -strength))
+                out.append((d, now, to, -strength))
                 now = to
-        return pd.DataFrame(out, columns=[doc, "src", "dst", "mixed"])
-
-    types = dict(frags.dtypes)
-    return rows.groupBy("_d").applyInPandas(grow, f"{doc} {types[doc]}, src {types[block]}, dst {types[block]}, mixed double")
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, near, kinds = None, {}, None  # the document that is being read, and its pairs
+        for b in batches:
+            kinds, out = [b.schema.field(c).type for c in ("_d", "_b", "dst", "mixed")], []
+            for d, src, dst, goes_on, mixed in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if near and d != of:
+                    out += grow(of, near)
+                    near = {}
+                of = d
+                near.setdefault(src, []).append((-mixed, dst, goes_on))
+            yield made(out, kinds)
+        if near:
+            yield made(grow(of, near), kinds)
+
+    def made(out: list[tuple], kinds: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], [doc, "src", "dst", "mixed"])
+
+    # sorted by document, so that a call takes many documents and holds the pairs of one
+    return rows.repartition("_d").sortWithinPartitions("_d").mapInArrow(run, f"`{doc}` {types[doc]}, src {types[block]}, dst {types[block]}, mixed double")
 
 
 def walk_order(frags: DataFrame, links: DataFrame, doc: str, block: str, text: str | None = None) -> DataFrame:

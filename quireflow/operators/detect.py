@@ -27,6 +27,8 @@ RESULT = "struct<res: struct<boxes: array<struct<coordinate: array<double>, labe
 PICTURE = "h int, w int, c int, data binary"
 #: Pages that are decoded at once; an Arrow batch may hold hundreds of compressed ones.
 SLICE = 8
+#: Bytes of crops' pixels that are sent on at once, beyond those of one page.
+PIXELS = 4 << 20
 
 
 def _netpbm_head(content: bytes) -> tuple[bytes, int, int, int]:
@@ -101,12 +103,6 @@ def _text(result: str | dict | None) -> str | None:
     return result if result is None or isinstance(result, str) else json.dumps(result)
 
 
-def slices(batches: Iterator[pd.DataFrame], rows: int = SLICE) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        for at in range(0, len(b), rows):
-            yield b.iloc[at : at + rows]
-
-
 def detect_pages(pages: DataFrame, doc: str, content: str, detector: Callable[[], Detect], decode: Decode = decode_picture, target: tuple[int, int] = (1240, 1755), permissive: bool = False, name: str | None = None) -> DataFrame:
     """doc, page_w, page_h, result (JSON) and error of pages. Pictures are resized to ``target`` for the model, SLICE pages at a time.
 
@@ -115,30 +111,31 @@ def detect_pages(pages: DataFrame, doc: str, content: str, detector: Callable[[]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = loaded(f"detector:{name}", detector, plan) if name else detector()
-        for b in slices(batches):
-            sizes, pictures, errors = [], [], []
-            for x in b[content]:
+        for b in batches:
+            contents, sizes, results, errors = b[content].tolist(), [], [], []
+            for at in range(0, len(contents), SLICE):
+                pictures, good = [], []
+                for k, x in enumerate(contents[at : at + SLICE], at):
+                    try:
+                        p = decode(bytes(x))
+                        small = resize(p, target)
+                    except Exception as e:
+                        if not permissive:
+                            raise
+                        sizes.append((None, None)), errors.append(str(e))
+                    else:
+                        sizes.append((p.shape[1], p.shape[0])), pictures.append(small), errors.append(None), good.append(k)
+                results += [None] * (len(errors) - at)
                 try:
-                    p = decode(bytes(x))
-                    small = resize(p, target)
+                    got = list(model(pictures)) if pictures else []
+                    for k, r in zip(good, got, strict=False):
+                        results[k] = _text(r)
                 except Exception as e:
                     if not permissive:
                         raise
-                    sizes.append((None, None)), errors.append(str(e))
-                else:
-                    sizes.append((p.shape[1], p.shape[0])), pictures.append(small), errors.append(None)
-            good = [k for k, e in enumerate(errors) if e is None]
-            found: list = [None] * len(errors)
-            try:
-                got = list(model(pictures)) if pictures else []
-                for k, r in zip(good, got, strict=False):
-                    found[k] = _text(r)
-            except Exception as e:
-                if not permissive:
-                    raise
-                for k in good:
-                    errors[k] = str(e)
-            yield pd.DataFrame({doc: b[doc], "page_w": pd.Series([w for w, _ in sizes], dtype="Int32", index=b.index), "page_h": pd.Series([h for _, h in sizes], dtype="Int32", index=b.index), "result": pd.Series(found, dtype=object, index=b.index), "error": pd.Series(errors, dtype=object, index=b.index)})
+                    for k in good:
+                        errors[k] = str(e)
+            yield pd.DataFrame({doc: b[doc], "page_w": pd.Series([w for w, _ in sizes], dtype="Int32", index=b.index), "page_h": pd.Series([h for _, h in sizes], dtype="Int32", index=b.index), "result": pd.Series(results, dtype=object, index=b.index), "error": pd.Series(errors, dtype=object, index=b.index)})
 
     from quireflow.operators.backends import loaded
 
@@ -173,25 +170,39 @@ def crop_pixels(boxes: DataFrame, pages: DataFrame, doc: str, content: str, deco
     """boxes with the pixels (h, w, c, data) inside cx1, cy1, cx2, cy2; boxes of a page without content get none.
 
     A page's boxes are gathered to one row, which is a few hundred bytes, and come to its page: it is decoded once for all of
-    them, and only its row is in memory. Where the gathered boxes are small enough to be broadcast, no page is shuffled.
+    them, and only its row is in memory. Pages stream past the gathered boxes: they are not sorted, which would hold contents
+    that a shuffle's size, as it is compressed, tells nothing of.
     """
     inner = [f for f in boxes.schema if f.name != doc]
     gathered = boxes.groupBy(doc).agg(F.collect_list(F.struct(*(F.col(f"`{f.name}`") for f in inner))).alias("_boxes")).withColumnRenamed(doc, "_doc")
-    met = gathered.join(pages.select(doc, content), F.col("_doc").eqNullSafe(F.col(doc)), "left").select(F.col("_doc").alias(doc), "_boxes", content)
+    met = gathered.hint("shuffle_hash").join(pages.select(doc, content), F.col("_doc").eqNullSafe(F.col(doc)), "left").select(F.col("_doc").alias(doc), "_boxes", content)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row in range(b.num_rows):
-                one = b.slice(row, 1)
-                held = pc.list_flatten(one.column(1))
-                bytes_ = one.column(2)[0].as_py()
+            counts = pc.list_value_length(b.column(1)).to_pylist()
+            held = pc.list_flatten(b.column(1))
+            corners = list(zip(*(pc.struct_field(held, c).to_pylist() for c in ("cx1", "cy1", "cx2", "cy2")), strict=True))
+            owner = pc.list_parent_indices(b.column(1))
+            first, at, parts, size = 0, 0, [], 0
+            for row, n in enumerate(counts):
+                bytes_ = b.column(2)[row].as_py()
                 picture = None if bytes_ is None else decode(bytes_)
-                corners = zip(*(pc.struct_field(held, c).to_pylist() for c in ("cx1", "cy1", "cx2", "cy2")), strict=True)
-                parts = [None if picture is None else picture[max(0, y1) : max(0, y2), max(0, x1) : max(0, x2)] for x1, y1, x2, y2 in corners]
-                shape = [pa.array([None if p is None else f(p) for p in parts], pa.int32()) for f in (lambda p: p.shape[0], lambda p: p.shape[1], lambda p: p.shape[2] if p.ndim == 3 else 1)]
-                own = [pc.struct_field(held, f.name) for f in inner]
-                key = pa.array([one.column(0)[0].as_py()] * len(parts), one.column(0).type)
-                yield pa.RecordBatch.from_arrays([key, *own, *shape, pa.array([None if p is None else p.tobytes() for p in parts], pa.binary())], [doc, *(f.name for f in inner), "h", "w", "c", "data"])
+                for x1, y1, x2, y2 in corners[at : at + n]:
+                    if picture is None:
+                        parts.append((None, None, None, None))
+                        continue
+                    p = picture[max(0, y1) : max(0, y2), max(0, x1) : max(0, x2)]
+                    parts.append((p.shape[0], p.shape[1], p.shape[2] if p.ndim == 3 else 1, p.tobytes()))
+                    size += p.nbytes
+                at += n
+                if size < PIXELS and row + 1 < len(counts):
+                    continue
+                some = held.slice(first, at - first)
+                own = [pc.struct_field(some, f.name) for f in inner]
+                pixels = [pa.array([p[k] for p in parts], kind) for k, kind in enumerate([pa.int32()] * 3 + [pa.binary()])]
+                key = b.column(0).take(owner.slice(first, at - first))
+                yield pa.RecordBatch.from_arrays([key, *own, *pixels], [doc, *(f.name for f in inner), "h", "w", "c", "data"])
+                first, parts, size = at, [], 0
 
     ship(boxes.sparkSession)
     kind = T.StructType([boxes.schema[doc], *inner, *T.StructType.fromDDL(PICTURE).fields])

@@ -19,7 +19,7 @@ def pages(s: SparkSession, d: str) -> DataFrame:
     box = F.struct(F.array(*((F.col(c) / 10.0) for c in ("x1", "y1", "x2", "y2"))).alias("coordinate"), "label", F.col("confidence").alias("score"))
     rows = layout(s, d).groupBy(F.col("page").alias("doc_id")).agg(F.transform(F.sort_array(F.collect_list(F.struct("region", box.alias("b")))), lambda r: r["b"]).alias("boxes"))
     result = F.concat(F.to_json(F.struct(F.struct("boxes").alias("res"))), F.lit("\n"))
-    body = F.rpad(result, WIDTH * HEIGHT, "\x7f")
+    body = F.rpad(result, WIDTH * HEIGHT, "\x7f" * WIDTH)  # a line at a time
     return rows.select("doc_id", F.concat(F.lit(f"P5\n{WIDTH} {HEIGHT}\n255\n"), body).cast("binary").alias("content"))
 
 

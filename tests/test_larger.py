@@ -11,12 +11,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from quireflow.operators import chain as C
+from quireflow.operators import detect as E
 from quireflow.operators import direction as D
 from quireflow.operators import nsp as N
 from quireflow.operators import overlaps as O
 from quireflow.operators import raster as R
 from quireflow.operators import xycut as X
-from quireflow.plans import catalogue
+from quireflow.plans import catalogue, fakes
 
 
 def same_as_sql(spark, name, folder):
@@ -186,3 +187,41 @@ def test_only_strong_pairs_of_open_fragments_are_linked_in_python(spark):
     links = C.greedy_links(spark.createDataFrame(pairs, "d int, src int, dst int, goes_on double, mixed double"), spark.createDataFrame(frags, "d int, b int, text string"), "d", "b")
     assert sorted((r.d, r.src, r.dst) for r in links.collect()) == sorted(want) and want
     assert "0.6" in links._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_links_take_many_documents_a_call(spark):
+    """Documents that begin in one batch and end in another one, and no call a document."""
+    rng = random.Random(6)
+    frags = spark.createDataFrame([(f"d{d}", b, "open") for d in range(40) for b in range(6)], "d string, b long, text string")
+    pairs = spark.createDataFrame([(f"d{d}", a, b, 0.9, round(0.6 + 0.4 * rng.random(), 1)) for d in range(40) for a in range(6) for b in range(6) if a != b], "d string, src long, dst long, goes_on double, mixed double")
+    got = []
+    for rows in (7, 10_000):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+        try:
+            links = C.greedy_links(pairs, frags, "d", "b")
+            got.append(sorted(map(tuple, links.collect())))
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got[0] == got[1] and len({r[0] for r in got[0]}) == 40 and all(len({r[2] for r in got[0] if r[0] == f"d{d}"}) == sum(r[0] == f"d{d}" for r in got[0]) for d in range(40))
+    assert "FlatMapGroups" not in links._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("most", [1, 3000, 4 << 20])
+def test_crops_of_many_pages_go_together_and_pages_are_not_sorted(spark, monkeypatch, most):
+    monkeypatch.setattr(E, "PIXELS", most)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pages = fakes.pages(spark, "/root/testdata/sf0.001").limit(20).localCheckpoint()
+        held = {r.doc_id: E.decode_picture(bytes(r.content)) for r in pages.collect()}
+        rows = [(d, k, 3 * k, 2 * k, 3 * k + 20, 2 * k + 9) for d in [*held, -1, None] for k in range(d % 4 if d else 2)]
+        boxes = spark.createDataFrame(rows, "doc_id long, n int, cx1 int, cy1 int, cx2 int, cy2 int")
+        out = E.crop_pixels(boxes, pages, "doc_id", "content")
+        got = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(tuple(r)[:6] for r in got if r.doc_id is not None) == sorted(r for r in rows if r[0] is not None) and len(got) == len(rows)
+    for r in got:
+        p = E.picture_of(r)
+        assert p is None if r.doc_id in (-1, None) else np.array_equal(p, held[r.doc_id][r.cy1 : r.cy2, r.cx1 : r.cx2])
+    assert "ShuffledHashJoin" in plan and "Sort " not in plan
