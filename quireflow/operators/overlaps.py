@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from quireflow.tables import Tables
 
-#: Side of the cells that boxes are dealt to, in pixels.
-CELL = 256
+#: Side of the cells that boxes are dealt to, in pixels: a page has few, so that most boxes are shuffled once, and only boxes of one cell are compared.
+CELL = 1024
 
 
 def _area(p: str) -> Column:
@@ -32,7 +32,8 @@ def overlapping(boxes: DataFrame, doc: str, idx: str, extra: list[str], cell: in
     # both sides are one frame, names and all, so that it is shuffled once
     of = lambda p, c: F.col(f"{p}.`{c}`")
     same = (of("a", doc) == of("b", doc)) & (of("a", "_cx") == of("b", "_cx")) & (of("a", "_cy") == of("b", "_cy")) & (of("a", idx) != of("b", idx))
-    met = side.alias("a").join(side.alias("b"), same).select(of("a", doc).alias(doc), of("a", "_cx").alias("a_cx"), of("a", "_cy").alias("a_cy"), *(of(p, c).alias(f"{p}_{c}") for p in "ab" for c in cols))
+    # no broadcast: a table's size tells nothing of the cells that its boxes cover
+    met = side.alias("a").join(side.alias("b").hint("merge"), same).select(of("a", doc).alias(doc), of("a", "_cx").alias("a_cx"), of("a", "_cy").alias("a_cy"), *(of(p, c).alias(f"{p}_{c}") for p in "ab" for c in cols))
     here = (at(low("x1")) == F.col("a_cx")) & (at(low("y1")) == F.col("a_cy"))
     met = met.where((low("x1") < high("x2")) & (low("y1") < high("y2")) & here)
     common = (high("x2") - low("x1")).cast("long") * (high("y2") - low("y1"))

@@ -225,3 +225,15 @@ def test_crops_of_many_pages_go_together_and_pages_are_not_sorted(spark, monkeyp
         p = E.picture_of(r)
         assert p is None if r.doc_id in (-1, None) else np.array_equal(p, held[r.doc_id][r.cy1 : r.cy2, r.cx1 : r.cx2])
     assert "ShuffledHashJoin" in plan and "Sort " not in plan
+
+
+def test_most_boxes_lie_in_one_cell_and_cells_are_not_broadcast(spark):
+    """What is shuffled is about a row a box, and a small table's many cells go to no worker whole."""
+    boxes = catalogue.crowd(spark, "/root/testdata/sf0.001")
+    cells = lambda a, z: F.floor((F.col(z) - 1) / O.CELL) - F.floor(F.col(a) / O.CELL) + 1
+    n, rows = boxes.where("x2 > x1 AND y2 > y1").agg(F.count(F.lit(1)), F.sum(cells("x1", "x2") * cells("y1", "y2"))).collect()[0]
+    assert n > 1000 and rows < 1.3 * n
+    pairs = O.overlapping(boxes, "page", "region", ["score"])
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, O.overlapping(boxes, "page", "region", ["score"], cell=50).collect()))
