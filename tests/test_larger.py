@@ -70,6 +70,22 @@ def test_direction_by_frequent_and_rare_words(spark, hot_words):
     assert len(got) == len(texts) and all(math.isclose(got[k], worth(t or ""), abs_tol=1e-9) for k, t in enumerate(texts))
 
 
+def test_log_likelihood_shuffles_no_frequent_tokens(spark):
+    """Tokens are shuffled only after the frequent ones were joined or left out where they lie."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([(1, "a b a"), (2, "c")], "id int, text string")
+        table = spark.createDataFrame([("a", 5), ("b", 1)], "token string, freq long")
+        plan = D.log_likelihood(df, table, ["id"], "text", "ll")._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("Exchange hashpartitioning(") > 1 and "Generate" in plan
+    for part in plan.split("Exchange hashpartitioning(token")[1:]:
+        nodes = [n for line in part.split("\n")[1:] for n in ("BroadcastHashJoin", "Generate", "Scan") if n in line]
+        assert nodes[0] != "Generate"
+
+
 def crowded_pages(rng, n):
     """Pages of overlapping, empty and turned boxes."""
     pages = []
