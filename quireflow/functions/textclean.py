@@ -22,11 +22,20 @@ PAREN_RUN, DELIMITER_ROW = r"(?U)(?:\([^)]++\)\s*+){5,}+", r"(?mdU)^[-=*_○×
 WHITE = r"\s"
 
 
-def strip(c: Column, white: str = WHITE) -> Column:
+def strip(c: Column) -> Column:
+    """Has one parameter: to a function of two ``transform`` hands the place in the array as well."""
+    return strip_of(c, WHITE)
+
+
+def strip_of(c: Column, white: str) -> Column:
     return F.regexp_replace(c, rf"(?U)\A{white}+|{white}+\z", "")
 
 
-def lstrip(c: Column, white: str = WHITE) -> Column:
+def lstrip(c: Column) -> Column:
+    return lstrip_of(c, WHITE)
+
+
+def lstrip_of(c: Column, white: str) -> Column:
     return F.regexp_replace(c, rf"(?U)\A{white}+", "")
 
 

@@ -159,9 +159,9 @@ def render(ordered: DataFrame, doc: str, block: str, body: Callable[[Column], Co
     """doc, markdown. ordered: doc, block, seq, text, connected. Like ``compose`` with the flag of each fragment given, and with texts stripped of ``white`` before headings are looked for."""
     w = Window.partitionBy(doc).orderBy("seq")
     df = ordered.withColumn("_body", body(F.col("text"))).withColumn("_pb", F.lag("_body").over(w))
-    before = T.strip(F.col("_pb"), white)
+    before = T.strip_of(F.col("_pb"), white)
     alone = F.startswith(before, F.lit("##")) & ~before.contains("\n")
-    left = T.lstrip(F.col("_body"), white)
+    left = T.lstrip_of(F.col("_body"), white)
     opens = F.startswith(left, F.lit("##")) | F.startswith(left, F.lit("<div"))
     glue = F.when(F.col("_pb").isNull(), F.lit("")).when(~F.coalesce("connected", F.lit(False)) | alone | opens, F.lit("\n\n")).otherwise(F.lit(""))
     parts = F.sort_array(F.collect_list(F.struct("seq", F.concat(glue, F.col("_body")).alias("part"))))

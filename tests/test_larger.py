@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quireflow.functions import textclean as T
 from quireflow.operators import chain as C
 from quireflow.operators import detect as E
 from quireflow.operators import direction as D
@@ -253,3 +254,17 @@ def test_most_boxes_lie_in_one_cell_and_cells_are_not_broadcast(spark):
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
     assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, O.overlapping(boxes, "page", "region", ["score"], cell=50).collect()))
+
+
+def test_lines_of_titles_are_stripped(spark, tmp_path):
+    """White space around a title's lines goes, and so around lines that are joined."""
+    texts = ["a", " a b ", "a\n b", "é 漢\n"]
+    spark.createDataFrame([(1, k, t) for k, t in enumerate(texts * 3)], "conv_id long, turn int, text string").coalesce(1).write.parquet(str(tmp_path / "w"))
+    next((tmp_path / "w").glob("*.parquet")).rename(tmp_path / "conversations.parquet")
+    for f in (tmp_path / "w").iterdir():
+        f.unlink()
+    (tmp_path / "w").rmdir()
+    same_as_sql(spark, "format_titles", tmp_path)
+    df = spark.createDataFrame([(" T \n  x\t\n \n\u3000y ",)], "t string")
+    assert df.select(T.format_title(F.col("t"))).collect()[0][0] == "## T  x y"
+    assert df.select(T.normalise_markdown(F.col("t"))).collect()[0][0] == "Txy"
