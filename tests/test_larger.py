@@ -14,6 +14,7 @@ from quireflow.functions import textclean as T
 from quireflow.operators import chain as C
 from quireflow.operators import detect as E
 from quireflow.operators import direction as D
+from quireflow.operators import fragments as P
 from quireflow.operators import nsp as N
 from quireflow.operators import overlaps as O
 from quireflow.operators import raster as R
@@ -268,3 +269,12 @@ def test_lines_of_titles_are_stripped(spark, tmp_path):
     df = spark.createDataFrame([(" T \n  x\t\n \n\u3000y ",)], "t string")
     assert df.select(T.format_title(F.col("t"))).collect()[0][0] == "## T  x y"
     assert df.select(T.normalise_markdown(F.col("t"))).collect()[0][0] == "Txy"
+
+
+def test_inline_fragments_are_stripped(spark):
+    """The text before a marker is a fragment without the white space around it; one of white space only is none."""
+    docs = spark.createDataFrame([(1, " a bbox:[1,2, 3,4]\n\t b\n c 　bbox:[5,6,7,8] \n bbox:[9,9,9,9] d ")], "doc int, markdown string")
+    got = [tuple(r)[1:] for r in P.parse_inline(docs, "doc").orderBy("block_id").collect()]
+    assert got == [(0, "a", 1, 2, 3, 4), (1, "b\n c", 5, 6, 7, 8), (2, "d", 0, 0, 1000, 100)]
+    inline, lines = (sorted(map(tuple, catalogue.QUERIES[f"parse_fragments_{kind}"](spark, "/root/testdata/sf0.001").collect())) for kind in ("inline", "lines"))
+    assert inline == lines and inline
