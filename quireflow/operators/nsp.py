@@ -5,9 +5,10 @@ beginning of the second. Each side gives two vectors, the mean of its tokens' le
 next to the seam; the vectors of both sides and their products go through one hidden layer to two logits. Class 1 is "goes on".
 
 It learns from turns of conversations: a turn and the one after it, against the turn and one of another conversation, chosen by
-hash. The training sample is whole conversations, the MAX_CONVERSATIONS with the smallest hashed ids of those that may be
-learnt from; one conversation in three is held out by the checksum of its id. The driver trains on the ids of the sample; the
-weights, of a few megabytes, are saved to a file or broadcast.
+hash. One conversation in three is held out by the checksum of its id; all turns of the others are learnt from. They are dealt
+by hash to shares of about SHARE turns. A single share is learnt on the driver. Of more, each is learnt by a task of its own,
+once a round, from weights that all start the round with; what they have learnt is summed on the executors, so the driver holds
+weights and never turns. The weights, of a few megabytes, are saved to a file or broadcast.
 """
 
 from __future__ import annotations
@@ -28,8 +29,10 @@ from quireflow.plans.registry import BACKENDS, ModelError
 from quireflow.tables import Tables, ship
 
 DIM, HIDDEN, EDGE = 16, 32, 8
-#: Conversations of the training sample, of which all turns are learnt from.
-MAX_CONVERSATIONS = 4000
+#: Turns that are learnt at once by a task or by the driver.
+SHARE = 16_000
+#: What is learnt is summed as integers, as then no order of sums matters: units of one, and parts of a vocabulary that are summed each by itself.
+UNIT, PARTS = 2.0**24, 64
 #: Texts that are encoded at once, and turns whose candidates are scored at once.
 TEXTS, TURNS = 256, 64
 #: Others that a true next turn is ranked among, and turns that choose them from each other.
@@ -138,26 +141,138 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
+def learn(model: Weights, pairs: Sequence[tuple[list[int], list[int]]], labels: np.ndarray, rng: np.random.Generator, moments: tuple, batch: int, rates: Sequence[float], before: int = 0) -> np.ndarray:
+    """One round: Adam over shuffled batches, a rate for each, after ``before`` steps on the same moments. Of every other pair only the tokens at the seam are shown, as a pair of short texts would have them. Gives how often each token was shown."""
+    order, (m, v), shown = rng.permutation(len(pairs)), moments, np.zeros(len(model.w["e"]), np.int64)
+    for step, (at, rate) in enumerate(zip(range(0, len(order), batch), rates, strict=True), before + 1):
+        who = order[at : at + batch]
+        short = rng.random(len(who)) < 0.5
+        some = [(a[-3 * EDGE :], b[: 3 * EDGE]) if s else (a, b) for (a, b), s in zip((pairs[k] for k in who.tolist()), short.tolist(), strict=True)]
+        tokens = bags(some)
+        shown += np.bincount(tokens[0], minlength=len(shown))
+        g = model.gradients(*tokens, labels[who])
+        for k, x in g.items():
+            m[k] = 0.9 * m[k] + 0.1 * x
+            v[k] = 0.99 * v[k] + 0.01 * x * x
+            model.w[k] -= rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)
+    return shown
+
+
+def no_moments(model: Weights) -> tuple:
+    return tuple({k: np.zeros_like(x) for k, x in model.w.items()} for _ in range(2))
+
+
+def rounds(pairs: int, epochs: int = 6, batch: int = 256, least_steps: int = 300) -> int:
+    return max(epochs, -(-least_steps * batch // pairs)) if pairs else 0
+
+
 def train(pairs: Sequence[tuple[list[int], list[int]]], labels: Sequence[int], size: int, seed: int = 1, epochs: int = 6, batch: int = 256, rate: float = 0.01, least_steps: int = 300) -> Weights:
-    """At least ``epochs`` rounds, and more where a sample is so small that they are fewer than ``least_steps`` steps: Adam over shuffled batches. Of every other pair only the tokens at the seam are shown, as a pair of short texts would have them."""
-    rng, model, step = np.random.default_rng(seed), Weights.new(size, seed), 0
-    labels = np.asarray(labels, np.int64)
-    m, v = ({k: np.zeros_like(x) for k, x in model.w.items()} for _ in range(2))
-    epochs = max(epochs, -(-least_steps * batch // max(1, len(pairs)))) if len(pairs) else 0
-    steps = epochs * -(-len(pairs) // batch)
-    for _ in range(epochs):
-        order = rng.permutation(len(pairs))
-        for at in range(0, len(order), batch):
-            who = order[at : at + batch]
-            short = rng.random(len(who)) < 0.5
-            some = [(pairs[k][0][-3 * EDGE :], pairs[k][1][: 3 * EDGE]) if s else pairs[k] for k, s in zip(who.tolist(), short.tolist(), strict=True)]
-            g = model.gradients(*bags(some), labels[who])
-            step += 1
-            lr = rate * min(1.0, step / 20) * (1 - step / (steps + 1))
-            for k, x in g.items():
-                m[k] = 0.9 * m[k] + 0.1 * x
-                v[k] = 0.99 * v[k] + 0.01 * x * x
-                model.w[k] -= lr * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)
+    """At least ``epochs`` rounds, and more where the pairs are so few that they are fewer than ``least_steps`` steps."""
+    rng, model = np.random.default_rng(seed), Weights.new(size, seed)
+    labels, moments = np.asarray(labels, np.int64), no_moments(model)
+    epochs = rounds(len(pairs), epochs, batch, least_steps)
+    each = -(-len(pairs) // batch)
+    for k in range(epochs):
+        rates = [rate * min(1.0, step / 20) * (1 - step / (epochs * each + 1)) for step in range(k * each + 1, (k + 1) * each + 1)]
+        learn(model, pairs, labels, rng, moments, batch, rates, k * each)
+    return model
+
+
+class Pairs(Sequence):
+    """The pairs of a share of turns: each turn with the one after it (label 1), then with one of another conversation (label 0). Ids are held as arrays; a pair's lists are made when it is asked for."""
+
+    def __init__(self, tails: np.ndarray, tail_ends: np.ndarray, nexts: np.ndarray, next_ends: np.ndarray, first: np.ndarray, second: np.ndarray) -> None:
+        self.held = {"tails": tails, "tail_ends": tail_ends, "nexts": nexts, "next_ends": next_ends, "first": first, "second": second}
+        self.tails, self.nexts, self.first, self.second = (tails, tail_ends), (nexts, next_ends), first.tolist(), second.tolist()
+        self.labels = (first == second).astype(np.int64)
+
+    @classmethod
+    def of(cls, rows: pd.DataFrame) -> Pairs:
+        """Of conv_id, turn, tail, next. The other conversation's turn is the first one from a place chosen by checksum, in the order of conversations and turns."""
+        convs, tails, nexts = rows["conv_id"].tolist(), *([np.asarray(x, np.int32) for x in rows[c]] for c in ("tail", "next"))
+        turns = [(False, 0) if pd.isna(t) else (True, t) for t in rows["turn"].tolist()]
+        order = sorted(range(len(convs)), key=lambda k: (convs[k], turns[k], tails[k].tobytes(), nexts[k].tobytes()))
+        convs, n = [convs[k] for k in order], len(order)
+        after = [n] * n  # where the conversation of a row ends
+        for k in range(n - 2, -1, -1):
+            after[k] = after[k + 1] if convs[k] == convs[k + 1] else k + 1
+        first, second = [], []
+        for k, conv in enumerate(convs):
+            first.append(k)
+            second.append(k)
+            at = zlib.crc32(f"{conv}:{len(first)}".encode()) % n
+            at = after[at] % n if convs[at] == conv else at
+            if convs[at] != conv:
+                first.append(k)
+                second.append(at)
+        flat = [y for x in (tails, nexts) for y in (np.concatenate([np.zeros(0, np.int32), *(x[k] for k in order)]), np.cumsum([len(x[k]) for k in order], dtype=np.int64))]
+        return cls(*flat, np.array(first, np.int64), np.array(second, np.int64))
+
+    def dump(self) -> bytes:
+        out = io.BytesIO()
+        np.savez(out, **self.held)
+        return out.getvalue()
+
+    @classmethod
+    def load(cls, data: bytes) -> Pairs:
+        with np.load(io.BytesIO(data)) as held:
+            return cls(**{k: held[k] for k in held.files})
+
+    def __len__(self) -> int:
+        return len(self.first)
+
+    def __getitem__(self, k: int) -> tuple[list[int], list[int]]:
+        cut = lambda ids, ends, at: ids[ends[at - 1] if at else 0 : ends[at]].tolist()
+        return cut(*self.tails, self.first[k]), cut(*self.nexts, self.second[k])
+
+
+def train_shares(shares: DataFrame, size: int, seed: int = 1, epochs: int = 6, batch: int = 256, rate: float = 0.01) -> Weights:
+    """Weights learnt from all shares (share, data), in ``epochs`` rounds.
+
+    In a round each share is learnt by itself, from the same weights on. Then a token's vector moves by the mean of its moves, counted by how often
+    a share has shown it, as most shares lack a rare token; all other weights by the mean counted by pairs.
+    """
+    sc, model = shares.sparkSession.sparkContext, Weights.new(size, seed)
+    ship(shares.sparkSession)
+    rest = [k for k in model.w if k != "e"]
+    cuts = [size * k // PARTS for k in range(PARTS + 1)]
+    kind = "part int, moved binary, shown binary"
+
+    for k in range(epochs):
+        held = sc.broadcast(model.w)
+
+        def run(batches, held=held, k=k):
+            vectors, others, shown, pairs_shown = np.zeros((size, DIM), np.int64), {n: np.zeros(held.value[n].shape, np.int64) for n in rest}, np.zeros(size, np.int64), 0
+            for b in batches:
+                for share, data in zip(b["share"], b["data"], strict=True):
+                    pairs, own = Pairs.load(data), Weights({n: x.copy() for n, x in held.value.items()})
+                    each = -(-len(pairs) // batch)
+                    rates = [rate * min(1.0, step / 20) * (1 - (k * each + step) / (epochs * each + 1)) for step in range(1, each + 1)]
+                    count = learn(own, pairs, pairs.labels, np.random.default_rng([seed, k, share]), no_moments(own), batch, rates)
+                    vectors += np.rint((own.w["e"] - held.value["e"]) * count[:, None] * UNIT).astype(np.int64)
+                    for n in rest:
+                        others[n] += np.rint((own.w[n] - held.value[n]) * len(pairs) * UNIT).astype(np.int64)
+                    shown += count
+                    pairs_shown += len(pairs)
+            if pairs_shown:
+                moved = [*(vectors[a:z] for a, z in zip(cuts[:-1], cuts[1:], strict=True)), np.concatenate([others[n].ravel() for n in rest])]
+                counts = [*(shown[a:z] for a, z in zip(cuts[:-1], cuts[1:], strict=True)), np.array([pairs_shown])]
+                yield pd.DataFrame({"part": range(PARTS + 1), "moved": [x.tobytes() for x in moved], "shown": [x.tobytes() for x in counts]})
+
+        def add(rows: pd.DataFrame) -> pd.DataFrame:
+            sums = [sum(np.frombuffer(x, np.int64) for x in rows[c]) for c in ("moved", "shown")]
+            return pd.DataFrame({"part": rows["part"].iloc[:1], "moved": [sums[0].tobytes()], "shown": [sums[1].tobytes()]})
+
+        for r in shares.mapInPandas(run, kind).groupBy("part").applyInPandas(add, kind).collect():
+            moved, shown = np.frombuffer(r.moved, np.int64) / UNIT, np.frombuffer(r.shown, np.int64)
+            if r.part < PARTS:
+                model.w["e"][cuts[r.part] : cuts[r.part + 1]] += moved.reshape(-1, DIM) / np.maximum(shown, 1)[:, None]
+                continue
+            at = 0
+            for n in rest:
+                model.w[n] += (moved[at : at + model.w[n].size] / shown[0]).reshape(model.w[n].shape)
+                at += model.w[n].size
+        held.destroy()
     return model
 
 
@@ -234,36 +349,39 @@ def next_turns(turns: DataFrame, path: str, conv: str = "conv_id", turn: str = "
     return own.select("conv_id", "turn", F.col("ids.head").alias("head"), F.col("ids.tail").alias("tail"), F.lead("ids.head").over(order).alias("next"))
 
 
-def fit(turns: DataFrame, path: str | None = None, seed: int = 1, most: int = MAX_CONVERSATIONS) -> Weights:
-    """Weights learnt from turns (conv_id, turn, text). Conversations that are held out are never learnt from."""
+def fit(turns: DataFrame, path: str | None = None, seed: int = 1, share: int = SHARE, rows: DataFrame | None = None, tables: Tables | None = None) -> Weights:
+    """Weights learnt from turns (conv_id, turn, text), of which ``rows`` may hold the ids (``next_turns``). Conversations that are held out are never learnt from; all others are."""
     path = path or vocabulary()
-    convs = turns.where(F.col("conv_id").isNotNull() & ~held_out(F.col("conv_id"))).select("conv_id").distinct().orderBy(F.xxhash64("conv_id"), "conv_id").limit(most)
-    sample = turns.join(F.broadcast(convs.withColumnRenamed("conv_id", "_conv")), F.col("conv_id") == F.col("_conv"), "left_semi")
-    rows = sorted((r.conv_id, -1 if r.turn is None else r.turn, tuple(r.tail), tuple(r.next)) for r in next_turns(sample, path).where(F.col("next").isNotNull()).select("conv_id", "turn", "tail", "next").collect())
-    pairs, labels = [], []
-    for conv, _, tail, after in rows:
-        pairs.append((list(tail), list(after)))
-        labels.append(1)
-        at = zlib.crc32(f"{conv}:{len(pairs)}".encode()) % len(rows)
-        for k in range(len(rows)):  # the next one of another conversation
-            other = rows[(at + k) % len(rows)]
-            if other[0] != conv:
-                pairs.append((list(tail), list(other[3])))
-                labels.append(0)
-                break
-    return train(pairs, labels, Encoder(path).size, seed)
-
-
-def rank_next_turns(turns: DataFrame, weights: Weights, path: str | None = None, others: int = OTHERS, tables: Tables | None = None) -> DataFrame:
+    size, spark = Encoder(path).size, turns.sparkSession
+    tables = tables or Tables(spark, "nsp")
+    rows = tables.cut(next_turns(turns, path), "learnt") if rows is None else rows
+    rows = rows.where(F.col("next").isNotNull() & ~held_out(F.col("conv_id"))).select("conv_id", "turn", "tail", "next")
+    count = rows.count()
+    n = max(1, -(-count // share))
+
+    def pack(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"share": [key[0]], "data": [Pairs.of(own).dump()]})
+
+    number = F.pmod(F.xxhash64("conv_id", "turn", F.lit("shares")), F.lit(n))
+    packed = rows.withColumn("share", number).groupBy("share").applyInPandas(pack, "share long, data binary")
+    if n == 1:
+        held = packed.collect()
+        pairs = Pairs.load(held[0].data) if held else []
+        return train(pairs, pairs.labels if held else [], size, seed)
+    # a file for each share, so that all cores have some
+    packed.write.option("maxRecordsPerFile", 1).parquet(at := tables.path("shares"))
+    return train_shares(spark.read.schema(packed.schema).parquet(at), size, seed, rounds(2 * count // n))
+
+
+def rank_next_turns(turns: DataFrame, weights: Weights, path: str | None = None, others: int = OTHERS, tables: Tables | None = None, rows: DataFrame | None = None) -> DataFrame:
     """conv_id, turn, held_out, score, n_others, place: for every turn that another one follows, the score of the true next turn and its place (from 1) among it and ``others`` turns of other conversations.
 
     The others are those that come next in the order of hashes, within buckets of hashed keys, so no turn is joined with all.
-    Ties count against the true one. A conversation of one turn has no row.
+    Ties count against the true one. A conversation of one turn has no row. ``rows`` may hold the turns' ids (``next_turns``) as a written table.
     """
     path = path or vocabulary()
     spark = turns.sparkSession
-    tables = tables or Tables(spark, "nsp")
-    rows = tables.cut(next_turns(turns, path), "turns")
+    rows = (tables or Tables(spark, "nsp")).cut(next_turns(turns, path), "turns") if rows is None else rows
     n = max(1, -(-rows.count() // BUCKET_ROWS))
     key = F.xxhash64("conv_id", "turn", F.lit("others"))
     by_hash = Window.partitionBy("bucket").orderBy("key", "conv_id", "turn")

@@ -122,3 +122,46 @@ def test_odd_turns(spark):
     got = N.rank_next_turns(df, model, others=3).collect()
     assert sorted((r.conv_id, r.turn is None) for r in got) == [(1, False), (1, False), (1, True), (2, False)] and all(1 <= r.place <= r.n_others + 1 for r in got)
     assert N.fit(spark.createDataFrame([], schema)).w["e"].shape[1] == N.DIM
+
+
+def test_all_turns_are_learnt_in_shares(spark, monkeypatch):
+    """However many conversations: each turn that another follows is in one share, once right and once against another conversation's turn."""
+    n = 4200
+    rows = spark.range(2 * n).select(F.floor(F.col("id") / 2).alias("conv_id"), (F.col("id") % 2).alias("turn"), F.concat(F.lit("turn "), F.col("id")).alias("text"))
+    learnt = rows.where(~N.held_out(F.col("conv_id"))).select("conv_id").distinct().count()
+    packed = []
+    monkeypatch.setattr(N, "train_shares", lambda shares, *_: packed.extend(N.Pairs.load(r.data) for r in shares.collect()))
+    N.fit(rows, share=900)
+    assert len(packed) > 2 and sum(int(p.labels.sum()) for p in packed) == learnt and all(p.labels.sum() * 2 == len(p) <= 2200 for p in packed)
+    every = {tuple(p[k][0]) for p in packed for k in range(len(p))}
+    assert len(every) == learnt and all(p[k][1] != p[k + 1][1] for p in packed for k in range(0, len(p), 2))
+    alone = []
+    monkeypatch.setattr(N, "train", lambda pairs, labels, *_: alone.append((len(pairs), sum(labels))))
+    N.fit(rows)
+    assert alone == [(2 * learnt, learnt)]
+
+
+def test_what_shares_learn_is_summed(spark):
+    """Two topics again, in shares; the weights don't depend on how shares are dealt to tasks."""
+    rng = np.random.default_rng(6)
+    shares, frames = [], []
+    for k in range(4):
+        rows = []
+        for j in range(300):
+            topic = int(rng.integers(0, 2))
+            say = lambda: (10 + 20 * topic + rng.integers(0, 20, 8)).tolist()  # noqa: E731, B023
+            rows.append((j, 0, say(), say()))
+        own = N.Pairs.of(N.pd.DataFrame(rows, columns=["conv_id", "turn", "tail", "next"]))
+        shares.append((k, own.dump()))
+        frames.append(own)
+    assert len(frames[0]) == 600 and frames[0][1] == N.Pairs.load(shares[0][1])[1]
+    df = spark.createDataFrame(shares, "share long, data binary")
+    one, two = (N.train_shares(df.repartition(p), 60, epochs=12, batch=32) for p in (1, 3))
+    assert all(np.array_equal(one.w[k], two.w[k]) for k in one.w)
+    # half of the others are of the other topic
+    same = [[(list(range(a, a + 8)), list(range(b, b + 8)))] for a in (12, 33) for b in (20, 41)]
+    score = lambda pair: N.softmax(one.forward(*N.bags(pair), 1)[0])[0, 1]
+    assert min(score(same[0]), score(same[3])) > 0.5 > 0.3 > max(score(same[1]), score(same[2]))
+    lone = N.Pairs.of(N.pd.DataFrame([(5, None, [1], [2]), (5, 1, [3], [])], columns=["conv_id", "turn", "tail", "next"]))
+    assert lone.labels.tolist() == [1, 1] and lone[1] == ([3], []) and lone[0] == ([1], [2])
+    assert N.train_shares(df.limit(0), 60, epochs=1).w["e"].shape == (60, N.DIM)
