@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import math
+import shutil
+import tempfile
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,7 +89,7 @@ def judge_direction(texts: DataFrame, lexicon: DataFrame, keys: list[str], text:
 
 #: Labels of blocks whose lines may be turned round.
 TURNED_LABELS = ["text", "paragraph_title", "doc_title"]
-#: Words of a lexicon, or of a shard of it, that are broadcast at once.
+#: Words of a lexicon that are broadcast at once, or of a shard of it that is made a trie.
 MOST_WORDS = 2_000_000
 _MIRROR = str.maketrans(T.OPENING + T.MIRRORED, T.MIRRORED + T.OPENING)
 
@@ -109,10 +115,14 @@ _CHAR_BITS, CHARS = 21, 200_000
 
 
 class Trie:
-    """A lexicon as sorted arrays: (node, character) -> node, and each node's logarithm of probability, if it is a word. Built and walked a level at a time for all words or places."""
+    """A lexicon as sorted arrays: (node, character), of which the n-th leads to node n, and each node's logarithm of probability, if it is a word. Built and walked a level at a time for all words or places."""
 
-    def __init__(self, keys: np.ndarray, nodes: np.ndarray, logs: np.ndarray) -> None:
-        self.keys, self.nodes, self.logs = keys, nodes, logs
+    def __init__(self, keys: np.ndarray, logs: np.ndarray) -> None:
+        self.keys, self.logs = keys, logs
+
+    @property
+    def nodes(self) -> np.ndarray:
+        return np.arange(1, len(self.keys) + 1)
 
     @classmethod
     def of(cls, lexicon: dict[str, float], total: float) -> Trie:
@@ -126,12 +136,11 @@ class Trie:
         starts, size = np.concatenate([[0], ends[:-1]]).astype(np.int64), np.diff(ends, prepend=0)
         value = np.log(np.maximum(freq, LEAST) / total)
         node, active, made = np.zeros(len(words), np.int64), np.arange(len(words)), 1
-        keys, nodes, ending, level = [], [], [], 0
+        keys, ending, level = [], [], 0
         while len(active):
             pair = (node[active] << _CHAR_BITS) | codes[starts[active] + level].astype(np.int64)
             new, back = np.unique(pair, return_inverse=True)
             keys.append(new)
-            nodes.append(np.arange(made, made + len(new)))
             node[active] = made + back
             made += len(new)
             level += 1
@@ -141,9 +150,8 @@ class Trie:
         logs = np.full(made, np.nan)
         for own in ending:
             logs[node[own]] = value[own]
-        every = np.concatenate([np.zeros(0, np.int64), *keys])
-        order = np.argsort(every)
-        return cls(every[order], np.concatenate([np.zeros(0, np.int64), *nodes])[order], logs)
+        # in order, as nodes of a level are numbered in the order of their keys, after those of the levels before
+        return cls(np.concatenate([np.zeros(0, np.int64), *keys]), logs)
 
     def matches(self, codes: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, stop, log) of every word in the characters; last tells where each place's text ends."""
@@ -154,7 +162,7 @@ class Trie:
             key = (node << _CHAR_BITS) | codes[stop]
             place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             there = self.keys[place] == key
-            at, node, stop = at[there], self.nodes[place[there]], stop[there] + 1
+            at, node, stop = at[there], place[there] + 1, stop[there] + 1
             log = self.logs[node]
             word = ~np.isnan(log)
             out.append((at[word], stop[word], log[word]))
@@ -169,17 +177,16 @@ def _codes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.cumsum([len(t) for t in texts], dtype=np.int64)
 
 
-def best_splits(texts: Sequence[str], tries: Sequence[Trie], total: float, words: bool = False, more: Sequence[tuple] = ()) -> tuple[list[float], list[list[str]]]:
+def best_splits(texts: Sequence[str], tries: Sequence[Trie], total: float, words: bool = False) -> tuple[list[float], list[list[str]]]:
     """(log-likelihood, words) of the likeliest split of each text; of equal ones that with the shorter last word. Texts without characters have -100.
 
-    By Viterbi over all texts at once: one step for each length that a text has, whatever the number of texts. ``more`` are
-    further matches (start, stop, log) of the texts one after the other, of tries that are elsewhere.
+    By Viterbi over all texts at once: one step for each length that a text has, whatever the number of texts.
     """
     codes, ends = _codes(texts)
     size = np.diff(ends, prepend=0)
     first = ends - size
     last = np.repeat(ends, size)
-    parts = [t.matches(codes, last) for t in tries] + list(more)
+    parts = [t.matches(codes, last) for t in tries]
     single = np.arange(len(codes))
     start = np.concatenate([single, *(p[0] for p in parts)])
     stop = np.concatenate([single + 1, *(p[1] for p in parts)])
@@ -297,68 +304,55 @@ def read_lexicon(spark: SparkSession, path: str, most: int = MOST_WORDS) -> dict
     return {r.token: r.freq for r in held}
 
 
-MATCHES = "array<struct<start: int, stop: int, log: double>>"
-
-
-def _finder(held):
-    """A function that adds the matches of one broadcast trie to those that a row has."""
+@functools.lru_cache(64)
+def mapped(name: str) -> Trie:
+    """A trie of files that Spark has sent to this machine, mapped: its workers share one copy, which is no memory of their own."""
+    keys, logs = (np.load(SparkFiles.get(f"{name}-{kind}.npy"), mmap_mode="r") for kind in ("keys", "logs"))
+    return Trie(keys, logs)
 
-    @F.pandas_udf(MATCHES)
-    def find(texts: pd.Series, before: pd.Series) -> pd.Series:
-        def one(t, old):
-            if t is None:
-                return old
-            codes, _ = _codes([t])
-            a, z, log = held.value.matches(codes, np.full(len(codes), len(codes)))
-            return [*old, *({"start": x, "stop": y, "log": v} for x, y, v in zip(a.tolist(), z.tolist(), log.tolist(), strict=True))]
 
-        return pd.Series([one(t, old) for t, old in zip(texts, before, strict=True)], index=texts.index)
-
-    return find
+def send(spark: SparkSession, trie: Trie) -> str:
+    """Sends a trie's arrays to the executors as files; gives the name by which ``mapped`` has it."""
+    name, folder = f"trie-{uuid.uuid4().hex[:12]}", tempfile.mkdtemp(prefix="quireflow-trie-")
+    atexit.register(shutil.rmtree, folder, True)
+    for kind, x in (("keys", trie.keys), ("logs", trie.logs)):
+        np.save(path := f"{folder}/{name}-{kind}.npy", x)
+        spark.sparkContext.addFile(path)
+    return name
 
 
 def segment_lines(lines: DataFrame, text: str, lexicon: DataFrame, most: int = MOST_WORDS) -> DataFrame:
     """lines with words (an array) and loglik: the likeliest split of each text under a lexicon (token, freq) of any size. A null text has nulls.
 
-    A lexicon of more than ``most`` words is dealt to shards by hash. Each shard is broadcast by itself and adds the words that
-    it finds in a text to the row; the last step chooses among all of them.
+    A lexicon of more than ``most`` words is dealt to shards by hash, of which the driver makes one trie after the other. Tries
+    go to the executors as files, where workers map them, so what a worker holds is the matches of some CHARS characters.
     """
     spark = lines.sparkSession
     ship(spark)
     lexicon = Tables(spark, "segments").cut(lexicon.select("token", "freq"), "lexicon")  # read by every shard
     n, total = lexicon.agg(F.count(F.lit(1)), F.sum(F.col("freq").cast("double"))).collect()[0]
-    shards, total = max(1, -(-n // most)), float(total or 1.0)
+    shards, total, names = max(1, -(-n // most)), float(total or 1.0), []
     shard = F.pmod(F.xxhash64("token"), F.lit(shards))
-    out = lines.withColumn("_found", F.array().cast(MATCHES))
     for k in range(shards):
         # about ``most`` rows, as columns: a row's objects are many times as large
         own = lexicon.where((shard == k) & (F.col("token") != "")).select("token", F.col("freq").cast("double").alias("freq")).toArrow()
-        held = spark.sparkContext.broadcast(Trie.of_words(own["token"].to_pylist(), own["freq"].to_numpy(), total))
+        names.append(send(spark, Trie.of_words(own["token"].to_pylist(), own["freq"].to_numpy(), total)))
         del own
-        if shards == 1:
-            break
-
-        out = out.withColumn("_found", _finder(held)(F.col(text), F.col("_found")))
-    tries = [held] if shards == 1 else []
 
     @F.pandas_udf("struct<words: array<string>, loglik: double>")
-    def choose(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
-        there = [k for k, t in enumerate(texts) if t is not None]
+    def choose(texts: pd.Series) -> pd.DataFrame:
+        # texts of about one length together, as a split takes a step for each length
+        there = sorted((k for k, t in enumerate(texts) if t is not None), key=lambda k: len(texts.iloc[k]))
         rows: list = [(None, None)] * len(texts)
-        at = 0
+        tries, at = [mapped(x) for x in names], 0
         for some in by_characters([texts.iloc[k] for k in there]):
-            own, offset, more = there[at : at + len(some)], 0, []
-            for k, t in zip(own, some, strict=True):
-                more += [(m["start"] + offset, m["stop"] + offset, m["log"]) for m in found.iloc[k]]
-                offset += len(t)
-            extra = [(np.array([m[0] for m in more], np.int64), np.array([m[1] for m in more], np.int64), np.array([m[2] for m in more], float))] if more else []
-            scores, words = best_splits(some, [t.value for t in tries], total, words=True, more=extra)
-            for k, w, x in zip(own, words, scores, strict=True):
+            scores, words = best_splits(some, tries, total, words=True)
+            for k, w, x in zip(there[at : at + len(some)], words, scores, strict=True):
                 rows[k] = (w, x)
             at += len(some)
         return pd.DataFrame({"words": [w for w, _ in rows], "loglik": [x for _, x in rows]}, index=texts.index)
 
-    return out.withColumn("_s", choose(F.col(text), F.col("_found"))).select(*lines.columns, F.col("_s.words").alias("words"), F.col("_s.loglik").alias("loglik"))
+    return lines.withColumn("_s", choose(F.col(text))).select(*lines.columns, F.col("_s.words").alias("words"), F.col("_s.loglik").alias("loglik"))
 
 
 def _wide(b):

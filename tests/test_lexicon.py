@@ -103,3 +103,14 @@ def test_blocks_by_table_are_those_by_broadcast(spark):
 def test_a_lexicon_that_is_listed_twice(spark, tmp_path):
     (tmp_path / "w.txt").write_text("the 50 x\ncat 20\nthe 7\nbroken\nbad x\n")
     assert D.read_lexicon(spark, str(tmp_path / "w.txt")) == {"the": 7.0, "cat": 20.0}
+
+
+def test_shards_are_mapped_and_no_match_is_carried(spark, tmp_path):
+    """Workers read tries from files that they share, and rows hold no column of matches, however many shards there are."""
+    table = spark.createDataFrame([(f"w{k}", 1.0 + k) for k in range(50)], "token string, freq double")
+    df = spark.createDataFrame([(k, f"w{k}w{k + 1}" * (1 + 7 * (k % 3))) for k in range(30)], "id int, t string")
+    out, one = D.segment_lines(df, "t", table, most=9), D.segment_lines(df, "t", table)
+    assert "_found" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, one.collect()))
+    trie = D.mapped(D.send(spark, D.Trie.of({"ab": 2.0, "b": 1.0}, 3.0)))
+    assert isinstance(trie.keys, np.memmap) and D.best_splits(["abb"], [trie], 3.0, words=True)[1] == [["ab", "b"]]
